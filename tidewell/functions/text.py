@@ -9,9 +9,14 @@ from pyspark.sql import Column, functions as F
 from .. import fixed_values as fixed
 
 
+def one_decimal(value: Column) -> Column:
+    """Text with one decimal, rounded half to even on the stored value."""
+    return F.call_function("format_number", value.cast("double"), F.lit("0.0"))
+
+
 def temperature_text(celsius: Column) -> Column:
     """Mark and value, such as '🔥 31.5°C'."""
-    shown = F.format_string("%.1f°C", celsius)
+    shown = F.concat(one_decimal(celsius), F.lit("°C"))
     marked = None
     for limit, mark in fixed.TEMPERATURE_MARKS:
         text = F.concat(F.lit(mark + " "), shown)

@@ -58,22 +58,12 @@ def rejection_reason(spec: TableSpec) -> Column:
     return F.coalesce(*missing, *[_range_reason(f) for f in spec.ranged])
 
 
-def _unfit_reason(df: DataFrame, spec: TableSpec) -> list[Column]:
-    """Reasons for present numbers that no whole number can hold."""
-    reasons = []
-    for field in spec.fields:
-        if field.kind != WHOLE:
-            continue
-        value, source = _source(df, field.name)
-        unfit = C.does_not_fit(value, source)
-        if unfit is not None:
-            number = C.to_number(value, source)
-            infinite = F.abs(number) == F.lit(float("inf"))
-            text = F.concat(F.lit(field.name + "="), number.cast("string"), F.lit(" is too large"))
-            reasons.append(
-                F.when(unfit & infinite, F.lit(fixed.INFINITE_REASON)).when(unfit, text)
-            )
-    return reasons
+def _unfit_reason(field: Field, number: Column) -> Column:
+    """Reason for a present number that no whole number can hold."""
+    infinite = F.abs(number) == F.lit(float("inf"))
+    text = F.concat(F.lit(field.name + "="), number.cast("string"), F.lit(" is too large"))
+    unfit = C.does_not_fit(number)
+    return F.when(unfit & infinite, F.lit(fixed.INFINITE_REASON)).when(unfit, text)
 
 
 def clean_with_reason(
@@ -82,24 +72,36 @@ def clean_with_reason(
     """Cleaned rows with ``reason`` and, for rejects only, the raw row as JSON ``record``.
 
     One narrow pass over the raw rows: nothing is shuffled, and the JSON text is built
-    only where there is a reason.
+    only where there is a reason. The steps are separate projections, so that a value is
+    parsed once however often it is checked; the generated row keeps a later filter on
+    ``reason`` from being pushed below the parsing, which would parse everything again.
     """
-    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    unfit = _unfit_reason(df, spec)
-    early = F.coalesce(*unfit) if unfit else F.lit(None).cast("string")
-    staged = df.select(
-        *[_cleaned(df, f) for f in spec.fields],
-        N.as_moment(run_ts).alias("_transformed_at"),
-        F.lit(source_layer).alias("_source_layer"),
-        early.alias("_early"),
-        raw.alias("_raw"),
-    )
-    judged = staged.withColumn(REASON, F.coalesce(F.col("_early"), rejection_reason(spec)))
-    return judged.select(
-        *spec.clean_columns,
-        REASON,
-        F.when(F.col(REASON).isNotNull(), F.to_json("_raw")).alias(RECORD),
+    parsed, early, finished = [], [], {}
+    for f in spec.fields:
+        value, source = _source(df, f.name)
+        if f.kind == WHOLE and not isinstance(source, T.IntegralType):
+            number = F.col(f"_n_{f.name}")
+            parsed.append(C.to_number(value, source).alias(f"_n_{f.name}"))
+            finished[f.name] = number.try_cast("bigint").alias(f.name)
+            early.append(_unfit_reason(f, number))
+        else:
+            parsed.append(_cleaned(df, f))
+            finished[f.name] = F.col(f.name)
+    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_raw")
+    first = F.coalesce(*early) if early else F.lit(None).cast("string")
+    judged = (
+        df.select(*parsed, raw)
+        .select(*[finished[f.name] for f in spec.fields], first.alias("_early"), "_raw")
+        .select(
+            *[f.name for f in spec.fields],
+            N.as_moment(run_ts).alias("_transformed_at"),
+            F.lit(source_layer).alias("_source_layer"),
+            F.coalesce(F.col("_early"), rejection_reason(spec)).alias(REASON),
+            "_raw",
+        )
     )
+    record = F.when(F.col(REASON).isNotNull(), F.to_json("_raw")).alias(RECORD)
+    return judged.select(F.inline(F.array(F.struct(*spec.clean_columns, REASON, record))))
 
 
 def valid_rows(judged: DataFrame) -> DataFrame:

@@ -91,21 +91,23 @@ def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
                 aggregates.append(column.alias(f"m{position}_{name}"))
     totals = df.agg(*aggregates)
 
-    per_rule = []
+    columns, parts = [F.col(R.TOTAL)], []
     for position, rule in enumerate(rules):
+        name = f"_issues{position}"
         if isinstance(rule, R.AggRule):
-            names = rule.measures(df)
-            found = {name: F.col(f"m{position}_{name}") for name in names}
+            found = {m: F.col(f"m{position}_{m}") for m in rule.measures(df)}
             judged = list(rule.judge(F.col(R.TOTAL), found, df))
-            if judged:
-                per_rule.append(F.array(*judged))
+            if not judged:
+                continue
+            columns.append(F.filter(F.array(*judged), lambda i: i.isNotNull()).alias(name))
         else:
             # an issue frame has a handful of rows by contract
             rows = rule.issues(df).agg(F.collect_list(F.struct("*")).alias("issues"))
-            per_rule.append(rows.scalar())
+            columns.append(rows.scalar().alias(name))
+        parts.append(name)
     empty = F.from_json(F.lit("[]"), f"array<struct<{_as_struct(R.ISSUE_DDL)}>>")
-    issues = F.filter(F.flatten(F.array(*per_rule)), lambda i: i.isNotNull()) if per_rule else empty
-    return totals.select(R.TOTAL, issues.alias("issues"))
+    issues = F.concat(*parts) if parts else empty
+    return totals.select(*columns).select(R.TOTAL, issues.alias("issues"))
 
 
 def _as_struct(ddl: str) -> str:

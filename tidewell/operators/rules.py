@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
-from ..functions import numeric as N
+from ..functions import numeric as N, text as X
 from ..spec import TableSpec
 
 ISSUE_DDL = (
@@ -115,7 +115,11 @@ def null_check(columns: Sequence[str]) -> AggRule:
         for c in columns:
             percent = found[c] / total * F.lit(100.0)
             severity = F.when(percent > fixed.NULL_PERCENT_CRITICAL, "critical").otherwise("warning")
-            text = F.format_string(f"Column '{c}' has %d null values (%.1f%%)", found[c], percent)
+            text = F.concat(
+                F.format_string(f"Column '{c}' has %d null values (", found[c]),
+                X.one_decimal(percent),
+                F.lit("%)"),
+            )
             details = {"column": c, "null_percentage": percent}
             issues.append(F.when(found[c] > 0, issue("null_check", severity, text, found[c], details)))
         return issues

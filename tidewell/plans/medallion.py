@@ -24,6 +24,7 @@ from . import receipts as P
 from .layers import layer_gate
 
 REJECTED = "rejected"
+KEPT = f"{REJECTED}=false"
 
 
 def enrich_weather(silver: DataFrame) -> DataFrame:
@@ -163,7 +164,8 @@ class LayeredRun:
         )
 
     def _publish(self, layer: str, result: P.RunResult, records: int) -> None:
-        artifact = P.Artifact(layer, self.tables.batch(layer, result), records)
+        path = self.tables.batch(layer, result)
+        artifact = P.Artifact(layer, f"{path}/{KEPT}" if layer == "silver" else path, records)
         row = [(result.run_id, layer, artifact.key, records, result.started_at)]
         rows = self.spark.createDataFrame(row, P.ARTIFACT_DDL)
         rows.coalesce(1).write.mode("append").parquet(self.tables.ops("lineage"))
@@ -197,9 +199,13 @@ def published(
     """
     listed = spark.read.schema(P.ARTIFACT_DDL).parquet(tables.ops("lineage"))
     batches = listed.filter(F.col("layer") == layer).select(F.col("run_id").alias("batch")).distinct()
-    parts = "".join(f", {p} string" for p in (*lake.PARTITIONS, "batch"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    whole = spark.read.schema(ddl + parts).parquet(f"{tables.root}/{layer}")
+    parts = [f"{p} string" for p in (*lake.PARTITIONS, "batch")]
+    if layer == "silver":
+        parts.append(f"{REJECTED} boolean")
+    ddl = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+    whole = spark.read.schema(", ".join(ddl + parts)).parquet(f"{tables.root}/{layer}")
+    if layer == "silver":
+        whole = whole.filter(~F.col(REJECTED))
     bounded = lake.within_days(whole, first, last)
     return bounded.join(batches, "batch", "left_semi").select(*schema.fieldNames())
 
