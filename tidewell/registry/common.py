@@ -25,10 +25,13 @@ EVENTS = TableSpec(
     key=("user_id", "ts"),
     entity="event_type",
     event_time="ts",
+    updates=("value", "ingested_at"),
 )
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # calendar dates and zone-free moments are UTC throughout
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,8 +55,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def moments(df: DataFrame, column: str = "ts") -> DataFrame:
-    """Zone-free moments as UTC timestamps, whatever the session's zone."""
-    return df.withColumn(column, F.to_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone()))
+    """Zone-free moments as UTC timestamps."""
+    return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +67,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e, k = events(spark, sf_dir), F.col("k")
     iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
-    seconds = F.floor(F.unix_micros(F.to_timestamp(F.concat(micros(F.col("ts")), F.lit("+00:00")))) / 1_000_000)
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     return e.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.when(k < 3, F.lit(" \t ")).otherwise(F.concat(F.lit("  "), "event_type", F.lit("\n"))).alias("event_type"),

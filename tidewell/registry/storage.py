@@ -123,7 +123,7 @@ def serving_load(spark, sf_dir):
         {"value": F.col("value") * 2, "k": F.lit(1).cast("bigint")}
     )
     for batch in (early, late):
-        serving.load(spark, batch, path, scratch(spark, "serving-stage"), C.RUN_TS, C.EVENTS, ("value", "ingested_at"))
+        serving.load(spark, batch, path, scratch(spark, "serving-stage"), C.RUN_TS, C.EVENTS)
     found = serving.read_served(spark, path, C.EVENTS)
     return found.select(
         C.big("event_id").alias("event_id"), "event_type", C.big("user_id").alias("user_id"),

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .. import fixed_values as fixed
 from ..functions import numeric as N
 from ..operators import rules as R
 from ..operators.gates import BLOCK, Gate, GateBlocked
@@ -69,7 +68,6 @@ def load(
     staging: str,
     run_ts: dt.datetime,
     spec: TableSpec = WEATHER,
-    update_columns: tuple[str, ...] = fixed.UPSERT_UPDATES,
     run_id: str = "",
 ) -> int:
     """Insert or update a batch in the serving table; returns the accepted rows.
@@ -92,7 +90,7 @@ def load(
     # one date per touched day; the calendar of years 1 to 9999 has 3.7 million of them
     days = F.broadcast(dated.select(DAY).distinct())
     touched = base.join(days, DAY, "left_semi").select(*names)
-    merged = upsert(touched, delta.select(*names), key, update_columns)
+    merged = upsert(touched, delta.select(*names), key, _updates(spec, names, key))
     staged = merged.withColumn(DAY, F.to_date(SERVED_TIME))
     staged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(staging)
     (
@@ -107,6 +105,13 @@ def load(
     return accepted
 
 
+def _updates(spec: TableSpec, names: list[str], key: list[str]) -> list[str]:
+    """Columns a known key takes from the batch; its surrogate id always stays."""
+    if spec.updates is not None:
+        return list(spec.updates)
+    return [n for n in names if n not in key and n != "id"]
+
+
 def read_served(spark: SparkSession, path: str, spec: TableSpec = WEATHER) -> DataFrame:
     """The serving table; empty before the first load."""
     schema = T.StructType.fromDDL(f"{serving_ddl(spec)}, {DAY} date")

@@ -60,6 +60,8 @@ class TableSpec:
     entity: str
     event_time: str
     raw_columns: tuple[str, ...] = ()
+    # serving columns that a redelivered key changes; None means all but the key
+    updates: tuple[str, ...] | None = None
 
     def field(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
@@ -101,4 +103,5 @@ WEATHER = TableSpec(
     entity="city",
     event_time="timestamp",
     raw_columns=fixed.BRONZE_COLUMNS,
+    updates=fixed.UPSERT_UPDATES,
 )
