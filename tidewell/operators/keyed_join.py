@@ -1,26 +1,34 @@
 """Joining rows to a table with one row per key, safe for hot keys.
 
 A plain sort-merge join sends all rows of one key to one task. Here a side is broadcast
-only after a check of its row count. Beyond it, the rows of the heaviest keys meet their
-partner through a small broadcast and are spread over the shuffle under a salt, while all
-other keys take the shuffled join; by construction none of those holds more than
-1/HEAVY_KEYS of the rows.
+only after a check of its rows and bytes. Beyond it, the rows of the heaviest keys meet
+their partner through a small broadcast and are scattered over the shuffle, while all other
+keys take the shuffled join; by construction none of those holds more than 1/HEAVY_KEYS of
+the rows. Rows with a NULL key, which have no partner, are scattered too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_KEYS = 1_000
-SALTS = 64
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has at most this many rows; reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether a frame has at most this many rows; stops reading beyond them."""
+    return len(df.select(F.lit(1).alias("one")).take(rows + 1)) <= rows
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame stays below both limits. Only the length of each row is fetched."""
+    lengths = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).take(rows + 1)
+    return len(lengths) <= rows and sum(r["n"] for r in lengths) <= size
 
 
 def heavy_keys(rows: DataFrame, keys: Sequence[str], most: int = HEAVY_KEYS) -> DataFrame:
@@ -35,9 +43,7 @@ def attach(
     keys: Sequence[str],
     *,
     small: bool | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
     heavy: int = HEAVY_KEYS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left join of ``rows`` to ``per_key``, which has one row per key.
 
@@ -47,22 +53,29 @@ def attach(
     keys = list(keys)
     added = [c for c in per_key.columns if c not in keys]
     if small is None:
-        small = has_at_most(per_key, broadcast_rows)
+        small = is_small(per_key)
     if small:
         return rows.join(F.broadcast(per_key), keys, "left")
 
-    packed = per_key.select(*keys, F.struct(*added).alias("_partner"))
-    hot = heavy_keys(rows.select(*keys), keys, heavy).withColumn("_hot", F.lit(True))
-    # at most `heavy` rows each, so both may be broadcast
-    hot_partners = F.broadcast(hot).join(packed, keys, "left").select(
-        *keys, "_hot", F.col("_partner").alias("_near")
+    packed = per_key.select(*keys, F.struct(*added).alias("_near"))
+    hot = heavy_keys(rows.select(*keys), keys, heavy)
+    # at most `heavy` rows each; a hot key without partner keeps its mark
+    partners = packed.join(F.broadcast(hot), keys)
+    no_partner = hot.withColumn("_near", F.lit(None).cast(packed.schema["_near"].dataType))
+    marks = (
+        partners.unionByName(no_partner)
+        .groupBy(*keys)
+        .agg(F.first("_near", ignorenulls=True).alias("_near"), F.lit(True).alias("_hot"))
     )
-    marked = rows.join(F.broadcast(hot_partners), keys, "left")
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)) + 1
+    marked = rows.join(F.broadcast(marks), keys, "left")
+    # The row and its input partition decide where a scattered row goes: copies of a row
+    # spread as well, and a repeated task sends every row to the same place again.
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns], F.spark_partition_id())
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
     salted = marked.withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)).cast("int")
+        "_salt", F.when(F.col("_hot") | keyless, spread).otherwise(F.lit(0).cast("bigint"))
     )
-    far = packed.withColumn("_salt", F.lit(0)).withColumnRenamed("_partner", "_far")
+    far = packed.withColumnRenamed("_near", "_far").withColumn("_salt", F.lit(0).cast("bigint"))
     joined = salted.join(far, [*keys, "_salt"], "left")
     partner = F.when(F.col("_hot"), F.col("_near")).otherwise(F.col("_far"))
     return joined.withColumn("_partner", partner).select(

@@ -124,8 +124,7 @@ class LayeredRun:
         so each side later reads only its own files."""
         path = self.tables.batch("silver", result)
         flagged = judged.withColumn(REJECTED, F.col(K.REASON).isNotNull())
-        flagged.write.mode("overwrite").partitionBy(REJECTED).parquet(path)
-        stored = self.spark.read.schema(flagged.schema).parquet(path)
+        stored = lake.write_split(flagged, path, REJECTED)
         valid = stored.filter(~F.col(REJECTED)).select(*self.spec.clean_columns)
         return valid, stored.filter(REJECTED)
 

@@ -180,10 +180,10 @@ def _stream(spark, sf_dir):
 
 def stream_daily(spark, sf_dir):
     """Daily statistics of the event stream, driven to its end."""
-    name = f"daily_{uuid.uuid4().hex}"
+    path = scratch(spark, "daily")
     stream = I.windowed_daily(_stream(spark, sf_dir), "event_type", "ts", "value", "1 day", digits=2)
-    I.run_to_table(stream, name, scratch(spark, "stream")).awaitTermination()
-    return spark.table(name)
+    I.run_to_snapshot(stream, path, scratch(spark, "stream")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 def stream_dedup(spark, sf_dir):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions import text as X
 from ..operators.reads import union_batches
+from .workspace import setting
 
 PARTITIONS = ("year", "month", "day")
 
@@ -25,6 +26,17 @@ def write_batch(df: DataFrame, path: str, file_format: str = "parquet") -> str:
     return path
 
 
+def write_split(df: DataFrame, path: str, flag: str) -> DataFrame:
+    """Write rows into one folder per value of a boolean column and read them back.
+
+    A task keeps a file open per value, so its rows need not be sorted by the flag first.
+    """
+    spark = df.sparkSession
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4"):
+        df.write.mode("overwrite").partitionBy(flag).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def with_day_parts(df: DataFrame, event_time: str) -> DataFrame:
     """Zero-padded text partition columns of the event date."""
     return df.withColumns(

@@ -96,7 +96,6 @@ def load(
     (
         spark.read.schema(f"{serving_ddl(spec)}, {DAY} date")
         .parquet(staging)
-        .hint("rebalance", DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)

@@ -15,6 +15,7 @@ from ..functions import numeric as N
 from ..operators import cleaning as K
 from ..operators.gates import GateResult
 from ..plans.layers import layer_gate
+from ..sources import lake
 from ..spec import TableSpec
 
 
@@ -67,20 +68,18 @@ def gated_batches(
     """Clean each micro-batch, gate it and publish it.
 
     Every batch writes to folders named by its id, so a batch that is repeated after a
-    failure replaces its own output. The gate reads the staged folder; a vetoed batch is
-    moved nowhere and stays under ``_vetoed``.
+    failure replaces its own output. The gate reads the staged folder; a vetoed batch
+    stays there and never reaches the target folder.
     """
     reason = F.col(K.REASON)
     if max_age_hours is not None:
         reason = F.coalesce(reason, stale_reason(spec.event_time, run_ts, max_age_hours))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         judged = K.clean_with_reason(batch, spec, run_ts).withColumn(K.REASON, reason)
         staged = f"{target}/_staging/batch={batch_id}"
         flagged = judged.withColumn("rejected", F.col(K.REASON).isNotNull())
-        flagged.write.mode("overwrite").partitionBy("rejected").parquet(staged)
-        stored = spark.read.schema(flagged.schema).parquet(staged)
+        stored = lake.write_split(flagged, staged, "rejected")
         rejects = stored.filter("rejected")
         record = F.coalesce(K.RECORD, F.to_json(F.struct(*[f.name for f in spec.fields])))
         kept = K.quarantine_rows(rejects.withColumn(K.RECORD, record), run_ts)
@@ -100,12 +99,15 @@ def gated_batches(
     )
 
 
-def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
-    """Drive an available-now stream into an in-memory table, for small results and tests."""
+def run_to_snapshot(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the whole current result of an aggregation in a folder (complete mode)."""
+
+    def replace(result: DataFrame, batch_id: int) -> None:
+        result.write.mode("overwrite").parquet(path)
+
     return (
-        stream.writeStream.outputMode(mode)
-        .format("memory")
-        .queryName(name)
+        stream.writeStream.outputMode("complete")
+        .foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
