@@ -1,0 +1,208 @@
+"""The layered run, its receipts, and the reports over them."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import PARIS, RUN_TS, rows
+from tidewell.operators import cleaning as K, gates as G, rules as R
+from tidewell.plans import medallion as W, receipts as P, reports as V
+from tidewell.sources import serving
+from tidewell.spec import WEATHER
+
+
+@pytest.fixture
+def runner(spark, tmp_path):
+    def build(mode="block", **more):
+        return W.LayeredRun(spark, W.Tables(str(tmp_path / "lake")), WEATHER, mode, **more)
+
+    return build
+
+
+def silver_schema(df):
+    return K.clean(df, WEATHER, RUN_TS).schema
+
+
+def test_a_good_run(spark, runner, raw):
+    given = raw({}, PARIS, {"city": "Oslo", "temperature_celsius": "200"})
+    r = runner(aggregates=W.WEATHER_AGGREGATES)
+    result = r.run(given, RUN_TS, "run-1")
+    assert (result.status, result.exit_code, result.error_message) == ("success", 0, "")
+    assert (result.records_ingested, result.records_transformed, result.records_loaded) == (3, 2, 2)
+    assert result.entities_processed == 3
+    assert [g.layer for g in result.gates] == ["bronze", "silver", "gold"]
+    assert [a.layer for a in result.artifacts] == ["bronze", "silver", "gold"]
+    assert all("year=2024/month=01/day=30/batch=run-1" in a.key for a in result.artifacts)
+    assert rows(W.published(spark, r.tables, "silver", silver_schema(given)), "city") == [("London",), ("Paris",)]
+    assert serving.read_served(spark, r.tables.serving).count() == 2
+    dead = spark.read.parquet(r.tables.batch("quarantine", result))
+    assert rows(dead, "source_layer") == [("silver",)]
+    daily = spark.read.parquet(r.tables.batch("gold_daily", result))
+    assert rows(daily, "city", "temperature_celsius_mean") == [("London", 12.0), ("Paris", 7.0)]
+    gold = spark.read.parquet(r.tables.batch("gold", result))
+    assert rows(gold, "city", "temp_category", "wind_category") == [("London", "mild", "light"), ("Paris", "cold", "calm")]
+
+
+def test_duplicate_key_stops_at_gold(spark, runner, raw):
+    r = runner()
+    result = r.run(raw({}, {}), RUN_TS, "run-2")
+    assert (result.status, result.exit_code, result.records_loaded, len(result.gates)) == ("blocked", 2, 0, 3)
+    assert "unique_check" in result.quality_gate_reason and not result.quality_gate_passed
+    assert [a.layer for a in result.artifacts] == ["bronze", "silver"]
+    assert serving.read_served(spark, r.tables.serving).count() == 0
+    assert W.latest_published(spark, r.tables, "gold") is None
+
+
+def test_missing_column_stops_at_bronze(spark, runner, raw):
+    r = runner()
+    result = r.run(raw({}, drop=["timestamp"]), RUN_TS, "run-3")
+    assert (result.status, len(result.gates), result.records_ingested) == ("blocked", 1, 1)
+    assert [a.layer for a in result.artifacts] == ["bronze"]
+    assert rows(spark.read.parquet(r.tables.batch("bronze", result)), "city") == [("London",)]
+
+
+def test_null_city_blocks_or_warns(runner, raw):
+    given = raw({}, *[dict(PARIS, city=f"c{i}") for i in range(10)], {"city": None})
+    assert runner().run(given, RUN_TS).status == "blocked"
+    result = runner("warn").run(given, RUN_TS)
+    assert (result.status, result.records_loaded, result.gates[0].status) == ("success", 11, "warned")
+
+
+def test_empty_ingest_fails(runner, raw):
+    result = runner().run(raw({}).limit(0), RUN_TS)
+    assert (result.status, result.exit_code, result.error_message) == ("failed", 1, "No data ingested")
+
+
+def test_every_row_rejected_is_a_success_with_nothing_loaded(spark, runner, raw):
+    r = runner()
+    result = r.run(raw({"temperature_celsius": "200"}), RUN_TS)
+    assert (result.status, result.records_transformed, result.records_loaded) == ("success", 0, 0)
+    assert W.published(spark, r.tables, "silver", silver_schema(raw({}))).count() == 0
+
+
+def test_failed_load_fails_the_run(runner, raw):
+    def refuse(gold, result):
+        raise RuntimeError("serving is down")
+
+    result = runner(load=refuse).run(raw({}), RUN_TS)
+    assert (result.status, result.records_loaded, result.error_message) == ("failed", 0, "serving is down")
+
+
+def test_partial_load_is_reported(runner, raw):
+    result = runner(load=lambda gold, result: 1).run(raw({}, PARIS), RUN_TS)
+    assert (result.status, result.records_loaded) == ("success", 1)
+
+
+def test_lost_receipts_do_not_undo_the_load(spark, runner, raw, monkeypatch):
+    def broken(*args):
+        raise OSError("receipts are down")
+
+    monkeypatch.setattr(P, "run_rows", broken)
+    r = runner()
+    result = r.run(raw({}), RUN_TS)
+    assert (result.status, result.records_loaded) == ("success", 1)
+
+
+def test_receipts(spark, runner, raw):
+    r = runner()
+    r.run(raw({}), RUN_TS, "good")
+    r.run(raw({}, {}), RUN_TS + dt.timedelta(hours=1), "bad")
+    runs = spark.read.parquet(r.tables.ops("runs"))
+    gates = spark.read.parquet(r.tables.ops("quality_metrics"))
+    artifacts = spark.read.parquet(r.tables.ops("lineage"))
+    assert rows(runs, "run_id", "status") == [("bad", "blocked"), ("good", "success")]
+    assert V.gates_of_runs(gates, runs).groupBy("run_id").count().count() == 2
+    assert V.gates_of_runs(gates, runs).count() == 6
+    nested = {x["run_id"]: x for x in P.lineage(artifacts).collect()}
+    assert nested["good"]["artifact_count"] == 3
+    assert [a["layer"] for a in nested["good"]["artifacts"]] == ["bronze", "gold", "silver"]
+    stats = V.run_stats(runs).collect()[0]
+    assert (stats["total_runs"], stats["success_rate"]) == (2, 50.0)
+    assert [x["run_id"] for x in V.recent_runs(runs, 1).collect()] == ["bad"]
+    assert rows(V.latest_gate_results(gates), "layer", "run_id") == [("bronze", "bad"), ("gold", "bad"), ("silver", "bad")]
+    assert [x["status"] for x in P.alerts(runs).collect()] == ["blocked"]
+    stages = P.stage_series(runs).filter("run_id = 'good'")
+    assert rows(stages, "stage", "value") == [("ingested", 1), ("loaded", 1), ("transformed", 1)]
+
+
+def test_repeating_a_run_replaces_its_batch(spark, runner, raw):
+    r = runner()
+    for _ in range(2):
+        r.run(raw({}), RUN_TS, "same")
+    assert W.published(spark, r.tables, "silver", silver_schema(raw({}))).count() == 1
+    assert serving.read_served(spark, r.tables.serving).count() == 1
+
+
+def test_published_skips_vetoed_batches(spark, runner, raw):
+    r = runner()
+    r.run(raw({}), RUN_TS, "good")
+    r.run(raw({}, {}), RUN_TS, "bad")
+    gold = spark.read.parquet(r.tables.batch("gold", P.RunResult("good", RUN_TS)))
+    assert W.published(spark, r.tables, "gold", gold.schema).count() == 1
+    assert W.published(spark, r.tables, "silver", silver_schema(raw({})), dt.date(2024, 1, 31)).count() == 0
+
+
+def test_validate_latest(spark, runner, raw):
+    r = runner()
+    r.run(raw({}), RUN_TS, "a")
+    code, verdict = W.validate_latest(spark, r.tables, "silver", silver_schema(raw({})), RUN_TS)
+    assert (code, verdict.status, verdict.metrics["total_records"]) == (0, "passed", 1)
+    assert W.validate_latest(spark, r.tables, "platinum", silver_schema(raw({})), RUN_TS) == (0, None)
+    assert W.batch_names(RUN_TS) == [f"{s}_20240130_130000" for s in ("weather_batch", "weather_cleaned", "weather_gold")]
+
+
+# --- reports on made rows ---------------------------------------------------------------
+
+
+def run_frame(spark, statuses):
+    start = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame(
+        [(f"r{i:03}", s, start + dt.timedelta(hours=i), 10 + i) for i, s in enumerate(statuses)],
+        "run_id string, status string, started_at timestamp, duration_seconds int",
+    )
+
+
+def test_run_stats_window(spark):
+    runs = run_frame(spark, ["failed"] * 10 + ["success"] * 50)
+    stats = V.run_stats(runs).collect()[0]
+    assert (stats["success_rate"], stats["total_runs"], stats["avg_duration_seconds"]) == (100.0, 60, 44.5)
+    assert V.run_stats(runs.limit(0)).collect() == []
+
+
+def test_trend_and_summary(spark):
+    now = dt.datetime(2024, 1, 20)
+    df = spark.createDataFrame(
+        [("silver", now, 90.0, True), ("silver", now, 95.5, False), ("gold", now - dt.timedelta(days=15), 10.0, False)],
+        "layer string, evaluated_at timestamp, pass_rate double, gate_passed boolean",
+    )
+    assert rows(V.quality_trend(df, now)) == [("2024-01-20", "silver", 92.75, 1, 1)]
+    assert [tuple(r) for r in V.quality_summary(df).collect()] == [
+        ("2024-01-20", "silver", 2, 92.75, 1, 1), ("2024-01-05", "gold", 1, 10.0, 0, 1),
+    ]
+
+
+def test_issue_series_holds_zeros(spark):
+    df = spark.createDataFrame([(1.0,)], "t double")
+    gate = G.gate_rows(df, [R.range_check("t", 5, 9)], gate_name="g", layer="bronze", run_ts=RUN_TS)
+    assert rows(P.issues_by_severity(gate)) == [("bronze", "critical", 0), ("bronze", "info", 0), ("bronze", "warning", 1)]
+    assert rows(P.gates_by_status(gate)) == [("bronze", "blocked", 1)]
+
+
+def test_alert_text(spark):
+    results = [
+        P.RunResult("a", RUN_TS, "success"),
+        P.RunResult("b", RUN_TS, "failed", error_message="no data", records_ingested=5),
+        P.RunResult("c", RUN_TS, "blocked", quality_gate_reason="dup"),
+    ]
+    texts = {r["run_id"]: r["text"] for r in P.alerts(P.run_rows(spark, results)).collect()}
+    assert set(texts) == {"b", "c"}
+    assert texts["b"] == "❌ *Pipeline FAILED* — run `b`\nno data\n_ingested=5, transformed=0, loaded=0_"
+    assert "BLOCKED" in texts["c"] and "dup" in texts["c"]
+
+
+def test_stored_run(spark):
+    row = P.stored_runs(P.run_rows(spark, [P.RunResult("a", RUN_TS, duration_seconds=3.9)])).collect()[0]
+    assert (row["duration_seconds"], row["error_message"]) == (3, None)
+    ids = P.with_surrogate_id(spark.range(5)).select(F.count_distinct("id")).collect()[0][0]
+    assert ids == 5

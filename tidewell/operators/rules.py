@@ -175,7 +175,8 @@ def constraint(name: str, column: str, holds: Callable[[Column], Column], what:
     """A domain constraint on present values (enumeration, length, limits)."""
 
     def measures(df):
-        return {"broken": F.count_if(F.coalesce(~holds(value_of(df, column)), F.lit(False)))}
+        value = value_of(df, column)
+        return {"broken": F.count_if(value.isNotNull() & F.coalesce(~holds(value), F.lit(False)))}
 
     def judge(total, found, _):
         n = found["broken"]

@@ -43,7 +43,8 @@ def parse_landing(df: DataFrame, column: str) -> DataFrame:
         f"{PAYLOAD_DDL}, {CORRUPT} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return df.select(parsed.alias("p")).select("p.*")
+    # the generated row keeps the text from being parsed once per field that is read
+    return df.select(F.inline(F.array(parsed)))
 
 
 def fetch_outcome(payloads: DataFrame) -> Column:
