@@ -69,7 +69,8 @@ def test_null_city_blocks_or_warns(runner, raw):
     assert (result.status, result.records_loaded, result.gates[0].status) == ("success", 11, "warned")
 
 
-def test_empty_ingest_fails(runner, raw):
+def test_empty_ingest_fails(spark, runner, raw):
+    assert W.latest_published(spark, runner().tables, "bronze") is None
     result = runner().run(raw({}).limit(0), RUN_TS)
     assert (result.status, result.exit_code, result.error_message) == ("failed", 1, "No data ingested")
 
@@ -108,9 +109,9 @@ def test_receipts(spark, runner, raw):
     r = runner()
     r.run(raw({}), RUN_TS, "good")
     r.run(raw({}, {}), RUN_TS + dt.timedelta(hours=1), "bad")
-    runs = spark.read.parquet(r.tables.ops("runs"))
-    gates = spark.read.parquet(r.tables.ops("quality_metrics"))
-    artifacts = spark.read.parquet(r.tables.ops("lineage"))
+    runs = r.tables.read_ops(spark, "runs")
+    gates = r.tables.read_ops(spark, "quality_metrics")
+    artifacts = r.tables.read_ops(spark, "lineage")
     assert rows(runs, "run_id", "status") == [("bad", "blocked"), ("good", "success")]
     assert V.gates_of_runs(gates, runs).groupBy("run_id").count().count() == 2
     assert V.gates_of_runs(gates, runs).count() == 6
@@ -130,6 +131,8 @@ def test_repeating_a_run_replaces_its_batch(spark, runner, raw):
     r = runner()
     for _ in range(2):
         r.run(raw({}), RUN_TS, "same")
+    for name, held in (("runs", 1), ("quality_metrics", 3), ("lineage", 3), ("gates", 3)):
+        assert r.tables.read_ops(spark, name).count() == held
     assert W.published(spark, r.tables, "silver", silver_schema(raw({}))).count() == 1
     assert serving.read_served(spark, r.tables.serving).count() == 1
 

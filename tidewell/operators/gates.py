@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
 from ..functions import numeric as N
+from ..sources.workspace import literal_rows
 from . import rules as R
 
 WARN, BLOCK = "warn", "block"
@@ -143,6 +144,13 @@ def gate_rows(
     )
 
 
+METRIC_DDL = (
+    "run_id string, layer string, total_records bigint, passed_records bigint, failed_records bigint, "
+    "pass_rate decimal(5,2), expectation_suite string, expectations_evaluated int, "
+    "expectations_passed int, evaluated_at timestamp, gate_passed boolean, failure_reason string"
+)
+
+
 def metric_rows(gates: DataFrame) -> DataFrame:
     """Gate results as rows of the quality-metric table.
 
@@ -254,17 +262,4 @@ GATE_DDL = (
 
 def as_rows(spark, results: Sequence[GateResult]) -> DataFrame:
     """Collected gate results (a few per run) as a frame in the gate schema."""
-    rows = [
-        (
-            r.gate_name,
-            r.run_id,
-            r.status,
-            r.layer,
-            [(i.rule_name, i.severity, i.message, i.affected_records, i.details) for i in r.issues],
-            tuple(r.metrics.values()),
-            r.evaluated_at,
-            r.duration_ms,
-        )
-        for r in results
-    ]
-    return spark.createDataFrame(rows, GATE_DDL)
+    return literal_rows(spark, [asdict(r) for r in results], GATE_DDL)

@@ -17,28 +17,36 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.workspace import checkpointed
-from .keyed_join import BROADCAST_ROWS, attach, has_at_most
+from .keyed_join import BROADCAST_BYTES, BROADCAST_ROWS, attach, has_at_most
 
 EXACT_GROUP_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 BINS = 4_096
+STATISTICS_BYTES = 64
 
 
 @dataclass(frozen=True)
 class GroupSizes:
-    """How many groups there are and how many rows the largest one has."""
+    """How many groups there are, how many rows the largest one has, how wide keys are."""
 
     groups: int
     largest: int
+    widest: int = 0
 
-    def fits_broadcast(self, rows: int = BROADCAST_ROWS) -> bool:
-        return self.groups <= rows
+    def fits_broadcast(self, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+        """Whether one row of statistics per group is small enough to broadcast."""
+        return self.groups <= rows and self.groups * (self.widest + STATISTICS_BYTES) <= size
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> GroupSizes:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.count("n").alias("groups"), F.coalesce(F.max("n"), F.lit(0)).alias("n")).collect()[0]
-    return GroupSizes(row["groups"], row["n"])
+    width = F.octet_length(F.to_json(F.struct(*keys)))
+    row = counts.agg(
+        F.count("n").alias("groups"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("largest"),
+        F.coalesce(F.max(width), F.lit(0)).alias("widest"),
+    ).collect()[0]
+    return GroupSizes(**row.asDict())
 
 
 def grouped_median(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from .. import fixed_values as fixed
 from ..operators import rules as R
 from ..operators.gates import BLOCK, Gate
+from ..sources.workspace import literal_rows
 from ..spec import NUMBER, WEATHER, TableSpec
 
 # severity a rule can raise, for the catalogue
@@ -48,13 +50,18 @@ def layer_gate(layer: str, mode: str = BLOCK, run_id: str = "", spec: TableSpec
 
 def rule_catalogue(spark: SparkSession, spec: TableSpec = WEATHER) -> DataFrame:
     """Every rule with the layer it is wired to, derived from the gates themselves."""
+    wired = [(layer, rule) for layer in fixed.LAYERS for rule in layer_rules(layer, spec)]
+    wired.append((None, R.freshness(spec.event_time, dt.datetime(1970, 1, 1))))
     rows = [
-        (rule.name, layer, rule.describe.get("columns", ""), RULE_SEVERITIES[rule.name], "active")
-        for layer in ("bronze", "silver", "gold")
-        for rule in layer_rules(layer, spec)
+        {
+            "rule_name": rule.name,
+            "layer": layer,
+            "columns": rule.describe.get("columns", ""),
+            "severity": RULE_SEVERITIES[rule.name],
+            "state": "active" if layer else "not wired",
+        }
+        for layer, rule in wired
     ]
-    unwired = R.freshness(spec.event_time, dt.datetime(1970, 1, 1))
-    rows.append((unwired.name, None, spec.event_time, RULE_SEVERITIES[unwired.name], "not wired"))
-    return spark.createDataFrame(
-        rows, "rule_name string, layer string, columns string, severity string, state string"
+    return literal_rows(
+        spark, rows, "rule_name string, layer string, columns string, severity string, state string"
     )

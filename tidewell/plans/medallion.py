@@ -19,6 +19,7 @@ from ..functions import enrichment as E, text as X
 from ..operators import cleaning as K, statistics as S
 from ..operators.gates import BLOCK, GateBlocked, GateResult
 from ..sources import lake, serving
+from ..sources.workspace import read_or_empty
 from ..spec import WEATHER, TableSpec
 from . import receipts as P
 from .layers import layer_gate
@@ -57,6 +58,14 @@ class Tables:
     def ops(self, name: str) -> str:
         return f"{self.root}/ops/{name}"
 
+    def read_ops(self, spark: SparkSession, name: str) -> DataFrame:
+        """An operational table: the receipts of all runs."""
+        return read_or_empty(spark, self.ops(name), P.OPS_DDL[name], recursiveFileLookup=True)
+
+    def write_ops(self, rows: DataFrame, name: str, *key: str) -> None:
+        """Receipts go to a folder named by their key: a repeated run updates its own."""
+        rows.write.mode("overwrite").parquet("/".join([self.ops(name), *key]))
+
 
 @dataclass
 class LayeredRun:
@@ -165,9 +174,8 @@ class LayeredRun:
     def _publish(self, layer: str, result: P.RunResult, records: int) -> None:
         path = self.tables.batch(layer, result)
         artifact = P.Artifact(layer, f"{path}/{KEPT}" if layer == "silver" else path, records)
-        row = [(result.run_id, layer, artifact.key, records, result.started_at)]
-        rows = self.spark.createDataFrame(row, P.ARTIFACT_DDL)
-        rows.coalesce(1).write.mode("append").parquet(self.tables.ops("lineage"))
+        rows = P.artifact_rows(self.spark, result, [artifact])
+        self.tables.write_ops(rows, "lineage", result.run_id, layer)
         result.artifacts.append(artifact)
 
     # --- receipts ---------------------------------------------------------------
@@ -182,7 +190,7 @@ class LayeredRun:
         )
         for name, rows in steps:
             try:
-                rows().coalesce(1).write.mode("append").parquet(self.tables.ops(name))
+                self.tables.write_ops(rows(), name, result.run_id)
             except Exception as failure:  # noqa: BLE001
                 print(f"receipt {name} not written: {failure}")
 
@@ -196,7 +204,7 @@ def published(
     The lineage table decides which batches are read: its rows meet the partition column
     of the layer, so folders of vetoed or unfinished runs are skipped, not filtered.
     """
-    listed = spark.read.schema(P.ARTIFACT_DDL).parquet(tables.ops("lineage"))
+    listed = tables.read_ops(spark, "lineage")
     batches = listed.filter(F.col("layer") == layer).select(F.col("run_id").alias("batch")).distinct()
     parts = [f"{p} string" for p in (*lake.PARTITIONS, "batch")]
     if layer == "silver":
@@ -211,7 +219,7 @@ def published(
 
 def latest_published(spark: SparkSession, tables: Tables, layer: str) -> str | None:
     """Folder of the newest published batch of a layer, None when there is none."""
-    listed = spark.read.schema(P.ARTIFACT_DDL).parquet(tables.ops("lineage"))
+    listed = tables.read_ops(spark, "lineage")
     row = listed.filter(F.col("layer") == layer).agg(F.max("key").alias("key")).collect()[0]
     return row["key"]
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fixed
 from ..functions import numeric as N, text as X
-from ..operators.gates import GateResult, as_rows, metric_rows
+from ..operators.gates import GATE_DDL, METRIC_DDL, GateResult, as_rows, metric_rows
+from ..sources.workspace import literal_rows
 
 RUN_DDL = (
     "run_id string, status string, started_at timestamp, completed_at timestamp, "
@@ -21,6 +22,14 @@ RUN_DDL = (
 )
 ARTIFACT_DDL = "run_id string, layer string, key string, record_count bigint, published_at timestamp"
 
+# the operational tables; the run table holds whole seconds
+OPS_DDL = {
+    "runs": RUN_DDL.replace("duration_seconds double", "duration_seconds bigint"),
+    "quality_metrics": METRIC_DDL,
+    "gates": GATE_DDL,
+    "lineage": ARTIFACT_DDL,
+}
+
 
 @dataclass(frozen=True)
 class Artifact:
@@ -55,7 +64,7 @@ class RunResult:
 
 def run_rows(spark: SparkSession, results: Sequence[RunResult]) -> DataFrame:
     names = [part.split(" ")[0] for part in RUN_DDL.split(", ")]
-    return spark.createDataFrame([tuple(getattr(r, n) for n in names) for r in results], RUN_DDL)
+    return literal_rows(spark, [{n: getattr(r, n) for n in names} for r in results], RUN_DDL)
 
 
 def stored_runs(runs: DataFrame) -> DataFrame:
@@ -69,11 +78,9 @@ def stored_runs(runs: DataFrame) -> DataFrame:
     )
 
 
-def artifact_rows(spark: SparkSession, result: RunResult) -> DataFrame:
-    rows = [
-        (result.run_id, a.layer, a.key, a.record_count, result.started_at) for a in result.artifacts
-    ]
-    return spark.createDataFrame(rows, ARTIFACT_DDL)
+def artifact_rows(spark: SparkSession, result: RunResult, artifacts: Sequence[Artifact]) -> DataFrame:
+    shared = {"run_id": result.run_id, "published_at": result.started_at}
+    return literal_rows(spark, [asdict(a) | shared for a in artifacts], ARTIFACT_DDL)
 
 
 def lineage(artifacts: DataFrame, order: str = "key") -> DataFrame:

@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators.statistics import Measure, daily_statistics
-from ..plans import medallion as W, receipts as P
 from ..functions import text as X
+from ..operators import cleaning as K
+from ..operators.statistics import Measure, daily_statistics
+from ..plans import medallion as W
 from ..sources import lake, landing, serving
 from ..sources.workspace import scratch
 from ..streaming import ingest as I
@@ -144,8 +145,6 @@ def _layered(spark, sf_dir, raw, mode):
 def gated_publication(spark, sf_dir):
     """A run over all events and the rows its published silver batch holds."""
     tables, result = _layered(spark, sf_dir, C.raw_events(spark, sf_dir), "warn")
-    from ..operators import cleaning as K
-
     schema = K.clean(C.raw_events(spark, sf_dir), C.EVENTS, C.RUN_TS).schema
     silver = W.published(spark, tables, "silver", schema)
     return silver.select("event_id", "event_type", "user_id", "value", "k", C.micros(F.col("ts")).alias("ts"))
@@ -157,9 +156,9 @@ def run_receipts(spark, sf_dir):
     found = None
     for name, batch in (("passes", raw), ("vetoed", raw.drop("ts")), ("doubled", raw.unionByName(raw))):
         tables, _ = _layered(spark, sf_dir, batch, "warn")
-        run = spark.read.parquet(tables.ops("runs"))
-        gates = spark.read.parquet(tables.ops("quality_metrics"))
-        artifacts = spark.read.parquet(tables.ops("lineage"))
+        run = tables.read_ops(spark, "runs")
+        gates = tables.read_ops(spark, "quality_metrics")
+        artifacts = tables.read_ops(spark, "lineage")
         summary = run.select(
             F.lit(name).alias("run"), "status", C.big("records_ingested").alias("ingested"),
             C.big("records_transformed").alias("transformed"), C.big("records_loaded").alias("loaded"),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import numeric as N
 from ..operators import rules as R
 from ..operators.gates import BLOCK, Gate, GateBlocked
 from ..operators.merge import require_unique, upsert
 from ..spec import MOMENT, NUMBER, WEATHER, WHOLE, TableSpec
+from .workspace import read_or_empty
 
 DAY = "recorded_on"
 SERVED_TIME = "recorded_at"
@@ -113,13 +114,7 @@ def _updates(spec: TableSpec, names: list[str], key: list[str]) -> list[str]:
 
 def read_served(spark: SparkSession, path: str, spec: TableSpec = WEATHER) -> DataFrame:
     """The serving table; empty before the first load."""
-    schema = T.StructType.fromDDL(f"{serving_ddl(spec)}, {DAY} date")
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as missing:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], schema)
+    return read_or_empty(spark, path, f"{serving_ddl(spec)}, {DAY} date")
 
 
 def merge_by_key(spark: SparkSession, path: str, delta: DataFrame, key: list[str], keep: tuple[str, ...], target: str) -> str:

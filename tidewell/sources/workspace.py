@@ -6,12 +6,14 @@ neither that setting nor a checkpoint directory exists (local tests) a local fol
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -37,6 +39,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType, **options: object) -> DataFrame:
+    """A parquet table, empty while nothing has been written."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    try:
+        return spark.read.schema(fields).options(**options).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], fields)
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[dict], ddl: str) -> DataFrame:
+    """A few receipt rows as a one-partition frame that needs no Python worker."""
+    schema = T.ArrayType(T.StructType.fromDDL(ddl))
+    text = json.dumps(list(rows), default=lambda moment: moment.isoformat())
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), schema)))
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """A session setting for the duration of one write."""
