@@ -15,7 +15,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_KEYS = 1_000
 
@@ -26,9 +26,12 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame stays below both limits. Only the length of each row is fetched."""
-    lengths = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).take(rows + 1)
-    return len(lengths) <= rows and sum(r["n"] for r in lengths) <= size
+    """Whether a frame stays below both limits. The rows are counted first, which for a
+    stored table reads no column; only a short one has the length of its rows added up."""
+    if df.count() > rows:
+        return False
+    length = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    return (df.agg(F.sum(length).alias("n")).collect()[0]["n"] or 0) <= size
 
 
 def heavy_keys(rows: DataFrame, keys: Sequence[str], most: int = HEAVY_KEYS) -> DataFrame:

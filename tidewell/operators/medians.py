@@ -1,23 +1,23 @@
 """Exact medians per group, whatever the size of a group.
 
-The built-in ``median`` keeps all distinct values of a group in one task. It is used only
-while the largest group is known to be small. Beyond that, a mergeable quantile sketch
-brackets the median of each group, every value outside the bracket is folded into one
-"below" or "above" count before the shuffle, and only the few distinct values inside the
-bracket are ranked. Ranks are exact counts; a group whose median should fall outside its
-bracket is found by those counts and ranked without a bracket. Brackets and medians, one
-row per group, are checkpointed: they are used several times and cost a scan each.
+The built-in ``median`` keeps all distinct values of a group in one task. It serves the
+groups that are known to be small. For a larger group a mergeable quantile sketch brackets
+the median, every value outside the bracket is folded into one "below" or "above" count
+before the shuffle, and only the few distinct values inside the bracket are ranked. Ranks
+are exact counts; a group whose median should fall outside its bracket is found by those
+counts and ranked without a bracket. Brackets and medians of the large groups, one row per
+group, are checkpointed: they are used several times and cost a scan each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.workspace import checkpointed
-from .keyed_join import BROADCAST_BYTES, BROADCAST_ROWS, attach, has_at_most
+from .keyed_join import BROADCAST_BYTES, BROADCAST_ROWS, attach, has_at_most, orphans, survivors
 
 EXACT_GROUP_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
@@ -32,21 +32,29 @@ class GroupSizes:
     groups: int
     largest: int
     widest: int = 0
+    counts: DataFrame | None = None
+    listed: dict[int, DataFrame] = field(default_factory=dict)
 
     def fits_broadcast(self, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
         """Whether one row of statistics per group is small enough to broadcast."""
         return self.groups <= rows and self.groups * (self.widest + STATISTICS_BYTES) <= size
 
+    def larger_than(self, rows: int) -> DataFrame:
+        """Keys of the groups with more rows; at most one per ``rows`` rows of the table."""
+        if rows not in self.listed:
+            self.listed[rows] = checkpointed(self.counts.filter(F.col("_n") > rows).drop("_n"))
+        return self.listed[rows]
+
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> GroupSizes:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     width = F.octet_length(F.to_json(F.struct(*keys)))
     row = counts.agg(
-        F.count("n").alias("groups"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("largest"),
+        F.count(F.lit(1)).alias("groups"),
+        F.coalesce(F.max("_n"), F.lit(0)).alias("largest"),
         F.coalesce(F.max(width), F.lit(0)).alias("widest"),
     ).collect()[0]
-    return GroupSizes(**row.asDict())
+    return GroupSizes(**row.asDict(), counts=counts)
 
 
 def grouped_median(
@@ -65,58 +73,69 @@ def grouped_median(
     ``carry`` names columns that are constant within a group and are kept.
     """
     keys, carry = list(keys), list(carry)
+    slim = df.select(*keys, value, *carry)
     if sizes.largest <= exact_rows:
-        kept = [F.first(c).alias(c) for c in carry]
-        return df.groupBy(*keys).agg(
-            F.count(value).alias("n"), F.median(value).alias(name), *kept
-        )
-    return _bracketed_median(df, keys, value, sizes, name, carry, accuracy)
+        return _plain_median(slim, keys, value, name, carry)
+    large = sizes.larger_than(exact_rows)
+    if large.count() == sizes.groups:
+        return _bracketed_median(slim, keys, value, name, carry, accuracy)
+    plain = _plain_median(orphans(slim, large, keys), keys, value, name, carry)
+    ranked = _bracketed_median(survivors(slim, large, keys), keys, value, name, carry, accuracy)
+    return plain.unionByName(ranked)
+
+
+def _plain_median(df: DataFrame, keys: list[str], value: str, name: str, carry: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(
+        F.count(value).alias("n"), F.median(value).alias(name), *[F.first(c).alias(c) for c in carry]
+    )
 
 
 def _bracketed_median(
-    df: DataFrame, keys: list[str], value: str, sizes: GroupSizes, name: str, carry: list[str], accuracy: int
+    df: DataFrame, keys: list[str], value: str, name: str, carry: list[str], accuracy: int
 ) -> DataFrame:
     margin = 4.0 / accuracy
-    low_high = F.percentile_approx(
+    ends = F.percentile_approx(
         value, F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy)
     )
-    sketched = df.groupBy(*keys).agg(
-        F.count(value).alias("n"), low_high.alias("_ends"), *[F.first(c).alias(c) for c in carry]
-    )
-    sketched = checkpointed(sketched)
-    brackets = sketched.select(
-        *keys, "n", *carry, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high")
+    sketched = checkpointed(
+        df.groupBy(*keys).agg(
+            F.count(value).alias("n"),
+            ends.alias("_ends"),
+            F.min(value).alias("_min"),
+            F.max(value).alias("_max"),
+            *[F.first(c).alias(c) for c in carry],
+        )
     )
-    small = sizes.fits_broadcast()
+    held = [*keys, "n", *carry]
     rows = df.select(*keys, F.col(value).alias("_x"))
-    # one narrow pass: outside the bracket a value is only counted
-    part = F.when(F.col("_x") < F.col("_low"), -1).when(F.col("_x") > F.col("_high"), 1).otherwise(0)
-    slice_of = F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * BINS)
-    clipped = attach(rows, brackets, keys, small=small).withColumn("_part", part)
-    inside = F.col("_part") == 0
-    counted = clipped.groupBy(
-        *keys,
-        "_part",
-        F.when(inside & (F.col("_high") > F.col("_low")), slice_of).otherwise(F.lit(0)).alias("_bin"),
-        F.when(inside, F.col("_x")).alias("_x"),
-    ).agg(F.count(F.lit(1)).alias("_c"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in carry])
-    found = checkpointed(_pick(counted, keys, name, carry))
-    # The sketch's error bound keeps the middle ranks inside the bracket, so this is empty;
-    # the ranks are checked all the same, and a missed group is ranked over all its values.
-    whole = sketched.select(*keys, "n")
+    narrow = sketched.select(*held, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
+    found = checkpointed(_pick(_counted(rows, narrow, keys, carry), keys, name, carry))
+    # The sketch's error bound keeps the middle ranks inside the bracket, so nothing is
+    # missed; the ranks are checked all the same, and a missed group is counted whole.
     done = found.filter(F.col(name).isNotNull())
-    missed = whole.join(done, keys, "left_anti")
+    missed = sketched.join(done, keys, "left_anti")
     if has_at_most(missed, 0):
         return done
-    again = (
-        attach(df, missed, keys, small=small)
-        .filter(F.col("n").isNotNull())
-        .groupBy(*keys, F.col(value).alias("_x"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in carry])
-        .withColumn("_part", F.lit(0))
-        .withColumn("_bin", F.lit(0).cast("bigint"))
+    whole = missed.select(*held, F.col("_min").alias("_low"), F.col("_max").alias("_high"))
+    return done.unionByName(_pick(_counted(rows, whole, keys, carry), keys, name, carry))
+
+
+def _counted(rows: DataFrame, brackets: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
+    """Counts of the distinct values inside the bracket of each group, and one count each
+    for all values below and above it. The counts are combined before the shuffle."""
+    x, low, high = F.col("_x"), F.col("_low"), F.col("_high")
+    part = F.when(x < low, -1).when(x > high, 1).otherwise(0)
+    bracketed = attach(rows, brackets, keys).filter("n is not null").withColumn("_part", part)
+    inside = F.col("_part") == 0
+    position = F.floor((x - low) / (high - low) * BINS)
+    return bracketed.groupBy(
+        *keys,
+        "_part",
+        F.when(inside & (high > low), position).otherwise(F.lit(0)).alias("_bin"),
+        F.when(inside, x).alias("_x"),
+    ).agg(
+        F.count(F.lit(1)).alias("_c"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in carry]
     )
-    return done.unionByName(_pick(again, keys, name, carry))
 
 
 def _running(keys: Sequence[str], *order: str):
