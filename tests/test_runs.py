@@ -1,13 +1,14 @@
 """The layered run, its receipts, and the reports over them."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import PARIS, RUN_TS, rows
 from tidewell.operators import cleaning as K, gates as G, rules as R
-from tidewell.plans import medallion as W, receipts as P, reports as V
+from tidewell.plans import medallion as W, receipts as P, reports as V, views
 from tidewell.sources import serving
 from tidewell.spec import WEATHER
 
@@ -209,3 +210,23 @@ def test_stored_run(spark):
     assert (row["duration_seconds"], row["error_message"]) == (3, None)
     ids = P.with_surrogate_id(spark.range(5)).select(F.count_distinct("id")).collect()[0][0]
     assert ids == 5
+
+
+def test_run_over_landed_payloads(spark, runner, tmp_path):
+    from test_sources import PAYLOAD
+
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    given = [PAYLOAD, dict(PAYLOAD, name="Paris"), {"cod": 404, "name": "Rome"}, dict(PAYLOAD, name="Oslo")]
+    for i, payload in enumerate(given):
+        (folder / f"{i}.json").write_text(json.dumps(payload))
+    r = runner()
+    result = W.run_landing(r, str(folder), RUN_TS, ["London", "Paris", "Rome"], "landed")
+    assert (result.status, result.records_ingested, result.records_loaded) == ("success", 2, 2)
+    failed = spark.read.parquet(r.tables.batch("failed_payloads", result))
+    assert rows(failed, "reason") == [("City not found: Rome",)]
+    views.register_installation(spark, r.tables)
+    assert rows(spark.sql("SELECT city, country FROM v_latest_weather")) == [("London", "GB"), ("Paris", "GB")]
+    assert rows(spark.sql("SELECT run_id, status, records_loaded FROM v_recent_runs")) == [("landed", "success", 2)]
+    assert spark.sql("SELECT * FROM v_quality_summary").count() == 3
+    assert views.latest_rows(spark, 1).count() == 1

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions import enrichment as E, text as X
 from ..operators import cleaning as K, statistics as S
 from ..operators.gates import BLOCK, GateBlocked, GateResult
-from ..sources import lake, serving
+from ..sources import lake, landing, serving
 from ..sources.workspace import read_or_empty
 from ..spec import WEATHER, TableSpec
 from . import receipts as P
@@ -195,6 +195,20 @@ class LayeredRun:
                 print(f"receipt {name} not written: {failure}")
 
 
+def run_landing(
+    runner: LayeredRun, path: str | Sequence[str], run_ts: dt.datetime, names: Sequence[str] | None = None,
+    run_id: str | None = None,
+) -> P.RunResult:
+    """A run over landed payloads of the wanted entities. Failed payloads are set aside
+    with their reason; the run goes on with the rest."""
+    run_id = run_id or P.new_run_id()
+    wanted = landing.for_entities(landing.read_landing(runner.spark, path), names)
+    good, bad = landing.split_payloads(wanted)
+    failed = bad.select(F.to_json(F.struct(*wanted.columns)).alias("record"), "reason")
+    lake.write_batch(failed, lake.batch_path(runner.tables.root, "failed_payloads", run_ts, run_id))
+    return runner.run(landing.flatten(good, run_ts), run_ts, run_id)
+
+
 def published(
     spark: SparkSession, tables: Tables, layer: str, schema: T.StructType,
     first: dt.date | None = None, last: dt.date | None = None,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import fixed_values as fixed
 from ..functions import numeric as N, text as X
 from ..operators.gates import GATE_DDL, METRIC_DDL, GateResult, as_rows, metric_rows
+from ..operators.reads import newest
 from ..sources.workspace import literal_rows
 
 RUN_DDL = (
@@ -121,6 +122,16 @@ def stage_series(runs: DataFrame) -> DataFrame:
     )
 
 
+def latest_run_gauges(runs: DataFrame, tie_break: tuple[str, ...] = ("run_id",)) -> DataFrame:
+    """Duration, start and record counts of the newest run, one row per gauge."""
+    last = newest(runs, "started_at", 1, tie_break)
+    started = F.unix_micros(F.col("started_at").cast("timestamp")) / F.lit(1e6)
+    gauges = [("duration_seconds", F.col("duration_seconds")), ("last_run_timestamp_seconds", started)]
+    gauges += [(stage, F.col(f"records_{stage}")) for stage in ("ingested", "transformed", "loaded")]
+    pairs = [x for name, value in gauges for x in (F.lit(name), value.cast("double"))]
+    return last.select("run_id", F.stack(F.lit(len(gauges)), *pairs).alias("gauge", "value"))
+
+
 def runs_by_status(runs: DataFrame) -> DataFrame:
     return runs.groupBy("status").agg(F.count(F.lit(1)).alias("value"))
 

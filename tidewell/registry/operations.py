@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import gates as G, rules as R
-from ..plans import receipts as P, reports as V
+from ..operators.merge import upsert
+from ..plans import receipts as P, reports as V, views as W
 from . import common as C
 
 NOW = dt.datetime(2000, 6, 1)
@@ -71,6 +72,32 @@ def metrics_runs(spark, sf_dir):
     return P.runs_by_status(C.runs(spark, sf_dir))
 
 
+def metrics_latest(spark, sf_dir):
+    return P.latest_run_gauges(C.runs(spark, sf_dir), ("o_orderkey",))
+
+
+def upsert_runs(spark, sf_dir):
+    """Final run rows over the rows written when the runs began; the start stays."""
+    columns = ("run_id", "status", "duration_seconds", "started_at")
+    final = C.runs(spark, sf_dir).select(*columns)
+    begun = final.filter("status <> 'blocked'").withColumns({"status": F.lit("running"), "duration_seconds": F.lit(0).cast("bigint")})
+    later = final.withColumn("started_at", F.col("started_at") + F.expr("INTERVAL 1 DAY"))
+    merged = upsert(begun, later, ["run_id"], ["status", "duration_seconds"])
+    return merged.withColumn("started_at", C.micros(F.col("started_at")))
+
+
+def sql_views(spark, sf_dir):
+    """The views queried in SQL: newest runs, newest gate days, newest event per user."""
+    gates = C.gates(spark, sf_dir)
+    events = C.events(spark, sf_dir).withColumnRenamed("ts", "recorded_at")
+    W.register(events, C.runs(spark, sf_dir), gates, "user_id", "recorded_at", ("event_id",))
+    return spark.sql(f"""
+        SELECT 'latest' AS source, CAST(user_id AS STRING) AS name, CAST(event_id AS DOUBLE) AS value FROM {W.LATEST}
+        UNION ALL SELECT 'summary', layer, CAST(count(*) AS DOUBLE) FROM {W.SUMMARY} GROUP BY layer
+        UNION ALL SELECT 'recent', 'runs', CAST(count(*) AS DOUBLE) FROM {W.RECENT}
+        UNION ALL SELECT 'gates', layer, CAST(max(total_records) AS DOUBLE) FROM {W.GATES} GROUP BY layer""")
+
+
 def metrics_issues(spark, sf_dir):
     """Gate verdicts and issues by severity, from gates over three tables."""
     def gate(name, layer, rules, mode="block"):
@@ -129,6 +156,22 @@ ORACLES = {
         UNION ALL SELECT run_id, 'transformed', records_transformed FROM {C.RUNS_SQL} b
         UNION ALL SELECT run_id, 'loaded', records_loaded FROM {C.RUNS_SQL} c""",
     "metrics_runs": f"SELECT status, count(*) AS value FROM {C.RUNS_SQL} r GROUP BY status",
+    "metrics_latest": f"""
+        WITH r AS (SELECT * FROM {C.RUNS_SQL} x ORDER BY started_at DESC, o_orderkey DESC LIMIT 1)
+        SELECT run_id, 'duration_seconds' AS gauge, CAST(duration_seconds AS DOUBLE) AS value FROM r
+        UNION ALL SELECT run_id, 'last_run_timestamp_seconds', epoch(started_at) FROM r
+        UNION ALL SELECT run_id, 'ingested', records_ingested FROM r
+        UNION ALL SELECT run_id, 'transformed', records_transformed FROM r
+        UNION ALL SELECT run_id, 'loaded', records_loaded FROM r""",
+    "upsert_runs": f"""
+        SELECT run_id, status, duration_seconds, strftime(CASE WHEN status = 'blocked' THEN started_at + INTERVAL 1 DAY
+               ELSE started_at END, '%Y-%m-%d %H:%M:%S.%f') AS started_at FROM {C.RUNS_SQL} r""",
+    "sql_views": f"""
+        SELECT 'latest' AS source, CAST(user_id AS VARCHAR) AS name, CAST(arg_max(event_id, (ts, event_id)) AS DOUBLE) AS value
+        FROM events GROUP BY user_id
+        UNION ALL SELECT 'summary', l_returnflag, count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem GROUP BY 2
+        UNION ALL SELECT 'recent', 'runs', least(count(*), 50) FROM orders
+        UNION ALL SELECT 'gates', l_returnflag, max(floor(l_quantity)) FROM lineitem GROUP BY 2""",
     "metrics_issues": f"""
         SELECT layer, label, CAST(value AS BIGINT) AS value FROM (
             SELECT 'silver' AS layer, 'warning' AS label, CAST(a > 0 AS INT) + CAST(b > 0 AS INT) AS value FROM {_CUSTOMER} c

@@ -107,6 +107,13 @@ def raw_flatten(spark, sf_dir):
     ).withColumn("sunrise", C.micros(F.col("sunrise")))
 
 
+def entity_ingest(spark, sf_dir):
+    """Payloads of a list of entities; those that failed are left out."""
+    payloads = landing.parse_landing(_payloads(spark, sf_dir), "payload")
+    good, _ = landing.split_payloads(landing.for_entities(payloads, ["user-3", "user-7", "user-11", "user-none"]))
+    return landing.flatten(good, C.RUN_TS).select("city", "temperature_celsius", "wind_speed", "weather_condition")
+
+
 def fetch_outcomes(spark, sf_dir):
     _, bad = landing.split_payloads(landing.parse_landing(_payloads(spark, sf_dir), "payload"))
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("payloads"))
@@ -235,6 +242,10 @@ ORACLES = {
                strftime(moment, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, CAST(NULL AS VARCHAR) AS sunrise,
                '{C.ZERO_TEXT}' AS ingested_at
         FROM {_PAYLOADS} e WHERE k NOT BETWEEN 90 AND 94""",
+    "entity_ingest": f"""
+        SELECT 'user-' || user_id AS city, round(round(value + 200, 2) - CAST(273.15 AS DOUBLE), 2) AS temperature_celsius,
+               value AS wind_speed, CASE WHEN k >= 5 THEN event_type END AS weather_condition
+        FROM {C.EVENTS_SQL} e WHERE user_id IN (3, 7, 11) AND k NOT BETWEEN 90 AND 94""",
     "fetch_outcomes": f"""
         SELECT CASE k WHEN 90 THEN 'City not found: user-' || user_id WHEN 91 THEN 'Rate limit exceeded'
                       WHEN 92 THEN 'API request failed' WHEN 93 THEN 'Invalid API key' ELSE 'Payload does not parse' END AS reason,
