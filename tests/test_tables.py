@@ -81,12 +81,14 @@ def test_latest_row_and_latest_values_differ(spark):
     df = spark.createDataFrame([("a", 1, 5, 7), ("a", 2, None, 8)], "city string, t int, humidity int, x int")
     assert rows(Q.latest_per_key(df, ["city"], "t"), "humidity", "x") == [(None, 8)]
     assert rows(Q.latest_values_per_key(df, ["city"], "t", ["humidity", "x"])) == [("a", 5, 8)]
+    undated = spark.createDataFrame([("a", None, 1), ("a", 3, 2), (None, None, 9)], "city string, t int, x int")
+    assert rows(Q.latest_per_key(undated, ["city"], "t")) == [("a", 3, 2), (None, None, 9)]
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
     plan = Q.latest_per_key(df, ["k"], "t")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.rindex("partial_max_by") > plan.index("Exchange")
 
 
 def test_ranges(spark):
