@@ -85,10 +85,11 @@ def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
 
     The AggRules become one aggregation; each FrameRule is a scalar subquery beside it.
     """
-    aggregates = [F.count(F.lit(1)).alias(R.TOTAL)]
+    aggregates, measures = [F.count(F.lit(1)).alias(R.TOTAL)], {}
     for position, rule in enumerate(rules):
         if isinstance(rule, R.AggRule):
-            for name, column in rule.measures(df).items():
+            measures[position] = rule.measures(df)
+            for name, column in measures[position].items():
                 aggregates.append(column.alias(f"m{position}_{name}"))
     totals = df.agg(*aggregates)
 
@@ -96,7 +97,7 @@ def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
     for position, rule in enumerate(rules):
         name = f"_issues{position}"
         if isinstance(rule, R.AggRule):
-            found = {m: F.col(f"m{position}_{m}") for m in rule.measures(df)}
+            found = {m: F.col(f"m{position}_{m}") for m in measures[position]}
             judged = list(rule.judge(F.col(R.TOTAL), found, df))
             if not judged:
                 continue

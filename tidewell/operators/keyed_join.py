@@ -87,11 +87,15 @@ def attach(
 
 
 def with_parent_flag(
-    rows: DataFrame, parents: DataFrame, keys: Sequence[str], flag: str = "has_parent", **how
+    rows: DataFrame, parents: DataFrame, keys: Sequence[str], flag: str = "has_parent",
+    small: bool | None = None, **how
 ) -> DataFrame:
     """Rows with a flag that tells whether their key exists in ``parents``."""
-    known = parents.select(*keys).distinct().withColumn("_known", F.lit(True))
-    joined = attach(rows, known, keys, **how)
+    listed = parents.select(*keys)
+    if small is None:
+        small = is_small(listed)
+    known = listed.distinct().withColumn("_known", F.lit(True))
+    joined = attach(rows, known, keys, small=small, **how)
     return joined.withColumn(flag, F.coalesce(F.col("_known"), F.lit(False))).drop("_known")
 
 
