@@ -88,7 +88,7 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if wanted and name not in wanted:
+        if (wanted and name not in wanted) or name not in oracles:
             continue
         started = time.time()
         try:

@@ -25,7 +25,9 @@ def test_same_result_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.all_queries()) == set(registry.all_oracles())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.all_queries()) <= set(entry.queries())
     assert entry.entry.__doc__
 
 
