@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import piece_codec, sharding
+from . import language_id, piece_codec, quality, sharding
+from .common import id_remainder
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,8 +39,23 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder("doc_id", 4) == 2
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    scored, _ = quality.classify(docs, read(spark, sf_dir, "labels"), ~F.col("held_out"), carry=("held_out",))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", id_remainder("doc_id", 3) == 1)
+    model = language_id.fit(docs, ~F.col("held_out"))
+    return language_id.predict(docs, model, carry=("held_out",))
+
+
 QUERIES = {
+    "op1_quality": quality_scores,
     "op7_sentencepiece": sentencepiece_ids,
+    "op8_languages": languages,
     "op10_shards": shards,
 }
 
