@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, piece_codec, quality, sharding
+from . import language_id, licenses, piece_codec, quality, sharding, topk
 from .common import id_remainder
 
 
@@ -52,12 +52,38 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, carry=("held_out",))
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[F.array_join(c, " | ").alias(c) for c in ("sentence_ids", "licenses", "unclaimed")])
+
+
 QUERIES = {
     "op1_quality": quality_scores,
+    "op6_nearest_vectors": nearest_vectors,
     "op7_sentencepiece": sentencepiece_ids,
     "op8_languages": languages,
+    "op9_license_scans": license_scans,
     "op10_shards": shards,
 }
 
 #: Check SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_nearest_vectors": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+            vec_id, score
+        FROM scored QUALIFY rank <= 10
+    """,
+    "op9_license_scans": licenses.check_sql(),
+}
