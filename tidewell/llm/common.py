@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,3 +48,29 @@ def package_file(path: str) -> bytes:
         raise ValueError(f"{path}: {size} bytes is too large to send with every task")
     with open(path, "rb") as file:
         return file.read()
+
+
+def ddl(df: DataFrame, columns: Sequence[str]) -> str:
+    """The named columns as a schema text."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*columns).schema)
+
+
+def map_texts(
+    docs: DataFrame, columns: Sequence[str], keep: Sequence[str], fields: str, types: dict[str, pa.DataType],
+    make: Callable[[], Callable[..., tuple]],
+) -> DataFrame:
+    """A narrow pass over texts: ``columns`` (the text first) are the arguments of a function that gives
+    the values of the new ``fields``; ``keep`` columns pass through. ``make`` is called once per task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for part in slices(batch, 0):
+                found = [work(*row) for row in zip(*(c.to_pylist() for c in part.columns[: len(columns)]))]
+                new = [pa.array([row[i] for row in found], kind) for i, kind in enumerate(types.values())]
+                yield pa.RecordBatch.from_arrays([*part.columns[len(columns):], *new], [*keep, *types])
+
+    named = [F.col(c).alias(f"_{i}") for i, c in enumerate(columns)]
+    schema = ", ".join(x for x in (ddl(docs, keep) if keep else "", fields) if x)
+    return docs.select(*named, *keep).mapInArrow(run, schema)

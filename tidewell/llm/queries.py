@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, licenses, piece_codec, quality, sharding, topk
+from . import decontamination, language_id, licenses, piece_codec, quality, sharding, token_counts, topk
 from .common import id_remainder
 
 
@@ -52,6 +52,18 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, carry=("held_out",))
 
 
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("hits"))
+
+
+def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    return token_counts.count(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, edits_of=token_counts.redactions)
+
+
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
@@ -63,6 +75,8 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": quality_scores,
+    "op2_benchmark_hits": benchmark_hits,
+    "op3_token_counts": edited_token_counts,
     "op6_nearest_vectors": nearest_vectors,
     "op7_sentencepiece": sentencepiece_ids,
     "op8_languages": languages,
