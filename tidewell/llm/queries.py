@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, language_id, licenses, piece_codec, quality, sharding, token_counts, topk
+from . import decontamination, html_text, language_id, licenses, piece_codec, quality, sharding, token_counts, topk
 from .common import id_remainder
 
 
@@ -64,6 +64,11 @@ def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, edits_of=token_counts.redactions)
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(read(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op1_quality": quality_scores,
     "op2_benchmark_hits": benchmark_hits,
     "op3_token_counts": edited_token_counts,
+    "op5_page_texts": page_texts,
     "op6_nearest_vectors": nearest_vectors,
     "op7_sentencepiece": sentencepiece_ids,
     "op8_languages": languages,
