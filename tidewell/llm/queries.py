@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, html_text, language_id, licenses, piece_codec, quality, sharding, token_counts, topk
+from . import decontamination, html_text, jaccard_join, language_id, licenses, piece_codec, quality, sharding, token_counts, topk
 from .common import id_remainder
 
 
@@ -64,6 +64,10 @@ def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, edits_of=token_counts.redactions)
 
 
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read(spark, sf_dir, "documents"))
+
+
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_text.extract(read(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
@@ -82,6 +86,7 @@ QUERIES = {
     "op1_quality": quality_scores,
     "op2_benchmark_hits": benchmark_hits,
     "op3_token_counts": edited_token_counts,
+    "op4_similar_documents": similar_documents,
     "op5_page_texts": page_texts,
     "op6_nearest_vectors": nearest_vectors,
     "op7_sentencepiece": sentencepiece_ids,
@@ -92,6 +97,28 @@ QUERIES = {
 
 #: Check SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op4_similar_documents": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+            FROM words),
+        tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+                AND 100 * a.n >= 75 * b.n AND 100 * b.n >= 75 * a.n
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+        FROM sets s JOIN reached r ON s.doc_id = r.doc_id GROUP BY s.doc_id, s.s
+    """,
     "op6_nearest_vectors": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
