@@ -346,3 +346,24 @@ def join(
     out = rows.filter("class is not null").join(named, "class").select("id", "n", "component_id")
     alone = rows.filter("class is null").select("id", "n", F.col("id").alias("component_id"))
     return out.union(alone).toDF(id_col, "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id names its component in ``joined`` (of ``join``): one document of each group.
+
+    An id is one document: of rows that repeat an id one stays, the smallest by a hash of its
+    columns. Rows without an id stay, as nothing can name them.
+    """
+    ids = joined.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        F.count("*").alias("_rows"), F.min("component_id").alias("component_id")
+    ).filter(F.col(id_col) == F.col("component_id"))
+    ids = staged(ids.select(id_col, "_rows"), "kept-ids")
+    once = docs.join(ids.filter("_rows = 1").select(id_col), id_col, "left_semi").select(docs.columns)
+    out = once.union(docs.filter(F.col(id_col).isNull()))
+    repeated = ids.filter("_rows > 1").select(id_col)
+    if repeated.isEmpty():
+        return out
+    rows = docs.join(repeated, id_col, "left_semi")
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    first = rows.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("_row"))
+    return out.union(first.select("_row.*"))

@@ -180,19 +180,50 @@ def score(stats: DataFrame, model: Model | None, name: str = "score") -> DataFra
     return stats.select(*kept, "stats").mapInArrow(run, f"{fields}, `{name}` double")
 
 
-def classify(
+def train(
     docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality", carry: tuple[str, ...] = (),
 ) -> tuple[DataFrame, Model | None]:
-    """(id, carried columns, score) of every row of ``docs``, and the model.
+    """(staged statistics with the id and the carried columns of every row of ``docs``, the model).
 
     Learns from rows of ``docs`` where ``training`` (over its columns) holds, joined to ``labels``
     on the id. Null ids join nothing; a document with several labels counts once for each; labels
-    other than 0 and 1 are left out. Null and empty texts have statistics of zero and are scored.
-    Repeated rows stay repeated. Columns of ``docs`` and ``labels`` not named here play no part.
+    other than 0 and 1 are left out. None without labelled rows.
     """
     fields = docs.select(id_col, text_col, *carry, training.alias("_training"))
     stats = staged(document_statistics(fields, id_col, text_col, (*carry, "_training")), "document-statistics")
     marks = labels.select(F.col(id_col), F.col(label_col).alias("label")).filter("label in (0, 1)")
     model = fit(stats.filter("_training").select(id_col, "stats").join(marks, id_col))
-    return score(stats.drop("_training"), model), model
+    return stats.drop("_training"), model
+
+
+def classify(
+    docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "quality", carry: tuple[str, ...] = (),
+) -> tuple[DataFrame, Model | None]:
+    """(id, carried columns, score) of every row of ``docs``, and the model of ``train``.
+
+    Null and empty texts have statistics of zero and are scored. Repeated rows stay repeated.
+    Columns of ``docs`` and ``labels`` not named here play no part. The statistics are computed once.
+    """
+    stats, model = train(docs, labels, training, id_col, text_col, label_col, carry)
+    return score(stats, model), model
+
+
+def keep_good(docs: DataFrame, model: Model | None, least: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores ``least`` or more, with their columns; all without a model.
+
+    Scores are computed beside the rows, so that no text is shuffled.
+    """
+    if model is None:
+        return docs
+
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, place):
+                values = np.array([statistics(t) for t in part.column(place).to_pylist()])
+                yield part.filter(pa.array(model.score(values) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
