@@ -47,6 +47,9 @@ def test_range_check(cities):
     found = issues(df, R.range_check("t", -100, 100))
     assert [(i.severity, i.affected_records) for i in found] == [("warning", 1)]
     assert found[0].message == "Column 't' has 1 values outside range [-100, 100]"
+    assert found[0].details["sample_violations"] == "[150.0]"
+    many = cities(*[("a", float(x)) for x in (-7, -300, 4, 9, 12, 11, 400, 12)])
+    assert issues(many, R.range_check("t", 0, 10))[0].details["sample_violations"] == "[-300.0, -7.0, 11.0, 400.0]"
     assert issues(df, R.range_check("absent", 0, 1)) == ()
 
 
@@ -59,6 +62,13 @@ def test_freshness(spark):
     ]
 
 
+def test_freshness_of_text(spark):
+    texts = ["2024-01-29T13:30:00Z", "2024-01-28T12:00:00+00:00", "yesterday", "", None, "2024-01-27T09"]
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    assert [(i.rule_name, i.affected_records) for i in issues(df, R.freshness("m", RUN_TS))] == [("freshness_check", 2)]
+    assert issues(df, R.freshness("absent", RUN_TS)) == ()
+
+
 def test_unique_check(cities):
     ddl = "city string, at string"
     twice = cities(("London", "12:00"), ("London", "12:00"), ("London", "12:00"), ("Paris", "12:00"), ddl=ddl)
@@ -69,6 +79,9 @@ def test_unique_check(cities):
     assert issues(twice.limit(0), R.unique_check(["city", "at"])) == ()
     nulls = cities((None, "1"), (None, "1"), ddl=ddl)
     assert [i.affected_records for i in issues(nulls, R.unique_check(["city", "at"]))] == [1]
+    many = cities(*[(f"c{i}", str(i)) for i in range(9)] * 2, *nulls.collect(), ddl=ddl)
+    details = issues(many, R.unique_check(["city", "at"]))[0].details
+    assert details["sample_duplicates"] == "[null, 1], [c0, 0], [c1, 1], [c2, 2], [c3, 3]"
 
 
 @pytest.mark.parametrize(

@@ -108,7 +108,6 @@ def test_retention(spark, by_day):
     df, path = by_day
     assert lake.expire_days(spark, path, dt.date(2024, 6, 12), 1) == [dt.date(2023, 3, 4), dt.date(2024, 6, 10)]
     assert rows(lake.read_by_day(spark, path, df.schema), "i") == [(4,), (5,)]
-    assert rows(lake.unexpired(df, F.to_date("t"), dt.date(2024, 6, 12), 1), "i") == [(4,), (5,)]
 
 
 def test_json_batches(spark, tmp_path):
@@ -118,6 +117,12 @@ def test_json_batches(spark, tmp_path):
     (tmp_path / "lines").mkdir()
     (tmp_path / "lines" / "l.json").write_text('{"a": 4}\n{"a": 5}\n')
     assert rows(lake.read_json(spark, str(tmp_path / "lines"), "a int", multi_line=False)) == [(4,), (5,)]
+    (tmp_path / "bad.json").write_text("{ broken")
+    paths = [str(tmp_path / n) for n in ("array.json", "bad.json", "absent.json", "object.json")]
+    assert rows(lake.read_json(spark, paths, "a int")) == [(1,), (2,), (3,)]
+    bad = lake.broken_json(spark, paths, "a int").collect()
+    assert [(r["path"].rsplit("/", 1)[1], r["text"]) for r in bad] == [("bad.json", "{ broken")]
+    assert lake.read_json(spark, [str(tmp_path / "absent.json")], "a int").collect() == []
 
 
 def test_repeated_batch_replaces_itself(spark, tmp_path):
@@ -193,12 +198,17 @@ def test_optional_values_may_be_absent(spark, silver, tmp_path):
     assert serving.load(spark, bare, str(tmp_path / "served"), str(tmp_path / "stage"), RUN_TS) == 1
 
 
-def test_merge_without_a_date_key(spark, tmp_path):
-    ddl = "run_id string, status string, started_at string"
-    spark.createDataFrame([("a", "running", "1"), ("b", "success", "2")], ddl).write.parquet(str(tmp_path / "runs"))
-    delta = spark.createDataFrame([("a", "success", "9")], ddl)
-    target = serving.merge_by_key(spark, str(tmp_path / "runs"), delta, ["run_id"], ("started_at",), str(tmp_path / "new"))
-    assert rows(spark.read.parquet(target)) == [("a", "success", "1"), ("b", "success", "2")]
+def test_only_the_days_of_the_batch_are_read(spark, silver, tmp_path):
+    path = str(tmp_path / "served")
+    for day in range(1, 6):
+        serving.load(spark, silver({"timestamp": f"2024-01-{day:02}T12:00:00Z"}), path, str(tmp_path / f"s{day}"), RUN_TS)
+    batch = silver({"timestamp": "2024-01-03T12:00:00Z"})
+    dated = serving.serving_rows(batch, RUN_TS).withColumn(serving.DAY, F.to_date(serving.SERVED_TIME))
+    touched = serving.within_days_of(serving.read_served(spark, path), dated)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "recorded_on" in filters and touched.count() == 1
+    assert len(touched.inputFiles()) >= 1
 
 
 def test_rule_names_of_the_load_gate():

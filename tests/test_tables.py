@@ -201,7 +201,7 @@ def test_a_missed_bracket_is_ranked_whole(spark):
     assert rows(found, "g", "n", "median") == [("a", 1001, 500.0), ("b", 2, 2.5)]
 
 
-def readings(spark, **cities):
+def readings(spark, cities):
     rows_ = [(c, str(x) if x is not None else None) for c, xs in cities.items() for x in xs]
     return spark.createDataFrame(rows_, "city string, t string")
 
@@ -209,18 +209,33 @@ def readings(spark, **cities):
 @pytest.mark.parametrize(
     "cities, threshold, wanted",
     [
-        ({"London": [12, 12.5, 11.8, 12.2, 50]}, 3.0, ["50"]),
-        ({"Paris": [20, 21, 19, 20, 20], "Tokyo": [15] * 4, "Berlin": [10, 99]}, 3.0, []),
-        ({"Cold": [-30, -31, -29, -30], "Hot": [40, 41, 39, 40]}, 3.5, []),
-        ({"Rome": [10, None, "bad", 10.5, 9.5, 80]}, 2.0, ["80"]),
-        ({"Oslo": [10, 11, 9, 10, 40, 70]}, 1.0, ["70", "40", "9"]),
+        ({"Quito": [3.25, 3.5, 3.75, 4.0, 4.25, 31.0]}, 3.0, ["31.0"]),
+        ({"Lima": [7, 8, 6, 7, 9, 8], "Cusco": [2.5] * 5, "Ica": [1, 400]}, 3.0, []),
+        ({"Low": [-51, -52, -53, -54, -50], "High": [62, 61, 63, 64, 62]}, 3.5, []),
+        ({"Loja": [5, None, "none", 5.5, 4.5, 6, "x", -44]}, 2.0, ["-44"]),
+        ({"Puno": [20, 22, 24, 26, 28, 60, 95]}, 1.0, ["95", "60", "20"]),
+        ({None: [1, 2, 3, 2, 1, 3, 90], "Ayo": [5, 5, 6]}, 3.5, ["90"]),
     ],
 )
 def test_outliers(spark, cities, threshold, wanted):
-    found = O.by_severity(O.robust_outliers(readings(spark, **cities), "city", "t", threshold), "t")
+    found = O.by_severity(O.robust_outliers(readings(spark, cities), "city", "t", threshold), "t")
     assert [r["t"] for r in found.collect()] == wanted
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("exact_rows", [10**6, 200, 0])
+def test_medians_with_nulls(spark, exact_rows, small, monkeypatch):
+    """Groups of any size keep their NULL values and the group of the NULL key."""
+    if not small:
+        monkeypatch.setattr(D.GroupSizes, "fits_broadcast", lambda self: False)
+    values = [("a", float(i)) for i in range(301)] + [("a", None)] * 200 + [(None, float(i)) for i in range(8)] + [("none", None)] * 3
+    values += [(None, None)] * 400
+    df = spark.createDataFrame(values, "g string, x double").repartition(5)
+    sizes = D.group_sizes(df, ["g"])
+    found = O.group_spread(df, "g", "x", sizes, exact_rows)
+    assert rows(found, "g", "n", "median", "mad") == [("a", 301, 150.0, 75.0), ("none", 0, None, None), (None, 8, 3.5, 2.0)]
+
+
 def test_outlier_scores_by_brute_force(spark):
     rng = random.Random(5)
     values = [(f"c{rng.randrange(4)}", round(rng.expovariate(0.1), 2)) for _ in range(800)]

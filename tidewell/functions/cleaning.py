@@ -28,6 +28,10 @@ MOMENT_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}"
     r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:\d{2})?)?\z"
 )
+# the other forms of ISO 8601 for a day with a time: hour only, zone without colon, no separators
+OTHER_MOMENT_PATTERN = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})[T ](\d{2}):?(\d{2})?:?(\d{2})?(\.\d+)?(Z|[+-]\d{2}(?::?\d{2})?)?\z"
+)
 COMPACT_DATE_PATTERN = r"^\d{8}\z"
 
 # seconds of 0001-01-01 and 10000-01-01, the span a moment may have
@@ -77,6 +81,16 @@ def from_epoch(seconds: Column) -> Column:
     return F.when(in_span, F.timestamp_seconds(seconds))
 
 
+def _usual_moment(value: Column) -> Column:
+    """The usual form of a moment that matches OTHER_MOMENT_PATTERN."""
+    part = [F.regexp_extract(value, OTHER_MOMENT_PATTERN, i) for i in range(9)]
+    clock = [F.when(p == "", "00").otherwise(p) for p in (part[4], part[5], part[6])]
+    zone = F.when(part[8].rlike(r"^[+-]\d{2}\z"), F.concat(part[8], F.lit(":00"))).otherwise(
+        F.regexp_replace(part[8], r"^([+-]\d{2})(\d{2})$", "$1:$2")
+    )
+    return F.concat(F.concat_ws("-", part[1], part[2], part[3]), F.lit("T"), F.concat_ws(":", *clock), part[7], zone)
+
+
 def to_moment(value: Column, source: T.DataType) -> Column:
     """Timestamp from a timestamp, ISO text (zone-free text is UTC) or epoch seconds."""
     if isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
@@ -85,7 +99,9 @@ def to_moment(value: Column, source: T.DataType) -> Column:
         return from_epoch(value.cast("double"))
     if not isinstance(source, T.StringType):
         return F.lit(None).cast("timestamp")
-    iso = F.when(value.rlike(MOMENT_PATTERN), value.try_cast("timestamp"))
+    iso = F.when(value.rlike(MOMENT_PATTERN), value.try_cast("timestamp")).when(
+        value.rlike(OTHER_MOMENT_PATTERN), _usual_moment(value).try_cast("timestamp")
+    )
     compact = F.when(
         value.rlike(COMPACT_DATE_PATTERN), F.try_to_timestamp(value, F.lit("yyyyMMdd"))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import urllib.parse
 
 from pyspark.sql import Column, functions as F
 
@@ -74,6 +75,15 @@ def day_path(moment: dt.datetime, style: str = "hive") -> str:
     return moment.strftime("year=%Y/month=%m/day=%d")
 
 
+def partition_value(path: str, column: str) -> str | None:
+    """Value of a partition column in the name of a file; None if it has none."""
+    for part in path.split("/"):
+        name, mark, value = part.partition("=")
+        if mark and name == column:
+            return urllib.parse.unquote(value)
+    return None
+
+
 def day_of_path(path: Column) -> Column:
     """Date held in a lake path of either style; NULL if it has none or it is no date."""
     hive = r"(?:^|/)(?:year=)?(\d{4})/(?:month=)?(\d+)/(?:day=)?(\d+)/"

@@ -16,6 +16,7 @@ from ..sources.workspace import literal_rows
 from . import rules as R
 
 WARN, BLOCK = "warn", "block"
+MOST_ISSUES = 100
 
 
 @dataclass(frozen=True)
@@ -103,8 +104,8 @@ def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
                 continue
             columns.append(F.filter(F.array(*judged), lambda i: i.isNotNull()).alias(name))
         else:
-            # an issue frame has a handful of rows by contract
-            rows = rule.issues(df).agg(F.collect_list(F.struct("*")).alias("issues"))
+            # an issue frame has a handful of rows by contract; a rule that breaks it is cut off here
+            rows = rule.issues(df).limit(MOST_ISSUES).agg(F.collect_list(F.struct("*")).alias("issues"))
             columns.append(rows.scalar().alias(name))
         parts.append(name)
     empty = F.from_json(F.lit("[]"), f"array<struct<{_as_struct(R.ISSUE_DDL)}>>")

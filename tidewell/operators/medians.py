@@ -23,14 +23,16 @@ EXACT_GROUP_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 BINS = 4_096
 STATISTICS_BYTES = 64
+_KEY = "_group"
 
 
 @dataclass(frozen=True)
 class GroupSizes:
-    """How many groups there are, how many rows the largest one has, how wide keys are."""
+    """How many groups there are, how many rows the largest and the smallest one have, how wide keys are."""
 
     groups: int
     largest: int
+    smallest: int = 0
     widest: int = 0
     counts: DataFrame | None = None
     listed: dict[int, DataFrame] = field(default_factory=dict)
@@ -52,6 +54,7 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> GroupSizes:
     row = counts.agg(
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.max("_n"), F.lit(0)).alias("largest"),
+        F.coalesce(F.min("_n"), F.lit(0)).alias("smallest"),
         F.coalesce(F.max(width), F.lit(0)).alias("widest"),
     ).collect()[0]
     return GroupSizes(**row.asDict(), counts=counts)
@@ -68,20 +71,26 @@ def grouped_median(
     exact_rows: int = EXACT_GROUP_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Median and row count ``n`` of each group of present values.
+    """Median and row count ``n`` of the present values of each group.
 
-    ``carry`` names columns that are constant within a group and are kept.
+    A group without present values has ``n`` 0 and no median; NULL is a key like any other.
+    Both hold for groups of any size. ``carry`` names columns that are constant within a
+    group and are kept.
     """
     keys, carry = list(keys), list(carry)
     slim = df.select(*keys, value, *carry)
     if sizes.largest <= exact_rows:
         return _plain_median(slim, keys, value, name, carry)
-    large = sizes.larger_than(exact_rows)
-    if large.count() == sizes.groups:
-        return _bracketed_median(slim, keys, value, name, carry, accuracy)
-    plain = _plain_median(orphans(slim, large, keys), keys, value, name, carry)
-    ranked = _bracketed_median(survivors(slim, large, keys), keys, value, name, carry, accuracy)
-    return plain.unionByName(ranked)
+    # a key in a struct is never NULL itself, so that joins find the group of the NULL key
+    held = slim.select(F.struct(*keys).alias(_KEY), value, *carry)
+    large = sizes.larger_than(exact_rows).select(F.struct(*keys).alias(_KEY))
+    small = sizes.fits_broadcast()
+    ranked = _bracketed_median(survivors(held, large, [_KEY], small=small), value, name, carry, accuracy, small)
+    ranked = ranked.select(*[F.col(_KEY)[k].alias(k) for k in keys], "n", name, *carry)
+    if sizes.smallest > exact_rows:
+        return ranked
+    rest = orphans(held, large, [_KEY], small=small).select(*[F.col(_KEY)[k].alias(k) for k in keys], value, *carry)
+    return _plain_median(rest, keys, value, name, carry).unionByName(ranked)
 
 
 def _plain_median(df: DataFrame, keys: list[str], value: str, name: str, carry: list[str]) -> DataFrame:
@@ -91,14 +100,14 @@ def _plain_median(df: DataFrame, keys: list[str], value: str, name: str, carry:
 
 
 def _bracketed_median(
-    df: DataFrame, keys: list[str], value: str, name: str, carry: list[str], accuracy: int
+    df: DataFrame, value: str, name: str, carry: list[str], accuracy: int, small: bool
 ) -> DataFrame:
     margin = 4.0 / accuracy
     ends = F.percentile_approx(
         value, F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy)
     )
     sketched = checkpointed(
-        df.groupBy(*keys).agg(
+        df.groupBy(_KEY).agg(
             F.count(value).alias("n"),
             ends.alias("_ends"),
             F.min(value).alias("_min"),
@@ -106,30 +115,31 @@ def _bracketed_median(
             *[F.first(c).alias(c) for c in carry],
         )
     )
-    held = [*keys, "n", *carry]
-    rows = df.select(*keys, F.col(value).alias("_x"))
-    narrow = sketched.select(*held, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
-    found = checkpointed(_pick(_counted(rows, narrow, keys, carry), keys, name, carry))
+    held = [_KEY, "n", *carry]
+    rows = df.filter(F.col(value).isNotNull()).select(_KEY, F.col(value).alias("_x"))
+    narrow = sketched.filter("n > 0").select(*held, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
+    found = checkpointed(_pick(_counted(rows, narrow, carry, small), name, carry))
+    empty = sketched.filter("n = 0").select(_KEY, "n", F.lit(None).cast(found.schema[name].dataType).alias(name), *carry)
     # The sketch's error bound keeps the middle ranks inside the bracket, so nothing is
     # missed; the ranks are checked all the same, and a missed group is counted whole.
     done = found.filter(F.col(name).isNotNull())
-    missed = sketched.join(done, keys, "left_anti")
+    missed = sketched.filter("n > 0").join(done, _KEY, "left_anti")
     if has_at_most(missed, 0):
-        return done
+        return done.unionByName(empty)
     whole = missed.select(*held, F.col("_min").alias("_low"), F.col("_max").alias("_high"))
-    return done.unionByName(_pick(_counted(rows, whole, keys, carry), keys, name, carry))
+    return done.unionByName(_pick(_counted(rows, whole, carry, small), name, carry)).unionByName(empty)
 
 
-def _counted(rows: DataFrame, brackets: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
+def _counted(rows: DataFrame, brackets: DataFrame, carry: list[str], small: bool) -> DataFrame:
     """Counts of the distinct values inside the bracket of each group, and one count each
     for all values below and above it. The counts are combined before the shuffle."""
     x, low, high = F.col("_x"), F.col("_low"), F.col("_high")
     part = F.when(x < low, -1).when(x > high, 1).otherwise(0)
-    bracketed = attach(rows, brackets, keys).filter("n is not null").withColumn("_part", part)
+    bracketed = attach(rows, brackets, [_KEY], small=small).filter("n is not null").withColumn("_part", part)
     inside = F.col("_part") == 0
     position = F.floor((x - low) / (high - low) * BINS)
     return bracketed.groupBy(
-        *keys,
+        _KEY,
         "_part",
         F.when(inside & (high > low), position).otherwise(F.lit(0)).alias("_bin"),
         F.when(inside, x).alias("_x"),
@@ -144,7 +154,7 @@ def _running(keys: Sequence[str], *order: str):
     return F.sum("_c").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def _pick(counted: DataFrame, keys: list[str], name: str, carry: list[str]) -> DataFrame:
+def _pick(counted: DataFrame, name: str, carry: list[str]) -> DataFrame:
     """Middle value of each group from the counts of its distinct values.
 
     The lower middle has rank floor((n+1)/2), the upper one floor(n/2)+1. Values are first
@@ -157,18 +167,18 @@ def _pick(counted: DataFrame, keys: list[str], name: str, carry: list[str]) -> D
         return (F.col("_upto") - F.col("_c") < rank) & (F.col("_upto") >= rank)
 
     slices = (
-        counted.groupBy(*keys, "_part", "_bin")
+        counted.groupBy(_KEY, "_part", "_bin")
         .agg(F.sum("_c").alias("_c"), F.first("n").alias("n"))
-        .withColumn("_upto", _running(keys, "_part", "_bin"))
+        .withColumn("_upto", _running([_KEY], "_part", "_bin"))
         .filter((F.col("_part") == 0) & (covers(ranks["_lower"]) | covers(ranks["_upper"])))
-        .select(*keys, "_bin", (F.col("_upto") - F.col("_c")).alias("_before"))
+        .select(_KEY, "_bin", (F.col("_upto") - F.col("_c")).alias("_before"))
     )
-    inside = counted.filter("_part = 0").join(slices, [*keys, "_bin"])
-    ranked = inside.withColumn("_upto", F.col("_before") + _running([*keys, "_bin"], "_x"))
-    picked = ranked.groupBy(*keys).agg(
+    inside = counted.filter("_part = 0").join(slices, [_KEY, "_bin"])
+    ranked = inside.withColumn("_upto", F.col("_before") + _running([_KEY, "_bin"], "_x"))
+    picked = ranked.groupBy(_KEY).agg(
         F.first("n").alias("n"),
         *[F.max(F.when(covers(rank), F.col("_x"))).alias(end) for end, rank in ranks.items()],
         *[F.first(c).alias(c) for c in carry],
     )
     middle = (F.col("_lower") + F.col("_upper")) / 2
-    return picked.select(*keys, "n", middle.alias(name), *carry)
+    return picked.select(_KEY, "n", middle.alias(name), *carry)

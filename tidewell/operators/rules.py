@@ -12,11 +12,11 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import fixed_values as fixed
-from ..functions import numeric as N, text as X
-from ..spec import TableSpec
+from ..functions import cleaning as C, numeric as N, text as X
+from ..spec import WHOLE, TableSpec
 
 ISSUE_DDL = (
     "rule_name string, severity string, message string, affected_records bigint, "
@@ -132,26 +132,43 @@ def violates_range(value: Column, low: float, high: float) -> Column:
     return F.coalesce(~value.between(low, high), F.lit(False))
 
 
+def range_samples(value: Column, low: float, high: float) -> dict[str, Column]:
+    """Samples of what lies outside a range: its ends and the nearest misses on either side.
+    Plain aggregates, so they cost no pass of their own and combine before the shuffle."""
+    below, above = F.when(value < low, value), F.when(value > high, value)
+    return {"sample0": F.min(below), "sample1": F.max(below), "sample2": F.min(above), "sample3": F.max(above)}
+
+
+def sample_text(values: Sequence[Column]) -> Column:
+    """Distinct present values in ascending order, as one text."""
+    held = F.array_sort(F.array_distinct(F.filter(F.array(*values), lambda v: v.isNotNull())))
+    return F.concat(F.lit("["), F.array_join(F.transform(held, lambda v: v.cast("string")), ", "), F.lit("]"))
+
+
 def range_check(column: str, low: float, high: float) -> AggRule:
     """Values outside an inclusive range; NULL passes."""
 
     def measures(df):
-        return {"outside": F.count_if(violates_range(value_of(df, column), low, high))}
+        value = value_of(df, column)
+        return {"outside": F.count_if(violates_range(value, low, high)), **range_samples(value, low, high)}
 
     def judge(total, found, _):
         n = found["outside"]
         text = F.format_string(f"Column '{column}' has %d values outside range [{low}, {high}]", n)
-        details = {"column": column, "expected_range": f"[{low}, {high}]"}
+        samples = sample_text([found[k] for k in found if k.startswith("sample")])
+        details = {"column": column, "expected_range": f"[{low}, {high}]", "sample_violations": samples}
         return [F.when(n > 0, issue("range_check", "warning", text, n, details))]
 
     return AggRule("range_check", measures, judge, {"columns": column, "range": f"[{low}, {high}]"})
 
 
 def freshness(column: str, now: dt.datetime, max_age_hours: int = fixed.FRESHNESS_HOURS) -> AggRule:
-    """Rows older than a number of hours at the run moment."""
+    """Rows older than a number of hours at the run moment; unreadable moments are not judged."""
 
     def measures(df):
-        return {"stale": F.count_if(N.age_hours(value_of(df, column), now) > max_age_hours)}
+        kind = df.schema[column].dataType if column in df.columns else T.NullType()
+        moment = C.to_moment(value_of(df, column), kind)
+        return {"stale": F.count_if(N.age_hours(moment, now) > max_age_hours)}
 
     def judge(total, found, _):
         n = found["stale"]
@@ -223,6 +240,10 @@ def fits_decimal(column: str, precision: int, scale: int) -> AggRule:
     )
 
 
+def fits_whole(column: str) -> AggRule:
+    return constraint("precision", column, lambda c: c.try_cast("bigint").isNotNull(), "fits a 64-bit whole number")
+
+
 def serving_constraints(spec: TableSpec) -> list[AggRule]:
     """Column constraints of the serving table, as declared in the spec."""
     rules: list[AggRule] = []
@@ -237,6 +258,8 @@ def serving_constraints(spec: TableSpec) -> list[AggRule]:
             rules.append(within(f.name, *f.serving_range))
         if f.precision:
             rules.append(fits_decimal(f.name, *f.precision))
+        elif f.kind == WHOLE:
+            rules.append(fits_whole(f.name))
     return rules
 
 
@@ -255,9 +278,18 @@ def unique_check(columns: Sequence[str]) -> FrameRule:
     shown = "[" + ", ".join(f"'{c}'" for c in columns) + "]"
 
     def issues(df):
-        counted = duplicated_keys(df, columns).agg(F.count(F.lit(1)).alias("n"))
+        repeated = duplicated_keys(df, columns)
+        # a top-k per task, then a merge; the grouping below it is shared with the count
+        as_text = F.array_join(F.array(*[F.col(c).cast("string") for c in columns]), ", ", "null")
+        first = repeated.orderBy(*columns).limit(fixed.SAMPLE_SIZE).select(
+            F.struct(*columns).alias("_key"), F.concat(F.lit("["), as_text, F.lit("]")).alias("_shown")
+        )
+        ordered = F.sort_array(F.collect_list(F.struct("_key", "_shown")))
+        samples = first.agg(F.array_join(F.transform(ordered, lambda k: k["_shown"]), ", ").alias("k"))
+        counted = repeated.agg(F.count(F.lit(1)).alias("n"))
         text = F.format_string(f"Compound key {shown} has %d duplicate value(s)", F.col("n"))
-        found = issue("unique_check", "critical", text, F.col("n"), {"columns": ",".join(columns)})
+        details = {"columns": ",".join(columns), "sample_duplicates": samples.scalar()}
+        found = issue("unique_check", "critical", text, F.col("n"), details)
         return counted.filter("n > 0").select(found.alias("i")).select("i.*")
 
     return FrameRule("unique_check", issues, {"columns": ",".join(columns)})

@@ -107,10 +107,14 @@ def city_statistics(
 
 
 def daily_serving_rows(df: DataFrame, entity: str = "city", event_time: str = "timestamp") -> DataFrame:
-    """Rows of the daily serving table, keyed by entity and date."""
+    """Rows of the daily serving table, keyed by entity and date. A statistic that does not
+    fit its column fails the query: it must not turn into an absent one."""
     daily = daily_statistics(df, (entity,), event_time, rows="observation_count")
     served = [
-        F.col(source).try_cast(kind).alias(name) for name, (source, kind) in DAILY_SERVING.items()
+        F.when(F.col(source).isNull() | F.col(source).try_cast(kind).isNotNull(), F.col(source).try_cast(kind))
+        .otherwise(F.raise_error(F.lit(f"{source} does not fit {kind}")).cast(kind))
+        .alias(name)
+        for name, (source, kind) in DAILY_SERVING.items()
     ]
     return daily.select(entity, F.col("date").cast("date").alias("date"), *served, "observation_count")
 
@@ -188,7 +192,8 @@ def histogram(
     The bounds are a scalar subquery, so the counting pass stays one narrow scan followed
     by a combine of at most ``bins`` rows per split value and task.
     """
-    present = df.filter(F.col(value).isNotNull())
+    number = F.col(value).cast("double")  # NaN and infinities have no bin
+    present = df.filter(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))))
     bounds = present.agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))
     low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
     width = (high - low) / F.lit(float(bins))

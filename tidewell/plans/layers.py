@@ -30,7 +30,7 @@ def layer_rules(layer: str, spec: TableSpec = WEATHER) -> list[R.Rule]:
         raw = spec.raw_columns or tuple(f.name for f in spec.fields)
         return [R.schema_drift(raw), R.null_check([spec.entity, spec.event_time])]
     if layer == "silver":
-        judged = [f for f in spec.ranged if f.name in (first_measure, "humidity")] or list(spec.ranged)
+        judged = [f for f in spec.ranged if spec.gated is None or f.name in spec.gated]
         content = [spec.entity] + ([first_measure] if first_measure else [])
         content += [c for c in required if c not in content and c != spec.event_time]
         return [

@@ -1,21 +1,24 @@
 """The layered run: land, audit, clean, audit, enrich, audit, load, leave receipts.
 
-Each layer is written once, to a folder of its own, and the gate reads what was written,
-not the plan that produced it. A batch counts as published once the lineage table names it;
-readers take their batches from there. So a vetoed batch stays invisible, nothing is copied,
-and a repeated run replaces its own folders only.
+Each layer is written once, to a folder that names the run and the attempt at it, and the gate
+reads what was written, not the plan that produced it. A batch counts as published once the
+lineage table names its folder; lineage rows are only ever added, and readers follow the newest of
+each run and layer. So a vetoed batch stays invisible, whatever earlier attempts published, nothing
+is copied, and no published folder is written to again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
+import traceback
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import enrichment as E, text as X
+from ..functions import enrichment as E, numeric as N
 from ..operators import cleaning as K, statistics as S
 from ..operators.gates import BLOCK, GateBlocked, GateResult
 from ..sources import lake, landing, serving
@@ -24,6 +27,7 @@ from ..spec import WEATHER, TableSpec
 from . import receipts as P
 from .layers import layer_gate
 
+LOG = logging.getLogger(__name__)
 REJECTED = "rejected"
 KEPT = f"{REJECTED}=false"
 
@@ -46,25 +50,44 @@ class Tables:
     root: str
 
     def batch(self, layer: str, result: P.RunResult) -> str:
-        return lake.batch_path(self.root, layer, result.started_at, result.run_id)
+        folder = lake.batch_path(self.root, layer, result.started_at, result.run_id)
+        return f"{folder}/attempt={result.attempt}"
 
     @property
     def serving(self) -> str:
         return f"{self.root}/serving"
 
     def staging(self, result: P.RunResult) -> str:
-        return f"{self.root}/_staging/{result.run_id}"
+        return f"{self.root}/_staging/{result.run_id}-{result.attempt}"
 
     def ops(self, name: str) -> str:
         return f"{self.root}/ops/{name}"
 
-    def read_ops(self, spark: SparkSession, name: str) -> DataFrame:
-        """An operational table: the receipts of all runs."""
-        return read_or_empty(spark, self.ops(name), P.OPS_DDL[name], recursiveFileLookup=True)
-
-    def write_ops(self, rows: DataFrame, name: str, *key: str) -> None:
-        """Receipts go to a folder named by their key: a repeated run updates its own."""
-        rows.write.mode("overwrite").parquet("/".join([self.ops(name), *key]))
+    def _receipts(self, spark: SparkSession, name: str) -> DataFrame:
+        return read_or_empty(spark, self.ops(name), f"{P.OPS_DDL[name]}, day date, receipt string")
+
+    def read_ops(
+        self, spark: SparkSession, name: str, first: dt.date | None = None, last: dt.date | None = None
+    ) -> DataFrame:
+        """An operational table: the receipts of all runs, or of the run dates between two
+        days. Dates are folders, so others are not opened."""
+        rows = self._receipts(spark, name)
+        if first is not None:
+            rows = rows.filter(F.col("day") >= F.lit(first))
+        if last is not None:
+            rows = rows.filter(F.col("day") <= F.lit(last))
+        rows = rows.drop("day", "receipt")
+        return P.current_artifacts(rows) if name == "lineage" else rows
+
+    def write_ops(self, rows: DataFrame, name: str, day: dt.date, *key: str) -> None:
+        """Receipts go to a folder named by run date and key: a repeated run updates its own."""
+        rows.write.mode("overwrite").parquet(f"{self.ops(name)}/day={day.isoformat()}/receipt={'-'.join(key)}")
+
+    def first_start(self, spark: SparkSession, run_id: str) -> dt.datetime | None:
+        """When a run of this id first began; opens the receipt of that run only."""
+        rows = self._receipts(spark, "runs").filter(F.col("receipt") == run_id)
+        micros = rows.agg(F.min(F.unix_micros("started_at")).alias("m")).collect()[0]["m"]
+        return None if micros is None else dt.datetime.fromtimestamp(micros / 1e6, dt.timezone.utc)
 
 
 @dataclass
@@ -80,17 +103,40 @@ class LayeredRun:
     aggregates: dict[str, Callable[[DataFrame], DataFrame]] | None = None
     load: Callable[[DataFrame, P.RunResult], int] | None = None
 
-    def run(self, raw: DataFrame, run_ts: dt.datetime, run_id: str | None = None) -> P.RunResult:
-        result = P.RunResult(run_id or P.new_run_id(), run_ts)
-        started = time.monotonic()
+    def run(
+        self, raw: DataFrame, run_ts: dt.datetime, run_id: str | None = None, entities: Sequence[str] | None = None
+    ) -> P.RunResult:
+        """One attempt over a landed batch; ``entities`` is what was asked for, kept in the manifest."""
+        return self._attempt(P.RunResult(run_id or P.new_run_id(), run_ts, entities=list(entities or ())), raw, self._layers)
+
+    def reprocess(
+        self, schema: T.StructType, run_ts: dt.datetime, first: dt.date | None = None, last: dt.date | None = None,
+        run_id: str | None = None,
+    ) -> P.RunResult:
+        """Silver and gold rebuilt from the bronze batches published between two run dates."""
+        bronze = published(self.spark, self.tables, "bronze", schema, first, last)
+
+        def later_layers(given: DataFrame, result: P.RunResult) -> None:
+            result.records_ingested = given.count()
+            if not result.records_ingested:
+                raise ValueError("No data ingested")
+            self._from_bronze(given, result)
+
+        return self._attempt(P.RunResult(run_id or P.new_run_id(), run_ts), bronze, later_layers)
+
+    def _attempt(
+        self, result: P.RunResult, given: DataFrame, layers: Callable[[DataFrame, P.RunResult], None]
+    ) -> P.RunResult:
+        run_ts, started = result.started_at, time.monotonic()
         try:
-            self._layers(raw, result)
+            layers(given, result)
             result.status = "success"
         except GateBlocked as veto:
             result.status, result.quality_gate_passed = "blocked", False
             result.quality_gate_reason = str(veto)
         except Exception as failure:  # noqa: BLE001  every failure ends in a run row
             result.status, result.error_message = "failed", str(failure).split("\n\nJVM")[0]
+            result.error_traceback = traceback.format_exc()
         result.duration_seconds = time.monotonic() - started
         result.completed_at = run_ts + dt.timedelta(seconds=result.duration_seconds)
         self.leave_receipts(result)
@@ -108,21 +154,27 @@ class LayeredRun:
         if not landed["n"]:
             raise ValueError("No data ingested")
         # bronze is the faithful copy of the source: it stays, whatever its gate says
-        self._publish("bronze", result, landed["n"])
-        self._audit(bronze, "bronze", result)
+        self._publish(result, ("bronze", landed["n"]))
+        self._veto(self._audit(bronze, "bronze", result))
+        self._from_bronze(bronze, result)
 
+    def _from_bronze(self, bronze: DataFrame, result: P.RunResult) -> None:
         judged = K.clean_with_reason(bronze, self.spec, result.started_at)
         silver, rejects = self._split(judged, result)
-        verdict = self._audit(silver, "silver", result, rejects)
+        self._quarantine(rejects, result)
+        verdict = self._audit(silver, "silver", result)
         result.records_transformed = verdict.metrics["total_records"]
-        self._publish("silver", result, result.records_transformed)
+        self._veto(verdict)
+        self._publish(result, ("silver", result.records_transformed))
 
         gold = self._write(self.enrich(silver), "gold", result)
-        self._audit(gold, "gold", result)
+        self._veto(self._audit(gold, "gold", result))
+        layers = [("gold", result.records_transformed)]
         for name, aggregate in (self.aggregates or {}).items():
-            self._write(aggregate(silver), f"gold_{name}", result)
+            written = self._write(aggregate(silver), f"gold_{name}", result)
+            layers.append((f"gold_{name}", written.count()))
         result.records_loaded = self._load(gold, result)
-        self._publish("gold", result, result.records_transformed)
+        self._publish(result, *layers)
 
     def _write(self, df: DataFrame, layer: str, result: P.RunResult) -> DataFrame:
         path = lake.write_batch(df, self.tables.batch(layer, result))
@@ -137,26 +189,24 @@ class LayeredRun:
         valid = stored.filter(~F.col(REJECTED)).select(*self.spec.clean_columns)
         return valid, stored.filter(REJECTED)
 
-    def _audit(
-        self, df: DataFrame, layer: str, result: P.RunResult, rejects: DataFrame | None = None
-    ) -> GateResult:
-        if rejects is not None:
-            self._quarantine(rejects, result)
+    def _audit(self, df: DataFrame, layer: str, result: P.RunResult) -> GateResult:
         verdict = layer_gate(layer, self.mode, result.run_id, self.spec).evaluate(
             df, layer, result.started_at
         )
         result.gates.append(verdict)
+        return verdict
+
+    def _veto(self, verdict: GateResult) -> None:
         if verdict.blocked:
             raise GateBlocked(verdict)
-        return verdict
 
     def _quarantine(self, rejects: DataFrame, result: P.RunResult) -> None:
         """Rejects are kept for triage; a failure to keep them does not stop the run."""
         rows = K.quarantine_rows(rejects, result.started_at)
         try:
             lake.write_batch(rows, self.tables.batch("quarantine", result))
-        except Exception as failure:  # noqa: BLE001
-            print(f"quarantine not written: {failure}")
+        except Exception:  # noqa: BLE001
+            LOG.exception("quarantine of run %s not written", result.run_id)
 
     def _load(self, gold: DataFrame, result: P.RunResult) -> int:
         if self.load is not None:
@@ -169,30 +219,43 @@ class LayeredRun:
             result.started_at,
             self.spec,
             run_id=result.run_id,
+            unique=True,  # the gold gate has just checked the key
         )
 
-    def _publish(self, layer: str, result: P.RunResult, records: int) -> None:
-        path = self.tables.batch(layer, result)
-        artifact = P.Artifact(layer, f"{path}/{KEPT}" if layer == "silver" else path, records)
-        rows = P.artifact_rows(self.spark, result, [artifact])
-        self.tables.write_ops(rows, "lineage", result.run_id, layer)
-        result.artifacts.append(artifact)
+    def _publish(self, result: P.RunResult, *layers: tuple[str, int]) -> None:
+        """Lineage rows for written folders, in one write: from then on readers see them."""
+        artifacts = []
+        for layer, records in layers:
+            path = self.tables.batch(layer, result)
+            artifacts.append(P.Artifact(layer, f"{path}/{KEPT}" if layer == "silver" else path, records))
+        rows = P.artifact_rows(self.spark, result, artifacts)
+        self.tables.write_ops(rows, "lineage", result.started_at.date(), result.run_id, layers[0][0], result.attempt)
+        result.artifacts.extend(artifacts)
 
     # --- receipts ---------------------------------------------------------------
 
     def leave_receipts(self, result: P.RunResult) -> None:
         """Run row first, then its gate rows, which refer to it. Receipts are best effort:
         losing one does not undo the load."""
+        def runs() -> DataFrame:
+            row = P.stored_runs(P.run_rows(self.spark, [result]))
+            return row.withColumn("started_at", N.as_moment(begun))
+
+        begun = result.started_at
+        try:  # a repeated run updates its row and keeps its start
+            begun = self.tables.first_start(self.spark, result.run_id) or begun
+        except Exception:  # noqa: BLE001
+            LOG.exception("earlier receipt of run %s not read", result.run_id)
         steps = (
-            ("runs", lambda: P.stored_runs(P.run_rows(self.spark, [result]))),
-            ("quality_metrics", lambda: P.gate_history(self.spark, result.gates)),
-            ("gates", lambda: P.as_rows(self.spark, result.gates)),
+            ("runs", begun, runs),
+            ("quality_metrics", result.started_at, lambda: P.gate_history(self.spark, result.gates)),
+            ("gates", result.started_at, lambda: P.as_rows(self.spark, result.gates)),
         )
-        for name, rows in steps:
+        for name, day, rows in steps:
             try:
-                self.tables.write_ops(rows(), name, result.run_id)
-            except Exception as failure:  # noqa: BLE001
-                print(f"receipt {name} not written: {failure}")
+                self.tables.write_ops(rows(), name, day.date(), result.run_id)
+            except Exception:  # noqa: BLE001
+                LOG.exception("receipt %s of run %s not written", name, result.run_id)
 
 
 def run_landing(
@@ -205,8 +268,9 @@ def run_landing(
     wanted = landing.for_entities(landing.read_landing(runner.spark, path), names)
     good, bad = landing.split_payloads(wanted)
     failed = bad.select(F.to_json(F.struct(*wanted.columns)).alias("record"), "reason")
-    lake.write_batch(failed, lake.batch_path(runner.tables.root, "failed_payloads", run_ts, run_id))
-    return runner.run(landing.flatten(good, run_ts), run_ts, run_id)
+    folder = lake.batch_path(runner.tables.root, "failed_payloads", run_ts, run_id)
+    lake.write_batch(failed, f"{folder}/attempt={P.new_run_id()}")
+    return runner.run(landing.flatten(good, run_ts), run_ts, run_id, names)
 
 
 def published(
@@ -215,27 +279,20 @@ def published(
 ) -> DataFrame:
     """Rows of a layer's published batches between two run dates.
 
-    The lineage table decides which batches are read: its rows meet the partition column
-    of the layer, so folders of vetoed or unfinished runs are skipped, not filtered.
+    The lineage table names the folders to read, one per batch; all of them are one scan.
     """
-    listed = tables.read_ops(spark, "lineage")
-    batches = listed.filter(F.col("layer") == layer).select(F.col("run_id").alias("batch")).distinct()
-    parts = [f"{p} string" for p in (*lake.PARTITIONS, "batch")]
-    if layer == "silver":
-        parts.append(f"{REJECTED} boolean")
-    ddl = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
-    whole = spark.read.schema(", ".join(ddl + parts)).parquet(f"{tables.root}/{layer}")
-    if layer == "silver":
-        whole = whole.filter(~F.col(REJECTED))
-    bounded = lake.within_days(whole, first, last)
-    return bounded.join(batches, "batch", "left_semi").select(*schema.fieldNames())
+    listed = tables.read_ops(spark, "lineage", first, last).filter((F.col("layer") == layer) & (F.col("record_count") > 0))
+    paths = sorted(r["key"] for r in listed.select("key").collect())  # as many as there are batches
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def latest_published(spark: SparkSession, tables: Tables, layer: str) -> str | None:
     """Folder of the newest published batch of a layer, None when there is none."""
-    listed = tables.read_ops(spark, "lineage")
-    row = listed.filter(F.col("layer") == layer).agg(F.max("key").alias("key")).collect()[0]
-    return row["key"]
+    listed = tables.read_ops(spark, "lineage").filter(F.col("layer") == layer)
+    newest = F.max_by("key", F.struct("published_at", "written_at", "run_id"))
+    return listed.agg(newest.alias("key")).collect()[0]["key"]
 
 
 def validate_latest(
@@ -246,7 +303,7 @@ def validate_latest(
     path = latest_published(spark, tables, layer)
     if path is None:
         return 0, None
-    batch = spark.read.schema(schema).parquet(path)
+    batch = read_or_empty(spark, path, schema)  # a batch of rejects only has no folder of valid rows
     verdict = layer_gate(layer, mode, "", spec).evaluate(batch, layer, run_ts)
     return (0 if verdict.passed else 1), verdict
 
@@ -256,7 +313,3 @@ WEATHER_AGGREGATES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "stats": S.city_statistics,
 }
 
-
-def batch_names(run_ts: dt.datetime, stems: Sequence[str] = ("weather_batch", "weather_cleaned", "weather_gold")) -> list[str]:
-    """Run-stamped names of the three layer batches."""
-    return [f"{stem}_{X.stamp(run_ts)}" for stem in stems]

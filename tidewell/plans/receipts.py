@@ -19,9 +19,12 @@ RUN_DDL = (
     "run_id string, status string, started_at timestamp, completed_at timestamp, "
     "duration_seconds double, entities_processed bigint, records_ingested bigint, "
     "records_transformed bigint, records_loaded bigint, quality_gate_passed boolean, "
-    "quality_gate_reason string, error_message string"
+    "quality_gate_reason string, error_message string, error_traceback string"
+)
+ARTIFACT_DDL = (
+    "run_id string, layer string, key string, record_count bigint, published_at timestamp, "
+    "position int, entities array<string>, attempt string, written_at timestamp"
 )
-ARTIFACT_DDL = "run_id string, layer string, key string, record_count bigint, published_at timestamp"
 
 # the operational tables; the run table holds whole seconds
 OPS_DDL = {
@@ -41,7 +44,8 @@ class Artifact:
 
 @dataclass
 class RunResult:
-    """Outcome of one layered run; filled in while it proceeds."""
+    """Outcome of one layered run; filled in while it proceeds. Every attempt at a run has
+    a name of its own, so that none writes into the folders of another."""
 
     run_id: str
     started_at: dt.datetime
@@ -57,6 +61,9 @@ class RunResult:
     quality_gate_passed: bool = True
     quality_gate_reason: str = ""
     error_message: str = ""
+    error_traceback: str = ""
+    entities: list[str] = field(default_factory=list)
+    attempt: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @property
     def exit_code(self) -> int:
@@ -75,13 +82,36 @@ def stored_runs(runs: DataFrame) -> DataFrame:
             "duration_seconds": N.whole_seconds(F.col("duration_seconds")),
             "quality_gate_reason": F.nullif("quality_gate_reason", F.lit("")),
             "error_message": F.nullif("error_message", F.lit("")),
+            **({"error_traceback": F.nullif("error_traceback", F.lit(""))} if "error_traceback" in runs.columns else {}),
         }
     )
 
 
 def artifact_rows(spark: SparkSession, result: RunResult, artifacts: Sequence[Artifact]) -> DataFrame:
-    shared = {"run_id": result.run_id, "published_at": result.started_at}
-    return literal_rows(spark, [asdict(a) | shared for a in artifacts], ARTIFACT_DDL)
+    """Lineage rows of artifacts, numbered on from those the run has published already."""
+    shared = {
+        "run_id": result.run_id, "published_at": result.started_at, "entities": result.entities,
+        "attempt": result.attempt, "written_at": dt.datetime.now(dt.timezone.utc),
+    }
+    first = len(result.artifacts)
+    rows = [asdict(a) | shared | {"position": first + i} for i, a in enumerate(artifacts)]
+    return literal_rows(spark, rows, ARTIFACT_DDL)
+
+
+def current_artifacts(lineage_rows: DataFrame) -> DataFrame:
+    """The newest publication of each run and layer."""
+    whole = F.struct(*lineage_rows.columns)
+    newest_row = F.max_by(whole, F.struct("written_at", "attempt"))
+    return lineage_rows.groupBy("run_id", "layer").agg(newest_row.alias("_row")).select("_row.*")
+
+
+def manifests(artifacts: DataFrame) -> DataFrame:
+    """One row per run: its inputs, its start, and its artifacts in the order of the run."""
+    nested = lineage(artifacts, "position")
+    heads = artifacts.groupBy("run_id").agg(
+        F.max_by("entities", "written_at").alias("entities"), F.min("published_at").alias("started_at")
+    )
+    return heads.join(nested, "run_id").select("run_id", "entities", "started_at", "artifact_count", "artifacts")
 
 
 def lineage(artifacts: DataFrame, order: str = "key") -> DataFrame:
@@ -101,11 +131,6 @@ def gate_history(spark: SparkSession, results: Sequence[GateResult]) -> DataFram
     return metric_rows(as_rows(spark, results))
 
 
-def with_surrogate_id(df: DataFrame) -> DataFrame:
-    """Random row id, drawn once when the row is written."""
-    return df.withColumn("id", F.expr("uuid()"))
-
-
 # --- metric series --------------------------------------------------------------
 
 

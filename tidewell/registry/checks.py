@@ -131,6 +131,24 @@ def layer_rules(spark, sf_dir):
     )
 
 
+def gate_range_samples(spark, sf_dir):
+    """The samples that a range check shows: ends and nearest misses."""
+    found = G.measured(C.table(spark, sf_dir, "customer"), [R.range_check("c_acctbal", 0, 9000)]).select(F.inline("issues"))
+    return found.select("rule_name", F.col("details")["sample_violations"].alias("samples"))
+
+
+def gate_unique_samples(spark, sf_dir):
+    """The first keys that a uniqueness check finds held twice."""
+    found = G.measured(C.table(spark, sf_dir, "lineitem"), [R.unique_check(["l_suppkey", "l_linenumber"])]).select(F.inline("issues"))
+    return found.select("rule_name", "affected_records", F.col("details")["sample_duplicates"].alias("samples"))
+
+
+def gate_freshness_text(spark, sf_dir):
+    """Freshness of moments still held as text, some of them unreadable."""
+    raw = C.raw_events(spark, sf_dir)
+    return _issues(raw, [R.freshness("ts", C.RUN_TS, 24 * 14)]).select("rule_name", "severity", "affected_records")
+
+
 def violation_samples(spark, sf_dir):
     customer = C.table(spark, sf_dir, "customer")
     return R.violation_samples(
@@ -223,12 +241,13 @@ ORACLES = {
         WITH c AS ({C.CLEAN_SQL}),
         wired(layer, rule_name, rules) AS (VALUES
             ('bronze', 'schema_drift', 1), ('bronze', 'null_check', 1), ('silver', 'schema_drift', 1),
-            ('silver', 'null_check', 1), ('silver', 'range_check', 1), ('gold', 'null_check', 1),
+            ('silver', 'null_check', 1), ('silver', 'range_check', 2), ('gold', 'null_check', 1),
             ('gold', 'unique_check', 1), ('gold', 'large_values', 0), ('gold', 'busy_users', 0)),
         found AS (
             SELECT 'silver' AS layer, 'null_check' AS rule_name, count(*) FILTER (WHERE event_type IS NULL) AS n FROM c
             UNION ALL SELECT 'silver', 'null_check', count(*) FILTER (WHERE value IS NULL) FROM c
             UNION ALL SELECT 'silver', 'range_check', count(*) FILTER (WHERE value < 0 OR value > 200) FROM c
+            UNION ALL SELECT 'silver', 'range_check', count(*) FILTER (WHERE k < 10 OR k > 95) FROM c
             UNION ALL SELECT 'gold', 'null_check', count(*) FILTER (WHERE event_type IS NULL) FROM c
             UNION ALL SELECT 'gold', 'null_check', count(*) FILTER (WHERE value IS NULL) FROM c
             UNION ALL SELECT 'gold', 'null_check', count(*) FILTER (WHERE ts IS NULL) FROM c
@@ -240,6 +259,21 @@ ORACLES = {
         SELECT layer, rule_name, CAST(max(rules) AS BIGINT) AS rules, count(*) FILTER (WHERE n > 0) AS issues,
                CAST(coalesce(sum(n), 0) AS BIGINT) AS affected
         FROM wired LEFT JOIN found USING (layer, rule_name) GROUP BY layer, rule_name""",
+    "gate_range_samples": """
+        SELECT 'range_check' AS rule_name, '[' || array_to_string(list_sort(list_distinct(list_filter([
+            min(c_acctbal) FILTER (WHERE c_acctbal < 0), max(c_acctbal) FILTER (WHERE c_acctbal < 0),
+            min(c_acctbal) FILTER (WHERE c_acctbal > 9000), max(c_acctbal) FILTER (WHERE c_acctbal > 9000)],
+            lambda v: v IS NOT NULL))), ', ') || ']' AS samples
+        FROM customer HAVING count(*) FILTER (WHERE c_acctbal < 0 OR c_acctbal > 9000) > 0""",
+    "gate_unique_samples": """
+        WITH d AS (SELECT l_suppkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1),
+        top AS (SELECT * FROM d ORDER BY l_suppkey, l_linenumber LIMIT 5)
+        SELECT 'unique_check' AS rule_name, (SELECT count(*) FROM d) AS affected_records,
+            string_agg('[' || l_suppkey || ', ' || l_linenumber || ']', ', ' ORDER BY l_suppkey, l_linenumber) AS samples
+        FROM top""",
+    "gate_freshness_text": f"""
+        SELECT 'freshness_check' AS rule_name, 'warning' AS severity, count(*) AS affected_records
+        FROM ({C.CLEAN_SQL}) c WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 14 DAY HAVING count(*) > 0""",
     "violation_samples": """
         SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000 ORDER BY c_custkey LIMIT 5""",
 }

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import outliers as O, reads as Q, statistics as S
-from ..operators.medians import group_sizes
+from ..operators.medians import group_sizes, grouped_median
 from . import common as C
 
 def gold_daily(spark, sf_dir):
@@ -35,7 +35,7 @@ def daily_serving(spark, sf_dir):
         (F.col("k") * 1000).alias("visibility"),
     )
     rows = S.daily_serving_rows(weather, "user_id", "ts")
-    wanted = ("temp_min", "temp_max", "humidity_avg", "pressure_avg", "wind_speed_max", "clouds_avg")
+    wanted = ("temp_avg", "temp_min", "temp_max", "temp_std", "humidity_avg", "pressure_avg", "wind_speed_avg", "wind_speed_max", "clouds_avg")
     return rows.select(
         "user_id", F.col("date").cast("string").alias("date"), *[C.real(c).alias(c) for c in wanted], "observation_count"
     )
@@ -145,6 +145,28 @@ def group_medians(spark, sf_dir):
     return spread.select("l_suppkey", "n", "median", "mad")
 
 
+def group_medians_nulls(spark, sf_dir):
+    """Medians of groups with absent values and of the rows without a group, by either route."""
+    li = C.table(spark, sf_dir, "lineitem")
+    keyed = li.select(
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"),
+        F.when((F.col("l_linenumber") > 2) & (F.col("l_returnflag") != "A"), F.col("l_extendedprice")).alias("price"),
+    )
+    sizes, found = group_sizes(keyed, ["flag"]), None
+    for route, rows in (("plain", sizes.largest), ("bracketed", 0)):
+        medians = grouped_median(keyed, ["flag"], "price", sizes, exact_rows=rows)
+        medians = medians.select(F.lit(route).alias("route"), "flag", "n", F.round("median", 4).alias("median"))
+        found = medians if found is None else found.unionByName(medians)
+    return found
+
+
+def mad_outliers_null_entity(spark, sf_dir):
+    """Events without a type are scored against each other."""
+    e = C.events(spark, sf_dir).withColumn("event_type", F.when(F.col("event_type") != "view", F.col("event_type")))
+    found = O.robust_outliers(e, "event_type", "value", threshold=2.0)
+    return found.select("event_id", "event_type", "value", "z_score")
+
+
 def group_medians_sketched(spark, sf_dir):
     """The same medians by the route for groups too large for one task."""
     li = C.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
@@ -187,7 +209,22 @@ def _outlier_sql(entity: str, threshold: float, least: int) -> str:
         WHERE n >= {least} AND mad <> 0 AND abs(CAST(0.6745 AS DOUBLE) * (value - med) / mad) >= {threshold}"""
 
 
+_NO_TYPE = "(SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS event_type, value FROM events)"
+
 ORACLES = {
+    "mad_outliers_null_entity": f"""
+        WITH e AS (SELECT event_id, event_type, coalesce(event_type, '?') AS held, value FROM {_NO_TYPE} x),
+             r AS (SELECT held, value, row_number() OVER (PARTITION BY held ORDER BY value) AS rn, count(*) OVER (PARTITION BY held) AS n FROM e),
+             m AS (SELECT held, any_value(n) AS n,
+                          (max(value) FILTER (WHERE rn = (n + 1) // 2) + max(value) FILTER (WHERE rn = n // 2 + 1)) / 2 AS med
+                   FROM r GROUP BY held),
+             d AS (SELECT held, abs(value - med) AS dev, m.n, row_number() OVER (PARTITION BY held ORDER BY abs(value - med)) AS rn
+                   FROM e JOIN m USING (held)),
+             a AS (SELECT held, (max(dev) FILTER (WHERE rn = (n + 1) // 2) + max(dev) FILTER (WHERE rn = n // 2 + 1)) / 2 AS mad
+                   FROM d GROUP BY held)
+        SELECT event_id, event_type, value, round_even(CAST(0.6745 AS DOUBLE) * (value - med) / mad * 100, 0) / 100 AS z_score
+        FROM e JOIN m USING (held) JOIN a USING (held)
+        WHERE n >= 3 AND mad <> 0 AND abs(CAST(0.6745 AS DOUBLE) * (value - med) / mad) >= 2.0""",
     "gold_daily": f"""
         SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, {_CENTS} AS value_mean, min(value) AS value_min,
                max(value) AS value_max, round_even(stddev_samp(value) * 100, 0) / 100 AS value_std,
@@ -198,7 +235,9 @@ ORACLES = {
                round_even(stddev_samp(value) * 100, 0) / 100 AS value_std, count(value) AS observation_count
         FROM events GROUP BY 1, 2""",
     "daily_serving": f"""
-        SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, min(value) AS temp_min, max(value) AS temp_max,
+        SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, round_even(avg(value) * 100, 0) / 100 AS temp_avg,
+               min(value) AS temp_min, max(value) AS temp_max, round_even(stddev_samp(value) * 100, 0) / 100 AS temp_std,
+               round_even(avg(floor(value)) * 100, 0) / 100 AS wind_speed_avg,
                round_even(avg(k) * 100, 0) / 100 AS humidity_avg, round_even(avg(k + 950) * 100, 0) / 100 AS pressure_avg,
                max(floor(value)) AS wind_speed_max, round_even(avg(100 - k) * 100, 0) / 100 AS clouds_avg,
                count(*) AS observation_count
@@ -249,6 +288,11 @@ ORACLES = {
         WITH m AS (SELECT l_suppkey, median(l_quantity) AS median, count(*) AS n FROM lineitem GROUP BY 1)
         SELECT l_suppkey, any_value(n) AS n, any_value(m.median) AS median, median(abs(l_quantity - m.median)) AS mad
         FROM lineitem JOIN m USING (l_suppkey) GROUP BY 1""",
+    "group_medians_nulls": """
+        WITH x AS (SELECT CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag,
+                          CASE WHEN l_linenumber > 2 AND l_returnflag <> 'A' THEN l_extendedprice END AS price FROM lineitem)
+        SELECT route, flag, count(price) AS n, round(median(price), 4) AS median
+        FROM x, (VALUES ('plain'), ('bracketed')) r(route) GROUP BY route, flag""",
     "group_medians_sketched": """
         WITH m AS (SELECT l_returnflag, median(l_extendedprice) AS median, count(*) AS n FROM lineitem GROUP BY 1)
         SELECT l_returnflag, any_value(n) AS n, round(any_value(m.median), 4) AS median,

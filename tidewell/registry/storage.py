@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ..functions import text as X
 from ..operators import cleaning as K
@@ -157,6 +157,70 @@ def gated_publication(spark, sf_dir):
     return silver.select("event_id", "event_type", "user_id", "value", "k", C.micros(F.col("ts")).alias("ts"))
 
 
+def published_daily(spark, sf_dir):
+    """The daily statistics that a run publishes beside its gold records."""
+    tables, _ = _layered(spark, sf_dir, C.raw_events(spark, sf_dir), "warn")
+    ddl = "date string, event_type string, n bigint, value_mean double, value_max double"
+    return W.published(spark, tables, "gold_daily", T.StructType.fromDDL(ddl))
+
+
+def republished_runs(spark, sf_dir):
+    """One run id: the early events published, a doubled batch vetoed, all events published a day later."""
+    raw = C.raw_events(spark, sf_dir)
+    tables, schema = W.Tables(scratch(spark, "lake")), K.clean(raw, C.EVENTS, C.RUN_TS).withColumn("date", F.lit(None).cast("date")).schema
+    found = None
+    batches = (raw.filter("user_id = '7'"), raw.unionByName(raw), raw.filter("user_id <> '7'"))
+    for number, batch in enumerate(batches):
+        runner = W.LayeredRun(spark, tables, C.EVENTS, "warn", enrich=lambda df: df.withColumn("date", F.to_date("ts")))
+        runner.run(batch, C.RUN_TS + dt.timedelta(days=number // 2), "same")
+        seen = W.published(spark, tables, "gold", schema).select(F.lit(number).cast("bigint").alias("step"), "event_id", "user_id")
+        found = seen if found is None else found.unionByName(seen)
+    return found
+
+
+def latest_published(spark, sf_dir):
+    """Of two runs of one day the later one is the newest batch, whatever its name."""
+    raw, tables = C.raw_events(spark, sf_dir), W.Tables(scratch(spark, "lake"))
+    for hours, name, user in ((0, "zzz", "3"), (1, "aaa", "7")):
+        runner = W.LayeredRun(spark, tables, C.EVENTS, "warn", enrich=lambda df: df)
+        runner.run(raw.filter(F.col("user_id") == user), C.RUN_TS + dt.timedelta(hours=hours), name)
+    path = W.latest_published(spark, tables, "gold")
+    return spark.read.parquet(path).select("event_id", "user_id")
+
+
+def reprocessed_silver(spark, sf_dir):
+    """Silver rebuilt from the bronze that an earlier run published."""
+    raw = C.raw_events(spark, sf_dir)
+    tables, _ = _layered(spark, sf_dir, raw, "warn")
+    runner = W.LayeredRun(spark, tables, C.EVENTS, "warn", enrich=lambda df: df)
+    runner.reprocess(raw.schema, C.RUN_TS + dt.timedelta(days=2), last=C.RUN_TS.date(), run_id="again")
+    schema = K.clean(raw, C.EVENTS, C.RUN_TS).schema
+    silver = W.published(spark, tables, "silver", schema, first=(C.RUN_TS + dt.timedelta(days=1)).date())
+    return silver.select("event_id", "event_type", "user_id", "value", "k", C.micros(F.col("ts")).alias("ts"))
+
+
+def json_files(spark, sf_dir):
+    """Events as files of one object and of one array each; broken and absent files are skipped."""
+    e = C.events(spark, sf_dir).select("event_id", "event_type", "k")
+    path = scratch(spark, "events-files")
+    body = F.to_json(F.struct("event_id", "event_type", "k"))
+    e.filter("k < 50").select(body.alias("value")).repartitionByRange(3, "value").write.text(f"{path}/objects")
+    arrays = e.filter("k >= 50").groupBy((F.col("event_id") % 7).alias("part")).agg(F.collect_list(F.struct("event_id", "event_type", "k")).alias("x"))
+    arrays.select(F.to_json("x").alias("value")).repartition(7).write.text(f"{path}/arrays")
+    spark.range(2).select(F.lit("{ broken").alias("value")).repartition(1).write.text(f"{path}/broken")
+    ddl = "event_id bigint, event_type string, k bigint"
+    lines = lake.read_json(spark, [f"{path}/objects", f"{path}/absent"], ddl, multi_line=False)
+    return lines.unionByName(lake.read_json(spark, [f"{path}/arrays", f"{path}/broken", f"{path}/absent"], ddl))
+
+
+def serving_load_wide_keys(spark, sf_dir):
+    """Whole numbers beyond 32 bits keep their value in the serving table."""
+    e = C.moments(C.events(spark, sf_dir)).withColumns({c: F.col(c) + F.lit(2**40) for c in ("event_id", "user_id")})
+    path = scratch(spark, "serving")
+    serving.load(spark, e, path, scratch(spark, "serving-stage"), C.RUN_TS, C.EVENTS)
+    return serving.read_served(spark, path, C.EVENTS).select("event_id", "user_id", "k")
+
+
 def run_receipts(spark, sf_dir):
     """Run row, gate rows and artifacts of a run that passes and of one that is vetoed."""
     raw = C.raw_events(spark, sf_dir)
@@ -261,9 +325,21 @@ ORACLES = {
     "run_receipts": f"""
         WITH n AS (SELECT count(*) AS total, count(*) FILTER (WHERE reason IS NULL) AS good FROM ({C.REASON_SQL}) r)
         SELECT 'passes' AS run, 'success' AS status, total AS ingested, good AS transformed, good AS loaded,
-               CAST(3 AS BIGINT) AS gates, CAST(3 AS BIGINT) AS artifacts FROM n
+               CAST(3 AS BIGINT) AS gates, CAST(4 AS BIGINT) AS artifacts FROM n
         UNION ALL SELECT 'vetoed', 'blocked', total, 0, 0, 1, 1 FROM n
         UNION ALL SELECT 'doubled', 'blocked', total * 2, good * 2, 0, 3, 2 FROM n""",
+    "published_daily": f"""
+        SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, count(*) AS n,
+               round_even(sum(CAST(round(value * 100) AS BIGINT)) / count(*), 0) / 100 AS value_mean, max(value) AS value_max
+        FROM ({C.REASON_SQL}) r WHERE reason IS NULL GROUP BY 1, 2""",
+    "republished_runs": f"""
+        SELECT CAST(step AS BIGINT) AS step, event_id, user_id FROM ({C.REASON_SQL}) r, (VALUES (0), (1), (2)) s(step)
+        WHERE reason IS NULL AND (user_id = 7) = (step < 2)""",
+    "latest_published": f"SELECT event_id, user_id FROM ({C.REASON_SQL}) r WHERE reason IS NULL AND user_id = 7",
+    "reprocessed_silver": f"""
+        SELECT event_id, event_type, user_id, value, k, {_TS} AS ts FROM ({C.REASON_SQL}) r WHERE reason IS NULL""",
+    "json_files": f"SELECT event_id, event_type, k FROM {C.EVENTS_SQL} e",
+    "serving_load_wide_keys": f"SELECT event_id + 1099511627776 AS event_id, user_id + 1099511627776 AS user_id, k FROM {C.EVENTS_SQL} e",
     "stream_daily": """
         SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, count(*) AS n,
                round_even(sum(CAST(round(value * 100) AS BIGINT)) / count(*), 0) / 100 AS value_mean,

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text as X
-from ..operators.reads import union_batches
 from .workspace import setting
 
 PARTITIONS = ("year", "month", "day")
+BROKEN = "_broken"
 
 
 def batch_path(root: str, layer: str, run_ts: dt.datetime, batch: str, style: str = "hive") -> str:
@@ -106,17 +107,57 @@ def read_json(
     """JSON batches, an object or an array per file; missing and broken files are skipped.
 
     ``multi_line`` is needed for pretty-printed files, which cannot be split; files with
-    one object per line are read in parallel without it.
+    one object per line are read in parallel without it, and only broken lines are skipped.
     """
+    ddl = _ddl(spark, schema)
+    whole = _parsed_json(spark, paths, ddl, multi_line)
+    if whole is None:
+        return spark.createDataFrame([], T.StructType.fromDDL(ddl))
+    return whole.filter(F.col(BROKEN).isNull()).drop(BROKEN)
+
+
+def broken_json(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, multi_line: bool = True
+) -> DataFrame:
+    """(path, text) of the files, or lines, that ``read_json`` skips because they do not parse."""
+    whole = _parsed_json(spark, paths, _ddl(spark, schema), multi_line)
+    if whole is None:
+        return spark.createDataFrame([], "path string, text string")
+    # the reader refuses to return the broken text alone: a data column must be read with it
+    kept = whole.withColumn("_path", F.input_file_name()).filter(F.col(BROKEN).isNotNull())
+    return kept.select(F.col("_path").alias("path"), F.col(BROKEN).alias("text"))
+
+
+def _parsed_json(spark: SparkSession, paths: str | Sequence[str], ddl: str, multi_line: bool) -> DataFrame | None:
+    """All rows of the files that exist, with the broken text beside; None if there is no file.
+
+    A path that is absent, or vanishes before it is read, is no error. Each path is looked up
+    once on the driver, as a reader does anyhow.
+    """
+    found = [p for p in ([paths] if isinstance(paths, str) else paths) if _exists(spark, p)]
+    if not found:
+        return None
     return (
-        spark.read.schema(schema)
+        spark.read.schema(f"{ddl}, {BROKEN} string")
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", BROKEN)
+        .option("mode", "PERMISSIVE")
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
-        .json([paths] if isinstance(paths, str) else list(paths))
+        .json(found)
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path).schema  # lists the path, reads nothing
+        return True
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def list_files(
     spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
 ) -> DataFrame:
@@ -140,14 +181,11 @@ def list_files(
 
 
 def latest_batch(df: DataFrame, batch: str = "batch") -> DataFrame:
-    """Rows of the newest batch. The stamp is a partition column, so the scan is cut to
-    one folder once the scalar subquery has found it."""
-    newest = df.agg(F.max(batch).alias("b")).scalar()
-    return df.filter(F.col(batch) == newest)
-
-
-def read_batches(batches: Sequence[DataFrame]) -> DataFrame:
-    return union_batches(batches)
+    """Rows of the newest batch of a table partitioned by its stamp. The stamps come from the
+    names of the files, so no file is opened to find the newest."""
+    named = [X.partition_value(path, batch) for path in df.inputFiles()]
+    held = [value for value in named if value is not None]
+    return df.filter(F.col(batch) == F.lit(max(held))) if held else df.limit(0)
 
 
 def export_csv(df: DataFrame, path: str) -> str:
@@ -159,11 +197,6 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def unexpired(df: DataFrame, day: Column, today: dt.date, keep_days: int) -> DataFrame:
-    """Rows that are at most ``keep_days`` old."""
-    return df.filter(day >= F.lit(today - dt.timedelta(days=keep_days)))
-
-
 def expire_days(spark: SparkSession, path: str, today: dt.date, keep_days: int) -> list[dt.date]:
     """Remove the day folders older than ``keep_days`` and return their dates.
 

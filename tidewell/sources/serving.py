@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import numeric as N
 from ..operators import rules as R
 from ..operators.gates import BLOCK, Gate, GateBlocked
-from ..operators.merge import require_unique, upsert
+from ..operators.merge import upsert
 from ..spec import MOMENT, NUMBER, WEATHER, WHOLE, TableSpec
 from .workspace import read_or_empty
 
 DAY = "recorded_on"
 SERVED_TIME = "recorded_at"
+LISTED_DAYS = 1_000
 
 
 def serving_columns(spec: TableSpec = WEATHER) -> list[str]:
@@ -33,7 +34,7 @@ def serving_ddl(spec: TableSpec = WEATHER) -> str:
         if f.kind == NUMBER and f.precision:
             kind = "decimal({},{})".format(*f.precision)
         else:
-            kind = {WHOLE: "int", MOMENT: "timestamp", NUMBER: "double"}.get(f.kind, "string")
+            kind = {WHOLE: "bigint", MOMENT: "timestamp", NUMBER: "double"}.get(f.kind, "string")
         kinds.append(f"`{name}` {kind}")
     return ", ".join(["id string", *kinds, "ingested_at timestamp"])
 
@@ -51,15 +52,17 @@ def serving_rows(df: DataFrame, run_ts: dt.datetime, spec: TableSpec = WEATHER)
         elif f.kind == NUMBER and f.precision:
             columns.append(F.col(f.name).try_cast("decimal({},{})".format(*f.precision)).alias(f.name))
         elif f.kind == WHOLE:
-            columns.append(F.col(f.name).try_cast("int").alias(f.name))
+            columns.append(F.col(f.name).try_cast("bigint").alias(f.name))
         else:
             columns.append(F.col(f.name))
     return df.select(*columns, N.as_moment(run_ts).alias("ingested_at"))
 
 
-def load_gate(spec: TableSpec = WEATHER, run_id: str = "") -> Gate:
-    """Constraints of the serving table, checked on the batch before it is loaded."""
-    return Gate("serving_constraints", BLOCK, run_id, [*R.serving_constraints(spec), R.unique_check(spec.key)])
+def load_gate(spec: TableSpec = WEATHER, run_id: str = "", unique: bool = False) -> Gate:
+    """Constraints of the serving table, checked on the batch before it is loaded; ``unique``
+    states that the key has been checked already."""
+    key = [] if unique else [R.unique_check(spec.key)]
+    return Gate("serving_constraints", BLOCK, run_id, [*R.serving_constraints(spec), *key])
 
 
 def load(
@@ -70,6 +73,7 @@ def load(
     run_ts: dt.datetime,
     spec: TableSpec = WEATHER,
     run_id: str = "",
+    unique: bool = False,
 ) -> int:
     """Insert or update a batch in the serving table; returns the accepted rows.
 
@@ -78,7 +82,7 @@ def load(
     batch are read, merged and rewritten. The merged days are staged first, which means a
     failed job never leaves the table without its old rows.
     """
-    verdict = load_gate(spec, run_id).evaluate(df, "serving", run_ts)
+    verdict = load_gate(spec, run_id, unique).evaluate(df, "serving", run_ts)
     if verdict.blocked:
         raise GateBlocked(verdict)
     accepted = verdict.metrics[R.TOTAL]
@@ -88,9 +92,7 @@ def load(
     names, key = ["id", *serving_columns(spec)], serving_key(spec)
     dated = delta.select(*names).withColumn(DAY, F.to_date(SERVED_TIME))
     base = read_served(spark, path, spec)
-    # one date per touched day; the calendar of years 1 to 9999 has 3.7 million of them
-    days = F.broadcast(dated.select(DAY).distinct())
-    touched = base.join(days, DAY, "left_semi").select(*names)
+    touched = within_days_of(base, dated).select(*names)
     merged = upsert(touched, delta.select(*names), key, _updates(spec, names, key))
     staged = merged.withColumn(DAY, F.to_date(SERVED_TIME))
     staged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(staging)
@@ -105,6 +107,19 @@ def load(
     return accepted
 
 
+def within_days_of(base: DataFrame, dated: DataFrame) -> DataFrame:
+    """Rows of the table in the days of a batch. The days are literals in the filter, so only
+    their folders are scanned; a batch of very many days is bounded by its first and last."""
+    days = dated.select(DAY).distinct()
+    listed = sorted(r[DAY] for r in days.limit(LISTED_DAYS + 1).collect() if r[DAY] is not None)
+    if len(listed) <= LISTED_DAYS:
+        return base.filter(F.col(DAY).isin(listed) if listed else F.lit(False))
+    ends = days.agg(F.min(DAY).alias("first"), F.max(DAY).alias("last")).collect()[0]
+    bounded = base.filter(F.col(DAY).between(F.lit(ends["first"]), F.lit(ends["last"])))
+    # one date per touched day; the calendar of years 1 to 9999 has 3.7 million of them
+    return bounded.join(F.broadcast(days), DAY, "left_semi")
+
+
 def _updates(spec: TableSpec, names: list[str], key: list[str]) -> list[str]:
     """Columns a known key takes from the batch; its surrogate id always stays."""
     if spec.updates is not None:
@@ -115,12 +130,3 @@ def _updates(spec: TableSpec, names: list[str], key: list[str]) -> list[str]:
 def read_served(spark: SparkSession, path: str, spec: TableSpec = WEATHER) -> DataFrame:
     """The serving table; empty before the first load."""
     return read_or_empty(spark, path, f"{serving_ddl(spec)}, {DAY} date")
-
-
-def merge_by_key(spark: SparkSession, path: str, delta: DataFrame, key: list[str], keep: tuple[str, ...], target: str) -> str:
-    """Insert or update in a table whose key holds no date: merged whole to a new path."""
-    require_unique(delta, key)
-    base = spark.read.schema(delta.schema).parquet(path)
-    updated = [c for c in delta.columns if c not in key and c not in keep]
-    upsert(base, delta, key, updated).write.mode("overwrite").parquet(target)
-    return target

@@ -1,12 +1,15 @@
 """Shared scratch space: checkpoints and trial tables.
 
-A cluster names a folder every node can reach in ``spark.checkpoint.dir``. Only where
-neither that setting nor a checkpoint directory exists (local tests) a local folder is used.
+A cluster names a folder every node can reach in ``spark.checkpoint.dir``. Only on a local master,
+where neither that setting nor a checkpoint directory exists (tests), a local folder is used;
+it is removed when the process ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -21,7 +24,10 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all nodes can reach")
     local = tempfile.mkdtemp(prefix="tidewell-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(local)
     return local
 

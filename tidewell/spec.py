@@ -62,6 +62,8 @@ class TableSpec:
     raw_columns: tuple[str, ...] = ()
     # serving columns that a redelivered key changes; None means all but the key
     updates: tuple[str, ...] | None = None
+    # ranged fields that the silver gate checks once more; None means all of them
+    gated: tuple[str, ...] | None = None
 
     def field(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
@@ -104,4 +106,5 @@ WEATHER = TableSpec(
     event_time="timestamp",
     raw_columns=fixed.BRONZE_COLUMNS,
     updates=fixed.UPSERT_UPDATES,
+    gated=("temperature_celsius", "humidity"),
 )
