@@ -288,7 +288,7 @@ def test_run_over_landed_payloads(spark, runner, tmp_path):
     r = runner()
     result = W.run_landing(r, str(folder), RUN_TS, ["London", "Paris", "Rome"], "landed")
     assert (result.status, result.records_ingested, result.records_loaded) == ("success", 2, 2)
-    failed = spark.read.parquet(r.tables.root + "/failed_payloads"))
+    failed = spark.read.parquet(r.tables.root + "/failed_payloads")
     assert rows(failed, "reason") == [("City not found: Rome",)]
     views.register_installation(spark, r.tables)
     assert rows(spark.sql("SELECT city, country FROM v_latest_weather")) == [("London", "GB"), ("Paris", "GB")]

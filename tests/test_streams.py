@@ -21,11 +21,11 @@ def test_gated_micro_batches(spark, raw, folder):
     for _ in range(2):  # the second start finds nothing new
         stream = I.file_stream(spark, folder("in"), raw({}).schema, files_per_trigger=1)
         I.gated_batches(
-            stream, WEATHER, folder("out"), folder("dead"), folder("state"), RUN_TS, max_age_hours=24,
+            stream, WEATHER, folder("out"), folder("dead"), folder("state"), lambda: RUN_TS, max_age_hours=24,
             on_verdict=lambda i, v: seen.append((i, v.status, v.metrics["total_records"])),
         ).awaitTermination()
     assert sorted(seen, key=lambda s: s[0])[0][1] == "passed" and sum(s[2] for s in seen) == 3 and len(seen) == 2
-    found = spark.read.schema("city string").parquet(folder("out") + "/batch=*")
+    found = I.published_batches(spark, folder("out"), "city string")
     assert rows(found, "city") == [("Kyiv",), ("London",), ("Paris",)]
     dead = spark.read.schema("reason string").parquet(folder("dead") + "/batch=*")
     assert rows(dead, "reason") == [("stale",), ("temperature_celsius=200.0 outside range [-100, 100]",)]
@@ -41,6 +41,11 @@ def test_daily_windows_and_deduplication(spark, folder):
     I.run_to_files(once, folder("once"), folder("state1")).awaitTermination()
     assert spark.read.parquet(folder("once")).count() == 12
     daily = I.windowed_daily(stream, "city", "t", "x", "1 day", digits=0)
-    I.run_to_snapshot(daily, folder("daily"), folder("state2")).awaitTermination()
-    found = rows(spark.read.parquet(folder("daily")))
+    key = ["date", "city"]
+    I.run_to_table(daily, folder("daily"), folder("state2"), key).awaitTermination()
+    later = spark.createDataFrame([("c0", start + dt.timedelta(days=2, minutes=500), 100.0)], df.schema)
+    later.coalesce(1).write.mode("append").parquet(folder("in"))
+    I.run_to_table(daily, folder("daily"), folder("state2"), key).awaitTermination()
+    found = rows(I.current_rows(spark, folder("daily"), daily.schema, key))
+    assert ("2024-01-03", "c0", 5, 27.0, 8.0, 100.0) in found
     assert found[0] == ("2024-01-01", "c0", 4, 1.0, 0.0, 2.0) and len(found) == 6

@@ -4,7 +4,8 @@ A plain sort-merge join sends all rows of one key to one task. Here a side is br
 only after a check of its rows and bytes. Beyond it, the rows of the heaviest keys meet
 their partner through a small broadcast and are scattered over the shuffle, while all other
 keys take the shuffled join; by construction none of those holds more than 1/HEAVY_KEYS of
-the rows. Rows with a NULL key, which have no partner, are scattered too.
+the rows, and none more than TASK_ROWS unless HEAVY_KEYS others do. Rows with a NULL key,
+which have no partner, are scattered too.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..sources.workspace import checkpointed
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_KEYS = 1_000
+TASK_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
@@ -26,18 +30,29 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame stays below both limits. The rows are counted first, which for a
-    stored table reads no column; only a short one has the length of its rows added up."""
-    if df.count() > rows:
-        return False
-    length = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    return (df.agg(F.sum(length).alias("n")).collect()[0]["n"] or 0) <= size
-
-
-def heavy_keys(rows: DataFrame, keys: Sequence[str], most: int = HEAVY_KEYS) -> DataFrame:
-    """The keys with the most rows: combined counts, then a top-k of bounded size."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.orderBy(F.desc("_rows"), *keys).limit(most).drop("_rows")
+    """Whether a frame stays below both limits, from one pass: rows, and the bytes of their
+    fields (those of texts and the like are added up, others have a fixed width)."""
+    wide = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            wide = wide + F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            wide = wide + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            wide = wide + 16
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(wide).alias("bytes")).collect()[0]
+    return found["n"] <= rows and (found["bytes"] or 0) <= size
+
+
+def heavy_keys(rows: DataFrame, keys: Sequence[str], most: int = HEAVY_KEYS, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The keys with more rows than a task should get, and of those the ``most`` heaviest.
+
+    Computed once and kept, as it is used several times. If ``most`` keys do not reach down to
+    ``task_rows``, what remains is left to the adaptive splitting of skewed joins.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > task_rows)
+    return checkpointed(counts.orderBy(F.desc("_rows"), *keys).limit(most).drop("_rows"))
 
 
 def attach(
@@ -47,6 +62,7 @@ def attach(
     *,
     small: bool | None = None,
     heavy: int = HEAVY_KEYS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Left join of ``rows`` to ``per_key``, which has one row per key.
 
@@ -61,11 +77,14 @@ def attach(
         return rows.join(F.broadcast(per_key), keys, "left")
 
     packed = per_key.select(*keys, F.struct(*added).alias("_near"))
-    hot = heavy_keys(rows.select(*keys), keys, heavy)
-    # at most `heavy` rows each; a hot key without partner keeps its mark
+    hot = heavy_keys(rows.select(*keys), keys, heavy, task_rows)
+    if hot.isEmpty():
+        return rows.join(per_key, keys, "left").select(*rows.columns, *added)
+    # at most `heavy` rows, kept: the parents are read once for them and once for the rest;
+    # a hot key without partner keeps its mark
     partners = packed.join(F.broadcast(hot), keys)
     no_partner = hot.withColumn("_near", F.lit(None).cast(packed.schema["_near"].dataType))
-    marks = (
+    marks = checkpointed(
         partners.unionByName(no_partner)
         .groupBy(*keys)
         .agg(F.first("_near", ignorenulls=True).alias("_near"), F.lit(True).alias("_hot"))

@@ -252,8 +252,9 @@ def stream_daily(spark, sf_dir):
     """Daily statistics of the event stream, driven to its end."""
     path = scratch(spark, "daily")
     stream = I.windowed_daily(_stream(spark, sf_dir), "event_type", "ts", "value", "1 day", digits=2)
-    I.run_to_snapshot(stream, path, scratch(spark, "stream")).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    key = ["date", "event_type"]
+    I.run_to_table(stream, path, scratch(spark, "stream"), key).awaitTermination()
+    return I.current_rows(spark, path, stream.schema, key)
 
 
 def stream_dedup(spark, sf_dir):
@@ -273,7 +274,7 @@ def stream_gated(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("bigint")
     raw = stream.select("event_id", "event_type", "user_id", "value", k.alias("k"), "ts")
     I.gated_batches(raw, C.EVENTS, target, rejects, scratch(spark, "stream"), C.RUN_TS, "warn", 24 * 20).awaitTermination()
-    kept = spark.read.option("recursiveFileLookup", True).schema("event_id bigint").parquet(f"{target}/batch=*")
+    kept = I.published_batches(spark, target, "event_id bigint")
     dead = spark.read.option("recursiveFileLookup", True).schema("reason string, record string").parquet(f"{rejects}/batch=*")
     return kept.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(
         dead.select(C.big(F.get_json_object("record", "$.event_id")).alias("event_id"), "reason")

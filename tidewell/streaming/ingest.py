@@ -8,8 +8,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions import numeric as N
 from ..operators import cleaning as K
@@ -19,6 +19,10 @@ from ..sources import lake
 from ..spec import TableSpec
 
 
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType | str, file_format: str = "parquet",
     glob: str | None = None, files_per_trigger: int | None = None,
@@ -56,71 +60,81 @@ def windowed_daily(
     ).select(F.to_date("window.start").cast("string").alias("date"), entity, "n", f"{value}_mean", f"{value}_min", f"{value}_max")
 
 
-def stale_reason(event_time: str, now: dt.datetime, max_age_hours: float) -> F.Column:
+def stale_reason(event_time: str, now: dt.datetime, max_age_hours: float) -> Column:
     return F.when(N.age_hours(F.col(event_time), now) > max_age_hours, F.lit("stale"))
 
 
 def gated_batches(
-    stream: DataFrame, spec: TableSpec, target: str, quarantine: str, checkpoint: str, run_ts: dt.datetime,
-    mode: str = "block", max_age_hours: float | None = None,
-    on_verdict: Callable[[int, GateResult], None] | None = None,
+    stream: DataFrame, spec: TableSpec, target: str, quarantine: str, checkpoint: str,
+    clock: dt.datetime | Callable[[], dt.datetime] = utc_now, mode: str = "block", max_age_hours: float | None = None,
+    on_verdict: Callable[[int, GateResult], None] | None = None, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Clean each micro-batch, gate it and publish it.
 
-    Every batch writes to folders named by its id, so a batch that is repeated after a
-    failure replaces its own output. The gate reads the staged folder; a vetoed batch
-    stays there and never reaches the target folder.
+    A batch is written once, valid and rejected rows apart, to a folder of ``target`` named by its
+    id; a batch that is repeated after a failure replaces its own. The gate reads what was written.
+    A batch that passes is named in the list of published batches; ``published_batches`` reads
+    those, so a vetoed one stays invisible. ``clock`` gives the moment of a batch, from which
+    ages are measured; ``trigger`` is that of the stream (default: all that is there, then stop).
     """
-    reason = F.col(K.REASON)
-    if max_age_hours is not None:
-        reason = F.coalesce(reason, stale_reason(spec.event_time, run_ts, max_age_hours))
-
     def publish(batch: DataFrame, batch_id: int) -> None:
-        judged = K.clean_with_reason(batch, spec, run_ts).withColumn(K.REASON, reason)
-        staged = f"{target}/_staging/batch={batch_id}"
+        now = clock() if callable(clock) else clock
+        reason = F.col(K.REASON)
+        if max_age_hours is not None:
+            reason = F.coalesce(reason, stale_reason(spec.event_time, now, max_age_hours))
+        judged = K.clean_with_reason(batch, spec, now).withColumn(K.REASON, reason)
         flagged = judged.withColumn("rejected", F.col(K.REASON).isNotNull())
-        stored = lake.write_split(flagged, staged, "rejected")
+        stored = lake.write_split(flagged, f"{target}/rows/batch={batch_id}", "rejected")
         rejects = stored.filter("rejected")
         record = F.coalesce(K.RECORD, F.to_json(F.struct(*[f.name for f in spec.fields])))
-        kept = K.quarantine_rows(rejects.withColumn(K.RECORD, record), run_ts)
+        kept = K.quarantine_rows(rejects.withColumn(K.RECORD, record), now)
         kept.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
         valid = stored.filter("not rejected").select(*spec.clean_columns)
-        verdict = layer_gate("silver", mode, str(batch_id), spec).evaluate(valid, "silver", run_ts)
+        verdict = layer_gate("silver", mode, str(batch_id), spec).evaluate(valid, "silver", now)
         if on_verdict is not None:
             on_verdict(batch_id, verdict)
         if verdict.passed:
-            valid.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-
-    return (
-        stream.writeStream.foreachBatch(publish)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def run_to_snapshot(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the whole current result of an aggregation in a folder (complete mode)."""
-
-    def replace(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(path)
-
-    return (
-        stream.writeStream.outputMode("complete")
-        .foreachBatch(replace)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Drive an available-now stream into a parquet folder (append, exactly once)."""
-    return (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+            named = batch.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"))
+            named.write.mode("overwrite").parquet(f"{target}/published/{batch_id}")
+
+    return _started(stream.writeStream.foreachBatch(publish), checkpoint, trigger)
+
+
+def published_batches(spark: SparkSession, target: str, schema: T.StructType | str) -> DataFrame:
+    """Valid rows of the batches that passed their gate. The batches are partitions of the
+    folder: one that did not pass is not read."""
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    passed = spark.read.schema("batch bigint").option("recursiveFileLookup", True)
+    listed = sorted(r["batch"] for r in passed.parquet(f"{target}/published").distinct().collect())  # a number per batch
+    rows = spark.read.schema(f"{ddl}, batch bigint, rejected boolean").parquet(f"{target}/rows")
+    return rows.filter(~F.col("rejected") & F.col("batch").isin(listed)).drop("batch", "rejected")
+
+
+def run_to_table(
+    stream: DataFrame, path: str, checkpoint: str, key: Sequence[str], trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the current row of each key of an aggregation (update mode): a micro-batch adds a
+    folder with the rows that changed, and state behind the watermark is dropped.
+    ``current_rows`` reads the newest row of each key."""
+
+    def add(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _started(stream.writeStream.outputMode("update").foreachBatch(add), checkpoint, trigger)
+
+
+def current_rows(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> DataFrame:
+    """The newest row of each key that ``run_to_table`` has written."""
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    rows = spark.read.schema(f"{ddl}, batch bigint").parquet(path)
+    newest = F.max_by(F.struct(*schema.fieldNames()), "batch").alias("_row")
+    return rows.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(newest).select("_row.*")
+
+
+def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Drive a stream into a parquet folder (append, exactly once)."""
+    return _started(stream.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, trigger)
+
+
+def _started(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
