@@ -71,7 +71,7 @@ def test_freshness_of_text(spark):
 
 def test_unique_check(cities):
     ddl = "city string, at string"
-    twice = cities(("London", "12:00"), ("London", "12:00"), ("London", "12:00"), ("Paris", "12:00"), ddl=ddl)
+    twice = cities(("Braga", "12:00"), ("Braga", "12:00"), ("Braga", "12:00"), ("Turin", "12:00"), ddl=ddl)
     found = issues(twice, R.unique_check(["city", "at"]))
     assert [(i.severity, i.affected_records) for i in found] == [("critical", 1)]
     assert found[0].message == "Compound key ['city', 'at'] has 1 duplicate value(s)"

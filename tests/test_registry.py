@@ -14,6 +14,18 @@ NAMES = sorted(registry.all_queries())
 LAZY = [n for g in registry.GROUPS if g.__name__.rsplit(".", 1)[1] != "storage" for n in g.QUERIES]
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """The queries run as they do outside tests: with generated code."""
+    changed = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_DIR)

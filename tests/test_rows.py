@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import LONDON, PARIS, RUN_TS, rows
+from conftest import BRAGA, TURIN, RUN_TS, rows
 from tidewell import fixed_values as fixed
 from tidewell.operators import cleaning as K
 from tidewell.spec import WEATHER
@@ -72,7 +72,7 @@ def test_quarantine(raw):
     assert len(dead) == 1
     assert dead[0]["source_layer"] == "silver" and dead[0]["reason"]
     assert dead[0]["quarantined_at"].replace(tzinfo=None) == RUN_TS.replace(tzinfo=None)
-    assert json.loads(dead[0]["record"]) == dict(LONDON, temperature_celsius="200")
+    assert json.loads(dead[0]["record"]) == dict(BRAGA, temperature_celsius="200")
 
 
 def test_typed_input_needs_no_text(spark):
@@ -83,6 +83,6 @@ def test_typed_input_needs_no_text(spark):
 
 def test_values_are_parsed_once(raw):
     """A filter on the reason stays above the parsing."""
-    plan = K.valid_rows(judged(raw(PARIS)))._jdf.queryExecution().optimizedPlan().toString()
+    plan = K.valid_rows(judged(raw(TURIN)))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate")
     assert "Filter" not in plan[plan.index("Generate"):]

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PARIS, RUN_TS, rows
+from conftest import TURIN, RUN_TS, rows
 from tidewell.operators import cleaning as K, gates as G, rules as R
 from tidewell.plans import medallion as W, receipts as P, reports as V, views
 from tidewell.sources import serving
@@ -26,7 +26,7 @@ def silver_schema(df):
 
 
 def test_a_good_run(spark, runner, raw):
-    given = raw({}, PARIS, {"city": "Oslo", "temperature_celsius": "200"})
+    given = raw({}, TURIN, {"city": "Oslo", "temperature_celsius": "200"})
     r = runner(aggregates=W.WEATHER_AGGREGATES)
     result = r.run(given, RUN_TS, "run-1")
     assert (result.status, result.exit_code, result.error_message) == ("success", 0, "")
@@ -35,14 +35,14 @@ def test_a_good_run(spark, runner, raw):
     assert [g.layer for g in result.gates] == ["bronze", "silver", "gold"]
     assert [a.layer for a in result.artifacts] == ["bronze", "silver", "gold", "gold_daily", "gold_stats"]
     assert all("year=2024/month=01/day=30/batch=run-1" in a.key for a in result.artifacts)
-    assert rows(W.published(spark, r.tables, "silver", silver_schema(given)), "city") == [("London",), ("Paris",)]
+    assert rows(W.published(spark, r.tables, "silver", silver_schema(given)), "city") == [("Braga",), ("Turin",)]
     assert serving.read_served(spark, r.tables.serving).count() == 2
     dead = spark.read.parquet(r.tables.batch("quarantine", result))
     assert rows(dead, "source_layer") == [("silver",)]
     daily = spark.read.parquet(W.latest_published(spark, r.tables, "gold_daily"))
-    assert rows(daily, "city", "temperature_celsius_mean") == [("London", 12.0), ("Paris", 7.0)]
+    assert rows(daily, "city", "temperature_celsius_mean") == [("Braga", 13.75), ("Turin", 6.25)]
     gold = spark.read.parquet(r.tables.batch("gold", result))
-    assert rows(gold, "city", "temp_category", "wind_category") == [("London", "mild", "light"), ("Paris", "cold", "calm")]
+    assert rows(gold, "city", "temp_category", "wind_category") == [("Braga", "mild", "light"), ("Turin", "cold", "calm")]
 
 
 def test_duplicate_key_stops_at_gold(spark, runner, raw):
@@ -60,11 +60,11 @@ def test_missing_column_stops_at_bronze(spark, runner, raw):
     result = r.run(raw({}, drop=["timestamp"]), RUN_TS, "run-3")
     assert (result.status, len(result.gates), result.records_ingested) == ("blocked", 1, 1)
     assert [a.layer for a in result.artifacts] == ["bronze"]
-    assert rows(spark.read.parquet(r.tables.batch("bronze", result)), "city") == [("London",)]
+    assert rows(spark.read.parquet(r.tables.batch("bronze", result)), "city") == [("Braga",)]
 
 
 def test_null_city_blocks_or_warns(runner, raw):
-    given = raw({}, *[dict(PARIS, city=f"c{i}") for i in range(10)], {"city": None})
+    given = raw({}, *[dict(TURIN, city=f"c{i}") for i in range(10)], {"city": None})
     assert runner().run(given, RUN_TS).status == "blocked"
     result = runner("warn").run(given, RUN_TS)
     assert (result.status, result.records_loaded, result.gates[0].status) == ("success", 11, "warned")
@@ -92,7 +92,7 @@ def test_failed_load_fails_the_run(runner, raw):
 
 
 def test_partial_load_is_reported(runner, raw):
-    result = runner(load=lambda gold, result: 1).run(raw({}, PARIS), RUN_TS)
+    result = runner(load=lambda gold, result: 1).run(raw({}, TURIN), RUN_TS)
     assert (result.status, result.records_loaded) == ("success", 1)
 
 
@@ -161,10 +161,10 @@ def test_a_vetoed_repeat_leaves_what_was_published(spark, runner, raw):
     day = dt.timedelta(days=1)
     first = r.run(raw({}), RUN_TS, "same")
     schema = spark.read.parquet(r.tables.batch("gold", first)).schema
-    assert r.run(raw(PARIS, PARIS), RUN_TS + day / 24, "same").status == "blocked"
-    assert rows(W.published(spark, r.tables, "gold", schema), "city") == [("London",)]
-    third = r.run(raw(PARIS), RUN_TS + day, "same")
-    assert rows(W.published(spark, r.tables, "gold", schema), "city") == [("Paris",)]
+    assert r.run(raw(TURIN, TURIN), RUN_TS + day / 24, "same").status == "blocked"
+    assert rows(W.published(spark, r.tables, "gold", schema), "city") == [("Braga",)]
+    third = r.run(raw(TURIN), RUN_TS + day, "same")
+    assert rows(W.published(spark, r.tables, "gold", schema), "city") == [("Turin",)]
     assert W.latest_published(spark, r.tables, "gold") == r.tables.batch("gold", third)
     # one run row, with the first start; receipts of a day are found by its folder
     run = r.tables.read_ops(spark, "runs").collect()
@@ -175,7 +175,7 @@ def test_a_vetoed_repeat_leaves_what_was_published(spark, runner, raw):
 def test_newest_batch_is_the_latest_published(spark, runner, raw):
     r = runner()
     r.run(raw({}), RUN_TS, "zzz")
-    newer = r.run(raw(PARIS), RUN_TS + dt.timedelta(hours=1), "aaa")
+    newer = r.run(raw(TURIN), RUN_TS + dt.timedelta(hours=1), "aaa")
     assert W.latest_published(spark, r.tables, "gold") == r.tables.batch("gold", newer)
 
 
@@ -188,7 +188,7 @@ def test_silver_veto_keeps_its_count(spark, runner, raw, monkeypatch):
         return found.add_rule(strict) if layer == "silver" else found
 
     monkeypatch.setattr(W, "layer_gate", gate)
-    result = runner().run(raw({}, PARIS), RUN_TS)
+    result = runner().run(raw({}, TURIN), RUN_TS)
     assert (result.status, result.records_transformed, result.records_loaded) == ("blocked", 2, 0)
 
 
@@ -196,21 +196,21 @@ def test_reprocessing_published_bronze(spark, runner, raw):
     r = runner()
     given = raw({}, {"city": "Oslo", "temperature_celsius": "200"})
     r.run(given, RUN_TS, "one")
-    r.run(raw(PARIS), RUN_TS + dt.timedelta(days=1), "two")
+    r.run(raw(TURIN), RUN_TS + dt.timedelta(days=1), "two")
     later = RUN_TS + dt.timedelta(days=5)
     again = r.reprocess(given.schema, later, last=(RUN_TS + dt.timedelta(days=1)).date(), run_id="again")
     assert (again.status, again.records_ingested, again.records_transformed) == ("success", 3, 2)
     assert [a.layer for a in again.artifacts] == ["silver", "gold"]
     found = W.published(spark, r.tables, "silver", silver_schema(given), first=later.date())
-    assert rows(found, "city") == [("London",), ("Paris",)]
+    assert rows(found, "city") == [("Braga",), ("Turin",)]
     assert r.reprocess(given.schema, later, first=later.date()).error_message == "No data ingested"
 
 
 def test_manifest(spark, runner, raw):
     r = runner()
-    r.run(raw({}), RUN_TS, "one", ["London", "Rome"])
+    r.run(raw({}), RUN_TS, "one", ["Braga", "Rome"])
     found = P.manifests(r.tables.read_ops(spark, "lineage")).first()
-    assert (found["run_id"], found["entities"], found["artifact_count"]) == ("one", ["London", "Rome"], 3)
+    assert (found["run_id"], found["entities"], found["artifact_count"]) == ("one", ["Braga", "Rome"], 3)
     assert found["started_at"] == RUN_TS.replace(tzinfo=None)
 
 
@@ -282,16 +282,16 @@ def test_run_over_landed_payloads(spark, runner, tmp_path):
 
     folder = tmp_path / "landing"
     folder.mkdir()
-    given = [PAYLOAD, dict(PAYLOAD, name="Paris"), {"cod": 404, "name": "Rome"}, dict(PAYLOAD, name="Oslo")]
+    given = [PAYLOAD, dict(PAYLOAD, name="Turin"), {"cod": 404, "name": "Rome"}, dict(PAYLOAD, name="Oslo")]
     for i, payload in enumerate(given):
         (folder / f"{i}.json").write_text(json.dumps(payload))
     r = runner()
-    result = W.run_landing(r, str(folder), RUN_TS, ["London", "Paris", "Rome"], "landed")
+    result = W.run_landing(r, str(folder), RUN_TS, ["Braga", "Turin", "Rome"], "landed")
     assert (result.status, result.records_ingested, result.records_loaded) == ("success", 2, 2)
     failed = spark.read.parquet(r.tables.root + "/failed_payloads")
     assert rows(failed, "reason") == [("City not found: Rome",)]
     views.register_installation(spark, r.tables)
-    assert rows(spark.sql("SELECT city, country FROM v_latest_weather")) == [("London", "GB"), ("Paris", "GB")]
+    assert rows(spark.sql("SELECT city, country FROM v_latest_weather")) == [("Braga", "PT"), ("Turin", "PT")]
     assert rows(spark.sql("SELECT run_id, status, records_loaded FROM v_recent_runs")) == [("landed", "success", 2)]
     assert spark.sql("SELECT * FROM v_quality_summary").count() == 3
     assert views.latest_rows(spark, 1).count() == 1

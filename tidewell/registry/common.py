@@ -31,8 +31,6 @@ EVENTS = TableSpec(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # calendar dates and zone-free moments are UTC throughout
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -120,12 +120,13 @@ def broken_json(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, multi_line: bool = True
 ) -> DataFrame:
     """(path, text) of the files, or lines, that ``read_json`` skips because they do not parse."""
-    whole = _parsed_json(spark, paths, _ddl(spark, schema), multi_line)
-    if whole is None:
+    found = [p for p in ([paths] if isinstance(paths, str) else paths) if _exists(spark, p)]
+    if not found:
         return spark.createDataFrame([], "path string, text string")
-    # the reader refuses to return the broken text alone: a data column must be read with it
-    kept = whole.withColumn("_path", F.input_file_name()).filter(F.col(BROKEN).isNotNull())
-    return kept.select(F.col("_path").alias("path"), F.col(BROKEN).alias("text"))
+    texts = spark.read.text(found, wholetext=multi_line).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    # an object counts as an array of one; what is neither gives NULL
+    parsed = F.from_json("text", T.ArrayType(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema))
+    return texts.filter((F.trim("text") != "") & parsed.isNull())
 
 
 def _parsed_json(spark: SparkSession, paths: str | Sequence[str], ddl: str, multi_line: bool) -> DataFrame | None:
@@ -185,7 +186,8 @@ def latest_batch(df: DataFrame, batch: str = "batch") -> DataFrame:
     names of the files, so no file is opened to find the newest."""
     named = [X.partition_value(path, batch) for path in df.inputFiles()]
     held = [value for value in named if value is not None]
-    return df.filter(F.col(batch) == F.lit(max(held))) if held else df.limit(0)
+    newest = F.lit(max(held)) if held else df.agg(F.max(batch).alias("b")).scalar()
+    return df.filter(F.col(batch) == newest)
 
 
 def export_csv(df: DataFrame, path: str) -> str:
