@@ -1,39 +1,80 @@
-"""Connected components of a distributed edge list, by alternating star contractions.
+"""Connected components of a distributed edge list, by contraction inside tasks.
 
-Each round hangs every node's larger neighbours on its smallest one, then its smaller neighbours.
-The number of rounds grows with the logarithm of the longest chain. Nothing is collected.
+Every task contracts the edges it holds to one pointer per node, towards the smallest node it can
+reach there. Pointers are then dealt out by the node that points, so that all pointers of a node
+meet and contract again, until each node has a single one. What remains is a forest; its pointers
+are followed by doubling. A task holds its share of the pointers only, and a node that very many
+point to is never a key of the contraction.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import staged
 
+_EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("met", pa.bool_())])
+
+
+def contracted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node it reaches) of every node of the edges."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = places[: len(a)], places[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[x], label[y])
+        new = label.copy()
+        for ends in (x, y):
+            np.minimum.at(new, label[ends], least)
+            np.minimum.at(new, ends, least)
+        new = new[new]
+        if (new == label).all():
+            return nodes, nodes[label]
+        label = new
+
 
-def _large(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+def pointers(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pointers of the nodes that reach a smaller one."""
+    nodes, least = contracted(a, b)
+    moved = nodes != least
+    return nodes[moved], least[moved]
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pointers of a task's edges; ``met`` where a node came with several, so that they must meet again."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    if not held:
+        return
+    a, b = (np.concatenate(x) for x in zip(*held))
+    edges = np.unique(np.stack([a, b], 1), axis=0)
+    several = len(np.unique(edges[:, 0])) < len(edges)
+    nodes, least = pointers(edges[:, 0], edges[:, 1])
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(least), pa.array(np.full(len(nodes), several))], schema=_EDGE)
 
 
 def labels(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node of ``edges`` (two bigint columns): the smallest node it can reach."""
-    state = staged(edges.toDF("a", "b").filter("a <> b").distinct(), "edges")
-    before = None
+    """(node, label) of every node of ``edges`` (two bigint columns): the smallest node it can reach.
+
+    Edges from a node to itself say nothing. An empty list gives an empty result.
+    """
+    ddl = "a bigint, b bigint, met boolean"
+    state = edges.toDF("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    state = staged(state.mapInArrow(_contract, ddl), "pointers")
+    while True:
+        state = staged(state.select("a", "b").repartition("a").mapInArrow(_contract, ddl), "pointers")
+        if state.filter("met").isEmpty():
+            break
+    forest = state.select("a", "b")
     while True:
-        state = staged(_small(_large(state)), "edges")
-        mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
+        ahead = forest.select(F.col("a").alias("_at"), F.col("b").alias("_next"))
+        moved = forest.join(ahead, F.col("b") == F.col("_at"), "left")
+        moved = staged(moved.select("a", F.coalesce("_next", "b").alias("b"), F.col("_next").isNotNull().alias("moved")), "pointers")
+        forest = moved.select("a", "b")
+        if moved.filter("moved").isEmpty():
             break
-        before = mark
-    return state.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
-        state.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
-    )
+    roots = forest.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
+    return forest.toDF("node", "label").union(roots)

@@ -8,7 +8,7 @@
    tokens in a common order, of which the unshared come first). Classes that share one form clusters.
 4. Every cluster is joined by a signature tree in one task. A cluster too large for a task is dealt out
    in chunks that hold a few common pivots; then only what is not connected yet visits other chunks.
-5. Links are contracted to components.
+5. What is connected is contracted to components.
 
 Sets and classes are named by 64-bit hashes: among n classes the chance that any two share a name is
 about n * n / 4e19.
@@ -210,25 +210,49 @@ def shared_tokens(docs: DataFrame, text_col: str, words: int, hot: np.ndarray, t
     return staged(met.groupBy("part").applyInPandas(gather, "class bigint, n bigint, tokens binary, prefix bigint"), "candidate-sets")
 
 
+def _meeting(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between nodes that share a key."""
+    order = np.argsort(key, kind="stable")
+    key, node = key[order], node[order]
+    same = np.flatnonzero(key[1:] == key[:-1])
+    return node[same], node[same + 1]
+
+
 def clusters(sets: DataFrame) -> DataFrame:
-    """(class, cluster): classes that reach each other over tokens of their prefixes."""
+    """(class, cluster): classes that reach each other over tokens of their prefixes.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Classes that meet within a batch are contracted before anything is dealt out, so a token that
+    very many classes share arrives at its task as a few rows.
+    """
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
-            cls, tokens = [], []
-            for c, raw, k in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                own = np.frombuffer(raw, np.int64, k)
-                cls.append(np.full(k, c, np.int64))
-                tokens.append(own)
-            if cls:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cls)), pa.array(np.concatenate(tokens))], ["class", "token"])
-
-    prefixes = sets.select("class", "tokens", "prefix").mapInArrow(run, "class bigint, token bigint")
-    # a token's classes hang on the smallest of them: as many edges as postings
-    prefixes = staged(prefixes, "prefixes")
-    least = prefixes.groupBy("token").agg(F.min("class").alias("first"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    edges = prefixes.join(least, "token").filter("class <> first").select(F.col("first").alias("a"), F.col("class").alias("b"))
-    return components.labels(edges).select(F.col("node").alias("class"), F.col("label").alias("cluster"))
+            cls, raw, prefix = (batch.column(i).to_pylist() for i in range(3))
+            if not cls:
+                continue
+            token = np.concatenate([np.frombuffer(r, np.int64, k) for r, k in zip(raw, prefix)])
+            node = np.repeat(np.array(cls, np.int64), prefix)
+            members, least = components.pointers(*_meeting(token, node))
+            at = np.searchsorted(members, node)
+            inside = np.append(members, 0)[at] == node if len(members) else np.zeros(len(node), bool)
+            if inside.any():
+                node = np.where(inside, np.append(least, 0)[at], node)
+            pairs = np.unique(np.stack([token, node], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], schema=schema)
+            if len(members):
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(members), pa.int64()), pa.array(members), pa.array(least)], schema=schema)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        if held:
+            nodes, least = components.pointers(*_meeting(*(np.concatenate(x) for x in zip(*held))))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(least)], ["a", "b"])
+
+    rows = staged(sets.select("class", "tokens", "prefix").mapInArrow(prefixes, "token bigint, a bigint, b bigint"), "prefixes")
+    met = rows.filter("token is not null").select("token", "a").repartition("token").mapInArrow(meet, "a bigint, b bigint")
+    edges = met.union(rows.filter("token is null").select("a", "b"))
+    return components.labels(edges).toDF("class", "cluster")
 
 
 def _arrays(part: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
@@ -237,8 +261,8 @@ def _arrays(part: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
 
 def _within(share: Fraction):
     def work(part: pd.DataFrame) -> pd.DataFrame:
-        """Links that connect the similar classes of each cluster in the group."""
-        links: list[tuple[int, int]] = []
+        """Each class with the smallest class it is connected to among those of its cluster in the group."""
+        found: list[pd.DataFrame] = []
         for _, own in part.groupby("cluster", sort=True):
             own = own.drop_duplicates("class").sort_values("class")
             tokens, sizes = _arrays(own)
@@ -247,8 +271,10 @@ def _within(share: Fraction):
             names = own["class"].to_numpy()[order]
             tree = signature_tree.Tree(tokens, sizes[order], signature_tree.bits_for(tokens))
             groups = signature_tree.Groups(np.arange(len(names)))
-            links += [(names[i], names[j]) for i, j in signature_tree.join(tree, None, groups, (share.numerator, share.denominator))]
-        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+            signature_tree.join(tree, None, groups, (share.numerator, share.denominator))
+            least = pd.Series(names).groupby(groups.labels).transform("min").to_numpy()
+            found.append(pd.DataFrame({"a": names, "b": least}))
+        return pd.concat(found)
 
     return work
 
@@ -274,8 +300,8 @@ def _across(share: Fraction):
     return work
 
 
-def links(sets: DataFrame, share: Fraction) -> DataFrame:
-    """Edges (a, b) between classes whose components are those of all links."""
+def connected(sets: DataFrame, share: Fraction) -> DataFrame:
+    """(class, label): the smallest class reached over links; classes without a link may be missing."""
     member = staged(clusters(sets), "clusters")
     sizes = member.groupBy("cluster").agg(F.count("*").alias("size"))
     member = member.join(sizes, "cluster").withColumn("chunks", F.ceil(F.col("size") / TREE_CLASSES).cast("int"))
@@ -284,20 +310,19 @@ def links(sets: DataFrame, share: Fraction) -> DataFrame:
     tasks = max(1, -(-placed.count() // TREE_CLASSES))
     edge = "a bigint, b bigint"
     small = placed.filter("chunks = 1").select(F.pmod(F.xxhash64("cluster"), F.lit(tasks)).alias("task"), "cluster", "class", "n", "tokens")
-    found = small.groupBy("task").applyInPandas(_within(share), edge)
+    whole = small.groupBy("task").applyInPandas(_within(share), edge).toDF("class", "label")
     large = placed.filter("chunks > 1")
     if large.isEmpty():
-        return staged(found, "links")
+        return whole
     rank = Window.partitionBy("cluster").orderBy(F.xxhash64("class"), "class")
     picked = large.select("cluster", "class", "chunks").withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= PIVOTS)
     pivots = picked.drop("r").join(large.select("class", "n", "tokens"), "class").withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
     columns = ["cluster", "chunk", "class", "n", "tokens"]
     chunked = large.select(*columns).union(pivots.select(*columns))
-    found = staged(found.union(chunked.groupBy("cluster", "chunk").applyInPandas(_within(share), edge)), "links")
-    # what is not connected to the largest part of its cluster visits the chunks it shares a prefix token with
-    joined = components.labels(found)
-    state = large.join(joined, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class")).drop("node")
-    state = staged(state, "chunk-states")
+    found = staged(chunked.groupBy("cluster", "chunk").applyInPandas(_within(share), edge), "links")
+    joined = components.labels(found).withColumnRenamed("node", "class")
+    state = staged(large.join(joined, "class", "left").withColumn("label", F.coalesce("label", "class")), "chunk-states")
+    # what is not connected to the largest part of its cluster visits every chunk of it
     weights = state.groupBy("cluster", "label").count()
     main = weights.groupBy("cluster").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     strays = state.join(main, "cluster").filter("label <> main").drop("main")
@@ -307,8 +332,11 @@ def links(sets: DataFrame, share: Fraction) -> DataFrame:
     hosts = state.join(pieces, ["cluster", "chunk"]).withColumn("piece", F.explode(F.expr("sequence(0, pieces - 1)")))
     columns = ["cluster", "chunk", "piece", "class", "n", "tokens", "label"]
     meeting = visits.select(*columns, F.lit(True).alias("visitor")).union(hosts.select(*columns, F.lit(False).alias("visitor")))
-    more = meeting.groupBy("cluster", "chunk", "piece").applyInPandas(_across(share), edge)
-    return found.union(staged(more, "links"))
+    more = staged(meeting.groupBy("cluster", "chunk", "piece").applyInPandas(_across(share), edge), "links")
+    if more.isEmpty():
+        return whole.union(state.select("class", "label"))
+    last = components.labels(joined.select(F.col("class").alias("a"), F.col("label").alias("b")).union(more))
+    return whole.union(last)
 
 
 def join(
@@ -335,10 +363,9 @@ def join(
         # at most 2 * HOT times the mean set size of these
         frequent = often.groupBy("hot").agg(F.sum("n").alias("n")).filter(F.col("n") > max(count // (2 * HOT), 8 * TREE_CLASSES))
         hot = np.array(sorted(r["hot"] % (1 << 64) for r in frequent.select("hot").collect()), np.uint64)
-        edges = links(shared_tokens(docs, text_col, words, hot, total, share), share)
-        joined = components.labels(edges)
+        joined = connected(shared_tokens(docs, text_col, words, hot, total, share), share)
         group = F.coalesce("label", "class")
-        grouped = classes.join(joined, F.col("class") == F.col("node"), "left").select("class", "first", group.alias("group"))
+        grouped = classes.join(joined, "class", "left").select("class", "first", group.alias("group"))
         least = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
         named = grouped.join(least, "group").select("class", "component_id")
     else:
