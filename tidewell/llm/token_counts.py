@@ -9,6 +9,7 @@ where one started before; sums are updated on the paths to the root. Nothing els
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -43,7 +44,7 @@ class Tokenizer:
         except KeyError:
             if len(self.known) > TABLE_ROWS:
                 self.known.clear()
-            for part in set(parts) - self.known.keys():
+            for part in {p for p in parts if p not in self.known}:
                 self.known[part] = len(self.encoding.encode_ordinary(part))
             out = list(map(self.known.__getitem__, parts))
             for part in {p for p in parts if len(p) > 64}:
@@ -212,9 +213,14 @@ def count(
     return map_texts(rows, ["_text", "_edits"], list(keep), schema, fields, make)
 
 
+_MASKED = re.compile(
+    r"(?<![\w.+-])[\w.+-]+@[\w-]+\.[\w.-]*\w|\b(?=[a-fA-F]*\d)[0-9a-fA-F]{32,}\b|\b\d[\d ()+-]{8,}\d\b"
+)
+_MASK_SIGN = re.compile(r"[\d@]")
+
+
 def redactions(text: str) -> list[tuple[int, int, str]]:
     """Edits that mask mail addresses, long keys and long numbers, from the end to the start so that places stay valid."""
-    import re
-
-    found = re.finditer(r"[\w.+-]+@[\w-]+\.[\w.-]*\w|\b[0-9a-fA-F]{32,}\b|\b\d[\d ()+-]{8,}\d\b", text)
-    return [(m.start(), m.end(), "[masked]") for m in found][::-1]
+    if not _MASK_SIGN.search(text):
+        return []
+    return [(m.start(), m.end(), "[masked]") for m in _MASKED.finditer(text)][::-1]
