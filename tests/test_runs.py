@@ -206,6 +206,14 @@ def test_reprocessing_published_bronze(spark, runner, raw):
     assert r.reprocess(given.schema, later, first=later.date()).error_message == "No data ingested"
 
 
+def test_quarantine_expires(spark, runner, raw):
+    r = runner()
+    r.run(raw({}, {"city": "Oslo", "temperature_celsius": "200"}), RUN_TS, "one")
+    day = RUN_TS.date()
+    assert r.tables.expire(spark, day + dt.timedelta(days=90), {"bronze": 400}) == {"quarantine": [], "bronze": []}
+    assert r.tables.expire(spark, day + dt.timedelta(days=91), {}) == {"quarantine": [day]}
+
+
 def test_manifest(spark, runner, raw):
     r = runner()
     r.run(raw({}), RUN_TS, "one", ["Braga", "Rome"])

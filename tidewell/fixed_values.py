@@ -34,7 +34,6 @@ INFINITE_REASON = "cannot convert float infinity to integer"
 # --- gates ------------------------------------------------------------------
 SEVERITIES = ("info", "warning", "critical")
 LAYERS = ("bronze", "silver", "gold")
-RUN_STATUSES = ("running", "success", "failed", "blocked")
 ALERTED_STATUSES = ("failed", "blocked")
 NULL_PERCENT_CRITICAL = 10
 FRESHNESS_HOURS = 24

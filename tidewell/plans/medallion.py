@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .. import fixed_values as fixed
 from ..functions import enrichment as E, numeric as N
 from ..operators import cleaning as K, statistics as S
 from ..operators.gates import BLOCK, GateBlocked, GateResult
@@ -83,6 +84,15 @@ class Tables:
         """Receipts go to a folder named by run date and key: a repeated run updates its own."""
         rows.write.mode("overwrite").parquet(f"{self.ops(name)}/day={day.isoformat()}/receipt={'-'.join(key)}")
 
+    def expire(
+        self, spark: SparkSession, today: dt.date, keep_days: dict[str, int], quarantine_days: int = fixed.QUARANTINE_DAYS
+    ) -> dict[str, list[dt.date]]:
+        """Remove the day folders of layers (name: days kept) and of the quarantine that are too
+        old; returns the dates removed. Lineage rows of removed batches have to be expired with
+        them: readers of old days would miss their folders."""
+        wanted = {"quarantine": quarantine_days} | keep_days
+        return {layer: lake.expire_days(spark, f"{self.root}/{layer}", today, days) for layer, days in wanted.items()}
+
     def first_start(self, spark: SparkSession, run_id: str) -> dt.datetime | None:
         """When a run of this id first began; opens the receipt of that run only."""
         rows = self._receipts(spark, "runs").filter(F.col("receipt") == run_id)
