@@ -9,18 +9,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..sources.workspace import scratch
+from ..sources.workspace import scratch, setting
 
 #: Text bytes handled at once inside a task: bounds memory whatever the batch of the engine holds.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Rows sent to a Python worker at once while a frame is staged.
+BATCH_ROWS = 1_000
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again: computed once, lineage cut,
     and safe against lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    least = min(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")), BATCH_ROWS)
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(least)):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_remainder(column: str, divisor: int) -> Column:
@@ -39,6 +43,7 @@ def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
         size += length
     if start < batch.num_rows:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def package_file(path: str) -> bytes:

@@ -29,7 +29,7 @@ from .common import slices, staged
 from .shingles import set_key, shingle_sets
 
 #: Tokens packed at once in a task; tokens counted in one task on average; most buckets of one pass.
-BATCH_TOKENS, BUCKET_TOKENS, MOST_BUCKETS = 1_000_000, 2_000_000, 16_384
+BATCH_TOKENS, BUCKET_TOKENS, MOST_BUCKETS = 600_000, 1_000_000, 16_384
 #: Classes of a signature tree in one task, on average, and pivots of a cluster that needs several.
 TREE_CLASSES, PIVOTS = 256, 8
 #: A token in more than one in HOT classes is dealt out by batch, not by its hash.
@@ -151,13 +151,14 @@ def shared_tokens(docs: DataFrame, text_col: str, words: int, hot: np.ndarray, t
             sizes.append(_unpack(row.sizes, 4)[owners])
             tokens.append(_unpack(row.tokens, 8))
         owner, size, token = np.concatenate(classes), np.concatenate(sizes), np.concatenate(tokens)
+        del classes, sizes, tokens, part
         order = np.lexsort((owner, token))
         owner, size, token = owner[order], size[order], token[order]
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])])
         owner, size, token = owner[new], size[new], token[new]
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         counts = np.diff(np.concatenate([first, [len(token)]]))
-        level = np.repeat(np.minimum(counts, 65534), counts).astype(np.uint16)
+        level = np.repeat(np.minimum(counts, 65534).astype(np.uint16), counts)
         if len(hot):
             level[hot[np.minimum(np.searchsorted(hot, token), len(hot) - 1)] == token] = 65535
         kept = level > 1

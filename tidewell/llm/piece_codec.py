@@ -20,7 +20,7 @@ from .common import package_file, slices
 MARK = "▁"
 CHUNK = re.compile(" +[^ ]*")
 #: Distinct chunks remembered in a task, and the longest chunk remembered: a bound of memory, not of results.
-TABLE_ROWS, TABLE_CHARS = 200_000, 64
+TABLE_ROWS, TABLE_CHARS = 100_000, 64
 
 
 def check_model(model) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at once: eight times as much memory is held for a moment, a few times over.
-PIECE = 2 << 20
+PIECE = 512 << 10
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

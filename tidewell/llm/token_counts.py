@@ -19,7 +19,7 @@ from .common import map_texts, package_file
 
 #: Pre-tokens in a new leaf; characters beyond its end on which a pre-token may depend.
 LEAF, AHEAD = 64, 4
-TABLE_ROWS = 300_000
+TABLE_ROWS = 200_000
 
 
 class Tokenizer:
