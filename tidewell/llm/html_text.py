@@ -45,7 +45,9 @@ BOILER_NAMES = re.compile(
     r"(?<![a-z])(?:ads?|advert|adverts|advertisements?|advertising|banners?|sponsor|sponsored|sponsors|promos?|promotions?|nav|navbar|"
     r"navigation|menus?|sidebars?|footers?|breadcrumbs?|pagination|pager|cookies?|consent|gdpr|notices?|popups?|modal|overlay|"
     r"comments?|commentlist|respond|replies|reply|disqus|discussion|social|shar(?:e|ing)|related|recommend(?:ed|ations?)?|newsletter|"
-    r"subscribe|subscription|signup|login|search|toolbar|widgets?|copyright|disclaimer|skip|outbrain|taboola)(?![a-z])"
+    r"subscribe|subscription|signup|login|search|toolbar|widgets?|copyright|disclaimer|skip|outbrain|taboola|"
+    r"ad(?:box|slot|unit|space|wrap|wrapper|container)|cookie(?:bar|banner|notice)|(?:top|side|sub|main|site)(?:nav|menu|footer)|"
+    r"(?:comment|reply)(?:form|box|section|area|thread))(?![a-z])"
 )
 WEAK_NAMES = re.compile(r"(?<![a-z])(?:headers?|masthead|side|rail|foot|legal|toc|tags|logo|brand|topbar|alerts?)(?![a-z])")
 CONTENT_NAMES = re.compile(
