@@ -386,12 +386,13 @@ def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> Data
         F.count("*").alias("_rows"), F.min("component_id").alias("component_id")
     ).filter(F.col(id_col) == F.col("component_id"))
     ids = staged(ids.select(id_col, "_rows"), "kept-ids")
-    once = docs.join(ids.filter("_rows = 1").select(id_col), id_col, "left_semi").select(docs.columns)
+    # the list of ids grows with the documents: it is merged, not broadcast, at every size
+    once = docs.join(ids.filter("_rows = 1").select(id_col).hint("merge"), id_col, "left_semi").select(docs.columns)
     out = once.union(docs.filter(F.col(id_col).isNull()))
     repeated = ids.filter("_rows > 1").select(id_col)
     if repeated.isEmpty():
         return out
-    rows = docs.join(repeated, id_col, "left_semi")
+    rows = docs.join(repeated.hint("merge"), id_col, "left_semi")
     whole = F.struct(*[F.col(c) for c in docs.columns])
     first = rows.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("_row"))
     return out.union(first.select("_row.*"))
