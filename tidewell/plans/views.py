@@ -22,9 +22,10 @@ LATEST_COLUMNS = (
 
 def register(
     gold: DataFrame, runs: DataFrame, gates: DataFrame, entity: str = "city",
-    event_time: str = "recorded_at", tie_break: tuple[str, ...] = (),
+    event_time: str = "recorded_at", tie_break: tuple[str, ...] = (), prefix: str = "",
 ) -> None:
-    """Register the three tables and the three views over them."""
+    """Register the three tables and the three views over them, their names after ``prefix``:
+    views of the same names in the session are replaced."""
     tables = {GOLD: gold, RUNS: runs, GATES: gates}
     latest = latest_per_key(gold, [entity], event_time, tie_break)
     shown = [c for c in LATEST_COLUMNS if c in latest.columns] if entity == "city" else latest.columns
@@ -34,7 +35,7 @@ def register(
         RECENT: recent_runs(runs, fixed.RUN_STATS_WINDOW),
     }
     for name, df in (tables | views).items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(prefix + name)
 
 
 def register_installation(spark: SparkSession, tables: Tables, spec: TableSpec = WEATHER) -> None:

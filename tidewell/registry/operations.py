@@ -12,6 +12,8 @@ from ..plans import receipts as P, reports as V, views as W
 from . import common as C
 
 NOW = dt.datetime(2000, 6, 1)
+# before the names of the temporary views of a query, so that none of the caller's is replaced
+_VIEWS = "registered_"
 
 
 def quality_trend(spark, sf_dir):
@@ -90,12 +92,12 @@ def sql_views(spark, sf_dir):
     """The views queried in SQL: newest runs, newest gate days, newest event per user."""
     gates = C.gates(spark, sf_dir)
     events = C.events(spark, sf_dir).withColumnRenamed("ts", "recorded_at")
-    W.register(events, C.runs(spark, sf_dir), gates, "user_id", "recorded_at", ("event_id",))
+    W.register(events, C.runs(spark, sf_dir), gates, "user_id", "recorded_at", ("event_id",), _VIEWS)
     return spark.sql(f"""
-        SELECT 'latest' AS source, CAST(user_id AS STRING) AS name, CAST(event_id AS DOUBLE) AS value FROM {W.LATEST}
-        UNION ALL SELECT 'summary', layer, CAST(count(*) AS DOUBLE) FROM {W.SUMMARY} GROUP BY layer
-        UNION ALL SELECT 'recent', 'runs', CAST(count(*) AS DOUBLE) FROM {W.RECENT}
-        UNION ALL SELECT 'gates', layer, CAST(max(total_records) AS DOUBLE) FROM {W.GATES} GROUP BY layer""")
+        SELECT 'latest' AS source, CAST(user_id AS STRING) AS name, CAST(event_id AS DOUBLE) AS value FROM {_VIEWS}{W.LATEST}
+        UNION ALL SELECT 'summary', layer, CAST(count(*) AS DOUBLE) FROM {_VIEWS}{W.SUMMARY} GROUP BY layer
+        UNION ALL SELECT 'recent', 'runs', CAST(count(*) AS DOUBLE) FROM {_VIEWS}{W.RECENT}
+        UNION ALL SELECT 'gates', layer, CAST(max(total_records) AS DOUBLE) FROM {_VIEWS}{W.GATES} GROUP BY layer""")
 
 
 def metrics_issues(spark, sf_dir):
