@@ -2,8 +2,8 @@
 
 Each task takes its rows in blocks. A block keeps one list per component, sorted once. For a query
 the lists are read in step from their better end; what was read gives every row a lower and an
-upper bound of its score. Reading stops when few rows can still reach the k-th lower bound (which
-is carried from block to block), and their scores are resolved. Queries travel in groups of a
+upper bound of its score. Reading stops when few rows can still reach the k-th lower bound, or the
+k-th score of the blocks before, and the scores of these rows are resolved. Queries travel in groups of a
 checked size, one pass over the rows per group.
 """
 
@@ -16,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Rows in a block; bytes of queries sent with a pass; and the largest size of a whole-number component.
-BLOCK_ROWS, QUERY_BYTES, LARGEST = 16_384, 32 << 20, 1 << 21
+BLOCK_ROWS, QUERY_BYTES, LARGEST = 2_048, 32 << 20, 1 << 21
+#: Eighths of the lists read before the bounds are compared, and the share of rows that may be left to resolve.
+READ_EIGHTHS, LEFT = (4, 5, 6, 8), 8
 
 
 def whole_numbers(vectors: list, scale: int) -> tuple[list[int], list[np.ndarray]]:
@@ -57,9 +59,9 @@ class Block:
             possible = np.flatnonzero(~own)
             return np.zeros(len(possible)), self.ids[possible]
         least = gains[:, -1:]
-        above, read, depth = np.full(n, float(least.sum())), 0, max(64, n // 32)
-        while True:
-            depth = min(depth, n)
+        above, read = np.full(n, float(least.sum())), 0
+        for eighths in READ_EIGHTHS:
+            depth = max(n * eighths // 8, 1)
             part = rows[:, read:depth]
             above += np.bincount(part.ravel(), (gains[:, read:depth] - least).ravel(), n)
             read = depth
@@ -70,9 +72,9 @@ class Block:
             lower = np.where(own, -np.inf, above)
             bound = max(reached, np.partition(lower, n - k)[n - k]) if n > k else reached
             possible = np.flatnonzero((upper >= bound) & ~own)
-            if depth == n or len(possible) <= max(4 * k, n // 64):
-                return self.rows[possible] @ q, self.ids[possible]
-            depth *= 2
+            if len(possible) <= max(4 * k, n // LEFT):
+                break
+        return self.rows[possible] @ q, self.ids[possible]
 
 
 def search(vectors: DataFrame, is_query: Column, k: int, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
