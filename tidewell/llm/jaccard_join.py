@@ -206,7 +206,7 @@ def shared_tokens(docs: DataFrame, text_col: str, words: int, hot: np.ndarray, t
     met = None
     for cut in range(cuts):
         some = deal(cut).groupBy("part").applyInPandas(meet, dealt)
-        some = staged(some, "shared-tokens")
+        some = staged(some, "shared-tokens") if cuts > 1 else some
         met = some if met is None else met.unionByName(some)
     return staged(met.groupBy("part").applyInPandas(gather, "class bigint, n bigint, tokens binary, prefix bigint"), "candidate-sets")
 
