@@ -1,3 +1,4 @@
+import base64
 import zlib
 
 import numpy as np
@@ -91,3 +92,28 @@ def test_language_query_on_held_out_rows(spark):
     assert all(h == (zlib.crc32(str(i).encode()) % 3 == 1) for i, h in zip(got.doc_id, got.held_out))
     both = got[got.held_out].merge(docs, on="doc_id")
     assert (both.lang_pred == both.lang).mean() > 0.97 and got.rejected.mean() < 0.005
+
+
+POLISH = """Wczoraj wieczorem poszliśmy do teatru, ponieważ nasi przyjaciele dostali bilety na nową sztukę. Było bardzo
+ciekawie i wszyscy śmiali się głośno. Potem wróciliśmy do domu pieszo, bo noc była ciepła, a ulice puste i ciche."""
+RUSSIAN = "Сегодня хорошая погода, и мы пошли гулять в парк, где играли дети и пели птицы."
+JAPANESE = "日本語の文章は漢字とひらがなとカタカナで書かれます。今日は天気が良いので散歩に行きました。" * 6
+JUNK = {
+    1: POLISH, 2: "Dziękuję bardzo za wszystko", 3: RUSSIAN, 4: RUSSIAN * 20, 5: JAPANESE,
+    6: base64.b64encode(np.random.default_rng(1).bytes(900)).decode(),
+    7: " ".join("".join(w) for w in np.random.default_rng(2).choice(list("abcdefghijklmnopqrstuvwxyz"), (150, 6))),
+}
+
+
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    docs = queries.read(spark, SF_DIR, "documents").select("doc_id", "text", "lang")
+    whole = docs.filter("lang is not null and length(text) > 200").limit(200).collect()
+    planted = spark.createDataFrame([(-i, t, None) for i, t in JUNK.items()], docs.schema)
+    shorts = [(-100 - n, r.text[: r.text.rfind(" ", 0, 90)], r.lang) for n, r in enumerate(whole) if " " in r.text[:90]]
+    # odd rows with a label do not open the door for their like
+    odd = spark.createDataFrame([(-1000, JUNK[6] + "x", "en"), (-1001, JAPANESE + JAPANESE[:40], "de"), (-1002, "zq", "fr")], docs.schema)
+    model = language_id.fit(docs.union(odd), F.lit(True))
+    got = {r.doc_id: r for r in language_id.predict(docs.union(planted).union(spark.createDataFrame(shorts, docs.schema)), model).collect()}
+    assert [i for i in JUNK if not got[-i].rejected] == []
+    assert sum(got[i].rejected for i, *_ in shorts) <= 0.03 * len(shorts)
+    assert sum(r.rejected for i, r in got.items() if i >= 0) <= 5
