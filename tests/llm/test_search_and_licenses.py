@@ -1,3 +1,5 @@
+import textwrap
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -86,3 +88,120 @@ def test_sentence_keys_are_normal_forms(spark):
     got = [r[0] for r in df.select(licenses.sentence_keys(F.col("text"))).collect()]
     assert got == [[k] for k in keys]
     assert {i for ids, _ in licenses.RULES for i in ids} <= set(licenses.SENTENCES.values())
+
+
+GNU = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU {0}General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {0}General Public License for more details.
+
+You should have received a copy of the GNU {0}General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+BSD = """Copyright (c) 2020, X
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{0}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+NOTICES = {
+    "Apache-2.0": """Copyright 2020 X
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "MIT": """MIT License
+
+Copyright (c) 2020 X
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.""",
+    "BSD-2-Clause": BSD.format(""),
+    "BSD-3-Clause": BSD.format("""
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""),
+    "GPL": GNU.format(""),
+    "LGPL": GNU.format("Lesser "),
+    "AGPL": GNU.format("Affero "),
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software.""",
+}
+SHORT = {  # sentences that go on after the key
+    "MIT": "Licensed under the MIT License in 2020 by us.",
+    "BSD-2-Clause": "This project is licensed under the BSD 2-Clause License, as in the file.",
+    "BSD-3-Clause": "Licensed under the BSD 3-Clause License (see below).",
+    "GPL-2.0": "Licensed under the GNU General Public License, version 2 or later.",
+    "GPL-3.0": "Released under the GNU General Public License, version 3 or later.",
+    "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License v3.0 only.",
+    "AGPL-3.0": "Licensed under the GNU Affero General Public License, version 3, as published.",
+    "CC0-1.0": "This work is licensed under CC0 1.0 Universal.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+}
+
+
+def test_standard_notices_wrapped_and_unwrapped(documents):
+    assert {name for _, name in licenses.RULES + licenses.MORE_RULES} == NOTICES.keys() | SHORT.keys()
+    wants, rows = [], []
+    for name, text in [*NOTICES.items(), *SHORT.items()]:
+        flat = "\n\n".join(" ".join(p.split()) for p in text.split("\n\n"))
+        narrow = "\n\n".join("\n".join(textwrap.wrap(p, 30)) for p in flat.split("\n\n"))
+        comment = "\r\n".join(f" * {line}".rstrip() for line in text.split("\n"))
+        for form in (text, flat, narrow, comment):
+            wants.append(name)
+            rows.append((len(rows), f"Some words\n\n{form}\n\nMore words."))
+    got = {r.doc_id: (list(r.licenses), list(r.unclaimed)) for r in licenses.scan(documents(rows)).collect()}
+    assert [(w, got[i], rows[i][1]) for i, w in enumerate(wants) if got[i] != ([w], [])] == []
+
+
+def test_known_sentences_end_and_start_with_their_words(documents):
+    rows = [(1, "Licensed under the MIT Licenses"), (2, "It is not licensed under the MIT License"), (3, "All rights.\nReserved"),
+            (4, "All rights\n\nreserved"), (5, "All rights\nreserved"), (6, "x" + " . ! \n" * 50_000 + "all rights" + " ;\t" * 50_000 + "reserved"),
+            (7, ("." * 50_000 + " \n" + "\u65e5" * 50_000) * 2 + "all rights reserved")]
+    got = {r.doc_id: list(r.sentence_ids) for r in licenses.scan(documents(rows)).collect()}
+    assert got == {1: [], 2: [], 3: [], 4: [], 5: ["reserved"], 6: ["reserved"], 7: ["reserved"]}

@@ -1,9 +1,10 @@
 """Licence scans: known licence sentences, then ordered rules over the sequence of their identifiers.
 
-A text is split into sentences; each is normalised (lower case, words only, its subject dropped,
-the first KEY_WORDS words kept, so that a wrapped line still names its sentence) and looked up.
-Unknown sentences are left out. Rules are tried in order over what remains: the first that finds
-its identifiers next to each other claims them. All of it is column expressions on one row.
+Known sentences are looked for where a sentence or a line starts: their opening words in lower case,
+whatever stands between the words, a subject before them or not. They go on over single line ends,
+colons and semicolons, but not over a sentence end or an empty line; of several the longest counts.
+Rules are tried in order over the sequence found: the first that finds its identifiers next to each
+other claims them. All of it is column expressions on one row.
 """
 
 from __future__ import annotations
@@ -67,6 +68,29 @@ SENTENCES = {
     "all rights reserved": "reserved",
 }
 
+#: Further openings, for notices whose wording differs from those above.
+MORE_SENTENCES = {
+    "the asf licenses this file to you under the apache license version 2 0": "apache2",
+    "you should have received a copy of the gnu lesser general public license": "lgpl_copy",
+    "you should have received a copy of the gnu library general public license": "lgpl_copy",
+    "you should have received a copy of the gnu affero general public license": "agpl_copy",
+    "released under the gnu general public license version 2": "gpl2",
+    "licensed under the gnu general public license v2": "gpl2",
+    "licensed under the gnu general public license v3": "gpl3",
+    "licensed under the gnu lesser general public license v3": "lgpl3",
+    "licensed under the gnu affero general public license v3": "agpl3",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "permission to use copy modify and distribute this software": "isc_grant",
+    "marked with cc0 1 0": "cc0",
+} | {
+    f"licensed under {article} creative commons attribution {words} 4 0 international license": f"cc_{name}"
+    for article in ("a", "the")
+    for words, name in (
+        ("sharealike", "by_sa"), ("noncommercial", "by_nc"), ("noderivatives", "by_nd"),
+        ("noncommercial sharealike", "by_nc_sa"), ("noncommercial noderivatives", "by_nc_nd"),
+    )
+}
+
 #: Rules in the order in which they are tried, longer ones of a family first.
 RULES = (
     (("apache2", "apache2_comply", "apache2_copy", "apache2_unless", "apache2_see"), "Apache-2.0"),
@@ -97,30 +121,41 @@ RULES = (
     (("cc0",), "CC0-1.0"),
 )
 
-#: Where sentences end, what is no word, and subjects before "licensed", "released" and so on.
+#: Rules tried after those above.
+MORE_RULES = (
+    (("gpl_free", "gpl_hope", "lgpl_copy"), "LGPL"),
+    (("gpl_free", "gpl_hope", "agpl_copy"), "AGPL"),
+)
+
+#: Fixed values of the check SQL: where sentences end, what is no word, and subjects before "licensed", "released" and so on.
 BREAK = r"[.!?:;]+[ \t\r]+|[ \t\r]*\n[ \t\r\n]*"
 NO_WORD = "[^a-z0-9]+"
 SUBJECT = "^(this|the) (work|file|software|program|project|document|code|text|library|source code form) (is|was) "
 
 
-def sentence_keys(text: Column) -> Column:
-    """The lookup key of each sentence of a text, in order."""
-    words = F.trim(F.regexp_replace(F.lower(text), NO_WORD.replace("0-9", r"0-9\n.!?:; \t\r"), " "))
-    return F.transform(
-        F.split(words, BREAK),
-        lambda s: F.substring_index(
-            F.regexp_replace(F.trim(F.regexp_replace(s, NO_WORD, " ")), SUBJECT, ""), " ", KEY_WORDS
-        ),
-    )
+#: Where a known sentence may start: at the start of the text, after a sentence end or a line end.
+START = r"(?:^|[.!?:;][^a-z0-9.!?:;\n]|\n)[^a-z0-9.!?:;\n]*+[.!?:;]*+"
+#: What may stand between its words: no sentence end and no empty line.
+BETWEEN = r"(?:[^a-z0-9.!?\n]|[.!?][.!?:;]*+(?=[a-z0-9])|\n(?![ \t\r]*\n))++"
+
+
+def sentence_keys(text: Column, sentences: dict[str, str] | None = None) -> Column:
+    """The known sentences of a text, as their keys, in order."""
+    known = sentences or SENTENCES | MORE_SENTENCES
+    words = "|".join(sorted(known, key=len, reverse=True)).replace(" ", BETWEEN)
+    subject = SUBJECT.removeprefix("^").replace("(", "(?:").replace(" ", BETWEEN)
+    pattern = f"{START}(?:{subject})?({words})(?![a-z0-9])"
+    found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda s: F.regexp_replace(s, NO_WORD, " "))
 
 
-def claimed(sequence: Column, rules: tuple = RULES) -> Column:
+def claimed(sequence: Column, rules: tuple = RULES + MORE_RULES) -> Column:
     """The sequence text (",a,,b,") with what each rule claims replaced by "<licence>"."""
     pattern = lambda ids: "".join(f",{i}," for i in ids)  # noqa: E731  identifiers hold no special characters
     return reduce(lambda col, rule: F.regexp_replace(col, pattern(rule[0]), f"<{rule[1]}>"), rules, sequence)
 
 
-def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: tuple = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: tuple = RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, sentence_ids array, licenses array, unclaimed array) of every row.
 
     ``sentence_ids`` are the known sentences in text order; ``licenses`` the rules that claimed
@@ -128,9 +163,10 @@ def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: tuple
     empty texts have empty arrays. Repeated rows stay repeated; other columns are left out.
     Narrow: nothing is shuffled, and the whole text is read.
     """
-    table = F.create_map(*[F.lit(x) for pair in (sentences or SENTENCES).items() for x in pair])
-    keys = sentence_keys(F.coalesce(F.col(text_col), F.lit("")))
-    known = F.filter(F.transform(keys, lambda k: F.try_element_at(table, k)), lambda i: i.isNotNull())
+    sentences = sentences or SENTENCES | MORE_SENTENCES
+    table = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
+    keys = sentence_keys(F.coalesce(F.col(text_col), F.lit("")), sentences)
+    known = F.transform(keys, lambda k: F.try_element_at(table, k))
     # one short row per document from here on: the generator keeps the lookup from being repeated per use
     found = docs.select(F.col(id_col), F.explode(F.array(known)).alias("sentence_ids"))
     sequence = F.array_join(F.transform("sentence_ids", lambda i: F.concat(F.lit(","), i, F.lit(","))), "")
