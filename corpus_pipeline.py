@@ -32,7 +32,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return jaccard_join.keep_one(docs, jaccard_join.join(docs))
+    return jaccard_join.one_of_each_group(docs)
 
 
 def free_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,6 +144,30 @@ def test_one_of_each_group_stays(documents):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 3, 4, 5, None]
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(documents):
+    one, two, three = "a b c d e f", "k l m n o p", "u v w x y z"
+    rows = [(2, one), (3, one), (3, two), (9, two), (None, one), (None, three), (None, three), (4, None), (4, None), (4, ""),
+            (None, None), (None, " "), (7, "q r s"), (7, "q r s"), (5, "q r s")]
+    df = documents(rows)
+    kept = J.one_of_each_group(df)
+    assert kept.columns == df.columns
+    want = [(2, one), (3, two), (None, three), (4, None), (4, ""), (None, None), (None, " "), (5, "q r s")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert J.one_of_each_group(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_groups_of_repeated_ids_keep_one_row(documents, seed):
+    rows = [(None if i is None else i % 40, t) for i, t in near_copies(seed)]
+    whole = brute([(n, t) for n, (_, t) in enumerate(rows)])  # by row number: what is connected
+    group = {n: g for n, size, g in whole if size}
+    number = {}
+    for n, r in enumerate(rows):
+        number.setdefault(r, n)
+    kept = [(r.doc_id, r.text) for r in J.one_of_each_group(documents(rows).repartition(4)).collect()]
+    assert sorted(group[number[r]] for r in kept if number[r] in group) == sorted(set(group.values()))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     draw = random.Random(seed)

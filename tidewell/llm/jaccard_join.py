@@ -22,7 +22,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import components, signature_tree
 from .common import slices, staged
@@ -57,18 +57,23 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, part.column(1).to_pylist()
 
 
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """Names a row by its id and text."""
+    return F.xxhash64(docs[id_col].cast("bigint"), docs[text_col])
+
+
 def digests(docs: DataFrame, id_col: str, text_col: str, words: int) -> tuple[DataFrame, DataFrame]:
-    """Staged: (id, n_shingles, class) of every row; and tokens frequent in some batch, with their counts."""
+    """Staged: (id, n_shingles, class, row) of every row; and tokens frequent in some batch, with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("hot", pa.int64())])
+        schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("hot", pa.int64()), ("row", pa.int64())])
         for part, texts in _texts(batches):
             sets = shingle_sets(texts, words)
             keys = [set_key(s) if len(s) else None for s in sets]
             n = len(keys)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
-                 pa.nulls(n, pa.int64())], schema=schema)
+                 pa.nulls(n, pa.int64()), part.column(2)], schema=schema)
             distinct = [s for k, s in {k: s for k, s in zip(keys, sets)}.items() if k is not None]
             if distinct:
                 tokens, counts = np.unique(np.concatenate(distinct), return_counts=True)
@@ -76,10 +81,11 @@ def digests(docs: DataFrame, id_col: str, text_col: str, words: int) -> tuple[Da
                 if often.any():
                     yield pa.RecordBatch.from_arrays(
                         [pa.nulls(int(often.sum()), pa.int64()), pa.array(counts[often], pa.int64()), pa.nulls(int(often.sum()), pa.int64()),
-                         pa.array(tokens[often].view(np.int64))], schema=schema)
+                         pa.array(tokens[often].view(np.int64)), pa.nulls(int(often.sum()), pa.int64())], schema=schema)
 
     rows = staged(
-        docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id bigint, n bigint, class bigint, hot bigint"),
+        docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), row_key(docs, id_col, text_col).alias("row"))
+        .mapInArrow(run, "id bigint, n bigint, class bigint, hot bigint, row bigint"),
         "set-digests",
     )
     return rows.filter("hot is null").drop("hot"), rows.filter("hot is not null").select("hot", "n")
@@ -340,19 +346,8 @@ def connected(sets: DataFrame, share: Fraction) -> DataFrame:
     return whole.union(last)
 
 
-def join(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: str = "0.75",
-) -> DataFrame:
-    """(id, n_shingles, component_id) of every row of ``docs``.
-
-    Two documents are linked when the Jaccard similarity of their sets of ``words``-word shingles is
-    at least ``similarity`` (a decimal text, compared exactly); ``component_id`` is the smallest id that
-    can be reached over links, the own id included. A text of fewer words is one shingle; null and
-    empty texts, and texts of blanks, have no shingle, are linked with nothing and keep their own id.
-    Equal texts are linked however many there are. Rows without an id take part, but name no
-    component: theirs is null unless they reach an id. Repeated rows stay repeated. Other columns
-    play no part.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: str) -> tuple[DataFrame, DataFrame]:
+    """(id, n, class, row) of every row; and (class, group, component_id) of the classes, linked ones in one group."""
     share = Fraction(similarity)
     if not 0 < share <= 1:
         raise ValueError("the similarity is above 0 and 1 at most")
@@ -368,19 +363,69 @@ def join(
         group = F.coalesce("label", "class")
         grouped = classes.join(joined, "class", "left").select("class", "first", group.alias("group"))
         least = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
-        named = grouped.join(least, "group").select("class", "component_id")
+        named = grouped.join(least, "group").select("class", "group", "component_id")
     else:
-        named = classes.select("class", F.col("first").alias("component_id"))
+        named = classes.select("class", F.col("class").alias("group"), F.col("first").alias("component_id"))
+    return rows, named
+
+
+def join(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: str = "0.75",
+) -> DataFrame:
+    """(id, n_shingles, component_id) of every row of ``docs``.
+
+    Two documents are linked when the Jaccard similarity of their sets of ``words``-word shingles is
+    at least ``similarity`` (a decimal text, compared exactly); ``component_id`` is the smallest id that
+    can be reached over links, the own id included. A text of fewer words is one shingle; null and
+    empty texts, and texts of blanks, have no shingle, are linked with nothing and keep their own id.
+    Equal texts are linked however many there are. Rows without an id take part, but name no
+    component: theirs is null unless they reach an id. Repeated rows stay repeated. Other columns
+    play no part.
+    """
+    rows, named = _grouped(docs, id_col, text_col, words, similarity)
     out = rows.filter("class is not null").join(named, "class").select("id", "n", "component_id")
     alone = rows.filter("class is null").select("id", "n", F.col("id").alias("component_id"))
     return out.union(alone).toDF(id_col, "n_shingles", "component_id")
 
 
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: str = "0.75",
+) -> DataFrame:
+    """The rows of ``docs`` without near copies: exactly one of each group that links connect, whatever its ids.
+
+    It is the one of the smallest id; a row without an id only where its group has no other. Of rows that
+    repeat id and text one stays, the smallest by a hash of its columns. An id that repeats with texts of
+    several groups may stay once for each. Rows without a shingle are linked with nothing: each id and
+    text of them stays once, and all of those without an id.
+    """
+    rows, named = _grouped(docs, id_col, text_col, words, similarity)
+    linked = rows.filter("class is not null").join(named.select("class", "group"), "class")
+    copies = linked.groupBy("group", "row", "id").agg(F.count("*").alias("copies"))
+    first = copies.groupBy("group").agg(F.min(F.struct(F.isnull("id").alias("nameless"), "id", "row", "copies")).alias("first"))
+    alone = rows.filter("class is null").groupBy("row").agg(F.count("id").alias("copies"))
+    kept = first.select("first.row", "first.copies").union(alone)
+    kept = staged(kept.select(F.col("row").alias("_kept"), "copies"), "kept-rows")
+    # the list of rows grows with the documents: it is merged, not broadcast, at every size
+    def of(keys: DataFrame) -> DataFrame:
+        keys = keys.select("_kept").hint("merge")
+        return docs.join(keys, row_key(docs, id_col, text_col) == keys["_kept"], "left_semi")
+
+    once = of(kept.filter("copies <= 1"))
+    repeated = kept.filter("copies > 1")
+    if repeated.isEmpty():
+        return once
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    rows = of(repeated)
+    one = rows.groupBy(row_key(docs, id_col, text_col).alias("_id")).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("_row"))
+    return once.union(one.select("_row.*"))
+
+
 def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id names its component in ``joined`` (of ``join``): one document of each group.
 
-    An id is one document: of rows that repeat an id one stays, the smallest by a hash of its
-    columns. Rows without an id stay, as nothing can name them.
+    For tables in which an id is one document: of rows that repeat an id one stays, the smallest by a
+    hash of its columns, and where their texts differ, a group may go without a survivor. Rows without an
+    id stay, as nothing can name them. ``one_of_each_group`` works on rows and has neither limit.
     """
     ids = joined.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.count("*").alias("_rows"), F.min("component_id").alias("component_id")
