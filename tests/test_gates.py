@@ -158,6 +158,36 @@ def test_block_text_holds_three_issues(cities):
     assert text.count("range_check") == 2
 
 
+@pytest.mark.parametrize("worst, status, listed", [("critical", "blocked", 101), ("warning", "warned", 101), (None, "passed", 100)])
+def test_a_rule_with_many_issues_keeps_its_verdict(spark, worst, status, listed):
+    """The only severe issue is the last of the frame; one more issue tells what is not listed."""
+    n = 250 if worst else 100
+
+    def per_row(df):
+        severity = F.when(F.col("id") == n - 1, worst or "info").otherwise("info")
+        text = F.format_string("row %04d", F.col("id"))
+        return df.select(R.issue("per_row", severity, text, F.col("id"), {"id": F.col("id")}).alias("i")).select("i.*")
+
+    df, rules = spark.range(0, n, 1, 3), [R.FrameRule("per_row", per_row), R.null_check(["id"]), R.FrameRule("none", lambda df: per_row(df).limit(0))]
+    result = G.Gate("g", "warn", "r", rules).evaluate(df, "gold", RUN_TS)
+    assert (result.status, len(result.issues)) == (status, listed)
+    assert result.metrics == {
+        "total_records": n, "rules_evaluated": 3, "issues_found": n,
+        "critical_issues": int(worst == "critical"), "warning_issues": int(worst == "warning"),
+    }
+    assert result.issues[0].message == (f"row {n - 1:04d}" if worst else "row 0000")
+    assert [i.details["id"] for i in result.issues[1:100]] == [str(i) for i in range(0 if worst else 1, 99 if worst else 100)]
+    if worst:
+        last = result.issues[-1]
+        assert (last.rule_name, last.severity, last.message) == ("per_row", "info", "150 more issues are not shown")
+    assert sum(i.affected_records for i in result.issues) == sum(range(n))
+    lazy = G.gate_rows(df, rules, gate_name="g", layer="gold", mode="warn", run_id="r", run_ts=RUN_TS)
+    row = lazy.collect()[0]
+    assert row.status == status and row.metrics.asDict() == result.metrics
+    assert [i.message for i in row.issues] == [i.message for i in result.issues]
+    assert rows(G.metric_rows(G.as_rows(spark, [result]))) == rows(G.metric_rows(lazy))
+
+
 def test_layer_rules(raw):
     cleaned = K.clean(raw({}), WEATHER, RUN_TS)
     assert [r.name for r in L.layer_rules("bronze")] == ["schema_drift", "null_check"]

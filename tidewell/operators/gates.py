@@ -16,7 +16,10 @@ from ..sources.workspace import literal_rows
 from . import rules as R
 
 WARN, BLOCK = "warn", "block"
-MOST_ISSUES = 100
+#: Issues of one FrameRule that are listed, and the detail that tells how many more it has.
+MOST_ISSUES, LEFT_OUT = 100, "issues_left_out"
+COUNTS = ("issues_found", "critical_issues", "warning_issues")
+_ISSUE = [p.split(" ", 1)[0] for p in R.ISSUE_DDL.split(", ")]
 
 
 @dataclass(frozen=True)
@@ -81,10 +84,48 @@ def status_of(issues: Column, mode: str | Column) -> Column:
     )
 
 
+def _bounded(found: DataFrame) -> tuple[Column, Column]:
+    """Of a frame of issues: the MOST_ISSUES worst, and counts by severity and records of all, as scalar subqueries.
+
+    An issue frame has a handful of rows by contract. One that breaks it is shown in part, by severity
+    and content; the verdict and the counts are those of the whole frame.
+    """
+    severity = F.col("severity")
+    rank = F.when(severity == "critical", 0).when(severity == "warning", 1).otherwise(2)
+    place = F.struct(rank, "rule_name", "message", "affected_records", severity, F.array_sort(F.map_entries("details")))
+    # a top-k per task, then a merge; maps cannot be sorted, so the details stand beside the place
+    first = found.select(place.alias("place"), F.struct(*_ISSUE).alias("issue")).orderBy("place").limit(MOST_ISSUES)
+    numbered = first.agg(F.collect_list(F.struct("place", "issue")).alias("a"))
+    by_place = F.array_sort("a", lambda x, y: F.when(x["place"] < y["place"], -1).when(x["place"] > y["place"], 1).otherwise(0))
+    shown = numbered.select(F.transform(by_place, lambda x: x["issue"]).alias("issues"))
+    counts = found.agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.count_if(severity == "critical").alias("critical"),
+        F.count_if(severity == "warning").alias("warning"), F.sum("affected_records").alias("records"),
+    ).alias("counts"))
+    return shown.scalar(), counts.scalar()
+
+
+def _left_out(shown: Column, counts: Column) -> Column:
+    """An array of one issue that stands for those not shown, as severe as the worst of them, or of none."""
+    more = counts["n"] - F.size(shown)
+    worst = (
+        F.when(counts["critical"] > count_severity(shown, "critical"), "critical")
+        .when(counts["warning"] > count_severity(shown, "warning"), "warning")
+        .otherwise("info")
+    )
+    records = F.coalesce(counts["records"], F.lit(0)) - F.aggregate(
+        shown, F.lit(0).cast("bigint"), lambda s, i: s + F.coalesce(i["affected_records"], F.lit(0))
+    )
+    text = F.format_string("%d more issues are not shown", more)
+    told = R.issue(F.get(shown, F.lit(0))["rule_name"], worst, text, records, {LEFT_OUT: more})
+    return F.filter(F.array(F.when(more > 0, told)), lambda i: i.isNotNull())
+
+
 def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
-    """One row: total rows and all issues in rule order.
+    """One row: total rows, all issues in rule order, and how many there are, in all and by severity.
 
-    The AggRules become one aggregation; each FrameRule is a scalar subquery beside it.
+    The AggRules become one aggregation; each FrameRule is a pair of scalar subqueries beside it. Its
+    issues beyond MOST_ISSUES are counted, and one more issue in the list tells of them.
     """
     aggregates, measures = [F.count(F.lit(1)).alias(R.TOTAL)], {}
     for position, rule in enumerate(rules):
@@ -94,7 +135,7 @@ def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
                 aggregates.append(column.alias(f"m{position}_{name}"))
     totals = df.agg(*aggregates)
 
-    columns, parts = [F.col(R.TOTAL)], []
+    columns, parts, counted, told = [F.col(R.TOTAL)], [], [], {}
     for position, rule in enumerate(rules):
         name = f"_issues{position}"
         if isinstance(rule, R.AggRule):
@@ -104,13 +145,25 @@ def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
                 continue
             columns.append(F.filter(F.array(*judged), lambda i: i.isNotNull()).alias(name))
         else:
-            # an issue frame has a handful of rows by contract; a rule that breaks it is cut off here
-            rows = rule.issues(df).limit(MOST_ISSUES).agg(F.collect_list(F.struct("*")).alias("issues"))
-            columns.append(rows.scalar().alias(name))
+            shown, counts = _bounded(rule.issues(df))
+            columns += [shown.alias(name), counts.alias(f"_counts{position}")]
+            counted.append(position)
+            told[position] = _left_out(F.col(name), F.col(f"_counts{position}"))
         parts.append(name)
     empty = F.from_json(F.lit("[]"), f"array<struct<{_as_struct(R.ISSUE_DDL)}>>")
-    issues = F.concat(*parts) if parts else empty
-    return totals.select(*columns).select(R.TOTAL, issues.alias("issues"))
+    listed = [x for p in parts for x in (F.col(p), told.get(int(p.removeprefix("_issues")))) if x is not None]
+    issues = F.concat(*listed) if parts else empty
+    plain = [F.col(p) for p in parts if int(p.removeprefix("_issues")) not in told]
+
+    def number(of_array, of_counts: str) -> Column:
+        return sum([of_array(p) for p in plain] + [F.col(f"_counts{c}")[of_counts] for c in counted], F.lit(0)).cast("int")
+
+    return totals.select(*columns).select(
+        R.TOTAL, issues.alias("issues"),
+        number(F.size, "n").alias("issues_found"),
+        number(lambda a: count_severity(a, "critical"), "critical").alias("critical_issues"),
+        number(lambda a: count_severity(a, "warning"), "warning").alias("warning_issues"),
+    )
 
 
 def _as_struct(ddl: str) -> str:
@@ -138,9 +191,7 @@ def gate_rows(
         F.struct(
             F.col(R.TOTAL),
             F.lit(len(rules)).alias("rules_evaluated"),
-            F.size(issues).alias("issues_found"),
-            count_severity(issues, "critical").alias("critical_issues"),
-            count_severity(issues, "warning").alias("warning_issues"),
+            *COUNTS,
         ).alias("metrics"),
         N.as_moment(run_ts).alias("evaluated_at"),
     )
@@ -190,22 +241,23 @@ def metric_rows(gates: DataFrame) -> DataFrame:
 # --- as a driver-side decision ------------------------------------------------
 
 
-def _collect(df: DataFrame, rules: Sequence[R.Rule]) -> tuple[int, list[Issue]]:
-    """Total and issues of a batch. A rule that fails becomes a warning of its own."""
+def _collect(df: DataFrame, rules: Sequence[R.Rule]) -> tuple[int, list[Issue], list[int]]:
+    """Total, issues and COUNTS of a batch. A rule that fails becomes a warning of its own."""
     try:
         row = measured(df, rules).collect()[0]
-        return row[R.TOTAL], [Issue(**i.asDict()) for i in row["issues"]]
+        return row[R.TOTAL], [Issue(**i.asDict()) for i in row["issues"]], [row[c] for c in COUNTS]
     except Exception as failure:  # noqa: BLE001  a user rule may raise anything
         if len(rules) <= 1:
             if not rules:
                 raise
             text = f"Rule execution failed: {_first_line(failure)}"
-            return df.count(), [Issue("rule_execution", "warning", text)]
-    total, issues = 0, []
+            return df.count(), [Issue("rule_execution", "warning", text)], [1, 0, 1]
+    total, issues, counts = 0, [], [0] * len(COUNTS)
     for rule in rules:
-        total, found = _collect(df, [rule])
+        total, found, more = _collect(df, [rule])
         issues.extend(found)
-    return total, issues
+        counts = [a + b for a, b in zip(counts, more)]
+    return total, issues, counts
 
 
 def _first_line(failure: Exception) -> str:
@@ -235,7 +287,7 @@ class Gate:
 
     def evaluate(self, df: DataFrame, layer: str, run_ts: dt.datetime) -> GateResult:
         started = time.monotonic()
-        total, issues = _collect(df, self.rules)
+        total, issues, counts = _collect(df, self.rules)
         return GateResult(
             gate_name=self.name,
             run_id=self.run_id,
@@ -245,9 +297,7 @@ class Gate:
             metrics={
                 "total_records": total,
                 "rules_evaluated": len(self.rules),
-                "issues_found": len(issues),
-                "critical_issues": sum(i.severity == "critical" for i in issues),
-                "warning_issues": sum(i.severity == "warning" for i in issues),
+                **dict(zip(COUNTS, counts)),
             },
             evaluated_at=run_ts,
             duration_ms=(time.monotonic() - started) * 1000,
