@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RUN_TS
+from samples import RUN_TS
 from tidewell.functions import cleaning as C, enrichment as E, numeric as N, text as X
 
 UTC = dt.timezone.utc

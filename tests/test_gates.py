@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RUN_TS, rows
+from samples import RUN_TS, rows
 from tidewell.operators import cleaning as K, gates as G, rules as R
 from tidewell.plans import layers as L
 from tidewell.spec import WEATHER

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BRAGA, TURIN, RUN_TS, rows
+from samples import BRAGA, TURIN, RUN_TS, rows
 from tidewell import fixed_values as fixed
 from tidewell.operators import cleaning as K
 from tidewell.spec import WEATHER

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import TURIN, RUN_TS, rows
+from samples import TURIN, RUN_TS, rows
 from tidewell.operators import cleaning as K, gates as G, rules as R
 from tidewell.plans import medallion as W, receipts as P, reports as V, views
 from tidewell.sources import serving

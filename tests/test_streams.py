@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import TURIN, RUN_TS, rows
+from samples import TURIN, RUN_TS, rows
 from tidewell.streaming import ingest as I
 from tidewell.spec import WEATHER
 

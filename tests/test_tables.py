@@ -9,7 +9,7 @@ from statistics import median, stdev
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from samples import rows
 from tidewell.operators import (
     keyed_join as J,
     medians as D,
@@ -35,8 +35,8 @@ def test_grouped_statistics_by_hand(spark):
 
 def test_daily_statistics(spark):
     df = spark.createDataFrame(
-        [("Braga", "GB", dt.datetime(2024, 1, 30, h), 10.0 + h, 60 + h) for h in (1, 2, 23)]
-        + [("Braga", "GB", dt.datetime(2024, 1, 31, 0), 5.0, None)],
+        [("Braga", "PT", dt.datetime(2024, 1, 30, h), 10.0 + h, 60 + h) for h in (1, 2, 23)]
+        + [("Braga", "PT", dt.datetime(2024, 1, 31, 0), 5.0, None)],
         "city string, country string, timestamp timestamp, temperature_celsius double, humidity int",
     ).withColumns({"pressure": F.lit(1000), "wind_speed": F.lit(3.456), "clouds_percentage": F.lit(5), "visibility": F.lit(9)})
     found = S.daily_statistics(df).select("date", "temperature_celsius_mean", "humidity_min", "wind_speed_mean", "temperature_celsius_std")
