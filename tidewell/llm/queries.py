@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, html_text, jaccard_join, language_id, licenses, piece_codec, quality, sharding, token_counts, topk
+from . import (
+    collocations, decontamination, fill_in_middle, html_text, jaccard_join, language_id, licenses, piece_codec, quality, sharding,
+    simhash, token_counts, topk,
+)
 from .common import id_remainder
 
 
@@ -82,6 +85,23 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.array_join(c, " | ").alias(c) for c in ("sentence_ids", "licenses", "unclaimed")])
 
 
+def middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(read(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def near_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": quality_scores,
     "op2_benchmark_hits": benchmark_hits,
@@ -93,6 +113,9 @@ QUERIES = {
     "op8_languages": languages,
     "op9_license_scans": license_scans,
     "op10_shards": shards,
+    "op11_fill_in_middle": middles,
+    "op12_near_fingerprints": near_fingerprints,
+    "op13_collocations": phrases,
 }
 
 #: Check SQL of the queries that SQL can express.
@@ -133,4 +156,54 @@ ORACLES: dict[str, str] = {
         FROM scored QUALIFY rank <= 10
     """,
     "op9_license_scans": licenses.check_sql(),
+    "op11_fill_in_middle": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        u AS (
+            SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units, CAST('0x' || h[1:8] AS BIGINT) AS h1,
+                CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+            FROM d),
+        cut AS (
+            SELECT *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM u),
+        parts AS (
+            SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m,
+                array_to_string(units[b + 1:], '') AS s
+            FROM cut)
+        SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(p || m || s) AS restored_sha256
+        FROM parts
+    """,
+    "op13_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        sequences AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+        starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM sequences),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM starts, (VALUES (1), (2), (3), (4), (5)) s(k) WHERE i + k - 1 <= len(w)),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM sequences GROUP BY lang),
+        longer AS (
+            SELECT c.lang, c.phrase FROM f c JOIN f x ON x.lang = c.lang AND x.k > c.k AND x.f >= c.f
+                AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' ')
+            GROUP BY ALL),
+        cuts AS (
+            SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut
+            FROM f c WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM longer l WHERE l.lang = c.lang AND l.phrase = c.phrase)),
+        scored AS (
+            SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n,
+                CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+                JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ') JOIN totals t ON t.lang = c.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best QUALIFY rank <= 2000
+    """,
 }
