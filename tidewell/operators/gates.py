@@ -84,8 +84,8 @@ def status_of(issues: Column, mode: str | Column) -> Column:
     )
 
 
-def _bounded(found: DataFrame) -> tuple[Column, Column]:
-    """Of a frame of issues: the MOST_ISSUES worst, and counts by severity and records of all, as scalar subqueries.
+def _bounded(found: DataFrame) -> DataFrame:
+    """One row for a frame of issues: the MOST_ISSUES worst, and counts by severity and records of all.
 
     An issue frame has a handful of rows by contract. One that breaks it is shown in part, by severity
     and content; the verdict and the counts are those of the whole frame.
@@ -93,16 +93,16 @@ def _bounded(found: DataFrame) -> tuple[Column, Column]:
     severity = F.col("severity")
     rank = F.when(severity == "critical", 0).when(severity == "warning", 1).otherwise(2)
     place = F.struct(rank, "rule_name", "message", "affected_records", severity, F.array_sort(F.map_entries("details")))
-    # a top-k per task, then a merge; maps cannot be sorted, so the details stand beside the place
-    first = found.select(place.alias("place"), F.struct(*_ISSUE).alias("issue")).orderBy("place").limit(MOST_ISSUES)
-    numbered = first.agg(F.collect_list(F.struct("place", "issue")).alias("a"))
-    by_place = F.array_sort("a", lambda x, y: F.when(x["place"] < y["place"], -1).when(x["place"] > y["place"], 1).otherwise(0))
-    shown = numbered.select(F.transform(by_place, lambda x: x["issue"]).alias("issues"))
-    counts = found.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.count_if(severity == "critical").alias("critical"),
-        F.count_if(severity == "warning").alias("warning"), F.sum("affected_records").alias("records"),
-    ).alias("counts"))
-    return shown.scalar(), counts.scalar()
+    # maps cannot be sorted, so the details stand beside the place
+    placed = R.leading(found.select("severity", "affected_records", place.alias("place"), F.struct(*_ISSUE).alias("issue")), ["place"], MOST_ISSUES)
+    by_place = F.array_sort("_held", lambda x, y: F.when(x["place"] < y["place"], -1).when(x["place"] > y["place"], 1).otherwise(0))
+    return placed.agg(
+        F.collect_list(F.when(F.col("_leads"), F.struct("place", "issue"))).alias("_held"),
+        F.struct(
+            F.count(F.lit(1)).alias("n"), F.count_if(severity == "critical").alias("critical"),
+            F.count_if(severity == "warning").alias("warning"), F.sum("affected_records").alias("records"),
+        ).alias("_counts"),
+    ).select(F.transform(F.slice(by_place, 1, MOST_ISSUES), lambda x: x["issue"]).alias("_issues"), "_counts")
 
 
 def _left_out(shown: Column, counts: Column) -> Column:
@@ -121,42 +121,70 @@ def _left_out(shown: Column, counts: Column) -> Column:
     return F.filter(F.array(F.when(more > 0, told)), lambda i: i.isNotNull())
 
 
-def measured(df: DataFrame, rules: Sequence[R.Rule]) -> DataFrame:
+def aggregates_of(df: DataFrame, rules: Sequence[R.Rule], where: Column | None = None) -> dict[str, Column]:
+    """Named aggregates of a gate: the total and what its AggRules measure, over all rows or those of ``where``.
+    A rule that cannot be measured on part of a frame is left out there."""
+    named = {R.TOTAL: F.count(F.lit(1)) if where is None else F.count_if(where)}
+    for position, rule in enumerate(rules):
+        if not isinstance(rule, R.AggRule) or (where is not None and rule.measures_where is None):
+            continue
+        found = rule.measures(df) if where is None else rule.measures_where(df, where)
+        named |= {f"m{position}_{name}": column for name, column in found.items()}
+    return named
+
+
+def measured(df: DataFrame, rules: Sequence[R.Rule], seen: DataFrame | None = None) -> DataFrame:
     """One row: total rows, all issues in rule order, and how many there are, in all and by severity.
 
-    The AggRules become one aggregation; each FrameRule is a pair of scalar subqueries beside it. Its
-    issues beyond MOST_ISSUES are counted, and one more issue in the list tells of them.
+    The AggRules become one aggregation; each FrameRule is one more frame of one row, and all of these rows
+    meet in one. Issues of a FrameRule beyond MOST_ISSUES are counted, and one more issue in the list tells
+    of them. ``seen`` is a row of aggregates that were measured earlier (see ``observed``): the
+    frame is read only for the rules that it does not cover.
     """
-    aggregates, measures = [F.count(F.lit(1)).alias(R.TOTAL)], {}
-    for position, rule in enumerate(rules):
-        if isinstance(rule, R.AggRule):
-            measures[position] = rule.measures(df)
-            for name, column in measures[position].items():
-                aggregates.append(column.alias(f"m{position}_{name}"))
-    totals = df.agg(*aggregates)
-
-    columns, parts, counted, told = [F.col(R.TOTAL)], [], [], {}
+    wanted = aggregates_of(df, rules)
+    missing = {n: c for n, c in wanted.items() if seen is None or n not in seen.columns}
+    if seen is None:
+        totals = df.agg(*[c.alias(n) for n, c in wanted.items()])
+    elif missing:
+        totals = df.agg(*[c.alias(n) for n, c in missing.items()]).crossJoin(F.broadcast(seen))  # a row and a row
+    else:
+        totals = seen
+    frames = {p: rule for p, rule in enumerate(rules) if not isinstance(rule, R.AggRule)}
+    if frames:
+        gathered = totals.select(F.lit(-1).alias("_rule"), F.struct(*wanted).alias("_totals"))
+        for position, rule in frames.items():
+            found = _bounded(rule.issues(df)).withColumn("_rule", F.lit(position))
+            gathered = gathered.unionByName(found, allowMissingColumns=True)
+
+        def of(position: int, column: str) -> Column:
+            return F.max_by(column, F.when(F.col("_rule") == position, 1))
+
+        totals = gathered.agg(
+            of(-1, "_totals").alias("_totals"),
+            *[of(p, c).alias(f"{c}{p}") for p in frames for c in ("_issues", "_counts")],
+        ).select("_totals.*", *[f"{c}{p}" for p in frames for c in ("_issues", "_counts")])
+
+    columns, parts, told = [F.col(R.TOTAL)], [], {}
     for position, rule in enumerate(rules):
         name = f"_issues{position}"
-        if isinstance(rule, R.AggRule):
-            found = {m: F.col(f"m{position}_{m}") for m in measures[position]}
+        if position in frames:
+            columns += [F.col(name), F.col(f"_counts{position}")]
+            told[position] = _left_out(F.col(name), F.col(f"_counts{position}"))
+        else:
+            prefix = f"m{position}_"
+            found = {m.removeprefix(prefix): F.col(m) for m in wanted if m.startswith(prefix)}
             judged = list(rule.judge(F.col(R.TOTAL), found, df))
             if not judged:
                 continue
             columns.append(F.filter(F.array(*judged), lambda i: i.isNotNull()).alias(name))
-        else:
-            shown, counts = _bounded(rule.issues(df))
-            columns += [shown.alias(name), counts.alias(f"_counts{position}")]
-            counted.append(position)
-            told[position] = _left_out(F.col(name), F.col(f"_counts{position}"))
-        parts.append(name)
+        parts.append(position)
     empty = F.from_json(F.lit("[]"), f"array<struct<{_as_struct(R.ISSUE_DDL)}>>")
-    listed = [x for p in parts for x in (F.col(p), told.get(int(p.removeprefix("_issues")))) if x is not None]
+    listed = [x for p in parts for x in (F.col(f"_issues{p}"), told.get(p)) if x is not None]
     issues = F.concat(*listed) if parts else empty
-    plain = [F.col(p) for p in parts if int(p.removeprefix("_issues")) not in told]
+    plain = [F.col(f"_issues{p}") for p in parts if p not in told]
 
     def number(of_array, of_counts: str) -> Column:
-        return sum([of_array(p) for p in plain] + [F.col(f"_counts{c}")[of_counts] for c in counted], F.lit(0)).cast("int")
+        return sum([of_array(p) for p in plain] + [F.col(f"_counts{p}")[of_counts] for p in told], F.lit(0)).cast("int")
 
     return totals.select(*columns).select(
         R.TOTAL, issues.alias("issues"),
@@ -179,10 +207,11 @@ def gate_rows(
     mode: str = BLOCK,
     run_id: str = "",
     run_ts: dt.datetime,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
-    """The gate as a lazy one-row frame: status, issues, metrics."""
+    """The gate as a lazy one-row frame: status, issues, metrics. ``seen`` as in ``measured``."""
     issues = F.col("issues")
-    return measured(df, rules).select(
+    return measured(df, rules, seen).select(
         F.lit(gate_name).alias("gate_name"),
         F.lit(run_id).alias("run_id"),
         status_of(issues, mode).alias("status"),
@@ -241,10 +270,10 @@ def metric_rows(gates: DataFrame) -> DataFrame:
 # --- as a driver-side decision ------------------------------------------------
 
 
-def _collect(df: DataFrame, rules: Sequence[R.Rule]) -> tuple[int, list[Issue], list[int]]:
+def _collect(df: DataFrame, rules: Sequence[R.Rule], seen: DataFrame | None = None) -> tuple[int, list[Issue], list[int]]:
     """Total, issues and COUNTS of a batch. A rule that fails becomes a warning of its own."""
     try:
-        row = measured(df, rules).collect()[0]
+        row = measured(df, rules, seen).collect()[0]
         return row[R.TOTAL], [Issue(**i.asDict()) for i in row["issues"]], [row[c] for c in COUNTS]
     except Exception as failure:  # noqa: BLE001  a user rule may raise anything
         if len(rules) <= 1:
@@ -285,9 +314,10 @@ class Gate:
         self.rules.append(rule)
         return self
 
-    def evaluate(self, df: DataFrame, layer: str, run_ts: dt.datetime) -> GateResult:
+    def evaluate(self, df: DataFrame, layer: str, run_ts: dt.datetime, seen: DataFrame | None = None) -> GateResult:
+        """The verdict on a batch; ``seen`` holds aggregates observed while it was written."""
         started = time.monotonic()
-        total, issues, counts = _collect(df, self.rules)
+        total, issues, counts = _collect(df, self.rules, seen)
         return GateResult(
             gate_name=self.name,
             run_id=self.run_id,

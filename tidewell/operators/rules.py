@@ -53,13 +53,15 @@ class AggRule:
 
     ``measures`` maps a frame to named aggregate columns. ``judge`` gets the columns that
     hold the total and the measured values, and returns one struct column per possible
-    issue, NULL where the check passes.
+    issue, NULL where the check passes. ``measures_where`` gives the same aggregates over the
+    rows for which a condition holds; a rule without it cannot be observed on part of a frame.
     """
 
     name: str
     measures: Callable[[DataFrame], dict[str, Column]]
     judge: Callable[[Column, dict[str, Column], DataFrame], Sequence[Column]]
     describe: dict[str, str] = field(default_factory=dict)
+    measures_where: Callable[[DataFrame, Column], dict[str, Column]] | None = None
 
 
 @dataclass(frozen=True)
@@ -79,6 +81,11 @@ def value_of(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`") if name in df.columns else F.lit(None)
 
 
+def _number(holds: Column, where: Column | None) -> Column:
+    """How many rows fulfil a condition, among all or among those of ``where``."""
+    return F.count_if(holds if where is None else where & holds)
+
+
 def _python_list(names: Iterable[str]) -> str:
     return ", ".join(f"'{n}'" for n in sorted(names))
 
@@ -101,14 +108,14 @@ def schema_drift(expected: Iterable[str]) -> AggRule:
             for severity, text, details in found
         ]
 
-    return AggRule("schema_drift", lambda df: {}, judge, {"columns": ",".join(sorted(wanted))})
+    return AggRule("schema_drift", lambda df: {}, judge, {"columns": ",".join(sorted(wanted))}, lambda df, where: {})
 
 
 def null_check(columns: Sequence[str]) -> AggRule:
     """NULLs in required columns; critical above ten percent of the rows."""
 
-    def measures(df):
-        return {c: F.count_if(value_of(df, c).isNull()) for c in columns}
+    def measures(df, where=None):
+        return {c: _number(value_of(df, c).isNull(), where) for c in columns}
 
     def judge(total, found, _):
         issues = []
@@ -124,7 +131,7 @@ def null_check(columns: Sequence[str]) -> AggRule:
             issues.append(F.when(found[c] > 0, issue("null_check", severity, text, found[c], details)))
         return issues
 
-    return AggRule("null_check", measures, judge, {"columns": ",".join(columns)})
+    return AggRule("null_check", measures, judge, {"columns": ",".join(columns)}, measures)
 
 
 def violates_range(value: Column, low: float, high: float) -> Column:
@@ -148,8 +155,8 @@ def sample_text(values: Sequence[Column]) -> Column:
 def range_check(column: str, low: float, high: float) -> AggRule:
     """Values outside an inclusive range; NULL passes."""
 
-    def measures(df):
-        value = value_of(df, column)
+    def measures(df, where=None):
+        value = value_of(df, column) if where is None else F.when(where, value_of(df, column))
         return {"outside": F.count_if(violates_range(value, low, high)), **range_samples(value, low, high)}
 
     def judge(total, found, _):
@@ -159,23 +166,23 @@ def range_check(column: str, low: float, high: float) -> AggRule:
         details = {"column": column, "expected_range": f"[{low}, {high}]", "sample_violations": samples}
         return [F.when(n > 0, issue("range_check", "warning", text, n, details))]
 
-    return AggRule("range_check", measures, judge, {"columns": column, "range": f"[{low}, {high}]"})
+    return AggRule("range_check", measures, judge, {"columns": column, "range": f"[{low}, {high}]"}, measures)
 
 
 def freshness(column: str, now: dt.datetime, max_age_hours: int = fixed.FRESHNESS_HOURS) -> AggRule:
     """Rows older than a number of hours at the run moment; unreadable moments are not judged."""
 
-    def measures(df):
+    def measures(df, where=None):
         kind = df.schema[column].dataType if column in df.columns else T.NullType()
         moment = C.to_moment(value_of(df, column), kind)
-        return {"stale": F.count_if(N.age_hours(moment, now) > max_age_hours)}
+        return {"stale": _number(N.age_hours(moment, now) > max_age_hours, where)}
 
     def judge(total, found, _):
         n = found["stale"]
         text = F.format_string(f"%d records are older than {max_age_hours} hours", n)
         return [F.when(n > 0, issue("freshness_check", "warning", text, n))]
 
-    return AggRule("freshness_check", measures, judge, {"columns": column})
+    return AggRule("freshness_check", measures, judge, {"columns": column}, measures)
 
 
 def min_rows(least: int) -> AggRule:
@@ -185,36 +192,36 @@ def min_rows(least: int) -> AggRule:
         text = F.format_string(f"Batch has %d rows, fewer than {least}", total)
         return [F.when(total < least, issue("min_rows", "critical", text, total))]
 
-    return AggRule("min_rows", lambda df: {}, judge, {"least": str(least)})
+    return AggRule("min_rows", lambda df: {}, judge, {"least": str(least)}, lambda df, where: {})
 
 
 def constraint(name: str, column: str, holds: Callable[[Column], Column], what: str) -> AggRule:
     """A domain constraint on present values (enumeration, length, limits)."""
 
-    def measures(df):
+    def measures(df, where=None):
         value = value_of(df, column)
-        return {"broken": F.count_if(value.isNotNull() & F.coalesce(~holds(value), F.lit(False)))}
+        return {"broken": _number(value.isNotNull() & F.coalesce(~holds(value), F.lit(False)), where)}
 
     def judge(total, found, _):
         n = found["broken"]
         text = F.format_string(f"Column '{column}' has %d values that break: {what}", n)
         return [F.when(n > 0, issue(name, "critical", text, n, {"column": column}))]
 
-    return AggRule(name, measures, judge, {"columns": column, "constraint": what})
+    return AggRule(name, measures, judge, {"columns": column, "constraint": what}, measures)
 
 
 def not_null(column: str) -> AggRule:
     """NOT NULL constraint: any NULL is critical."""
 
-    def measures(df):
-        return {"nulls": F.count_if(value_of(df, column).isNull())}
+    def measures(df, where=None):
+        return {"nulls": _number(value_of(df, column).isNull(), where)}
 
     def judge(total, found, _):
         n = found["nulls"]
         text = F.format_string(f"Column '{column}' has %d nulls", n)
         return [F.when(n > 0, issue("not_null", "critical", text, n, {"column": column}))]
 
-    return AggRule("not_null", measures, judge, {"columns": column, "constraint": "NOT NULL"})
+    return AggRule("not_null", measures, judge, {"columns": column, "constraint": "NOT NULL"}, measures)
 
 
 def one_of(column: str, allowed: Sequence[str]) -> AggRule:
@@ -273,22 +280,29 @@ def duplicated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
+def leading(df: DataFrame, order: Sequence[Column | str], most: int, flag: str = "_leads") -> DataFrame:
+    """The rows with a mark on the first ``most`` of each task, so that one aggregation can count all
+    rows and collect a bounded number of them."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the place within the task
+    return df.sortWithinPartitions(*order).withColumn(flag, place < most)
+
+
 def unique_check(columns: Sequence[str]) -> FrameRule:
-    """Distinct duplicated keys of a compound key; any is critical."""
+    """Distinct duplicated keys of a compound key; any is critical.
+
+    The keys are grouped once: their number and the first of them come from one aggregation.
+    """
     shown = "[" + ", ".join(f"'{c}'" for c in columns) + "]"
 
     def issues(df):
-        repeated = duplicated_keys(df, columns)
-        # a top-k per task, then a merge; the grouping below it is shared with the count
         as_text = F.array_join(F.array(*[F.col(c).cast("string") for c in columns]), ", ", "null")
-        first = repeated.orderBy(*columns).limit(fixed.SAMPLE_SIZE).select(
-            F.struct(*columns).alias("_key"), F.concat(F.lit("["), as_text, F.lit("]")).alias("_shown")
+        sample = F.struct(F.struct(*columns).alias("_key"), F.concat(F.lit("["), as_text, F.lit("]")).alias("_shown"))
+        counted = leading(duplicated_keys(df, columns), columns, fixed.SAMPLE_SIZE).agg(
+            F.count(F.lit(1)).alias("n"), F.collect_list(F.when(F.col("_leads"), sample)).alias("_held")
         )
-        ordered = F.sort_array(F.collect_list(F.struct("_key", "_shown")))
-        samples = first.agg(F.array_join(F.transform(ordered, lambda k: k["_shown"]), ", ").alias("k"))
-        counted = repeated.agg(F.count(F.lit(1)).alias("n"))
+        first = F.slice(F.sort_array("_held"), 1, fixed.SAMPLE_SIZE)
         text = F.format_string(f"Compound key {shown} has %d duplicate value(s)", F.col("n"))
-        details = {"columns": ",".join(columns), "sample_duplicates": samples.scalar()}
+        details = {"columns": ",".join(columns), "sample_duplicates": F.array_join(F.transform(first, lambda k: k["_shown"]), ", ")}
         found = issue("unique_check", "critical", text, F.col("n"), details)
         return counted.filter("n > 0").select(found.alias("i")).select("i.*")
 

@@ -1,7 +1,8 @@
 """The layered run: land, audit, clean, audit, enrich, audit, load, leave receipts.
 
-Each layer is written once, to a folder that names the run and the attempt at it, and the gate
-reads what was written, not the plan that produced it. A batch counts as published once the
+Each layer is written once, to a folder that names the run and the attempt at it. The measures of its
+gate are observed while it is written; only checks with a grouping of their own read it again, and of
+its columns only their key. A batch counts as published once the
 lineage table names its folder; lineage rows are only ever added, and readers follow the newest of
 each run and layer. So a vetoed batch stays invisible, whatever earlier attempts published, nothing
 is copied, and no published folder is written to again.
@@ -20,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed_values as fixed
 from ..functions import enrichment as E, numeric as N
-from ..operators import cleaning as K, statistics as S
-from ..operators.gates import BLOCK, GateBlocked, GateResult
+from ..operators import cleaning as K, rules as R, statistics as S
+from ..operators.gates import BLOCK, Gate, GateBlocked, GateResult
+from ..operators.observed import write_observed
 from ..sources import lake, landing, serving
 from ..sources.workspace import read_or_empty
 from ..spec import WEATHER, TableSpec
@@ -71,14 +73,22 @@ class Tables:
         self, spark: SparkSession, name: str, first: dt.date | None = None, last: dt.date | None = None
     ) -> DataFrame:
         """An operational table: the receipts of all runs, or of the run dates between two
-        days. Dates are folders, so others are not opened."""
+        days. Dates are folders, so others are not opened.
+
+        Of the lineage, a publication counts on the day of the newest attempt at its run and layer, which may lie
+        outside the window: windows that cover all days add up to the whole."""
         rows = self._receipts(spark, name)
-        if first is not None:
-            rows = rows.filter(F.col("day") >= F.lit(first))
-        if last is not None:
-            rows = rows.filter(F.col("day") <= F.lit(last))
-        rows = rows.drop("day", "receipt")
-        return P.current_artifacts(rows) if name == "lineage" else rows
+
+        def within(df: DataFrame) -> DataFrame:
+            df = df if first is None else df.filter(F.col("day") >= F.lit(first))
+            return df if last is None else df.filter(F.col("day") <= F.lit(last))
+
+        if name != "lineage":
+            return within(rows).drop("day", "receipt")
+        if first is not None or last is not None:
+            # later attempts may lie on any day, but only those of the runs of the window matter
+            rows = rows.join(within(rows).select("run_id").distinct(), "run_id", "left_semi")
+        return within(P.current_artifacts(rows)).drop("day", "receipt")
 
     def write_ops(self, rows: DataFrame, name: str, day: dt.date, *key: str) -> None:
         """Receipts go to a folder named by run date and key: a repeated run updates its own."""
@@ -155,54 +165,63 @@ class LayeredRun:
     # --- layers -----------------------------------------------------------------
 
     def _layers(self, raw: DataFrame, result: P.RunResult) -> None:
-        bronze = self._write(raw, "bronze", result)
-        landed = bronze.agg(
-            F.count(F.lit(1)).alias("n"), F.count_distinct(self.spec.entity).alias("entities")
-            if self.spec.entity in bronze.columns else F.lit(0).alias("entities"),
-        ).collect()[0]
-        result.records_ingested, result.entities_processed = landed["n"], landed["entities"]
-        if not landed["n"]:
+        bronze, seen, result.records_ingested = self._write(raw, "bronze", result, self._rules("bronze"))
+        if not result.records_ingested:
             raise ValueError("No data ingested")
+        if self.spec.entity in bronze.columns:  # one column is read
+            result.entities_processed = bronze.agg(F.count_distinct(self.spec.entity)).collect()[0][0]
         # bronze is the faithful copy of the source: it stays, whatever its gate says
-        self._publish(result, ("bronze", landed["n"]))
-        self._veto(self._audit(bronze, "bronze", result))
+        self._publish(result, ("bronze", result.records_ingested))
+        self._veto(self._audit(bronze, "bronze", result, seen))
         self._from_bronze(bronze, result)
 
     def _from_bronze(self, bronze: DataFrame, result: P.RunResult) -> None:
         judged = K.clean_with_reason(bronze, self.spec, result.started_at)
-        silver, rejects = self._split(judged, result)
+        silver, rejects, seen = self._split(judged, result)
         self._quarantine(rejects, result)
-        verdict = self._audit(silver, "silver", result)
+        verdict = self._audit(silver, "silver", result, seen)
         result.records_transformed = verdict.metrics["total_records"]
         self._veto(verdict)
         self._publish(result, ("silver", result.records_transformed))
 
-        gold = self._write(self.enrich(silver), "gold", result)
-        self._veto(self._audit(gold, "gold", result))
+        gold, seen, _ = self._write(self.enrich(silver), "gold", result, self._rules("gold"))
+        self._veto(self._audit(gold, "gold", result, seen))
         layers = [("gold", result.records_transformed)]
         for name, aggregate in (self.aggregates or {}).items():
-            written = self._write(aggregate(silver), f"gold_{name}", result)
-            layers.append((f"gold_{name}", written.count()))
+            _, _, records = self._write(aggregate(silver), f"gold_{name}", result)
+            layers.append((f"gold_{name}", records))
         result.records_loaded = self._load(gold, result)
         self._publish(result, *layers)
 
-    def _write(self, df: DataFrame, layer: str, result: P.RunResult) -> DataFrame:
-        path = lake.write_batch(df, self.tables.batch(layer, result))
-        return self.spark.read.schema(df.schema).parquet(path)
+    def _rules(self, layer: str) -> list[R.Rule]:
+        return self._gate(layer, "").rules
+
+    def _gate(self, layer: str, run_id: str) -> Gate:
+        return layer_gate(layer, self.mode, run_id, self.spec)
 
-    def _split(self, judged: DataFrame, result: P.RunResult) -> tuple[DataFrame, DataFrame]:
+    def _write(
+        self, df: DataFrame, layer: str, result: P.RunResult, rules: Sequence[R.Rule] = ()
+    ) -> tuple[DataFrame, DataFrame | None, int]:
+        """(the layer read again, observed measures of its rules, rows)."""
+        def write(observed: DataFrame) -> DataFrame:
+            path = lake.write_batch(observed, self.tables.batch(layer, result))
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        return write_observed(df, rules, write)
+
+    def _split(self, judged: DataFrame, result: P.RunResult) -> tuple[DataFrame, DataFrame, DataFrame | None]:
         """Valid and rejected rows in one pass over bronze: the flag is a partition column,
-        so each side later reads only its own files."""
+        so each side later reads only its own files. The silver gate is observed on the valid ones."""
         path = self.tables.batch("silver", result)
         flagged = judged.withColumn(REJECTED, F.col(K.REASON).isNotNull())
-        stored = lake.write_split(flagged, path, REJECTED)
+        stored, seen, _ = write_observed(
+            flagged, self._rules("silver"), lambda df: lake.write_split(df, path, REJECTED), ~F.col(REJECTED)
+        )
         valid = stored.filter(~F.col(REJECTED)).select(*self.spec.clean_columns)
-        return valid, stored.filter(REJECTED)
+        return valid, stored.filter(REJECTED), seen
 
-    def _audit(self, df: DataFrame, layer: str, result: P.RunResult) -> GateResult:
-        verdict = layer_gate(layer, self.mode, result.run_id, self.spec).evaluate(
-            df, layer, result.started_at
-        )
+    def _audit(self, df: DataFrame, layer: str, result: P.RunResult, seen: DataFrame | None = None) -> GateResult:
+        verdict = self._gate(layer, result.run_id).evaluate(df, layer, result.started_at, seen)
         result.gates.append(verdict)
         return verdict
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning as K, gates as G, rules as R
 from ..operators.keyed_join import attach
+from ..operators.observed import write_observed
 from ..plans import layers as L
+from ..sources.workspace import scratch
 from . import common as C
 
 _ISSUE = ("rule_name", "severity", "message", "affected_records")
@@ -45,11 +47,20 @@ def gate_schema_drift(spark, sf_dir):
     return R.json_key_drift(C.table(spark, sf_dir, "events"), "props", ["k", "unit"])
 
 
-def _gates(spark, sf_dir):
-    """Four gates of different tables, verdicts and modes."""
+def _gates(spark, sf_dir, observe=False):
+    """Four gates of different tables, verdicts and modes; evaluated on the tables, or observed while they are written."""
 
     def gate(df, rules, name, layer, mode):
-        return G.gate_rows(df, rules, gate_name=name, layer=layer, mode=mode, run_id=f"run-{name}", run_ts=C.RUN_TS)
+        seen = None
+        if observe:
+            path = scratch(spark, f"observed-{name}")
+
+            def write(given):
+                given.write.parquet(path)
+                return spark.read.schema(df.schema).parquet(path)
+
+            df, seen, _ = write_observed(df, rules, write)
+        return G.gate_rows(df, rules, gate_name=name, layer=layer, mode=mode, run_id=f"run-{name}", run_ts=C.RUN_TS, seen=seen)
 
     customer = C.table(spark, sf_dir, "customer")
     ranges = [R.range_check("c_acctbal", 0, 9000), R.range_check("c_nationkey", 0, 20), R.null_check(["c_name"])]
@@ -72,8 +83,8 @@ def gate_status(spark, sf_dir):
     return _gates(spark, sf_dir).select("gate_name", "run_id", "status", "layer", *metrics, first.alias("first_rule"))
 
 
-def gate_metrics_row(spark, sf_dir):
-    rows = G.metric_rows(_gates(spark, sf_dir))
+def _metrics(gates):
+    rows = G.metric_rows(gates)
     counts = ("total_records", "passed_records", "failed_records", "expectations_evaluated", "expectations_passed")
     return rows.select(
         "run_id", "layer", *[C.big(c).alias(c) for c in counts], C.real("pass_rate").alias("pass_rate"),
@@ -81,6 +92,15 @@ def gate_metrics_row(spark, sf_dir):
     )
 
 
+def gate_metrics_row(spark, sf_dir):
+    return _metrics(_gates(spark, sf_dir))
+
+
+def gate_observed(spark, sf_dir):
+    """The same metric rows from measures observed while each table was written."""
+    return _metrics(_gates(spark, sf_dir, observe=True))
+
+
 def constraint_rules(spark, sf_dir):
     customer = C.table(spark, sf_dir, "customer")
     lineitem = C.table(spark, sf_dir, "lineitem")
@@ -277,4 +297,5 @@ ORACLES = {
     "violation_samples": """
         SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000 ORDER BY c_custkey LIMIT 5""",
 }
+ORACLES["gate_observed"] = ORACLES["gate_metrics_row"]
 QUERIES = {name: globals()[name] for name in ORACLES}

@@ -178,6 +178,26 @@ def republished_runs(spark, sf_dir):
     return found
 
 
+def published_windows(spark, sf_dir):
+    """Two runs published twice, on different days: what each one-day window holds, and all days together."""
+    raw = C.raw_events(spark, sf_dir)
+    tables, found = W.Tables(scratch(spark, "lake")), None
+    for number, (run, user) in enumerate((("a", "3"), ("b", "7"), ("a", "3"), ("b", "7"), ("a", "11"))):
+        batch = raw.filter(F.col("user_id") == user)
+        if number == 3:
+            batch = batch.unionByName(batch)  # vetoed at its gold gate: silver is published, gold is not
+        runner = W.LayeredRun(spark, tables, C.EVENTS, "warn", enrich=lambda df: df)
+        runner.run(batch, C.RUN_TS + dt.timedelta(days=(0, 1, 1, 2, 0)[number]), run)
+    schema = K.clean(raw, C.EVENTS, C.RUN_TS).schema
+    days = [C.RUN_TS.date() + dt.timedelta(days=d) for d in range(3)]
+    for name, first, last in [*[(str(d), d, d) for d in days], ("all", None, None), ("from " + str(days[1]), days[1], None)]:
+        for layer in ("silver", "gold"):
+            seen = W.published(spark, tables, layer, schema, first, last)
+            seen = seen.select(F.lit(name).alias("days"), F.lit(layer).alias("layer"), "event_id", "user_id")
+            found = seen if found is None else found.unionByName(seen)
+    return found
+
+
 def latest_published(spark, sf_dir):
     """Of two runs of one day the later one is the newest batch, whatever its name."""
     raw, tables = C.raw_events(spark, sf_dir), W.Tables(scratch(spark, "lake"))
@@ -336,6 +356,13 @@ ORACLES = {
     "republished_runs": f"""
         SELECT CAST(step AS BIGINT) AS step, event_id, user_id FROM ({C.REASON_SQL}) r, (VALUES (0), (1), (2)) s(step)
         WHERE reason IS NULL AND (user_id = 7) = (step < 2)""",
+    "published_windows": f"""
+        WITH held(days, layer, user_id, copies) AS (VALUES
+            ('2024-01-31', 'silver', 11, 1), ('2024-01-31', 'gold', 11, 1), ('2024-02-01', 'gold', 7, 1), ('2024-02-02', 'silver', 7, 2),
+            ('all', 'silver', 11, 1), ('all', 'gold', 11, 1), ('all', 'silver', 7, 2), ('all', 'gold', 7, 1),
+            ('from 2024-02-01', 'gold', 7, 1), ('from 2024-02-01', 'silver', 7, 2))
+        SELECT days, layer, event_id, r.user_id FROM ({C.REASON_SQL}) r JOIN held h ON h.user_id = r.user_id, range(2) c(i)
+        WHERE reason IS NULL AND i < copies""",
     "latest_published": f"SELECT event_id, user_id FROM ({C.REASON_SQL}) r WHERE reason IS NULL AND user_id = 7",
     "reprocessed_silver": f"""
         SELECT event_id, event_type, user_id, value, k, {_TS} AS ts FROM ({C.REASON_SQL}) r WHERE reason IS NULL""",

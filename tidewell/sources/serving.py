@@ -10,6 +10,7 @@ from ..functions import numeric as N
 from ..operators import rules as R
 from ..operators.gates import BLOCK, Gate, GateBlocked
 from ..operators.merge import upsert
+from ..operators.observed import write_observed
 from ..spec import MOMENT, NUMBER, WEATHER, WHOLE, TableSpec
 from .workspace import read_or_empty
 
@@ -82,23 +83,32 @@ def load(
     batch are read, merged and rewritten. The merged days are staged first, which means a
     failed job never leaves the table without its old rows.
     """
-    verdict = load_gate(spec, run_id, unique).evaluate(df, "serving", run_ts)
+    gate = load_gate(spec, run_id, unique)
+    # The batch is evaluated once: staged with its surrogate ids while its constraints are observed.
+    names, key = ["id", *serving_columns(spec)], serving_key(spec)
+    held = serving_rows(df, run_ts, spec).withColumn("id", F.expr("uuid()")).select(*names)
+
+    def stage(observed: DataFrame) -> DataFrame:
+        rows = serving_rows(observed, run_ts, spec).withColumn("id", F.expr("uuid()")).select(*names)
+        rows.write.mode("overwrite").parquet(f"{staging}/batch")
+        return spark.read.schema(held.schema).parquet(f"{staging}/batch")
+
+    delta, seen, accepted = write_observed(df, gate.rules, stage)
+    judged = delta.withColumnRenamed(SERVED_TIME, spec.event_time) if seen is not None else df
+    verdict = gate.evaluate(judged, "serving", run_ts, seen)
     if verdict.blocked:
         raise GateBlocked(verdict)
-    accepted = verdict.metrics[R.TOTAL]
     if not accepted:
         return 0
-    delta = serving_rows(df, run_ts, spec).withColumn("id", F.expr("uuid()"))
-    names, key = ["id", *serving_columns(spec)], serving_key(spec)
-    dated = delta.select(*names).withColumn(DAY, F.to_date(SERVED_TIME))
+    dated = delta.withColumn(DAY, F.to_date(SERVED_TIME))
     base = read_served(spark, path, spec)
     touched = within_days_of(base, dated).select(*names)
-    merged = upsert(touched, delta.select(*names), key, _updates(spec, names, key))
+    merged = upsert(touched, delta, key, _updates(spec, names, key))
     staged = merged.withColumn(DAY, F.to_date(SERVED_TIME))
-    staged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(staging)
+    staged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(f"{staging}/days")
     (
         spark.read.schema(f"{serving_ddl(spec)}, {DAY} date")
-        .parquet(staging)
+        .parquet(f"{staging}/days")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
