@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tidewell.llm import collocations as P
@@ -55,19 +56,20 @@ def test_pieces_of_long_texts_cut_no_word(monkeypatch):
 
 def test_phrases_across_flushes_count_once():
     words = P.words_of(b"a b a b. a b c a b a b")
-    once = P.Counter("en", [0, 1, 2], None, None)
+    once = P.Counter("en", [0, 1, 2], 3, None, None)
     once.add(words)
-    parts = P.Counter("en", [0, 1, 2], None, None)
+    parts = P.Counter("en", [0, 1, 2], 3, None, None)
     found = [Counter(), Counter()]
-    batches = [list(once.flush())]
-    batches.append([])
+    batches = [list(once.flush()), []]
     for w in words:
         parts.add([w])
         batches[1] += parts.flush(goes_on=True)
     for total, own in zip(found, batches):
-        for batch in own:
-            for row in batch.to_pylist():
-                total.update({(row["prefix"], n): c for n, c in zip(row["next"], row["counts"])})
+        for row in (r for batch in own for r in batch.to_pylist()):
+            sizes = np.frombuffer(row["sizes"], "<u4")
+            prefixes = np.repeat(np.array(row["prefixes"].split("\n")), sizes)
+            for prefix, next_, count in zip(prefixes, row["next"].split(" "), np.frombuffer(row["counts"], "<i8")):
+                total[prefix, next_] += count
     assert found[0] == found[1] and found[0]["a", "b"] == 5 and found[0]["a b", "a"] == 2
 
 

@@ -31,7 +31,7 @@ from .shingles import mix
 BATCH_WORDS, PIECE = 1_000_000, 1 << 20
 #: Bits of a bitmap (a power of two): 4 MB, whatever the size of the corpus.
 BITMAP_BITS = 1 << 25
-#: Stripes of a prefix of k words are cut into WIDEST >> 4 * k parts by their next word.
+#: A stripe of a prefix of k words is cut into WIDEST >> 4 * k parts by its next words.
 WIDEST = 256
 #: Entries of stripes merged in one task, on average, and rows at which a merge is done in between.
 TASK_ENTRIES = 1_000_000
@@ -42,11 +42,12 @@ _BORDER = b"\xff"  # occurs in no UTF-8 text
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _LOWER = bytes(range(256)).lower().translate(bytes.maketrans(_ENDS, _BORDER * len(_ENDS)))
 _CUT = re.compile(rb"[ \t\n\x0b\x0c\r.,;:!?]")
-_STRIPE = pa.schema([
-    ("lang", pa.string()), ("prefix", pa.string()), ("part", pa.int32()),
-    ("next", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
+#: Stripes that go to one task, packed: the prefixes, a line each; how many entries each has; the next words of all
+#: entries, and their counts. Words hold neither blanks nor line ends.
+_PACKED = pa.schema([
+    ("bucket", pa.int32()), ("lang", pa.string()), ("prefixes", pa.string()), ("sizes", pa.binary()), ("next", pa.string()), ("counts", pa.binary()),
 ])
-STRIPE_DDL = "lang string, prefix string, part int, next array<string>, counts array<bigint>"
+PACKED_DDL = "bucket int, lang string, prefixes string, sizes binary, next string, counts binary"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -73,122 +74,123 @@ class Counter:
     """Stripes of the words of one language that a task has read since the last flush.
 
     ``words`` and ``pairs`` are bitmaps of what may be frequent (None: not known yet). Prefixes of
-    ``lengths`` words are counted.
+    ``lengths`` words are counted; their stripes are dealt out to ``buckets``.
     """
 
-    def __init__(self, lang: str, lengths: Sequence[int], words: np.ndarray | None, pairs: np.ndarray | None) -> None:
-        self.lang, self.lengths, self.words, self.pairs = lang, lengths, words, pairs
+    def __init__(self, lang: str, lengths: Sequence[int], buckets: int, words: np.ndarray | None, pairs: np.ndarray | None) -> None:
+        self.lang, self.lengths, self.buckets, self.words, self.pairs = lang, lengths, buckets, words, pairs
         self.seed = xxhash.xxh64_intdigest(lang.encode("utf-8"), 42)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.names: dict[bytes, int] = {_BORDER: 0}
-        self.ids: list[np.ndarray] = []
-        self.size = self.context = 0
+        self.held: list[bytes] = []
+        self.context = 0
 
     def add(self, words: list[bytes]) -> None:
-        if not words:
-            return
-        coded = pa.array(words, pa.binary()).dictionary_encode()
-        own = np.array([self.names.setdefault(w, len(self.names)) for w in coded.dictionary.to_pylist()], np.int64)
-        self.ids.append(own[coded.indices.to_numpy()])
-        self.size += len(words)
+        self.held += words
 
     def flush(self, goes_on: bool = False) -> Iterator[pa.RecordBatch]:
         """The stripes of what was added. If the text goes on, its last words stay as context of what follows."""
-        if not self.size:
+        if not self.held:
             return
-        ids = np.concatenate(self.ids)
-        names = list(self.names)
-        yield from self._stripes(ids, names)
         keep = max(self.lengths)
-        tail = [names[i] for i in ids[len(ids) - keep :]] if goes_on and keep else []
-        self._clear()
-        self.add(tail)
+        tail = self.held[len(self.held) - keep :] if goes_on and keep else []
+        coded = pa.array(self.held, pa.binary()).dictionary_encode()
+        self.held = tail
+        yield from self._stripes(coded.indices.to_numpy().astype(np.int64), coded.dictionary)
         self.context = len(tail)
 
-    def _stripes(self, ids: np.ndarray, names: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def _stripes(self, ids: np.ndarray, dictionary: pa.Array) -> Iterator[pa.RecordBatch]:
+        names = dictionary.to_pylist()
         hashes = np.array([xxhash.xxh64_intdigest(w, self.seed) for w in names], np.uint64)
-        known = np.ones(len(names), bool) if self.words is None else _in_bitmap(self.words, hashes)
-        known[0] = False
-        texts = pa.array(names[1:], pa.binary()).cast(pa.string())  # the border is no text
-        texts = pa.concat_arrays([pa.array([""]), texts])
-        fits = known[ids]  # whether a phrase of k words may start here
-        rank, labels = np.zeros(len(ids), np.int64), pa.array([""])  # the phrase that starts here, and their texts
+        border = pc.equal(dictionary, _BORDER).to_numpy(zero_copy_only=False)
+        known = ~border if self.words is None else ~border & _in_bitmap(self.words, hashes)
+        texts = pc.if_else(pa.array(border), pa.scalar(b"", pa.binary()), dictionary).cast(pa.string())  # the border is no text
+        n = len(ids)
+        fits = np.ones(n, bool)  # whether a phrase of k words may start here
+        rank = np.zeros(n, np.int64)  # which one it is; its text and a hash of it
+        labels, keys = pa.array([""]), np.zeros(1, np.uint64)
         for k in range(max(self.lengths) + 1):
-            start = np.flatnonzero(fits[: len(ids) - k])
-            if k:
-                start = start[known[ids[start + k]]]
-                if k > 1 and self.pairs is not None:
-                    start = start[linked[start + k - 1]]
-            fits = np.zeros(len(ids), bool)
-            fits[start] = True
-            phrases, place, counts = np.unique(rank[start] << 32 | ids[start + k], return_inverse=True, return_counts=True)
+            start = np.flatnonzero(fits[: n - k] & known[ids[k:]] if k else known[ids])
+            if k > 1 and self.pairs is not None:
+                start = start[linked[start + k - 1]]
+            coded = pa.array(rank[start] << 32 | ids[start + k]).dictionary_encode()
+            phrases, place = coded.dictionary.to_numpy(), coded.indices.to_numpy()
             before, last = phrases >> 32, phrases & 0xFFFFFFFF
+            fits = np.zeros(n, bool)
+            fits[start] = True
             if k == 1 and self.pairs is not None:
-                firsts = first[before]  # word of each prefix
-                chain = np.array([xxhash.xxh64_intdigest(names[b], int(hashes[a])) for a, b in zip(firsts.tolist(), last.tolist())], np.uint64)
-                linked = np.zeros(len(ids), bool)
+                chain = np.array([xxhash.xxh64_intdigest(names[b], h) for h, b in zip(hashes[first[before]].tolist(), last.tolist())], np.uint64)
+                linked = np.zeros(n, bool)
                 linked[start] = _in_bitmap(self.pairs, chain)[place] if len(chain) else False
                 fits &= linked
             if k in self.lengths:
-                if self.context:  # a phrase that ends in the context was counted before
-                    counts = np.bincount(place[start + k >= self.context], minlength=len(phrases))
-                yield from self._rows(before, last, counts, labels, texts, hashes, max(WIDEST >> 4 * k, 1))
+                # a phrase that ends in the context was counted before
+                counted = place if not self.context else place[start + k >= self.context]
+                yield from self._packed(before, last, np.bincount(counted, minlength=len(phrases)), labels, keys, texts, hashes, max(WIDEST >> 4 * k, 1))
             if k == max(self.lengths):
                 return
-            new = np.zeros(len(ids), np.int64)
-            new[start] = place
-            rank, first = new, last
-            labels = texts.take(pa.array(last)) if k == 0 else pc.binary_join_element_wise(
-                labels.take(pa.array(before)), texts.take(pa.array(last)), " ")
-
-    def _rows(
-        self, before: np.ndarray, last: np.ndarray, counts: np.ndarray, labels: pa.Array, texts: pa.Array, hashes: np.ndarray, parts: int,
+            rank = np.zeros(n, np.int64)
+            rank[start] = place
+            first = last
+            keys = mix(keys[before] * np.uint64(0x9E3779B97F4A7C15) + hashes[last])
+            labels = texts.take(pa.array(last)) if not k else pc.binary_join_element_wise(labels.take(pa.array(before)), texts.take(pa.array(last)), " ")
+
+    def _packed(
+        self, before: np.ndarray, last: np.ndarray, counts: np.ndarray, labels: pa.Array, keys: np.ndarray, texts: pa.Array,
+        hashes: np.ndarray, parts: int,
     ) -> Iterator[pa.RecordBatch]:
         met = np.flatnonzero(counts)
         before, last, counts = before[met], last[met], counts[met]
-        part = (mix(hashes[last]) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((part, before))
-        before, last, counts, part = before[order], last[order], counts[order], part[order]
-        first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (part[1:] != part[:-1])])) if len(met) else met
-        for at in range(0, len(first), 50_000):
-            own = first[at : at + 50_000]
-            end = first[at + 50_000] if at + 50_000 < len(first) else len(met)
-            offsets = pa.array(np.append(own, end) - own[0], pa.int32())
-            rows = slice(own[0], end)
-            yield pa.RecordBatch.from_arrays([
-                pa.repeat(self.lang, len(own)), labels.take(pa.array(before[own])), pa.array(part[own], pa.int32()),
-                pa.ListArray.from_arrays(offsets, texts.take(pa.array(last[rows]))),
-                pa.ListArray.from_arrays(offsets, pa.array(counts[rows])),
-            ], schema=_STRIPE)
-
-
-def stripes(texts: DataFrame, lengths: Sequence[int], words: np.ndarray | None = None, pairs: np.ndarray | None = None) -> DataFrame:
-    """Stripes (``STRIPE_DDL``) of ``texts`` (lang, text), one row per prefix, part and flush of a task."""
+        bucket = (mix(keys[before] + mix(hashes[last]) % np.uint64(parts)) % np.uint64(self.buckets)).astype(np.int64)
+        order = np.lexsort((last, before, bucket))
+        before, last, counts, bucket = before[order], last[order], counts[order], bucket[order]
+        borders = np.searchsorted(bucket, np.arange(self.buckets + 1))
+        out: dict[str, list] = {f.name: [] for f in _PACKED}
+        for b in np.flatnonzero(np.diff(borders)):
+            own = slice(borders[b], borders[b + 1])
+            first = np.flatnonzero(np.concatenate([[True], before[own][1:] != before[own][:-1]]))
+            row = (
+                int(b), self.lang, "\n".join(labels.take(pa.array(before[own][first])).to_pylist()),
+                np.diff(np.append(first, len(before[own]))).astype("<u4").tobytes(),
+                " ".join(texts.take(pa.array(last[own])).to_pylist()), counts[own].astype("<u8").tobytes(),
+            )
+            for column, value in zip(out.values(), row):
+                column.append(value)
+        yield pa.RecordBatch.from_pydict(out, _PACKED)
+
+
+def stripes(
+    texts: DataFrame, lengths: Sequence[int], buckets: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None,
+) -> DataFrame:
+    """Stripes (``PACKED_DDL``) of ``texts`` (lang, text): a row for each bucket and flush of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
+        size = 0
         for batch in batches:
             for part in slices(batch, 1):
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     own = counters.get(lang)
                     if own is None:
-                        own = counters[lang] = Counter(lang, lengths, words, pairs)
+                        own = counters[lang] = Counter(lang, lengths, buckets, words, pairs)
                     for piece in _pieces(text.encode("utf-8")):
-                        own.add(words_of(piece))
-                        if own.size >= BATCH_WORDS:
+                        found = words_of(piece)
+                        own.add(found)
+                        size += len(found)
+                        if len(own.held) >= BATCH_WORDS:
+                            size -= len(own.held)
                             yield from own.flush(goes_on=True)
+                            size += len(own.held)
                     own.add([_BORDER])
+                    size += 1
                 # however many languages there are, the words held are bounded
-                if sum(c.size for c in counters.values()) >= BATCH_WORDS:
+                if size >= BATCH_WORDS:
                     for own in counters.values():
                         yield from own.flush()
                     counters.clear()
+                    size = 0
         for own in counters.values():
             yield from own.flush()
 
-    return texts.mapInArrow(run, STRIPE_DDL)
+    return texts.mapInArrow(run, PACKED_DDL)
 
 
 def _reduced(table: pa.Table) -> pa.Table:
@@ -202,22 +204,23 @@ def merged(rows: DataFrame, least: int, tasks: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, limit = [], 0, TASK_ENTRIES
         for batch in batches:
-            next_, counts = batch.column(3), batch.column(4)
-            owner = pc.list_parent_indices(next_)
-            held.append(pa.table({
-                "lang": batch.column(0).take(owner), "prefix": batch.column(1).take(owner), "next": next_.flatten(), "f": counts.flatten(),
-            }))
-            size += len(owner)
-            if size >= limit:
-                held = [_reduced(pa.concat_tables(held))]
-                size = held[0].num_rows
-                limit = 2 * size + TASK_ENTRIES
+            for _, lang, prefixes, sizes, next_, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                sizes = np.frombuffer(sizes, "<u4")
+                owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                held.append(pa.table({
+                    "lang": pa.repeat(lang, len(owner)), "prefix": pa.array(prefixes.split("\n")).take(owner),
+                    "next": pa.array(next_.split(" ")), "f": pa.array(np.frombuffer(counts, "<i8")),
+                }))
+                size += len(owner)
+                if size >= limit:
+                    held = [_reduced(pa.concat_tables(held))]
+                    size = held[0].num_rows
+                    limit = 2 * size + TASK_ENTRIES
         if held:
             whole = _reduced(pa.concat_tables(held))
             yield from whole.filter(pc.greater_equal(whole["f"], least)).to_batches(max_chunksize=50_000)
 
-    dealt = rows.repartition(tasks, "lang", "prefix", "part")
-    return dealt.mapInArrow(run, "lang string, prefix string, next string, f bigint")
+    return rows.repartition(tasks, "bucket").mapInArrow(run, "lang string, prefix string, next string, f bigint")
 
 
 def bitmap(hashed: DataFrame, key: Column) -> np.ndarray:
@@ -235,18 +238,18 @@ def frequent_phrases(texts: DataFrame, longest: int, least: int) -> tuple[DataFr
     """(lang, n) of all word occurrences; and staged (lang, prefix, next, f) of phrases up to ``longest`` words."""
     spark = texts.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    singles = staged(merged(stripes(texts, [0]), 1, width), "words")
+    singles = staged(merged(stripes(texts, [0], 4 * width), 1, width), "words")
     n = staged(singles.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
     tasks = max(-(-(n.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // TASK_ENTRIES), width)
     frequent = singles.filter(F.col("f") >= least)
     words = bitmap(frequent, F.xxhash64("lang", "next"))
     found = [frequent]
     if longest > 1:
-        pairs = staged(merged(stripes(texts, [1], words), least, tasks), "word-pairs")
+        pairs = staged(merged(stripes(texts, [1], tasks, words), least, tasks), "word-pairs")
         found.append(pairs)
         if longest > 2:
             chains = bitmap(pairs, F.xxhash64("lang", "prefix", "next"))
-            found.append(merged(stripes(texts, list(range(2, longest)), words, chains), least, tasks))
+            found.append(merged(stripes(texts, list(range(2, longest)), tasks, words, chains), least, tasks))
     whole = found[0]
     for more in found[1:]:
         whole = whole.union(more)
