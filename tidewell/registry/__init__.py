@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import checks, cleaning, merging, operations, statistics, storage
+from . import checks, cleaning, incremental, merging, operations, statistics, storage
 
-GROUPS = (cleaning, checks, statistics, merging, operations, storage)
+GROUPS = (cleaning, checks, statistics, merging, operations, storage, incremental)
 
 
 def all_queries() -> dict:

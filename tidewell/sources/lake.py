@@ -199,6 +199,14 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def remove_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Remove folders with what they hold; one that is gone already is no error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def expire_days(spark: SparkSession, path: str, today: dt.date, keep_days: int) -> list[dt.date]:
     """Remove the day folders older than ``keep_days`` and return their dates.
 
