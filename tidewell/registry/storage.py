@@ -9,11 +9,12 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import text as X
 from ..operators import cleaning as K
+from ..operators.partials import DailyState
 from ..operators.statistics import Measure, daily_statistics
 from ..plans import medallion as W
 from ..sources import lake, landing, serving
-from ..sources.workspace import scratch
-from ..streaming import ingest as I
+from ..sources.workspace import literal_rows, scratch
+from ..streaming import ingest as I, watermarks as U
 from . import common as C
 
 _COLUMNS = ("event_id", "user_id", "event_type", "value")
@@ -301,7 +302,64 @@ def stream_gated(spark, sf_dir):
     )
 
 
+def _delivered(spark, batches, run):
+    """Batches landed one after the other, and the stream driven over each."""
+    folder, schema = scratch(spark, "landing"), batches[0].schema
+    for batch in batches:
+        batch.write.mode("append").parquet(folder)
+        run(I.file_stream(spark, folder, schema)).awaitTermination()
+    return schema
+
+
+def stream_unique_gate(spark, sf_dir):
+    """Events in three batches. The third repeats keys of the first: it is vetoed, and delivered again without them; the
+    keys it shares with the vetoed one do not stop it."""
+    events = C.moments(C.table(spark, sf_dir, "events")).select("event_id", "user_id", "ts")
+    parts = [events.filter(F.col("event_id") % 3 == n) for n in range(3)]
+    again = parts[0].filter("user_id = 7")
+    target, checkpoint = scratch(spark, "unique"), scratch(spark, "stream")
+    vetoes = []
+
+    def note(batch, verdict):
+        if not verdict.passed:
+            vetoes.extend((batch, i.rule_name, i.affected_records) for i in verdict.issues)
+
+    schema = _delivered(spark, [parts[0], parts[1], parts[2].unionByName(again), parts[2]], lambda stream: U.unique_batches(
+        stream, ["user_id", "ts"], "ts", "60 days", target, checkpoint, C.RUN_TS, note))
+    published = I.published_batches(spark, target, schema).select("event_id", F.lit(None).cast("string").alias("rule"), F.lit(0).cast("bigint").alias("keys"))
+    told = literal_rows(spark, [{"event_id": None, "rule": r, "keys": n} for _, r, n in vetoes], "event_id bigint, rule string, keys bigint")
+    return published.unionByName(told)
+
+
+def _closed(spark, sf_dir):
+    """Events in three batches, the second of which brings delayed rows of the early days."""
+    events = C.moments(C.events(spark, sf_dir)).select("event_id", "event_type", "ts", "value", "k")
+    early, delayed = F.col("ts") < F.lit("2024-01-15").cast("timestamp"), F.col("k") % 10 == 3
+    target, checkpoint = scratch(spark, "closed"), scratch(spark, "stream")
+    state = DailyState(scratch(spark, "open-days"), "event_type string", "ts", {"value": 2})
+    batches = [events.filter(early & ~delayed), events.filter(early & delayed), events.filter(~early)]
+    schema = _delivered(spark, batches, lambda stream: U.closed_days(stream, state, dt.timedelta(days=2), target, checkpoint))
+    return target, state, schema
+
+
+def stream_closed_days(spark, sf_dir):
+    """Daily statistics emitted once their day was closed, without the rows that came later."""
+    target, state, _ = _closed(spark, sf_dir)
+    found = U.emitted_days(spark, target, state)
+    return found.select("event_type", F.col("date").cast("string").alias("date"), "n", "value_mean", "value_min", "value_max")
+
+
+def stream_late_rows(spark, sf_dir):
+    """The rows that came after their day was closed."""
+    target, _, schema = _closed(spark, sf_dir)
+    return U.late_rows(spark, target, schema).select("event_id", "event_type", "k")
+
+
 _SHOWN = "event_id, user_id, event_type, value"
+_ARRIVED = f"""
+    SELECT *, ts < TIMESTAMP '2024-01-15' AND k % 10 = 3 AND date_trunc('day', ts) + INTERVAL 1 DAY <=
+        date_trunc('day', (SELECT max(ts) - INTERVAL 2 DAY FROM {C.EVENTS_SQL} x WHERE ts < TIMESTAMP '2024-01-15' AND k % 10 <> 3)) AS late
+    FROM {C.EVENTS_SQL} e"""
 _TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
 _PAYLOADS = f"(SELECT *, TIMESTAMP '2024-01-30 13:00:00' + to_seconds(event_id) AS moment FROM {C.EVENTS_SQL} x)"
 
@@ -372,6 +430,16 @@ ORACLES = {
         SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, count(*) AS n,
                round_even(sum(CAST(round(value * 100) AS BIGINT)) / count(*), 0) / 100 AS value_mean,
                min(value) AS value_min, max(value) AS value_max FROM events GROUP BY 1, 2""",
+    "stream_unique_gate": """
+        SELECT event_id, CAST(NULL AS VARCHAR) AS rule, CAST(0 AS BIGINT) AS keys FROM events
+        UNION ALL SELECT NULL, 'stream_unique', count(*) FROM events WHERE event_id % 3 = 0 AND user_id = 7 HAVING count(*) > 0""",
+    "stream_closed_days": f"""
+        SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n,
+               round_even(sum(CAST(round(value * 100) AS BIGINT)) / count(*), 0) / 100 AS value_mean,
+               min(value) AS value_min, max(value) AS value_max
+        FROM ({_ARRIVED}) a
+        WHERE NOT late AND CAST(ts AS DATE) < (SELECT CAST(max(ts) - INTERVAL 2 DAY AS DATE) FROM events) GROUP BY 1, 2""",
+    "stream_late_rows": f"SELECT event_id, event_type, k FROM ({_ARRIVED}) a WHERE late",
     "stream_dedup": f"SELECT {_SHOWN} FROM events",
     "stream_gated": f"""
         SELECT event_id, CASE WHEN value < 0 OR value > 200 THEN 'value=' || CAST(value AS VARCHAR) || ' outside range [0, 200]'

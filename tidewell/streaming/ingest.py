@@ -97,7 +97,7 @@ def gated_batches(
             named = batch.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"))
             named.write.mode("overwrite").parquet(f"{target}/published/{batch_id}")
 
-    return _started(stream.writeStream.foreachBatch(publish), checkpoint, trigger)
+    return started(stream.writeStream.foreachBatch(publish), checkpoint, trigger)
 
 
 def published_batches(spark: SparkSession, target: str, schema: T.StructType | str) -> DataFrame:
@@ -120,7 +120,7 @@ def run_to_table(
     def add(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _started(stream.writeStream.outputMode("update").foreachBatch(add), checkpoint, trigger)
+    return started(stream.writeStream.outputMode("update").foreachBatch(add), checkpoint, trigger)
 
 
 def current_rows(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> DataFrame:
@@ -133,8 +133,8 @@ def current_rows(spark: SparkSession, path: str, schema: T.StructType, key: Sequ
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Drive a stream into a parquet folder (append, exactly once)."""
-    return _started(stream.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, trigger)
+    return started(stream.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, trigger)
 
 
-def _started(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def started(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
