@@ -152,3 +152,15 @@ def test_count_query_equals_the_library(spark, tokenizer):
             text = text[:a] + new + text[b:]
         want[r.doc_id] = (len(tokenizer.encoding.encode_ordinary(r.text)), len(steps), len(tokenizer.encoding.encode_ordinary(text)))
     assert got == want and sum(w[1] for w in want.values()) > 0
+
+
+def test_short_items_are_found_as_whole_words(spark, documents):
+    """Items below the limit: unchanged, between word borders; in scripts without blanks anywhere."""
+    bench = spark.createDataFrame([("1", "What is 7 times 8?"), ("2", "今日は何曜日ですか"), ("3", "?!"), ("x", "no number"), ("4", "cat")], "item_id string, text string")
+    docs = documents([
+        (1, "What is 7 times 8?"), (2, "what is 7 times 88"), (3, "So what is: 7 TIMES 8 then"), (4, "what is 7 time 8"), (5, "ところで今日は何曜日ですかね"),
+        (6, "concatenate cats"), (7, "no number ?!"), (8, "The cat. A cat"), (9, None),
+    ])
+    got = {r.doc_id: [(h.item_id, h.start_char, h.end_char, h.distance) for h in r.hits] for r in D.find(docs, bench).collect()}
+    assert got == {
+        1: [(1, 0, 17, 0)], 2: [], 3: [(1, 3, 21, 0)], 4: [], 5: [(2, 0, 14, 0)], 6: [], 7: [], 8: [(4, 4, 7, 0), (4, 11, 14, 0)], 9: []}

@@ -86,11 +86,25 @@ def occurrences(item: str, errors: int, text: str) -> list[tuple[int, int, int]]
     return found
 
 
+def unspaced(char: str) -> bool:
+    """Letters of scripts that put no blanks between words: East Asian, and those of mainland South-East Asia."""
+    code = ord(char)
+    return code >= 0x2E80 and not 0xA4D0 <= code <= 0xD7FF and not 0xFB00 <= code <= 0xFDFF or 0x0E00 <= code <= 0x0EFF or 0x1000 <= code <= 0x109F or 0x1780 <= code <= 0x17FF
+
+
+def at_borders(text: str, start: int, end: int) -> bool:
+    """Whether a part of a normal form begins and ends where words do; in scripts without blanks it may anywhere."""
+    before = start == 0 or text[start - 1] == " " or unspaced(text[start])
+    return before and (end == len(text) or text[end] == " " or unspaced(text[end - 1]))
+
+
 @dataclass
 class Items:
-    """Items of one pass, and all their pieces in one automaton."""
+    """Items of one pass, and all their pieces in one automaton; ``bordered`` are the numbers of those that count
+    only unchanged and as whole words."""
 
     rows: list[tuple[int, str, int]]
+    bordered: frozenset[int] = frozenset()
 
     def automaton(self):
         machine = ahocorasick.Automaton()
@@ -112,6 +126,9 @@ class Items:
         found = set()
         for number, begins in starts.items():
             _, item, errors = self.rows[number]
+            if number in self.bordered:
+                found.update((number, a, a + len(item), 0) for a in begins if at_borders(text, a, a + len(item)))
+                continue
             grams = {item[i : i + 3] for i in range(len(item) - 2)}
             windows: list[list[int]] = []
             for begin in sorted(begins):
@@ -130,17 +147,21 @@ class Items:
 def _passes(items: DataFrame, item_col: str, text_col: str, rate: float, shortest: int):
     """Items in groups of a checked size, so that what a pass sends to the tasks is bounded."""
     group, size = [], 0
-    for row in items.select(F.col(item_col).cast("bigint").alias("i"), F.col(text_col).alias("t")).sort("i", "t").toLocalIterator():
+
+    def made() -> Items:
+        return Items(group, frozenset(n for n, (_, text, _) in enumerate(group) if len(text) < shortest))
+
+    for row in items.select(F.col(item_col).try_cast("bigint").alias("i"), F.col(text_col).alias("t")).sort("i", "t").toLocalIterator():
         text = normal(row["t"])
-        if len(text) < shortest or row["i"] is None:
+        if not text or row["i"] is None:
             continue
         if group and size + len(text) > PASS_BYTES:
-            yield Items(group)
+            yield made()
             group, size = [], 0
-        group.append((row["i"], text, int(rate * len(text))))
+        group.append((row["i"], text, int(rate * len(text)) if len(text) >= shortest else 0))
         size += len(text)
     if group:
-        yield Items(group)
+        yield made()
 
 
 def find(
@@ -151,8 +172,9 @@ def find(
     end_char, distance) in the characters of the whole text, one for each place where an item occurs
     within ``rate`` edits per normalised character.
 
-    Matching ignores case, white space and punctuation. Items of under ``shortest`` normalised
-    characters, or without id, are no evidence and find nothing; null and empty texts have no hits;
+    Matching ignores case, white space and punctuation. Items of under ``shortest`` normalised characters count
+    where they occur unchanged and as whole words, so an item of one word is found wherever that word is; items
+    without a letter or digit, or whose id is absent or no number, find nothing; null and empty texts have no hits;
     items that repeat are all reported; repeated rows stay repeated; a ``hits`` column of the input
     is replaced, other columns play no part. A benchmark over PASS_BYTES is searched in several
     passes. Narrow: documents are not shuffled.
