@@ -1,3 +1,4 @@
+import random
 import textwrap
 
 import numpy as np
@@ -205,3 +206,27 @@ def test_known_sentences_end_and_start_with_their_words(documents):
             (7, ("." * 50_000 + " \n" + "\u65e5" * 50_000) * 2 + "all rights reserved")]
     got = {r.doc_id: list(r.sentence_ids) for r in licenses.scan(documents(rows)).collect()}
     assert got == {1: [], 2: [], 3: [], 4: [], 5: ["reserved"], 6: ["reserved"], 7: ["reserved"]}
+
+
+def test_components_of_any_size(spark):
+    """Sums beyond what floats add up exactly, beyond 64 bits and beyond all floats."""
+    import math
+
+    draw = random.Random(4)
+    sizes = [1.0, 1.0, 3000.0, 2.0**40, 1e15, 1e200, 1.7e308]
+    rows = [(i, [draw.choice([-1, 1]) * draw.random() * draw.choice(sizes) for _ in range(3)]) for i in range(60)]
+    rows += [(100, [2.0**43, 1.0, 2.0**-10]), (101, [2.0**43, 1.0, 0.0]), (102, [2.0**43, 1.0, 2.0**-9]), (200, [float("inf"), 0.0, 0.0])]
+    whole = {i: [int(x) * 1024 if abs(x) > 1e300 else math.floor(1024 * x) for x in v] for i, v in rows if i != 200}
+    want = []
+    for q, a in whole.items():
+        if q % 10 == 0:
+            scores = [(max(-(1 << 63), min(sum(x * y for x, y in zip(a, b)), (1 << 63) - 1)), i) for i, b in whole.items() if i != q]
+            want += [(q, r, i, s) for r, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:7], 1)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = [tuple(r) for r in topk.search(table, F.col("vec_id") % 10 == 0, 7).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_text_ids_take_no_part(spark):
+    table = spark.createDataFrame([("1", [1.0]), ("x", [9.0]), ("2", [2.0])], "vec_id string, embedding array<double>")
+    assert [tuple(r) for r in topk.search(table, F.lit(True), 1).sort("query_id").collect()] == [(1, 1, 2, 2 * 1024 * 1024), (2, 1, 1, 2 * 1024 * 1024)]

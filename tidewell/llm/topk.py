@@ -4,7 +4,10 @@ Each task takes its rows in blocks. A block keeps one list per component, sorted
 the lists are read in step from their better end; what was read gives every row a lower and an
 upper bound of its score. Reading stops when few rows can still reach the k-th lower bound, or the
 k-th score of the blocks before, and the scores of these rows are resolved. Queries travel in groups of a
-checked size, one pass over the rows per group.
+checked size, one pass over the rows per group; the result of a pass is written before the next group is fetched.
+
+Sums of whole numbers are exact in 64-bit floats up to 2 ** 53. Where the sizes of a query and of a block leave any
+doubt of that, the block is scored in whole numbers of any size instead.
 """
 
 from __future__ import annotations
@@ -15,8 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Rows in a block; bytes of queries sent with a pass; and the largest size of a whole-number component.
-BLOCK_ROWS, QUERY_BYTES, LARGEST = 2_048, 32 << 20, 1 << 21
+from .common import staged
+
+#: Rows in a block; bytes of queries sent with a pass.
+BLOCK_ROWS, QUERY_BYTES = 2_048, 32 << 20
+#: Vectors with a component from this size on have blocks of their own; bound of the sums that floats add up exactly,
+#: with room for the bounds of a score; largest score.
+LARGE, EXACT, MOST = 1 << 21, 1 << 51, (1 << 63) - 1
 #: Eighths of the lists read before the bounds are compared, and the share of rows that may be left to resolve.
 READ_EIGHTHS, LEFT = (4, 5, 6, 8), 8
 
@@ -29,24 +37,41 @@ def whole_numbers(vectors: list, scale: int) -> tuple[list[int], list[np.ndarray
             continue
         x = np.array(v, np.float64)  # a null component becomes NaN
         if np.isfinite(x).all():
-            x = np.floor(scale * x)
-            if np.abs(x).max() >= LARGEST:
-                raise ValueError(f"a component is {LARGEST} or more after scaling: sums may not fit 64 bits")
             at.append(i)
-            out.append(x)
+            with np.errstate(over="ignore"):
+                scaled = np.floor(scale * x)
+            # a product beyond all floats is that of a whole number
+            out.append(scaled if np.isfinite(scaled).all() else np.array([int(v) * scale if abs(v) > 1e300 else int(s) for v, s in zip(x, scaled)], object))
     return at, out
 
 
+def is_large(vector: np.ndarray) -> bool:
+    return bool(np.abs(vector).max() >= LARGE)
+
+
+def exact_scores(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products in whole numbers; one that does not fit 64 bits counts as the largest or smallest that does."""
+    whole = np.array([int(v) for v in q], object)
+    sums = [int(sum(int(a) * b for a, b in zip(row, whole))) for row in rows.tolist()]
+    return np.array([max(-MOST - 1, min(s, MOST)) for s in sums], np.int64)
+
+
 class Block:
     """Rows of one length, with a sorted list per component."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
         self.ids, self.rows = ids, rows
+        self.most = np.abs(rows).max(0)
+        if rows.dtype == object:
+            return
         self.order = np.argsort(rows, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(rows.T, self.order, 1)
 
     def best(self, query_id: int, q: np.ndarray, k: int, reached: float) -> tuple[np.ndarray, np.ndarray]:
         """(scores, ids) of every row that may be among the best ``k`` given the k-th score ``reached`` so far."""
+        if self.rows.dtype == object or q.dtype == object or float(np.abs(q) @ self.most) >= EXACT:
+            possible = np.flatnonzero(self.ids != query_id)
+            return exact_scores(self.rows[possible], q), self.ids[possible]
         n = len(self.ids)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         weights = np.abs(q[np.concatenate([up, down])])[:, None]
@@ -57,7 +82,7 @@ class Block:
         gains = gains * weights
         if not len(gains):
             possible = np.flatnonzero(~own)
-            return np.zeros(len(possible)), self.ids[possible]
+            return np.zeros(len(possible), np.int64), self.ids[possible]
         least = gains[:, -1:]
         above, read = np.full(n, float(least.sum())), 0
         for eighths in READ_EIGHTHS:
@@ -74,7 +99,7 @@ class Block:
             possible = np.flatnonzero((upper >= bound) & ~own)
             if len(possible) <= max(4 * k, n // LEFT):
                 break
-        return self.rows[possible] @ q, self.ids[possible]
+        return (self.rows[possible] @ q).astype(np.int64), self.ids[possible]
 
 
 def search(vectors: DataFrame, is_query: Column, k: int, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -83,14 +108,15 @@ def search(vectors: DataFrame, is_query: Column, k: int, scale: int = 1024, id_c
 
     Vectors that are null or empty or hold a null or non-finite component, and rows without an id,
     take no part. Vectors of different length are not compared. Rows that share a query's id are
-    its own. A vector that repeats under many ids is a tie like any other; a repeated row counts
+    its own. A score beyond 64 bits counts as the largest or smallest number of 64 bits. An id that is no number counts
+    as none. A vector that repeats under many ids is a tie like any other; a repeated row counts
     again. Other columns play no part. No queries give an empty result.
     """
-    rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector")
+    rows = vectors.filter(F.col(id_col).try_cast("bigint").isNotNull() & F.col(vector_col).isNotNull()).select(
+        F.col(id_col).try_cast("bigint").alias("id"), F.col(vector_col).alias("vector")
     )
-    asked = vectors.filter(is_query & F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector")
+    asked = vectors.filter(is_query & F.col(id_col).try_cast("bigint").isNotNull() & F.col(vector_col).isNotNull()).select(
+        F.col(id_col).try_cast("bigint").alias("id"), F.col(vector_col).alias("vector")
     )
     size = asked.agg(F.coalesce(F.sum(8 * F.size("vector") + 64), F.lit(0))).first()[0]
     groups = -(-size // QUERY_BYTES)
@@ -98,7 +124,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, scale: int = 1024, id_c
     found = empty.withColumnRenamed("vec_id", id_col)
     for group in range(groups):
         part = asked.filter(F.pmod(F.xxhash64("id"), F.lit(groups)) == group).distinct().collect()
-        found = found.unionByName(_pass(rows, part, k, scale, id_col))
+        found = found.unionByName(staged(_pass(rows, part, k, scale, id_col), "best-vectors"))
     return found
 
 
@@ -108,24 +134,25 @@ def _pass(rows: DataFrame, queries: list, k: int, scale: int, id_col: str) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        waiting: dict[int, list[tuple[int, np.ndarray]]] = {}
+        waiting: dict[tuple[int, bool], list[tuple[int, np.ndarray]]] = {}
 
         def work(held: list) -> None:
-            block = Block(np.array([i for i, _ in held]), np.array([v for _, v in held]))
+            kind = object if any(v.dtype == object for _, v in held) else np.float64
+            block = Block(np.array([i for i, _ in held]), np.array([v for _, v in held], kind))
             for number, (query, q) in enumerate(asked):
                 if len(q) != block.rows.shape[1]:
                     continue
-                scores, ids = best.get(number, (np.zeros(0), np.zeros(0, np.int64)))
-                more = block.best(query, q, k, scores[k - 1] if len(scores) >= k else -np.inf)
+                scores, ids = best.get(number, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                more = block.best(query, q, k, float(scores[k - 1]) if len(scores) >= k else -np.inf)
                 scores, ids = np.concatenate([scores, more[0]]), np.concatenate([ids, more[1]])
-                first = np.lexsort((ids, -scores))[:k]
+                first = np.lexsort((ids, ~scores))[:k]  # ~ turns the order round and fits 64 bits
                 best[number] = scores[first], ids[first]
             held.clear()
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for i, v in zip(*whole_numbers(batch.column(1).to_pylist(), scale)):
-                held = waiting.setdefault(len(v), [])
+                held = waiting.setdefault((len(v), is_large(v)), [])
                 held.append((ids[i], v))
                 if len(held) >= BLOCK_ROWS:
                     work(held)
@@ -134,7 +161,7 @@ def _pass(rows: DataFrame, queries: list, k: int, scale: int, id_col: str) -> Da
                 work(held)
         for number, (scores, ids) in best.items():
             yield pa.RecordBatch.from_pydict({
-                "query_id": np.full(len(ids), asked[number][0], np.int64), "id": ids, "score": scores.astype(np.int64),
+                "query_id": np.full(len(ids), asked[number][0], np.int64), "id": ids, "score": scores,
             })
 
     partial = rows.mapInArrow(run, "query_id bigint, id bigint, score bigint")
