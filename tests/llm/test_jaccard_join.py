@@ -181,3 +181,29 @@ def test_components(spark, seed):
     linked = {v for a, b in edges if a != b for v in (a, b)}
     assert got == {v: g for v, g in group.items() if v in linked}
     assert components.labels(df.limit(0)).collect() == []
+
+
+def test_structured_words_do_not_share_a_hash(spark, documents):
+    """Words on which polynomial hashes modulo 2 ** 64 collide, whatever their base."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    assert len(a) == 1024 and a != b
+    one, two = shingles.shingle_sets([a, b])
+    assert one[0] != two[0]
+    for cut in (200, 256, 257, 512):
+        assert len({int(s[0]) for s in shingles.shingle_sets([a[:cut], b[:cut]])}) == 2
+    docs = documents([(1, a), (2, b), (3, a.upper())])
+    assert sorted((r.doc_id, r.component_id) for r in J.join(docs).collect()) == [(1, 1), (2, 2), (3, 1)]
+    assert sorted(r.doc_id for r in J.one_of_each_group(docs).collect()) == [1, 2]
+
+
+def test_no_hash_is_shared_by_many_short_words():
+    words = [f"{c}{i}" for c in ("", "a", "word", "longerword", "é") for i in range(20_000)]
+    starts, hashes = shingles.word_hashes(np.frombuffer(" ".join(words).encode() + b" ", np.uint8))
+    assert len(starts) == len(words) and len(np.unique(hashes)) == len(set(words))
+
+
+def test_text_ids(spark, documents):
+    docs = documents([("x", "a b c d e f"), ("7", "a b c d e f"), ("8", "z")], "doc_id string, text string")
+    assert sorted((tuple(r) for r in J.join(docs).collect()), key=repr) == [(7, 2, 7), (8, 1, 8), (None, 2, 7)]

@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.keyed_join import attach
 from . import components, signature_tree
 from .common import slices, staged
 from .shingles import set_key, shingle_sets
@@ -59,7 +60,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
     """Names a row by its id and text."""
-    return F.xxhash64(docs[id_col].cast("bigint"), docs[text_col])
+    return F.xxhash64(docs[id_col].try_cast("bigint"), docs[text_col])
 
 
 def digests(docs: DataFrame, id_col: str, text_col: str, words: int) -> tuple[DataFrame, DataFrame]:
@@ -84,7 +85,7 @@ def digests(docs: DataFrame, id_col: str, text_col: str, words: int) -> tuple[Da
                          pa.array(tokens[often].view(np.int64)), pa.nulls(int(often.sum()), pa.int64())], schema=schema)
 
     rows = staged(
-        docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), row_key(docs, id_col, text_col).alias("row"))
+        docs.select(F.col(id_col).try_cast("bigint").alias("id"), F.col(text_col).alias("text"), row_key(docs, id_col, text_col).alias("row"))
         .mapInArrow(run, "id bigint, n bigint, class bigint, hot bigint, row bigint"),
         "set-digests",
     )
@@ -361,9 +362,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, similarity
         hot = np.array(sorted(r["hot"] % (1 << 64) for r in frequent.select("hot").collect()), np.uint64)
         joined = connected(shared_tokens(docs, text_col, words, hot, total, share), share)
         group = F.coalesce("label", "class")
-        grouped = classes.join(joined, "class", "left").select("class", "first", group.alias("group"))
+        grouped = staged(classes.join(joined, "class", "left").select("class", "first", group.alias("group")), "grouped-classes")
         least = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
-        named = grouped.join(least, "group").select("class", "group", "component_id")
+        # a group may hold a third of the classes: the join is one that splits hot keys
+        named = staged(attach(grouped.select("class", "group"), least, ["group"]).select("class", "group", "component_id"), "named-classes")
     else:
         named = classes.select("class", F.col("class").alias("group"), F.col("first").alias("component_id"))
     return rows, named
@@ -379,11 +381,11 @@ def join(
     can be reached over links, the own id included. A text of fewer words is one shingle; null and
     empty texts, and texts of blanks, have no shingle, are linked with nothing and keep their own id.
     Equal texts are linked however many there are. Rows without an id take part, but name no
-    component: theirs is null unless they reach an id. Repeated rows stay repeated. Other columns
+    component: theirs is null unless they reach an id; an id that is no number counts as none. Repeated rows stay repeated. Other columns
     play no part.
     """
     rows, named = _grouped(docs, id_col, text_col, words, similarity)
-    out = rows.filter("class is not null").join(named, "class").select("id", "n", "component_id")
+    out = attach(rows.filter("class is not null"), named, ["class"]).select("id", "n", "component_id")
     alone = rows.filter("class is null").select("id", "n", F.col("id").alias("component_id"))
     return out.union(alone).toDF(id_col, "n_shingles", "component_id")
 
@@ -399,7 +401,7 @@ def one_of_each_group(
     text of them stays once, and all of those without an id.
     """
     rows, named = _grouped(docs, id_col, text_col, words, similarity)
-    linked = rows.filter("class is not null").join(named.select("class", "group"), "class")
+    linked = attach(rows.filter("class is not null"), named.select("class", "group"), ["class"])
     copies = linked.groupBy("group", "row", "id").agg(F.count("*").alias("copies"))
     first = copies.groupBy("group").agg(F.min(F.struct(F.isnull("id").alias("nameless"), "id", "row", "copies")).alias("first"))
     alone = rows.filter("class is null").groupBy("row").agg(F.count("id").alias("copies"))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 #: Bytes hashed at once: eight times as much memory is held for a moment, a few times over.
 PIECE = 512 << 10
 
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -22,14 +25,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _PLACES = [m | np.uint64(1) for m in mix(np.arange(11, 43, dtype=np.uint64) * _BASE)]
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+#: What keeps of eight bytes those of a word that ends among them.
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def _hashed(part: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the words between ``first`` and ``last``: eight bytes after the other, each mixed into what came before.
+
+    Words of up to eight bytes and one length never share a hash; of others each pair does by chance only.
+    """
+    low = np.concatenate([_LOWER[part], np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(part) + 1, "<u8", low.data, strides=(1,))  # the eight bytes from every place on
+    size = last - first
+    out = mix((size.astype(np.uint64) + np.uint64(1)) * _BASE)
+    open_ = np.flatnonzero(size <= LONG_WORD)
+    at = 0
+    while len(open_):
+        left = np.minimum(size[open_] - at, 8)
+        out[open_] = mix((out[open_] ^ (eight[first[open_] + at] & _KEEP[left])) + _BASE)
+        at += 8
+        open_ = open_[size[open_] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(low[first[i] : last[i]].tobytes(), 42)
+    return out
 
 
 def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,10 +66,8 @@ def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         part = buffer[at:end]
         word = np.concatenate([[False], ~_BLANK[part], [False]])
         first, last = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[_LOWER[part]] * _powers(_BASE, len(part)), dtype=np.uint64)])
-        own = (sums[last] - sums[first]) * _powers(_BACK, len(part) + 1)[first]
         starts.append(first + at)
-        hashes.append(mix(own + (last - first).astype(np.uint64)))
+        hashes.append(_hashed(part, first, last))
         at = end
     return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
