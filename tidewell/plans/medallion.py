@@ -27,7 +27,7 @@ from ..operators.observed import write_observed
 from ..sources import lake, landing, serving
 from ..sources.workspace import read_or_empty
 from ..spec import WEATHER, TableSpec
-from . import receipts as P
+from . import lineage, receipts as P
 from .layers import layer_gate
 
 LOG = logging.getLogger(__name__)
@@ -66,7 +66,8 @@ class Tables:
     def ops(self, name: str) -> str:
         return f"{self.root}/ops/{name}"
 
-    def _receipts(self, spark: SparkSession, name: str) -> DataFrame:
+    def receipts(self, spark: SparkSession, name: str) -> DataFrame:
+        """All receipts of an operational table, with the ``day`` and ``receipt`` of their folder; superseded ones too."""
         return read_or_empty(spark, self.ops(name), f"{P.OPS_DDL[name]}, day date, receipt string")
 
     def read_ops(
@@ -77,7 +78,7 @@ class Tables:
 
         Of the lineage, a publication counts on the day of the newest attempt at its run and layer, which may lie
         outside the window: windows that cover all days add up to the whole."""
-        rows = self._receipts(spark, name)
+        rows = self.receipts(spark, name)
 
         def within(df: DataFrame) -> DataFrame:
             df = df if first is None else df.filter(F.col("day") >= F.lit(first))
@@ -98,14 +99,14 @@ class Tables:
         self, spark: SparkSession, today: dt.date, keep_days: dict[str, int], quarantine_days: int = fixed.QUARANTINE_DAYS
     ) -> dict[str, list[dt.date]]:
         """Remove the day folders of layers (name: days kept) and of the quarantine that are too
-        old; returns the dates removed. Lineage rows of removed batches have to be expired with
-        them: readers of old days would miss their folders."""
+        old; returns the dates removed. For layers with lineage ``retention.sweep`` removes batches and the rows
+        that name them together; this leaves the rows."""
         wanted = {"quarantine": quarantine_days} | keep_days
         return {layer: lake.expire_days(spark, f"{self.root}/{layer}", today, days) for layer, days in wanted.items()}
 
     def first_start(self, spark: SparkSession, run_id: str) -> dt.datetime | None:
         """When a run of this id first began; opens the receipt of that run only."""
-        rows = self._receipts(spark, "runs").filter(F.col("receipt") == run_id)
+        rows = self.receipts(spark, "runs").filter(F.col("receipt") == run_id)
         micros = rows.agg(F.min(F.unix_micros("started_at")).alias("m")).collect()[0]["m"]
         return None if micros is None else dt.datetime.fromtimestamp(micros / 1e6, dt.timezone.utc)
 
@@ -134,15 +135,25 @@ class LayeredRun:
         run_id: str | None = None,
     ) -> P.RunResult:
         """Silver and gold rebuilt from the bronze batches published between two run dates."""
-        bronze = published(self.spark, self.tables, "bronze", schema, first, last)
-
+        return self._again(published_keys(self.spark, self.tables, "bronze", first, last), schema, run_ts, run_id or P.new_run_id())
+
+    def reprocess_derived(self, schema: T.StructType, run_ts: dt.datetime, bronze: Sequence[str]) -> list[P.RunResult]:
+        """Everything derived from some bronze folders built again: a new attempt at each run that has published silver
+        from one of them, over all bronze that run has read. It takes the place of what the run published before."""
+        found = lineage.derived(self.spark, self.tables, bronze).filter("layer = 'silver' and current")
+        runs = sorted(r["run_id"] for r in found.select("run_id").distinct().collect())
+        rows = self.tables.read_ops(self.spark, "lineage").filter((F.col("layer") == "silver") & F.col("run_id").isin(runs))
+        sources = {r["run_id"]: r["parents"] for r in rows.select("run_id", "parents").collect()}
+        return [self._again(sources[run], schema, run_ts, run) for run in runs]
+
+    def _again(self, bronze: Sequence[str], schema: T.StructType, run_ts: dt.datetime, run_id: str) -> P.RunResult:
         def later_layers(given: DataFrame, result: P.RunResult) -> None:
             result.records_ingested = given.count()
             if not result.records_ingested:
                 raise ValueError("No data ingested")
-            self._from_bronze(given, result)
+            self._from_bronze(given, result, bronze)
 
-        return self._attempt(P.RunResult(run_id or P.new_run_id(), run_ts), bronze, later_layers)
+        return self._attempt(P.RunResult(run_id, run_ts), read_folders(self.spark, bronze, schema), later_layers)
 
     def _attempt(
         self, result: P.RunResult, given: DataFrame, layers: Callable[[DataFrame, P.RunResult], None]
@@ -173,16 +184,16 @@ class LayeredRun:
         # bronze is the faithful copy of the source: it stays, whatever its gate says
         self._publish(result, ("bronze", result.records_ingested))
         self._veto(self._audit(bronze, "bronze", result, seen))
-        self._from_bronze(bronze, result)
+        self._from_bronze(bronze, result, [self._key("bronze", result)])
 
-    def _from_bronze(self, bronze: DataFrame, result: P.RunResult) -> None:
+    def _from_bronze(self, bronze: DataFrame, result: P.RunResult, sources: Sequence[str]) -> None:
         judged = K.clean_with_reason(bronze, self.spec, result.started_at)
         silver, rejects, seen = self._split(judged, result)
         self._quarantine(rejects, result)
         verdict = self._audit(silver, "silver", result, seen)
         result.records_transformed = verdict.metrics["total_records"]
         self._veto(verdict)
-        self._publish(result, ("silver", result.records_transformed))
+        self._publish(result, ("silver", result.records_transformed), parents=sources)
 
         gold, seen, _ = self._write(self.enrich(silver), "gold", result, self._rules("gold"))
         self._veto(self._audit(gold, "gold", result, seen))
@@ -191,7 +202,7 @@ class LayeredRun:
             _, _, records = self._write(aggregate(silver), f"gold_{name}", result)
             layers.append((f"gold_{name}", records))
         result.records_loaded = self._load(gold, result)
-        self._publish(result, *layers)
+        self._publish(result, *layers, parents=[self._key("silver", result)])
 
     def _rules(self, layer: str) -> list[R.Rule]:
         return self._gate(layer, "").rules
@@ -240,23 +251,30 @@ class LayeredRun:
     def _load(self, gold: DataFrame, result: P.RunResult) -> int:
         if self.load is not None:
             return self.load(gold, result)
-        return serving.load(
+        staging = self.tables.staging(result)
+        accepted = serving.load(
             self.spark,
             gold,
             self.tables.serving,
-            self.tables.staging(result),
+            staging,
             result.started_at,
             self.spec,
             run_id=result.run_id,
             unique=True,  # the gold gate has just checked the key
         )
+        if accepted:
+            days = serving.touched_days(self.spark, staging)
+            rows = lineage.served_rows(days, result, self._key("gold", result))
+            self.tables.write_ops(rows, "served", result.started_at.date(), result.run_id, result.attempt)
+        return accepted
+
+    def _key(self, layer: str, result: P.RunResult) -> str:
+        path = self.tables.batch(layer, result)
+        return f"{path}/{KEPT}" if layer == "silver" else path
 
-    def _publish(self, result: P.RunResult, *layers: tuple[str, int]) -> None:
+    def _publish(self, result: P.RunResult, *layers: tuple[str, int], parents: Sequence[str] = ()) -> None:
         """Lineage rows for written folders, in one write: from then on readers see them."""
-        artifacts = []
-        for layer, records in layers:
-            path = self.tables.batch(layer, result)
-            artifacts.append(P.Artifact(layer, f"{path}/{KEPT}" if layer == "silver" else path, records))
+        artifacts = [P.Artifact(layer, self._key(layer, result), records, tuple(parents)) for layer, records in layers]
         rows = P.artifact_rows(self.spark, result, artifacts)
         self.tables.write_ops(rows, "lineage", result.started_at.date(), result.run_id, layers[0][0], result.attempt)
         result.artifacts.extend(artifacts)
@@ -310,11 +328,19 @@ def published(
 
     The lineage table names the folders to read, one per batch; all of them are one scan.
     """
+    return read_folders(spark, published_keys(spark, tables, layer, first, last), schema)
+
+
+def published_keys(
+    spark: SparkSession, tables: Tables, layer: str, first: dt.date | None = None, last: dt.date | None = None
+) -> list[str]:
+    """The folders of a layer's published batches between two run dates: as many as there are batches."""
     listed = tables.read_ops(spark, "lineage", first, last).filter((F.col("layer") == layer) & (F.col("record_count") > 0))
-    paths = sorted(r["key"] for r in listed.select("key").collect())  # as many as there are batches
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+    return sorted(r["key"] for r in listed.select("key").collect())
+
+
+def read_folders(spark: SparkSession, folders: Sequence[str], schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def latest_published(spark: SparkSession, tables: Tables, layer: str) -> str | None:

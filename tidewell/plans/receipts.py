@@ -23,8 +23,9 @@ RUN_DDL = (
 )
 ARTIFACT_DDL = (
     "run_id string, layer string, key string, record_count bigint, published_at timestamp, "
-    "position int, entities array<string>, attempt string, written_at timestamp"
+    "position int, entities array<string>, attempt string, written_at timestamp, parents array<string>"
 )
+SERVED_DDL = "run_id string, key string, served_on date, attempt string, written_at timestamp"
 
 # the operational tables; the run table holds whole seconds
 OPS_DDL = {
@@ -32,14 +33,18 @@ OPS_DDL = {
     "quality_metrics": METRIC_DDL,
     "gates": GATE_DDL,
     "lineage": ARTIFACT_DDL,
+    "served": SERVED_DDL,
 }
 
 
 @dataclass(frozen=True)
 class Artifact:
+    """A published folder; ``parents`` are the folders it was derived from."""
+
     layer: str
     key: str
     record_count: int
+    parents: tuple[str, ...] = ()
 
 
 @dataclass

@@ -11,9 +11,9 @@ from ..functions import text as X
 from ..operators import cleaning as K
 from ..operators.partials import DailyState
 from ..operators.statistics import Measure, daily_statistics
-from ..plans import medallion as W
+from ..plans import lineage as L, medallion as W, retention as V
 from ..sources import lake, landing, serving
-from ..sources.workspace import literal_rows, scratch
+from ..sources.workspace import checkpointed, literal_rows, scratch
 from ..streaming import ingest as I, watermarks as U
 from . import common as C
 
@@ -199,6 +199,64 @@ def published_windows(spark, sf_dir):
     return found
 
 
+def _keys(prefix, column):
+    return F.concat(F.lit(prefix), F.col(column).cast("string"))
+
+
+def lineage_closure(spark, sf_dir):
+    """Everything derived from each nation, by way of its customers and their orders, down to the parts ordered."""
+    customer, orders, items = (C.table(spark, sf_dir, n) for n in ("customer", "orders", "lineitem"))
+    edges = (
+        customer.select(_keys("n", "c_nationkey"), _keys("c", "c_custkey"))
+        .union(orders.select(_keys("c", "o_custkey"), _keys("o", "o_orderkey")))
+        .union(items.select(_keys("o", "l_orderkey"), _keys("p", "l_partkey")))
+    )
+    origins = C.table(spark, sf_dir, "nation").select(_keys("n", "n_nationkey"))
+    return L.closure(edges, origins).select("origin", "key", C.big("depth").alias("depth"))
+
+
+def lineage_derived(spark, sf_dir):
+    """What was derived from the bronze folder of one of two runs, and what its runs publish after they were built again."""
+    raw, tables = C.raw_events(spark, sf_dir), W.Tables(scratch(spark, "lake"))
+
+    def runner():
+        daily = {"daily": lambda df: daily_statistics(df, ("event_type",), "ts", (Measure("value", ("max",)),), rows="n")}
+        return W.LayeredRun(spark, tables, C.EVENTS, "warn", enrich=lambda df: df, aggregates=daily)
+
+    results = {user: runner().run(raw.filter(F.col("user_id") == user), C.RUN_TS, f"run-{user}") for user in ("3", "7")}
+    origin = tables.batch("bronze", results["7"])
+    first = L.derived(spark, tables, [origin]).groupBy("layer", "current").agg(F.count(F.lit(1)).alias("found")).withColumn("step", F.lit("run"))
+    first = checkpointed(first)
+    again = runner().reprocess_derived(raw.schema, C.RUN_TS + dt.timedelta(days=1), [origin])
+    second = L.derived(spark, tables, [origin]).groupBy("layer", "current").agg(F.count(F.lit(1)).alias("found")).withColumn("step", F.lit("again"))
+    silver = W.published(spark, tables, "silver", K.clean(raw, C.EVENTS, C.RUN_TS).schema)
+    rows = silver.groupBy("user_id").agg(F.count(F.lit(1)).alias("found")).select(
+        F.lit("published").alias("step"), F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("layer"), F.lit(True).alias("current"), "found")
+    runs = literal_rows(spark, [{"step": "runs", "layer": r.run_id, "current": r.status == "success", "found": r.records_ingested} for r in again],
+                        "step string, layer string, current boolean, found bigint")
+    return first.unionByName(second).unionByName(rows).unionByName(runs)
+
+
+def swept_lake(spark, sf_dir):
+    """What readers find, and the attempt folders left, after superseded, vetoed and expired attempts were swept."""
+    raw, tables = C.raw_events(spark, sf_dir), W.Tables(scratch(spark, "lake"))
+    for run, user, day, copies in (("old", "3", -40, 1), ("a", "5", 0, 1), ("a", "11", 1, 1), ("b", "7", 1, 2)):
+        batch = raw.filter(F.col("user_id") == user)
+        batch = batch.unionByName(batch) if copies == 2 else batch  # vetoed at its gold gate
+        runner = W.LayeredRun(spark, tables, C.EVENTS, "warn", enrich=lambda df: df)
+        runner.run(batch, C.RUN_TS + dt.timedelta(days=day), run)
+    V.sweep(spark, tables, C.RUN_TS, {"bronze": 365, "silver": 30, "gold": 30}, grace=dt.timedelta(0))
+    schema = K.clean(raw, C.EVENTS, C.RUN_TS).schema
+    found = None
+    for layer, columns in (("bronze", raw.schema), ("silver", schema), ("gold", schema)):
+        seen = W.published(spark, tables, layer, columns).select(F.lit(layer).alias("layer"), C.big("event_id").alias("event_id"))
+        found = seen if found is None else found.unionByName(seen)
+    files = lake.list_files(spark, tables.root).select(V.attempt_of(F.col("path")).alias("folder"))
+    left = files.filter((F.col("folder") != "") & ~F.col("folder").startswith("quarantine")).distinct()
+    counted = left.groupBy(F.substring_index("folder", "/", 1).alias("layer")).agg(F.count(F.lit(1)).alias("event_id"))
+    return found.unionByName(counted.select(F.concat(F.lit("folders of "), "layer").alias("layer"), "event_id"))
+
+
 def latest_published(spark, sf_dir):
     """Of two runs of one day the later one is the newest batch, whatever its name."""
     raw, tables = C.raw_events(spark, sf_dir), W.Tables(scratch(spark, "lake"))
@@ -421,6 +479,32 @@ ORACLES = {
             ('from 2024-02-01', 'gold', 7, 1), ('from 2024-02-01', 'silver', 7, 2))
         SELECT days, layer, event_id, r.user_id FROM ({C.REASON_SQL}) r JOIN held h ON h.user_id = r.user_id, range(2) c(i)
         WHERE reason IS NULL AND i < copies""",
+    "lineage_closure": """
+        WITH RECURSIVE edges AS (
+            SELECT DISTINCT 'n' || c_nationkey AS parent, 'c' || c_custkey AS child FROM customer
+            UNION SELECT 'c' || o_custkey, 'o' || o_orderkey FROM orders UNION SELECT 'o' || l_orderkey, 'p' || l_partkey FROM lineitem),
+        reached AS (
+            SELECT 'n' || n_nationkey AS origin, 'n' || n_nationkey AS key, CAST(0 AS BIGINT) AS depth FROM nation
+            UNION SELECT origin, child, depth + 1 FROM reached JOIN edges ON parent = key)
+        SELECT origin, key, min(depth) AS depth FROM reached GROUP BY origin, key""",
+    "lineage_derived": f"""
+        WITH r AS (SELECT user_id, count(*) AS raw, count(*) FILTER (WHERE reason IS NULL) AS good,
+                count(DISTINCT CAST(ts AS DATE)) FILTER (WHERE reason IS NULL) AS days FROM ({C.REASON_SQL}) x WHERE user_id IN (3, 7) GROUP BY user_id),
+        layers(layer) AS (VALUES ('bronze'), ('silver'), ('gold'), ('gold_daily'))
+        SELECT 'run' AS step, layer, true AS current, CAST(1 AS BIGINT) AS found FROM layers
+        UNION ALL SELECT 'run', 'serving', true, days FROM r WHERE user_id = 7
+        UNION ALL SELECT 'again', layer, true, 1 FROM layers
+        UNION ALL SELECT 'again', layer, false, 1 FROM layers WHERE layer <> 'bronze'
+        UNION ALL SELECT 'again', 'serving', true, days FROM r WHERE user_id = 7
+        UNION ALL SELECT 'published', 'user ' || user_id, true, good FROM r
+        UNION ALL SELECT 'runs', 'run-7', true, raw FROM r WHERE user_id = 7""",
+    "swept_lake": f"""
+        WITH e AS (SELECT * FROM ({C.REASON_SQL}) x WHERE user_id IN (3, 7, 11))
+        SELECT 'bronze' AS layer, event_id FROM e UNION ALL SELECT 'bronze', event_id FROM e WHERE user_id = 7
+        UNION ALL SELECT 'silver', event_id FROM e WHERE reason IS NULL AND user_id IN (7, 11)
+        UNION ALL SELECT 'silver', event_id FROM e WHERE reason IS NULL AND user_id = 7
+        UNION ALL SELECT 'gold', event_id FROM e WHERE reason IS NULL AND user_id = 11
+        UNION ALL SELECT * FROM (VALUES ('folders of bronze', CAST(3 AS BIGINT)), ('folders of silver', 2), ('folders of gold', 1)) f""",
     "latest_published": f"SELECT event_id, user_id FROM ({C.REASON_SQL}) r WHERE reason IS NULL AND user_id = 7",
     "reprocessed_silver": f"""
         SELECT event_id, event_type, user_id, value, k, {_TS} AS ts FROM ({C.REASON_SQL}) r WHERE reason IS NULL""",

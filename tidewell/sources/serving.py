@@ -117,6 +117,11 @@ def load(
     return accepted
 
 
+def touched_days(spark: SparkSession, staging: str) -> DataFrame:
+    """The days that a load has rewritten, from the folders it staged."""
+    return spark.read.schema(f"{DAY} date").parquet(f"{staging}/days").select(F.col(DAY).alias("day")).distinct()
+
+
 def within_days_of(base: DataFrame, dated: DataFrame) -> DataFrame:
     """Rows of the table in the days of a batch. The days are literals in the filter, so only
     their folders are scanned; a batch of very many days is bounded by its first and last."""
