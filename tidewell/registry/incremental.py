@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import partials as P, sketches as S
+from ..sources import keyed as B
 from ..sources.workspace import scratch
 from . import common as C
 
@@ -84,6 +85,35 @@ def entity_incremental(spark, sf_dir):
     return state.finalised(state.read(spark), ["event_type"]).select("event_type", "n", "value_mean", "value_std", "value_min", "value_max")
 
 
+def _upserted(spark, sf_dir):
+    """Orders without a date in buckets: a first load, then price changes of one customer in fifty with new orders beside them."""
+    orders = C.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema)
+    table = B.BucketedTable(scratch(spark, "keyed-orders"), ddl, ("o_orderkey",), 8, 2_000)
+    steps = [table.upsert(orders.filter("o_custkey % 7 <> 0"))]
+    late = orders.filter("o_orderkey <= 1000")
+    steps.append(table.upsert(late.withColumn("o_totalprice", F.col("o_totalprice") * 2).withColumn("o_orderstatus", F.lit("X")), ["o_totalprice"]))
+    steps.append(table.upsert(orders.filter("o_custkey % 7 = 0 and o_orderkey > 1000")))
+    return table, steps
+
+
+def upsert_bucketed(spark, sf_dir):
+    return _upserted(spark, sf_dir)[0].read(spark)
+
+
+def lookup_bucketed(spark, sf_dir):
+    """Rows of some keys; an upsert of low keys and this lookup open the files of these keys only."""
+    table, steps = _upserted(spark, sf_dir)
+    wanted = C.table(spark, sf_dir, "lineitem").filter("l_quantity = 50 and l_discount = 0.1").select(F.col("l_orderkey").alias("o_orderkey"))
+    pruned = steps[1].read <= min(steps[1].files, 8 * (-(-1000 // 8) // 2_000 + 2))
+    return table.lookup(wanted).withColumn("pruned", F.lit(pruned))
+
+
+_UPSERTED = """(
+    SELECT o_orderkey, o_custkey,
+        CASE WHEN o_orderkey <= 1000 AND o_custkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN o_orderkey <= 1000 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice
+    FROM orders)"""
 _VALUES = "(SELECT event_type, ts, CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN value * 2 ELSE value END AS value FROM events)"
 _STATISTICS = """
     count(*) AS n, round_even(sum(u) / count(*), 0) / 100 AS value_mean,
@@ -100,6 +130,10 @@ ORACLES = {
         for name, (first, last) in _RANGES.items()),
     "daily_incremental": _DAILY,
     "daily_serving_table": _DAILY,
+    "upsert_bucketed": f"SELECT * FROM {_UPSERTED} o",
+    "lookup_bucketed": f"""
+        SELECT *, true AS pruned FROM {_UPSERTED} o
+        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1)""",
     "entity_incremental": f"SELECT event_type, {_STATISTICS} FROM {_UNITS} u GROUP BY event_type",
 }
 QUERIES = {name: globals()[name] for name in ORACLES}

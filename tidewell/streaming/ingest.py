@@ -16,6 +16,7 @@ from ..operators import cleaning as K
 from ..operators.gates import GateResult
 from ..plans.layers import layer_gate
 from ..sources import lake
+from ..sources.workspace import read_or_empty
 from ..spec import TableSpec
 
 
@@ -104,9 +105,9 @@ def published_batches(spark: SparkSession, target: str, schema: T.StructType | s
     """Valid rows of the batches that passed their gate. The batches are partitions of the
     folder: one that did not pass is not read."""
     ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    passed = spark.read.schema("batch bigint").option("recursiveFileLookup", True)
-    listed = sorted(r["batch"] for r in passed.parquet(f"{target}/published").distinct().collect())  # a number per batch
-    rows = spark.read.schema(f"{ddl}, batch bigint, rejected boolean").parquet(f"{target}/rows")
+    passed = read_or_empty(spark, f"{target}/published", "batch bigint", recursiveFileLookup=True)
+    listed = sorted(r["batch"] for r in passed.distinct().collect())  # a number per batch
+    rows = read_or_empty(spark, f"{target}/rows", f"{ddl}, batch bigint, rejected boolean")
     return rows.filter(~F.col("rejected") & F.col("batch").isin(listed)).drop("batch", "rejected")
 
 

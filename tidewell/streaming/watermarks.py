@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import fixed_values as fixed
 from ..operators import rules as R
 from ..operators.gates import BLOCK, Gate, GateResult
-from ..operators.partials import DAY, DailyState
+from ..operators.partials import DailyState
 from ..sources.workspace import read_or_empty
 from .ingest import started, utc_now
 
@@ -85,7 +85,7 @@ def unique_batches(
         verdict = Gate("stream_unique_gate", BLOCK, str(batch_id), [repeats_published(key, ledger)]).evaluate(stored, "silver", now)
         if on_verdict is not None:
             on_verdict(batch_id, verdict)
-        if verdict.passed:
+        if verdict.passed and verdict.metrics[R.TOTAL]:  # a batch without rows only moves the watermark
             named = stored.agg(F.max(F.array_max(ARRIVALS)).alias("arrival")).select(F.lit(batch_id).cast("bigint").alias("batch"), "arrival")
             named.coalesce(1).write.mode("overwrite").parquet(f"{ledger_path}/{batch_id}")
 
