@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import partials as P, sketches as S
+from ..operators import partials as P, sketches as S, variants as V
 from ..sources import keyed as B
 from ..sources.workspace import scratch
 from . import common as C
@@ -109,6 +109,24 @@ def lookup_bucketed(spark, sf_dir):
     return table.lookup(wanted).withColumn("pruned", F.lit(pruned))
 
 
+def variant_drift(spark, sf_dir):
+    """Payloads of the late days against the history of the early ones: a number that became text, a name that came, one
+    that went, and a list whose elements changed."""
+    e = C.events(spark, sf_dir)
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
+    old = F.struct(
+        "event_id", F.struct("value", F.struct(F.col("k")).alias("reading"), F.lit("m").alias("unit")).alias("measure"),
+        F.array(F.struct(F.col("event_type").alias("name"), F.lit(True).alias("shown"))).alias("tags"))
+    number = F.when(F.col("k") < 50, F.to_json(F.struct(F.struct(F.col("k").cast("string").alias("k")).alias("r")))).otherwise(F.to_json(F.struct(F.struct("k").alias("r"))))
+    new = F.concat(
+        F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"measure":{"value":'), F.col("value").cast("string"),
+        F.lit(',"reading":'), F.get_json_object(number, "$.r"), F.lit('},"tags":["'), "event_type", F.lit('"],"extra key":null}'))
+    history = scratch(spark, "payload-history")
+    V.keep(V.profile(e.filter(early).select(F.to_json(old).alias("payload")), "payload"), history, "early")
+    late = V.profile(e.filter(~early).select(new.alias("payload")), "payload")
+    return V.drift(late, V.read_history(spark, history))
+
+
 _UPSERTED = """(
     SELECT o_orderkey, o_custkey,
         CASE WHEN o_orderkey <= 1000 AND o_custkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
@@ -134,6 +152,19 @@ ORACLES = {
     "lookup_bucketed": f"""
         SELECT *, true AS pruned FROM {_UPSERTED} o
         WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1)""",
+    "variant_drift": f"""
+        WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE k < 50) AS t FROM {C.EVENTS_SQL} e WHERE ts >= TIMESTAMP '2024-01-15')
+        SELECT path, type, status, records FROM (
+            SELECT unnest([
+                {{path: '$', type: 'object', status: 'expected', records: n}}, {{path: '$.event_id', type: 'integer', status: 'expected', records: n}},
+                {{path: '$.measure', type: 'object', status: 'expected', records: n}}, {{path: '$.measure.value', type: 'number', status: 'expected', records: n}},
+                {{path: '$.measure.reading', type: 'object', status: 'expected', records: n}},
+                {{path: '$.measure.reading.k', type: 'string', status: 'retyped', records: t}},
+                {{path: '$.measure.reading.k', type: 'integer', status: 'expected', records: n - t}},
+                {{path: '$.tags', type: 'array', status: 'expected', records: n}}, {{path: '$.tags[]', type: 'string', status: 'retyped', records: n}},
+                {{path: '$[''extra key'']', type: 'null', status: 'added', records: n}},
+                {{path: '$.measure.unit', type: NULL, status: 'missing', records: 0}}, {{path: '$.tags[].name', type: NULL, status: 'missing', records: 0}},
+                {{path: '$.tags[].shown', type: NULL, status: 'missing', records: 0}}], recursive := true) FROM c) x""",
     "entity_incremental": f"SELECT event_type, {_STATISTICS} FROM {_UNITS} u GROUP BY event_type",
 }
 QUERIES = {name: globals()[name] for name in ORACLES}
