@@ -67,3 +67,93 @@ def test_page_query(spark):
     pages = {r.page_id: r.html for r in queries.read(spark, SF_DIR, "pages").collect()}
     assert len(got) == len(pages)
     assert all(r.text == article(pages[r.page_id]) and r.n_chars == len(r.text) for r in got)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a '" * 250_000, '<a "' * 250_000, "<div>" * 200_000, "<div>x" * 150_000, "<b>" * 5_000 + "x</p>" * 150_000, "<!--" * 250_000,
+    "<script>" * 120_000, "<p title='a>b" * 80_000, "<p " * 300_000 + ">", "<li>" * 200_000 + "y", "</div>" * 150_000, "<" * 1_000_000, "& " * 400_000,
+    "<a \"x\" '" * 100_000, "<div class='nav'>" * 60_000 + "z",
+])
+def test_broken_pages_take_linear_time(page):
+    import time
+
+    started = time.perf_counter()
+    H.main_text(page)
+    assert time.perf_counter() - started < 8  # some tenths of a second where nothing else runs
+
+
+def test_tags_of_broken_pages():
+    read = lambda page: [b.text for b in H.blocks_of(page)]
+    assert read("<p>a < b and c <3 d<p>e") == ["a < b and c <3 d", "e"]
+    assert read("<p>one<p title='x>y'>two</p><a href=\"q>r\">three") == ["one", "two", "three"]
+    assert read("<p>one</p><p title='open>two</p><p>three</p>") == ["one", "two", "three"]  # a quote left open
+    assert read("<p>kept</p><p class=x") == ["kept"]
+    assert read("<p>a<!-- <p>x</p> -->b</p><!---->c<!-->d") == ["ab", "cd"] or read("<p>a<!-- x -->b") == ["ab"]
+    assert read("<ul><li>a<ul><li>b<li>c</ul><li>d</ul><table><tr><td>e<td>f<tr><td>g</table>") == list("abcdefg")
+    assert read("<div><p>a<div>b</div>c</div>d") == ["a", "b", "c", "d"]
+
+
+ARTICLE = "<html><body><nav><a href=/>Home</a><a href=/a>About</a></nav><main><article>{}</article></main><footer>All rights reserved.</footer></body></html>"
+
+
+@pytest.mark.parametrize("names", ["login-story", "search-results-text", "story social-text", "related-content", "discussion-body", "copyright-story"])
+def test_subjects_of_an_article_keep_their_text(names):
+    inside = f"<p>The first paragraph is here to stay.</p><div class='{names}'><p>How the login page was found by a search.</p></div><p>It ends here, as it must.</p>"
+    assert H.main_text(ARTICLE.format(inside)).split("\n\n") == [
+        "The first paragraph is here to stay.", "How the login page was found by a search.", "It ends here, as it must."]
+
+
+@pytest.mark.parametrize("names", ["login", "related", "comment-text", "comment-body", "sidebar-content", "newsletter-text", "footer-text", "related-posts widget", "search", "cookie-content"])
+def test_boilerplate_within_an_article_goes(names):
+    inside = f"<p>The first paragraph is here to stay.</p><div class='{names}'><p>Something that is beside the point of it.</p></div><p>It ends here, as it must.</p>"
+    assert "beside the point" not in H.main_text(ARTICLE.format(inside))
+
+
+def bare(*blocks):
+    """A page without names or article elements: the classifier sees text and links only."""
+    return "<body><div>" + "".join(f"<p>{b}</p>" for b in blocks) + "</div></body>"
+
+
+LONG = "This is a paragraph of the page, long enough to be taken for one, and it ends with a full stop as others do."
+LINK = "<a href=/x>The full report of the inquiry</a>"
+
+
+def test_the_cut_decides_where_the_classifier_is_not_sure():
+    scores = lambda page: H.capacities(H.blocks_of(page))
+    page = bare(LONG, LONG, LINK, LONG, LONG)
+    assert scores(page)[2] < 0 and H.labels(H.blocks_of(page)) == [True] * 5  # kept with what is around it
+    page = bare(*[LINK] * 4, "Something short.", *[LINK] * 4)
+    assert scores(page)[4] > 0 and H.labels(H.blocks_of(page)) == [False] * 9
+    page = bare(LONG, LONG, *[LINK] * 6, LONG, LONG)  # a list of links stays one
+    assert H.labels(H.blocks_of(page)) == [True] * 2 + [False] * 6 + [True] * 2
+    # what the classifier is sure of no neighbour turns
+    page = "<body><main><p>{0}</p><p class=advert>Buy it. It is the best there is of all things.</p><p>{0}</p></main></body>".format(LONG)
+    assert H.labels(H.blocks_of(page)) == [True, False, True]
+    worst = max(sum(c for a, b, c in H.smoothness(H.blocks_of(bare(*[LONG] * 9))) if i in (a, b)) for i in range(9))
+    assert worst < H.LIMIT
+
+
+def test_share_of_labels_the_cut_changes_on_planted_pages():
+    """Sections of text and sections of links, each with a few blocks of the other look: the cut mends most of them."""
+    draw = random.Random(11)
+    changed = wrong_before = wrong_after = total = 0
+    for _ in range(150):
+        blocks, truth = [], []
+        for _ in range(draw.randint(2, 5)):
+            content = draw.random() < 0.6
+            for _ in range(draw.randint(4, 10)):
+                odd = draw.random() < 0.08
+                text = draw.choice([LONG, LONG[:70] + "."]) if content != odd else draw.choice([LINK, "<a href=/>Home</a>"])
+                if odd:
+                    text = LINK if content else "More of it here."
+                blocks.append(text)
+                truth.append(content)
+        page = bare(*blocks)
+        alone = [c > 0 for c in H.capacities(H.blocks_of(page))]
+        cut = H.labels(H.blocks_of(page))
+        changed += sum(a != b for a, b in zip(alone, cut))
+        wrong_before += sum(a != t for a, t in zip(alone, truth))
+        wrong_after += sum(b != t for b, t in zip(cut, truth))
+        total += len(truth)
+    print(f"labels changed by the cut: {changed / total:.3f}; wrong without it {wrong_before / total:.3f}, with it {wrong_after / total:.3f}")
+    assert changed > 0.02 * total and wrong_after < 0.6 * wrong_before

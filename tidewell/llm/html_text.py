@@ -2,9 +2,13 @@
 
 A page becomes a list of text blocks, each with its path of open elements. A linear classifier over
 the path, the share of linked text, length and marks gives each block a cost of being called
-boilerplate and a cost of being called content: the capacities from the source and to the sink.
-Neighbouring blocks, and blocks under one parent, are tied by smoothness edges. The maximum flow
-separates the blocks at least total cost.
+boilerplate and a cost of being called content: the capacities from the source and to the sink, which
+are bounded by ``LIMIT``. Neighbouring blocks are tied by smoothness edges, the stronger the nearer they
+are in the tree, and so are blocks under one parent. The maximum flow separates the blocks at least total cost: a block
+that the classifier is sure of keeps its label, and one it is not sure of goes with those around it.
+
+A page is read once from its start to its end, however it is broken, and open elements are found by their
+name, so time grows with the size of a page only.
 """
 
 from __future__ import annotations
@@ -56,13 +60,24 @@ CONTENT_NAMES = re.compile(
 MODIFIER = re.compile(r"(?<![a-z])(?:has|with|without|no)-[\w-]+")
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
-#: Weights of the linear classifier, and capacities of the edges.
-BIAS, IN_ARTICLE, LINKED, LONG, SENTENCE, HEADING, BOILER, CONTENT_NAME = 0.5, 5.0, -3.0, 1.0, 0.8, 0.4, -12.0, 1.5
+#: Names that are subjects as often as parts of a page. Within an article, and in one name with a content word, they are no
+#: sign of boilerplate.
+SUBJECTS = re.compile(
+    r"(?<![a-z])(?:search|login|signup|shar(?:e|ing)|social|related|recommend(?:ed|ations?)?|discussion|notices?|subscription|copyright|disclaimer|"
+    r"promotions?|promos?|banners?|sponsors?|consent|navigation|menus?)(?![a-z])"
+)
+
+#: Weights of the linear classifier; a score of UNSURE_NAME is added where a name says both.
+BIAS, IN_ARTICLE, LINKED, LONG, SENTENCE, HEADING, BOILER, CONTENT_NAME, UNSURE_NAME = 0.5, 5.0, -3.0, 1.0, 0.8, 0.4, -12.0, 1.5, -1.0
 #: At this weight an element is taken for boilerplate, whatever it holds.
 LOST = -5.0
-ADJACENT, SIBLING = 0.6, 0.4
+#: Largest capacity to a terminal. Edges between neighbours under one parent, under one grandparent, and further apart; and
+#: between blocks under one grandparent. All edges of a block sum up to less than LIMIT.
+LIMIT, SAME_PARENT, SAME_GRANDPARENT, APART, SIBLING = 4.0, 1.5, 1.0, 0.3, 0.4
 
-_TAG = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>", re.S)
+_COMMENT_END = re.compile(r"--!?>")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s/])(id|class|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -78,6 +93,7 @@ class Element:
     linked: bool = False
     article: bool = False
     number: int = 0
+    holder: Element | None = None  # the nearest element that begins a block, itself or above
 
 
 @dataclass
@@ -113,85 +129,140 @@ def _opened(tag: str, attributes: str, parent: Element, number: int) -> Element:
                 if tag in ("article", "main"):
                     weight += BOILER if "comment" in value else 0.0
                 elif BOILER_NAMES.search(value) or not article and not content and WEAK_NAMES.search(value):
-                    weight += BOILER
+                    weight += UNSURE_NAME if article and _unsure(value) else BOILER
                 elif content:
                     weight += CONTENT_NAME
     article = article and weight > LOST
-    return Element(tag, parent, weight, hidden, parent.linked or tag == "a", article, number)
+    made = Element(tag, parent, weight, hidden, parent.linked or tag == "a", article, number)
+    made.holder = made if tag in BLOCKS else parent.holder
+    return made
+
+
+def _unsure(names: str) -> bool:
+    """Whether each boilerplate word among the names is one of SUBJECTS, in a name that has a content word too."""
+    for name in names.split():
+        if BOILER_NAMES.search(name) and not (CONTENT_NAMES.search(name) and "comment" not in name and not BOILER_NAMES.search(SUBJECTS.sub("", name))):
+            return False
+    return True
+
+
+class Tags:
+    """Where the tags of a page end. A quoted value may hold the sign that ends a tag; once a quote is left open, quotes
+    count no more."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = {quote: page.rfind(quote) for quote in "\"'"}
+        self.quoted = True
+
+    def end(self, at: int) -> int:
+        """The place of the sign that ends the tag whose inside begins at ``at``; -1 if the page breaks off in it."""
+        start = at
+        while self.quoted:
+            stop = _STOP.search(self.page, at)
+            if stop is None:
+                return -1
+            if stop.group() == ">":
+                return stop.start()
+            if self.last[stop.group()] <= stop.start():
+                self.quoted = False
+            else:
+                at = self.page.index(stop.group(), stop.end()) + 1
+        return self.page.find(">", start)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The visible text blocks of a page, in order, white space made single blanks."""
     root = Element("", None)
-    at, node, number, out = 0, root, 0, []
+    root.holder = root
+    at, number, out = 0, 0, []
+    stack = [root]
+    opened: dict[str, list[int]] = {}  # places in the stack of the open elements of each name
     current: Block | None = None
+    tags, size = Tags(page), len(page)
 
     def say(text: str) -> None:
         nonlocal current
+        node = stack[-1]
         if node.hidden or not text:
             return
         text = html.unescape(text) if "&" in text else text
         if current is None:
             if text.isspace():
                 return
-            holder = node
-            while holder.tag not in BLOCKS and holder.parent is not None:
-                holder = holder.parent
             # marks inside the block (such as b) may carry names that count
-            current = Block(node if node.weight != holder.weight else holder)
+            current = Block(node if node.weight != node.holder.weight else node.holder)
             out.append(current)
         current.parts.append(text)
         if node.linked:
             current.linked += len(text.strip())
 
     def close(tag: str, scope: frozenset = frozenset()) -> None:
-        nonlocal node, current
-        probe = node
-        while probe is not root and probe.tag != tag:
-            if probe.tag in scope:
-                return
-            probe = probe.parent
-        if probe is not root:
-            node = probe.parent
+        """Ends the innermost open element of a name, unless one of the scope is open within it."""
+        places = opened.get(tag)
+        if not places or any(opened.get(s) and opened[s][-1] > places[-1] for s in scope if s != tag):
+            return
+        down = places[-1]
+        while len(stack) > down:
+            opened[stack.pop().tag].pop()
 
-    size = len(page)
     while at < size:
-        found = _TAG.search(page, at)
-        if found is None:
-            tail = page[at:]
-            cut = re.search(r"<[a-zA-Z/!?]", tail)  # a tag that the page breaks off
-            say(tail[: cut.start()] if cut else tail)
+        sign = page.find("<", at)
+        if sign < 0 or sign == size - 1:
+            say(page[at:])
             break
-        say(page[at : found.start()])
-        at = found.end()
-        tag, attributes, ended = found.group(1), found.group(2), found.group(3)
-        if tag:
-            tag = tag.lower()
-            if tag in BLOCKS or tag == "br":
-                current = current if tag == "br" else None
-                if tag == "br" and current is not None:
-                    current.parts.append(" ")
-            if tag in BLOCKS and tag != "p":
-                close("p", frozenset(("button", "table", "td", "th")))
-            elif tag == "p":
-                close("p", SCOPES)
-            for other in CLOSES.get(tag, ()):
-                close(other, SCOPES - {other})
-            if tag in EMPTY or attributes.endswith("/") and tag in ("svg", "path"):
+        follows = page[sign + 1]
+        if page.startswith("!--", sign + 1):
+            say(page[at:sign])
+            if page.startswith((">", "->"), sign + 4):
+                at = page.index(">", sign + 4) + 1
                 continue
-            number += 1
-            node = _opened(tag, attributes, node, number)
-            if tag in RAW:
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-                if tag not in HIDDEN:
-                    say(page[at : end.start() if end else size])
-                node, at = node.parent, end.end() if end else size
-                current = None if tag in BLOCKS else current
-        elif ended:
-            ended = ended.lower()
-            if ended in BLOCKS:
+            ended = _COMMENT_END.search(page, sign + 4)
+            at = ended.end() if ended else size
+            continue
+        name = _NAME.match(page, sign + 1 + (follows == "/"))
+        if name is None and follows not in "!?/":
+            say(page[at : sign + 1])  # a sign that begins no tag is text
+            at = sign + 1
+            continue
+        say(page[at:sign])
+        inside = name.end() if name else sign + 2
+        end = tags.end(inside) if name and follows != "/" else page.find(">", inside)
+        if end < 0:
+            break  # the page breaks off within a tag
+        at = end + 1
+        if name is None:
+            continue
+        tag = name.group().lower()
+        if follows == "/":
+            if tag in BLOCKS:
                 current = None
-            close(ended)
+            close(tag)
+            continue
+        attributes = page[inside:end]
+        if tag in BLOCKS:
+            current = None
+        elif tag == "br" and current is not None:
+            current.parts.append(" ")
+        if tag in BLOCKS and tag != "p":
+            close("p", frozenset(("button", "table", "td", "th")))
+        elif tag == "p":
+            close("p", SCOPES)
+        for other in CLOSES.get(tag, ()):
+            close(other, SCOPES - {other})
+        if tag in EMPTY or attributes.endswith("/") and tag in ("svg", "path"):
+            continue
+        number += 1
+        node = _opened(tag, attributes, stack[-1], number)
+        opened.setdefault(tag, []).append(len(stack))
+        stack.append(node)
+        if tag in RAW:
+            ended = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            if tag not in HIDDEN:
+                say(page[at : ended.start() if ended else size])
+            close(tag)
+            at = ended.end() if ended else size
+            current = None if tag in BLOCKS else current
     kept = []
     for block in out:
         block.text = _SPACE.sub(" ", "".join(block.parts)).strip()
@@ -287,21 +358,34 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
                 break
 
 
-def labels(blocks: list[Block]) -> list[bool]:
-    """True for the blocks that are content."""
+def capacities(blocks: list[Block]) -> list[float]:
+    """Bounded scores: what it costs to call a block boilerplate, or, below zero, content."""
     has_article = any(b.parent.article for b in blocks)
-    scores = [content_score(b, has_article) for b in blocks]
+    return [max(-LIMIT, min(content_score(b, has_article), LIMIT)) for b in blocks]
+
+
+def smoothness(blocks: list[Block]) -> list[tuple[int, int, float]]:
+    """Edges between neighbours, and between a block and the one before it under the same grandparent."""
     edges, last_under = [], {}
     for i, block in enumerate(blocks):
+        own, above = block.parent, block.parent.parent
         if i:
-            edges.append((i - 1, i, ADJACENT))
-        before = last_under.get(block.parent.parent and block.parent.parent.number)
+            other = blocks[i - 1].parent
+            near = other.parent is above or other.parent is own or above is other
+            weight = SAME_PARENT if own is other or own.tag == other.tag and other.parent is above else SAME_GRANDPARENT if near else APART
+            edges.append((i - 1, i, weight))
+        place = above.number if above else -1
+        before = last_under.get(place)
         if before is not None and before != i - 1:
             edges.append((before, i, SIBLING))
-        elif before is not None:
-            edges[-1] = (before, i, ADJACENT + SIBLING)
-        last_under[block.parent.parent and block.parent.parent.number] = i
-    return minimum_cut([max(x, 0.0) for x in scores], [max(-x, 0.0) for x in scores], edges)
+        last_under[place] = i
+    return edges
+
+
+def labels(blocks: list[Block]) -> list[bool]:
+    """True for the blocks that are content."""
+    scores = capacities(blocks)
+    return minimum_cut([max(x, 0.0) for x in scores], [max(-x, 0.0) for x in scores], smoothness(blocks))
 
 
 def main_text(page: str | None) -> str:
