@@ -129,6 +129,59 @@ def test_an_edit_encodes_little(tokenizer):
     assert tree.encoded < 20
 
 
+#: A pattern of the kind whose cut of white space depends on a line end at its far end.
+LINES = r"""(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"""
+
+
+@pytest.fixture(scope="module")
+def by_lines():
+    import public_tokenizers as P
+
+    from tidewell.llm.common import package_file
+
+    return T.Tokenizer(package_file(P.path("byte_bpe_50k.tiktoken")), LINES)
+
+
+def test_white_space_far_before_an_edit(by_lines):
+    tree = T.SegmentTree(by_lines, "a\n        b")
+    tree.replace(10, 11, "\nb")
+    assert [p for leaf in tree.leaves for p in leaf] == by_lines.cut("a\n        \nb")
+    assert tree.total == len(by_lines.encoding.encode_ordinary("a\n        \nb"))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_tree_of_a_pattern_with_long_white_space(by_lines, seed, monkeypatch):
+    monkeypatch.setattr(T, "LEAF", 1 + seed % 5)
+    draw = random.Random(seed)
+    pieces = ["a", "b'", "  ", "\n", "\r\n", "        ", ".", "1", "\t", "\x85", "é"]
+    some = lambda n: "".join(draw.choice(pieces) for _ in range(draw.randint(0, n)))
+    text = some(120)
+    tree = T.SegmentTree(by_lines, text)
+    for _ in range(15):
+        a = draw.randint(0, len(text))
+        b = draw.randint(a, min(len(text), a + draw.choice([0, 1, 5, 200])))
+        new = some(draw.choice([0, 1, 2, 30]))
+        tree.replace(a, b, new)
+        text = text[:a] + new + text[b:]
+        assert tree.text() == text and tree.length == len(text)
+        assert [p for leaf in tree.leaves for p in leaf] == by_lines.cut(text)
+        assert tree.total == len(by_lines.encoding.encode_ordinary(text))
+
+
+def test_a_leaf_that_grows_is_cut(tokenizer):
+    """Many insertions at one place: leaves stay small, and each edit encodes what it touches."""
+    tree = T.SegmentTree(tokenizer, "some plain words here " * 2_000)
+    text, before = "some plain words here " * 2_000, 0
+    for i in range(300):
+        new = f" word{i} and more of it" * 3
+        tree.replace(20_000, 20_000, new)
+        text = text[:20_000] + new + text[20_000:]
+        assert tree.encoded - before < 60
+        before = tree.encoded
+    assert max(map(len, tree.leaves)) <= (T.FULL + 1) * T.LEAF
+    assert tree.text() == text and tree.total == len(tokenizer.encoding.encode_ordinary(text))
+
+
 def test_count_cases(spark, documents):
     import public_tokenizers as P
 

@@ -3,7 +3,8 @@
 A text is cut into pre-tokens by the tokenizer's pattern, and a leaf of the tree holds the
 characters and tokens of LEAF pre-tokens. Inner nodes hold sums. An edit re-encodes the pre-tokens
 it touches, those whose end it may have influenced, and those after it until a pre-token starts
-where one started before; sums are updated on the paths to the root. Nothing else is read again.
+where one started before; sums are updated on the paths to the root. Nothing else is read again. A leaf
+that has grown beyond FULL leaves is cut into new ones, for which the sums of all leaves are added up once.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import map_texts, package_file
 
-#: Pre-tokens in a new leaf; characters beyond its end on which a pre-token may depend.
-LEAF, AHEAD = 64, 4
+#: Pre-tokens in a new leaf, and in how many times as many a leaf is cut; characters beyond its end on which a pre-token may
+#: depend, white space aside: where a run of it is cut may depend on all of the run and on what follows.
+LEAF, FULL, AHEAD = 64, 4, 4
 TABLE_ROWS = 200_000
 
 
@@ -95,13 +97,8 @@ class SegmentTree:
         """Put ``new`` in place of characters start .. stop - 1; places outside the text are moved to its ends."""
         start = min(max(start, 0), self.length)
         stop = min(max(stop, start), self.length)
-        # the first pre-token that the edit may change: all before it end at least AHEAD before it
-        first, at = self._leaf_at(max(start - AHEAD, 0))
-        index, leaf = 0, self.leaves[first]
-        while index < len(leaf) and at + len(leaf[index]) + AHEAD <= start:
-            at += len(leaf[index])
-            index += 1
-        head, kept, edge = leaf[:index], [], at  # kept: old pre-tokens from here on, as far as they are needed
+        first, index, at = self._first_changed(start)
+        head, kept, edge = self.leaves[first][:index], [], at  # kept: old pre-tokens from here on, as far as they are needed
         last, after = first, index
 
         def more() -> bool:
@@ -149,9 +146,42 @@ class SegmentTree:
         self.encoded += len(parts)
         self._store(first, last, head + parts + rest + self.leaves[last][after:])
 
+    def _first_changed(self, start: int) -> tuple[int, int, int]:
+        """(leaf, place in it, first character) of the first pre-token that an edit at ``start`` may change: all before it
+        end at least AHEAD before the edit and before the white space that reaches up to it."""
+        leaf, at = self._leaf_at(start)
+        index = 0
+        while index < len(self.leaves[leaf]) and at + len(self.leaves[leaf][index]) <= start:
+            at += len(self.leaves[leaf][index])
+            index += 1
+
+        def before() -> str | None:
+            """The pre-token before the place reached, empty leaves skipped."""
+            nonlocal leaf, index
+            while index == 0:
+                if leaf == 0:
+                    return None
+                leaf -= 1
+                index = len(self.leaves[leaf])
+            return self.leaves[leaf][index - 1]
+
+        held = self.leaves[leaf][index][: start - at] if index < len(self.leaves[leaf]) else ""
+        run = at + len(held.rstrip())  # where the white space before the edit begins, as far as is known
+        open_ = run == at
+        while (part := before()) is not None and (open_ or at > run - AHEAD):
+            index -= 1
+            at -= len(part)
+            if open_:
+                run = at + len(part.rstrip())
+                open_ = run == at
+        return leaf, index, at
+
     def _store(self, first: int, last: int, parts: list[str]) -> None:
         """Spreads pre-tokens over leaves first .. last and adds up the paths above them."""
         width = max(1, -(-len(parts) // (last - first + 1)))
+        if width > FULL * LEAF:
+            self._split(first, last, parts)
+            return
         nodes = set()
         for i, leaf in enumerate(range(first, last + 1)):
             own = parts[i * width : (i + 1) * width]
@@ -165,6 +195,21 @@ class SegmentTree:
                     self._add_up(node)
             nodes = {node // 2 for node in nodes if node > 1}
 
+    def _split(self, first: int, last: int, parts: list[str]) -> None:
+        """Puts new leaves in place of leaves first .. last; empty leaves go. Only the new ones are counted, and the sums of
+        all are added up, which happens once in as many new pre-tokens as fill FULL leaves."""
+        new = [parts[i : i + LEAF] for i in range(0, len(parts), LEAF)]
+        sums = [(leaf, self.chars[self.base + i], self.tokens[self.base + i]) for i, leaf in enumerate(self.leaves)]
+        sums[first : last + 1] = [(leaf, sum(map(len, leaf)), sum(self.tokenizer.counts(leaf))) for leaf in new]
+        sums = [s for s in sums if s[0]]
+        self.leaves = [leaf for leaf, _, _ in sums]
+        self.base = 1 << (len(sums) - 1).bit_length()
+        self.chars, self.tokens = [0] * (2 * self.base), [0] * (2 * self.base)
+        for i, (_, chars, tokens) in enumerate(sums):
+            self.chars[self.base + i], self.tokens[self.base + i] = chars, tokens
+        for node in range(self.base - 1, 0, -1):
+            self._add_up(node)
+
     def text(self) -> str:
         return "".join("".join(leaf) for leaf in self.leaves)
 
