@@ -9,7 +9,6 @@ without the data.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -20,6 +19,8 @@ from .common import staged
 ROUNDS = 6
 #: Rows numbered in one window, on average; and how many keys may be treated as heavy at most.
 ROWS_PER_BUCKET, HEAVY_KEYS, HEAVY_PIECES = 20_000, 200, 256
+#: Buckets whose counts are added up in one window.
+BUCKETS_PER_GROUP = 10_000
 
 
 def round_keys(seed: int) -> list[int]:
@@ -52,18 +53,20 @@ def permute(numbers: np.ndarray, n: int, seed: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered(df: DataFrame, keys: Sequence[str], number: str = "row_number") -> DataFrame:
-    """The key columns of every row with gapless global numbers from 0.
+def numbered(df: DataFrame, keys: Sequence[str], number: str = "row_number", carry: Sequence[str] = ()) -> DataFrame:
+    """The key columns, and those to ``carry``, of every row with gapless global numbers from 0.
 
     The order is by a hash of the keys, then by the keys, so it does not depend on how the rows
     are stored. Rows equal in all keys are interchangeable; a key that holds more than its share
-    of the rows is numbered in pieces. Only counts of buckets reach the driver.
+    of the rows is numbered in pieces. The counts of the buckets are added up in two steps, within groups of buckets
+    and over the groups; the driver gets the number of rows and the hashes of heavy keys, fewer than HEAVY_KEYS.
     """
     spark = df.sparkSession
-    narrow = staged(df.select(*keys, F.xxhash64(*keys).alias("_hash")), "row-keys")
+    columns = [*keys, *carry]
+    narrow = staged(df.select(*columns, F.xxhash64(*keys).alias("_hash")), "row-keys")
     total = narrow.count()
     if total == 0:
-        return narrow.select(*keys, F.lit(0).cast("bigint").alias(number))
+        return narrow.select(*columns, F.lit(0).cast("bigint").alias(number))
     buckets = max(1, -(-total // ROWS_PER_BUCKET))
     heavy = [
         r["_hash"] for r in narrow.groupBy("_hash").count()
@@ -72,35 +75,38 @@ def numbered(df: DataFrame, keys: Sequence[str], number: str = "row_number") ->
     bucket = F.pmod("_hash", F.lit(buckets)).cast("int")
     for i, value in enumerate(heavy):
         bucket = F.when(F.col("_hash") == value, F.lit(buckets + i)).otherwise(bucket)
-    place = narrow.select(*keys, "_hash", bucket.alias("_bucket")).withColumn(
+    place = narrow.select(*columns, "_hash", bucket.alias("_bucket")).withColumn(
         "_piece",
         F.when(F.col("_bucket") >= buckets, F.pmod(F.monotonically_increasing_id(), F.lit(HEAVY_PIECES))).otherwise(0).cast("int"),
     )
     if heavy:  # pieces follow the place of a row in the scan: fix them before they are counted
         place = staged(place, "row-pieces")
-    counts = sorted((r["_bucket"], r["_piece"], r["count"]) for r in place.groupBy("_bucket", "_piece").count().collect())
-    starts = [0, *accumulate(c for _, _, c in counts)]
-    offsets = spark.createDataFrame(
-        [(b, p, s) for (b, p, _), s in zip(counts, starts)], "_bucket int, _piece int, _start bigint"
-    )
+    counts = place.groupBy("_bucket", "_piece").agg(F.count("*").alias("_rows")).withColumn("_group", F.floor(F.col("_bucket") / BUCKETS_PER_GROUP))
+    counts = staged(counts, "bucket-counts")
+    groups = counts.groupBy("_group").agg(F.sum("_rows").alias("_rows"))
+    earlier = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)  # a row for each group of buckets
+    before = groups.select("_group", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    lower = Window.partitionBy("_group").orderBy("_bucket", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    inside = counts.withColumn("_inside", F.coalesce(F.sum("_rows").over(lower), F.lit(0)))
+    offsets = inside.join(before, "_group").select("_bucket", "_piece", (F.col("_before") + F.col("_inside")).alias("_start"))
     within = Window.partitionBy("_bucket", "_piece").orderBy("_hash", *keys)
     return (
         place.withColumn("_rank", F.row_number().over(within))
-        .join(offsets, ["_bucket", "_piece"])  # one row per bucket
-        .select(*keys, (F.col("_start") + F.col("_rank") - 1).alias(number))
+        .join(offsets.hint("merge"), ["_bucket", "_piece"])  # a row for each bucket, which the window has brought together
+        .select(*columns, (F.col("_start") + F.col("_rank") - 1).alias(number))
     )
 
 
-def assign(df: DataFrame, keys: Sequence[str], shards: int, seed: int = 20_240_130) -> DataFrame:
-    """(keys, row_number, shard int, slot long) for every row of ``df``.
+def assign(df: DataFrame, keys: Sequence[str], shards: int, seed: int = 20_240_130, carry: Sequence[str] = ()) -> DataFrame:
+    """(keys, carried columns, row_number, shard int, slot long) for every row of ``df``.
 
     Null keys sort first and are keys like any other; repeated rows get numbers of their own;
-    an empty table gives an empty result. Columns other than the keys are left out; names that
+    an empty table gives an empty result. Other columns are left out; names that
     begin with an underscore are reserved.
     """
-    if shards < 1 or any(k.startswith("_") or k in ("row_number", "shard", "slot") for k in keys):
-        raise ValueError("at least one shard, and no key named like a result column")
-    rows = staged(numbered(df, keys), "row-numbers")
+    if shards < 1 or any(k.startswith("_") or k in ("row_number", "shard", "slot") for k in (*keys, *carry)):
+        raise ValueError("at least one shard, and no column named like a result column")
+    rows = staged(numbered(df, keys, carry=carry), "row-numbers")
     total = rows.count()
 
     def images(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -109,7 +115,7 @@ def assign(df: DataFrame, keys: Sequence[str], shards: int, seed: int = 20_240_1
 
     image = F.pandas_udf(images, "bigint")
     return rows.withColumn("_image", image("row_number")).select(
-        *keys, "row_number", F.pmod("_image", F.lit(shards)).cast("int").alias("shard"),
+        *keys, *carry, "row_number", F.pmod("_image", F.lit(shards)).cast("int").alias("shard"),
         F.floor(F.col("_image") / shards).cast("bigint").alias("slot"),
     )
 
@@ -121,16 +127,20 @@ def locate(number: int, total: int, shards: int, seed: int = 20_240_130) -> tupl
 
 
 def write_shards(df: DataFrame, keys: Sequence[str], path: str, shards: int, seed: int = 20_240_130) -> None:
-    """Whole rows as Parquet, a folder per shard, in slot order within each file.
+    """Whole rows as Parquet, a folder per shard with a column ``slot``, in slot order within each file.
 
-    ``keys`` must identify a row (equal rows may share keys). The rows of a shard are spread over
-    files by ranges of slots.
+    ``keys`` decide the order before the shuffle; rows that share their keys are interchangeable. The rows of a
+    shard are spread over files by ranges of slots. Whole rows travel with their numbers, so no key is joined on, and one
+    that holds a third of the rows is numbered in pieces. An input column called ``shard`` or ``slot`` is written
+    under that name with an underscore at its end, or several. Repeated rows are all written; an empty table
+    writes no row.
     """
-    placed = assign(df, keys, shards, seed)
-    twin = Window.partitionBy(*keys).orderBy("row_number")
-    of_row = Window.partitionBy(*keys).orderBy(F.monotonically_increasing_id())
-    left = df.withColumn("_twin", F.row_number().over(of_row))
-    right = placed.withColumn("_twin", F.row_number().over(twin))
-    same = [left[k].eqNullSafe(right[k]) for k in keys] + [left["_twin"] == right["_twin"]]
-    joined = left.join(right, same).select(*[left[c] for c in df.columns], "shard", "slot")
-    joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    inner = [f"c{i}" for i in range(len(df.columns))]
+    placed = assign(df.toDF(*inner), [inner[df.columns.index(k)] for k in keys], shards, seed, [c for c, n in zip(inner, df.columns) if n not in keys])
+    names: list[str] = []
+    for name in df.columns:
+        while name in ("shard", "slot", *names):
+            name += "_"
+        names.append(name)
+    rows = placed.select(*[F.col(c).alias(n) for c, n in zip(inner, names)], "shard", "slot")
+    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
