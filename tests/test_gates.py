@@ -224,3 +224,49 @@ def test_json_keys_and_samples(spark, cities):
     many = spark.range(100)
     found = R.violation_samples(many, R.violates_range(F.col("id"), 10, 90), ["id"], ["id"], 3)
     assert rows(found) == [(0,), (1,), (2,)]
+
+
+def test_key_tables_are_grouped_once(spark):
+    """A plan with two key checks and others reads its table once for the others and once for each key."""
+    df = spark.range(20).selectExpr("id", "id % 7 AS a", "id % 2 AS b")
+    rules = [R.unique_check(["a"]), R.unique_check(["a", "b"]), R.null_check(["a", "b"]), R.range_check("b", 0, 0)]
+    plan = G.measured(df, rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 20") == 3 and "subquery" not in plan
+    row = G.measured(df, rules).first()
+    assert (row["total_records"], row["issues_found"], row["critical_issues"]) == (20, 3, 2)
+
+
+@pytest.mark.parametrize("where", [None, "x >= 0"])
+def test_observed_measures_equal_evaluated_ones(spark, tmp_path, where):
+    from tidewell.operators.observed import Observed
+
+    rows_ = [(1, 5.0, None), (2, -1.0, "a"), (2, 7.5, "b"), (None, None, "a"), (4, 100.0, "toolong")]
+    df = spark.createDataFrame(rows_, "id int, x double, t string")
+    rules = [R.null_check(["id", "x"]), R.range_check("x", 0, 50), R.not_null("t"), R.max_length("t", 3), R.unique_check(["id"]), R.min_rows(9), R.schema_drift(["id", "x", "z"])]
+    seen = Observed(df, rules, None if where is None else F.expr(f"coalesce({where}, false)"))
+    seen.frame.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    stored = stored if where is None else stored.filter(where)
+    plain = G.Gate("g", "warn", "", rules).evaluate(stored, "silver", RUN_TS)
+    observed = G.Gate("g", "warn", "", rules).evaluate(stored, "silver", RUN_TS, seen.row())
+    assert (observed.status, observed.issues, observed.metrics) == (plain.status, plain.issues, plain.metrics)
+    assert len(plain.issues) >= 5 and seen.total == stored.count()
+
+
+def test_a_measure_that_cannot_be_observed(spark, tmp_path):
+    """The rows are written all the same, and the gate reports the rule."""
+    from tidewell.operators.observed import write_observed
+
+    df = spark.createDataFrame([("1",), ("x",)], "v string")
+    fails = R.AggRule("fails", lambda d: {"s": F.sum(F.col("v").cast("int"))}, lambda t, m, d: [R.issue("fails", "info", "x", m["s"])])
+    absent = R.AggRule("absent", lambda d: {"s": F.sum("nothing")}, lambda t, m, d: [])
+
+    def write(frame):
+        frame.write.mode("overwrite").parquet(str(tmp_path / "t"))
+        return spark.read.schema("v string").parquet(str(tmp_path / "t"))
+
+    for rule in (fails, absent):
+        stored, seen, total = write_observed(df, [rule], write)
+        assert (stored.count(), total) == (2, 2)
+        verdict = G.Gate("g", "block", "", [rule]).evaluate(stored, "bronze", RUN_TS, seen)
+        assert [i.rule_name for i in verdict.issues] == ["rule_execution"]

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,42 @@ def test_a_good_run(spark, runner, raw):
     assert rows(gold, "city", "temp_category", "wind_category") == [("Braga", "mild", "light"), ("Turin", "cold", "calm")]
 
 
+def test_daily_rows_are_served(spark, runner, raw):
+    """Batches of one day add up in its row; a redelivered observation takes the place of the old one."""
+    r = runner(daily=W.weather_daily)
+    at = lambda hour, celsius, **more: dict(timestamp=f"2024-01-30T{hour:02}:00:00+00:00", temperature_celsius=str(celsius), **more)
+    shown = lambda: rows(spark.read.parquet(r.tables.daily_serving), "city", F.col("date").cast("string"), "observation_count", F.col("temp_avg").cast("double"), F.col("temp_max").cast("double"))
+    r.run(raw(at(1, 10), at(2, 20), dict(TURIN)), RUN_TS, "one")
+    assert shown() == [("Braga", "2024-01-30", 2, 15.0, 20.0), ("Turin", "2024-01-30", 1, 6.25, 6.25)]
+    r.run(raw(at(2, 5), at(3, 30)), RUN_TS, "two")
+    assert shown() == [("Braga", "2024-01-30", 3, 15.0, 30.0), ("Turin", "2024-01-30", 1, 6.25, 6.25)]
+    assert r.run(raw(at(4, 0), at(4, 0)), RUN_TS, "vetoed").status == "blocked"
+    assert len(shown()) == 2
+
+
+def test_layers_are_read_once(spark, runner, raw, monkeypatch):
+    """Gate measures are observed while a layer is written: the gate itself reads nothing but the key of gold."""
+    from tidewell.operators.gates import Gate
+
+    scans = {}
+    evaluate = Gate.evaluate
+
+    def watched(self, df, layer, run_ts, seen=None):
+        from tidewell.operators.gates import measured
+
+        plan = measured(df, self.rules, seen)._jdf.queryExecution().optimizedPlan().toString()
+        scans[layer] = len(re.findall(r"(?<!Local)Relation \[", plan))
+        executed = measured(df, self.rules, seen)._jdf.queryExecution().executedPlan().toString()
+        scans[layer, "read"] = re.findall(r"ReadSchema: struct<([^>]*)>", executed)
+        return evaluate(self, df, layer, run_ts, seen)
+
+    monkeypatch.setattr(Gate, "evaluate", watched)
+    assert runner().run(raw({}, TURIN), RUN_TS).status == "success"
+    assert (scans["bronze"], scans["silver"], scans["gold"]) == (0, 0, 1)
+    assert set(scans["gold", "read"]) == {"city:string,timestamp:timestamp"}
+    assert scans["serving"] == 0
+
+
 def test_duplicate_key_stops_at_gold(spark, runner, raw):
     r = runner()
     result = r.run(raw({}, {}), RUN_TS, "run-2")

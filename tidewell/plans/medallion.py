@@ -24,6 +24,7 @@ from ..functions import enrichment as E, numeric as N
 from ..operators import cleaning as K, rules as R, statistics as S
 from ..operators.gates import BLOCK, Gate, GateBlocked, GateResult
 from ..operators.observed import write_observed
+from ..operators.partials import upsert_daily
 from ..sources import lake, landing, serving
 from ..sources.workspace import read_or_empty
 from ..spec import WEATHER, TableSpec
@@ -60,6 +61,10 @@ class Tables:
     def serving(self) -> str:
         return f"{self.root}/serving"
 
+    @property
+    def daily_serving(self) -> str:
+        return f"{self.root}/daily_serving"
+
     def staging(self, result: P.RunResult) -> str:
         return f"{self.root}/_staging/{result.run_id}-{result.attempt}"
 
@@ -114,7 +119,9 @@ class Tables:
 @dataclass
 class LayeredRun:
     """A run over one batch. ``enrich`` and ``aggregates`` shape the gold layer; ``load``
-    takes (gold records, result) and returns how many rows the serving side accepted."""
+    takes (gold records, result) and returns how many rows the serving side accepted. ``daily`` makes
+    rows per entity and date of served rows: those of the days that a load has touched are upserted
+    into the daily serving table."""
 
     spark: SparkSession
     tables: Tables
@@ -123,6 +130,7 @@ class LayeredRun:
     enrich: Callable[[DataFrame], DataFrame] = enrich_weather
     aggregates: dict[str, Callable[[DataFrame], DataFrame]] | None = None
     load: Callable[[DataFrame, P.RunResult], int] | None = None
+    daily: Callable[[DataFrame], DataFrame] | None = None
 
     def run(
         self, raw: DataFrame, run_ts: dt.datetime, run_id: str | None = None, entities: Sequence[str] | None = None
@@ -266,6 +274,11 @@ class LayeredRun:
             days = serving.touched_days(self.spark, staging)
             rows = lineage.served_rows(days, result, self._key("gold", result))
             self.tables.write_ops(rows, "served", result.started_at.date(), result.run_id, result.attempt)
+            if self.daily is not None:
+                # a day is made of all its served rows, of earlier batches too: only the touched days are read
+                served = serving.read_served(self.spark, self.tables.serving, self.spec)
+                touched = serving.within_days_of(served, days.withColumnRenamed("day", serving.DAY)).drop(serving.DAY)
+                upsert_daily(self.daily(touched), self.tables.daily_serving, [self.spec.entity])
         return accepted
 
     def _key(self, layer: str, result: P.RunResult) -> str:
@@ -363,6 +376,11 @@ def validate_latest(
     return (0 if verdict.passed else 1), verdict
 
 
+def weather_daily(served: DataFrame) -> DataFrame:
+    """Rows of the daily serving table from served weather observations."""
+    return S.daily_serving_rows(served, WEATHER.entity, serving.SERVED_TIME)
+
+
 WEATHER_AGGREGATES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "daily": S.daily_statistics,
     "stats": S.city_statistics,
