@@ -5,11 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text as X
-from .workspace import setting
+from .workspace import exists, setting
 
 PARTITIONS = ("year", "month", "day")
 BROKEN = "_broken"
@@ -120,7 +119,7 @@ def broken_json(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, multi_line: bool = True
 ) -> DataFrame:
     """(path, text) of the files, or lines, that ``read_json`` skips because they do not parse."""
-    found = [p for p in ([paths] if isinstance(paths, str) else paths) if _exists(spark, p)]
+    found = [p for p in ([paths] if isinstance(paths, str) else paths) if exists(spark, p)]
     if not found:
         return spark.createDataFrame([], "path string, text string")
     texts = spark.read.text(found, wholetext=multi_line).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
@@ -132,10 +131,9 @@ def broken_json(
 def _parsed_json(spark: SparkSession, paths: str | Sequence[str], ddl: str, multi_line: bool) -> DataFrame | None:
     """All rows of the files that exist, with the broken text beside; None if there is no file.
 
-    A path that is absent, or vanishes before it is read, is no error. Each path is looked up
-    once on the driver, as a reader does anyhow.
+    A path that is absent, or vanishes before it is read, is no error. All paths are listed by one scan.
     """
-    found = [p for p in ([paths] if isinstance(paths, str) else paths) if _exists(spark, p)]
+    found = [p for p in ([paths] if isinstance(paths, str) else paths) if exists(spark, p)]
     if not found:
         return None
     return (
@@ -149,16 +147,6 @@ def _parsed_json(spark: SparkSession, paths: str | Sequence[str], ddl: str, mult
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path).schema  # lists the path, reads nothing
-        return True
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-
-
 def list_files(
     spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
 ) -> DataFrame:

@@ -45,10 +45,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a file that a pattern matches, is there: one question to the file system, nothing is listed or
+    read, and nothing fails."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if any(sign in path for sign in "*?[{"):
+        return bool(files.globStatus(place))
+    return files.exists(place)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType, **options: object) -> DataFrame:
     """A parquet table, empty while nothing has been written."""
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    try:
+    if not exists(spark, path):
+        return spark.createDataFrame([], fields)
+    try:  # it may vanish in between
         return spark.read.schema(fields).options(**options).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
