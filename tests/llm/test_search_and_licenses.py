@@ -152,9 +152,32 @@ AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.""",
    contributors may be used to endorse or promote products derived from
    this software without specific prior written permission.
 """),
-    "GPL": GNU.format(""),
-    "LGPL": GNU.format("Lesser "),
-    "AGPL": GNU.format("Affero "),
+    "GPL-3.0": GNU.format(""),
+    "LGPL-3.0": GNU.format("Lesser "),
+    "AGPL-3.0": GNU.format("Affero "),
+    "GPL-2.0": GNU.format("").replace("version 3", "version 2"),
+    "LGPL-2.1": GNU.format("Lesser ").replace("version 3", "version 2.1"),
+    "GPL": GNU.format("").replace("either version 3 of the License", "in some version"),
+    "LGPL": GNU.format("Lesser ").replace("as published by\nthe Free Software Foundation, either version 3 of the License", "in some version"),
+    "AGPL": GNU.format("Affero ").replace("either version 3 of the License", "in some version"),
+    "EPL-2.0": """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+http://www.eclipse.org/legal/epl-2.0.""",
+    "OFL-1.1": """Copyright (c) 2020, X, with Reserved Font Name Y.
+
+This Font Software is licensed under the SIL Open Font License, Version 1.1.
+This license is copied below.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications.""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0.
+(See accompanying file LICENSE_1_0.txt)""",
+    "CDDL-1.0": """The contents of this file are subject to the terms of the
+Common Development and Distribution License (the "License").
+You may not use this file except as allowed.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any
 purpose with or without fee is hereby granted.
 
@@ -187,9 +210,10 @@ SHORT = {  # sentences that go on after the key
 
 
 def test_standard_notices_wrapped_and_unwrapped(documents):
-    assert {name for _, name in licenses.RULES + licenses.MORE_RULES} == NOTICES.keys() | SHORT.keys()
+    tagged = {name: f"// SPDX-License-Identifier: {name}" for name in licenses.TAGGED}
+    assert {name for _, name in licenses.RULES + licenses.MORE_RULES} == NOTICES.keys() | SHORT.keys() | tagged.keys()
     wants, rows = [], []
-    for name, text in [*NOTICES.items(), *SHORT.items()]:
+    for name, text in [*NOTICES.items(), *SHORT.items(), *tagged.items()]:
         flat = "\n\n".join(" ".join(p.split()) for p in text.split("\n\n"))
         narrow = "\n\n".join("\n".join(textwrap.wrap(p, 30)) for p in flat.split("\n\n"))
         comment = "\r\n".join(f" * {line}".rstrip() for line in text.split("\n"))
@@ -200,6 +224,14 @@ def test_standard_notices_wrapped_and_unwrapped(documents):
     assert [(w, got[i], rows[i][1]) for i, w in enumerate(wants) if got[i] != ([w], [])] == []
 
 
+def test_statements_about_a_licence_are_no_grants(documents):
+    rows = [(1, "Licensed under the MIT License is what others say, we do not."), (2, "Licensed under the Apache License, Version 2.0 was a mistake."),
+            (3, "Licensed under the MIT License, isolated from the rest."), (4, "Licensed under the MIT License. Is it so?"),
+            (5, "SPDX-License-Identifier: MIT"), (6, "SPDX-License-Identifier: GPL-2.0-or-later\nint main"), (7, "SPDX-License-Identifier: Unknown-1.0")]
+    got = {r.doc_id: list(r.licenses) for r in licenses.scan(documents(rows)).collect()}
+    assert got == {1: [], 2: [], 3: ["MIT"], 4: ["MIT"], 5: ["MIT"], 6: ["GPL-2.0-or-later"], 7: []}
+
+
 def test_known_sentences_end_and_start_with_their_words(documents):
     rows = [(1, "Licensed under the MIT Licenses"), (2, "It is not licensed under the MIT License"), (3, "All rights.\nReserved"),
             (4, "All rights\n\nreserved"), (5, "All rights\nreserved"), (6, "x" + " . ! \n" * 50_000 + "all rights" + " ;\t" * 50_000 + "reserved"),

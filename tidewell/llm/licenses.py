@@ -2,7 +2,8 @@
 
 Known sentences are looked for where a sentence or a line starts: their opening words in lower case,
 whatever stands between the words, a subject before them or not. They go on over single line ends,
-colons and semicolons, but not over a sentence end or an empty line; of several the longest counts.
+colons and semicolons, but not over a sentence end or an empty line; of several the longest counts. A notice that a verb
+follows is a statement about a licence and is left. Licence tags are sentences like others.
 Rules are tried in order over the sequence found: the first that finds its identifiers next to each
 other claims them. All of it is column expressions on one row.
 """
@@ -91,6 +92,49 @@ MORE_SENTENCES = {
     )
 }
 
+#: The header of the GNU licences with its version, and notices of further licences.
+VERSIONED = {
+    f"free software you can redistribute it and or modify it under the terms of the gnu {words}general public license as published by "
+    f"the free software foundation either version {version} of the license": f"{name}_free_{version[0]}"
+    for words, name in (("", "gpl"), ("lesser ", "lgpl"), ("library ", "lgpl"), ("affero ", "agpl"))
+    for version in ("2", "2 1", "3")
+}
+FURTHER = {
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0": "epl2",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0": "epl2",
+    "licensed under the eclipse public license version 2 0": "epl2",
+    "licensed under the eclipse public license v 2 0": "epl2",
+    "licensed under the eclipse public license 2 0": "epl2",
+    "this font software is licensed under the sil open font license version 1 1": "ofl",
+    "licensed under the sil open font license version 1 1": "ofl",
+    "this software is provided as is without any express or implied warranty": "zlib_as_is",
+    "permission is granted to anyone to use this software for any purpose": "zlib_grant",
+    "licensed under the zlib license": "zlib",
+    "distributed under the boost software license version 1 0": "bsl",
+    "licensed under the boost software license version 1 0": "bsl",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy": "bsl_grant",
+    "the contents of this file are subject to the terms of the common development and distribution license": "cddl",
+    "licensed under the common development and distribution license": "cddl",
+}
+#: Names in tags, as they are written.
+TAGGED = (
+    "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only",
+    "GPL-3.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0",
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "EPL-2.0", "OFL-1.1", "Zlib", "BSL-1.0",
+    "CDDL-1.0",
+)
+
+
+def _tag(name: str) -> str:
+    return name.lower().replace("-", " ").replace(".", " ")
+
+
+TAGS = {f"spdx license identifier {_tag(name)}": f"spdx_{_tag(name).replace(' ', '_')}" for name in TAGGED}
+#: All known sentences.
+KNOWN = SENTENCES | MORE_SENTENCES | VERSIONED | FURTHER | TAGS
+#: After a short notice these make a statement about the licence of it, not a grant.
+STATEMENT = "(?:is|was|are|were|isn|wasn|would|could|might|may|does|do|did|has|had|says?|said|means?|meant)"
+
 #: Rules in the order in which they are tried, longer ones of a family first.
 RULES = (
     (("apache2", "apache2_comply", "apache2_copy", "apache2_unless", "apache2_see"), "Apache-2.0"),
@@ -125,7 +169,24 @@ RULES = (
 MORE_RULES = (
     (("gpl_free", "gpl_hope", "lgpl_copy"), "LGPL"),
     (("gpl_free", "gpl_hope", "agpl_copy"), "AGPL"),
-)
+    (("gpl_free_2", "gpl_hope", "gpl_copy"), "GPL-2.0"),
+    (("gpl_free_3", "gpl_hope", "gpl_copy"), "GPL-3.0"),
+    (("lgpl_free_2", "gpl_hope", "lgpl_copy"), "LGPL-2.1"),
+    (("lgpl_free_3", "gpl_hope", "lgpl_copy"), "LGPL-3.0"),
+    (("agpl_free_3", "gpl_hope", "agpl_copy"), "AGPL-3.0"),
+    (("gpl_free_2",), "GPL-2.0"),
+    (("gpl_free_3",), "GPL-3.0"),
+    (("lgpl_free_2",), "LGPL-2.1"),
+    (("lgpl_free_3",), "LGPL-3.0"),
+    (("agpl_free_3",), "AGPL-3.0"),
+    (("epl2",), "EPL-2.0"),
+    (("ofl",), "OFL-1.1"),
+    (("zlib_as_is", "zlib_grant"), "Zlib"),
+    (("zlib",), "Zlib"),
+    (("bsl",), "BSL-1.0"),
+    (("bsl_grant",), "BSL-1.0"),
+    (("cddl",), "CDDL-1.0"),
+) + tuple(((TAGS[f"spdx license identifier {_tag(name)}"],), name) for name in TAGGED)
 
 #: Fixed values of the check SQL: where sentences end, what is no word, and subjects before "licensed", "released" and so on.
 BREAK = r"[.!?:;]+[ \t\r]+|[ \t\r]*\n[ \t\r\n]*"
@@ -141,10 +202,10 @@ BETWEEN = r"(?:[^a-z0-9.!?\n]|[.!?][.!?:;]*+(?=[a-z0-9])|\n(?![ \t\r]*\n))++"
 
 def sentence_keys(text: Column, sentences: dict[str, str] | None = None) -> Column:
     """The known sentences of a text, as their keys, in order."""
-    known = sentences or SENTENCES | MORE_SENTENCES
+    known = sentences or KNOWN
     words = "|".join(sorted(known, key=len, reverse=True)).replace(" ", BETWEEN)
     subject = SUBJECT.removeprefix("^").replace("(", "(?:").replace(" ", BETWEEN)
-    pattern = f"{START}(?:{subject})?({words})(?![a-z0-9])"
+    pattern = f"{START}(?:{subject})?({words})(?![a-z0-9])(?!{BETWEEN}{STATEMENT}(?![a-z0-9]))"
     found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
     return F.transform(found, lambda s: F.regexp_replace(s, NO_WORD, " "))
 
@@ -163,7 +224,7 @@ def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: tuple
     empty texts have empty arrays. Repeated rows stay repeated; other columns are left out.
     Narrow: nothing is shuffled, and the whole text is read.
     """
-    sentences = sentences or SENTENCES | MORE_SENTENCES
+    sentences = sentences or KNOWN
     table = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
     keys = sentence_keys(F.coalesce(F.col(text_col), F.lit("")), sentences)
     known = F.transform(keys, lambda k: F.try_element_at(table, k))
