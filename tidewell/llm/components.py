@@ -3,8 +3,9 @@
 Every task contracts the edges it holds to one pointer per node, towards the smallest node it can
 reach there. Pointers are then dealt out by the node that points, so that all pointers of a node
 meet and contract again, until each node has a single one. What remains is a forest; its pointers
-are followed by doubling. A task holds its share of the pointers only, and a node that very many
-point to is never a key of the contraction.
+are followed by doubling. A task holds its share of the pointers only. A node that very many
+point to is never a key of the contraction, and where pointers are followed, it is one node among those that are
+pointed to; what points to it is joined by a join that splits hot keys.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.keyed_join import attach
 from .common import staged
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("met", pa.bool_())])
@@ -70,11 +72,13 @@ def labels(edges: DataFrame) -> DataFrame:
             break
     forest = state.select("a", "b")
     while True:
+        # nodes that are pointed to and point on themselves, once each: a root that very many point to is not among them
         ahead = forest.select(F.col("a").alias("_at"), F.col("b").alias("_next"))
-        moved = forest.join(ahead, F.col("b") == F.col("_at"), "left")
-        moved = staged(moved.select("a", F.coalesce("_next", "b").alias("b"), F.col("_next").isNotNull().alias("moved")), "pointers")
-        forest = moved.select("a", "b")
-        if moved.filter("moved").isEmpty():
+        onward = forest.select("b").distinct().join(ahead, F.col("b") == F.col("_at")).select("b", "_next")
+        onward = staged(onward, "pointers")
+        if onward.isEmpty():
             break
+        moved = attach(forest, onward, ["b"])
+        forest = staged(moved.select("a", F.coalesce("_next", "b").alias("b")), "pointers")
     roots = forest.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
     return forest.toDF("node", "label").union(roots)
