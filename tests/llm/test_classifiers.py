@@ -117,3 +117,83 @@ def test_unlearned_languages_and_junk_are_rejected(spark):
     assert [i for i in JUNK if not got[-i].rejected] == []
     assert sum(got[i].rejected for i, *_ in shorts) <= 0.03 * len(shorts)
     assert sum(r.rejected for i, r in got.items() if i >= 0) <= 5
+
+
+def crc(doc_id):
+    return zlib.crc32(str(doc_id).encode())
+
+
+def test_quality_query_by_brute_force(spark):
+    """Every score of the query from plain matrices over all labelled rows at once."""
+    docs = queries.read(spark, SF_DIR, "documents").select("doc_id", "text").collect()
+    labels = {r.doc_id: r.quality for r in queries.read(spark, SF_DIR, "labels").collect() if r.quality in (0, 1)}
+    stats = {r.doc_id: np.array(quality.statistics(r.text)) for r in docs}
+    learned = [i for i in stats if i in labels and crc(i) % 4 != 2]
+    x, y = np.array([stats[i] for i in learned]), np.array([labels[i] for i in learned], float)
+    mean, deviation = x.mean(0), x.std(0)
+    draw = np.random.default_rng(11)
+    directions, phases = draw.normal(0, 1 / 4.0, (x.shape[1], 256)), draw.uniform(0, 2 * np.pi, 256)
+
+    def features(rows):
+        z = np.clip((rows - mean) / np.where(deviation > 1e-9, deviation, 1.0), -5, 5)
+        return np.hstack([np.sqrt(2 / 256) * np.cos(z @ directions + phases), np.ones((len(z), 1))])
+
+    penalty = np.eye(257) * 1e-3 * len(x)
+    penalty[-1, -1] = 0
+    z = features(x)
+    weights = np.linalg.solve(z.T @ z + penalty + 1e-9 * np.eye(257), z.T @ y)
+    at = np.clip(((z @ weights + 0.5) / 2.0 * quality.BINS).astype(int), 0, quality.BINS - 1)
+    bins = sorted(set(at))
+    curve = quality.pooled(np.array([y[at == b].sum() for b in bins]), np.array([(at == b).sum() for b in bins], float))
+    centres = [-0.5 + (b + 0.5) * 2.0 / quality.BINS for b in bins]
+    want = {i: float(np.clip(np.interp(features(s[None]) @ weights, centres, curve), 0, 1)[0]) for i, s in stats.items()}
+    got = {r.doc_id: r for r in queries.quality_scores(spark, SF_DIR).collect()}
+    assert got.keys() == want.keys()
+    # a raw score on the border of two bins may fall to either side of it, which moves the curve a little
+    off = [abs(got[i].score - want[i]) for i in want]
+    assert np.median(off) < 1e-6 and np.quantile(off, 0.99) < 0.02
+    assert all(r.held_out == (crc(i) % 4 == 2) and r.predicted == int(r.score >= 0.7) for i, r in got.items())
+
+
+def plain_grams(text):
+    """The hashed 2- and 3-byte grams of a text, from slices of its bytes."""
+    keep = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
+    raw = b" " + text.lower().encode("utf-8", "replace").translate(keep) + b" "
+    out = {}
+    for k, salt in ((2, 0x9E3779B1), (3, 0x85EBCA77)):
+        for i in range(len(raw) - k + 1):
+            gram = raw[i : i + k]
+            if k == 2 and gram == b"  " or k == 3 and b"  " in gram:
+                continue
+            code = gram[0] * 257 + gram[1] if k == 2 else (gram[0] * 257 + gram[1]) * 263 + gram[2]
+            place = (code * salt & 0xFFFFFFFF) >> 20
+            out[place] = out.get(place, 0) + 1
+    return out
+
+
+def test_language_query_by_brute_force(spark):
+    """Document frequencies over all training rows, and every prediction, from plain dictionaries of grams."""
+    docs = queries.read(spark, SF_DIR, "documents").withColumn("held_out", queries.id_remainder("doc_id", 3) == 1)
+    model = language_id.fit(docs, ~F.col("held_out"))
+    rows = docs.collect()
+    frequency, seen = np.zeros(language_id.DIMS), 0
+    for r in rows:
+        if not r.held_out and r.text is not None and r.lang is not None:
+            frequency[list(plain_grams(r.text))] += 1
+            seen += 1
+    idf = np.log((1 + seen) / (1 + frequency)) + 0.1
+    assert np.allclose(model.idf, idf, rtol=1e-5)
+    got = {r.doc_id: r for r in queries.languages(spark, SF_DIR).collect()}
+    assert got.keys() == {r.doc_id for r in rows}
+    for r in rows:
+        found = got[r.doc_id]
+        assert found.held_out == (crc(r.doc_id) % 3 == 1)
+        if not r.text or not any(map(str.isalpha, r.text)):
+            assert (found.lang_pred, found.score) == ("und", 0)
+            continue
+        weights = {place: (1 + np.log(n)) * idf[place] for place, n in plain_grams(r.text).items()}
+        norm = np.sqrt(sum(w * w for w in weights.values()))
+        cosines = model.centroids[:, list(weights)] @ np.array(list(weights.values())) / norm
+        assert found.score == pytest.approx(min(max(float(cosines.max()), 0), 1), abs=1e-4)
+        best = {model.languages[c] for c in np.flatnonzero(cosines > cosines.max() - 1e-4)}
+        assert found.lang_pred in best
