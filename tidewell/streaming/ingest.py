@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions import numeric as N
 from ..operators import cleaning as K
 from ..operators.gates import GateResult
+from ..operators.observed import write_observed
 from ..plans.layers import layer_gate
 from ..sources import lake
 from ..sources.workspace import read_or_empty
@@ -73,7 +74,7 @@ def gated_batches(
     """Clean each micro-batch, gate it and publish it.
 
     A batch is written once, valid and rejected rows apart, to a folder of ``target`` named by its
-    id; a batch that is repeated after a failure replaces its own. The gate reads what was written.
+    id; a batch that is repeated after a failure replaces its own. The measures of its gate are observed while it is written.
     A batch that passes is named in the list of published batches; ``published_batches`` reads
     those, so a vetoed one stays invisible. ``clock`` gives the moment of a batch, from which
     ages are measured; ``trigger`` is that of the stream (default: all that is there, then stop).
@@ -85,13 +86,14 @@ def gated_batches(
             reason = F.coalesce(reason, stale_reason(spec.event_time, now, max_age_hours))
         judged = K.clean_with_reason(batch, spec, now).withColumn(K.REASON, reason)
         flagged = judged.withColumn("rejected", F.col(K.REASON).isNotNull())
-        stored = lake.write_split(flagged, f"{target}/rows/batch={batch_id}", "rejected")
+        gate, path = layer_gate("silver", mode, str(batch_id), spec), f"{target}/rows/batch={batch_id}"
+        stored, seen, _ = write_observed(flagged, gate.rules, lambda df: lake.write_split(df, path, "rejected"), ~F.col("rejected"))
         rejects = stored.filter("rejected")
         record = F.coalesce(K.RECORD, F.to_json(F.struct(*[f.name for f in spec.fields])))
         kept = K.quarantine_rows(rejects.withColumn(K.RECORD, record), now)
         kept.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
         valid = stored.filter("not rejected").select(*spec.clean_columns)
-        verdict = layer_gate("silver", mode, str(batch_id), spec).evaluate(valid, "silver", now)
+        verdict = gate.evaluate(valid, "silver", now, seen)
         if on_verdict is not None:
             on_verdict(batch_id, verdict)
         if verdict.passed:
