@@ -17,7 +17,14 @@ NOW = dt.timedelta(0)
 
 @pytest.fixture
 def runner(spark, tmp_path):
-    return W.LayeredRun(spark, W.Tables(str(tmp_path / "lake")), WEATHER, "block", aggregates=W.WEATHER_AGGREGATES)
+    return W.LayeredRun(spark, W.Tables(str(tmp_path / "lake")), WEATHER, "block")
+
+
+@pytest.fixture
+def reporting(runner):
+    """A runner that publishes daily and entity statistics too."""
+    runner.aggregates = W.WEATHER_AGGREGATES
+    return runner
 
 
 def schema(df):
@@ -44,7 +51,8 @@ def test_closure_by_brute_force(spark, seed):
     assert L.closure(spark.createDataFrame([], "a string, b string"), spark.createDataFrame([], "x string")).count() == 0
 
 
-def test_derived_folders_and_days(spark, runner, raw):
+def test_derived_folders_and_days(spark, reporting, raw):
+    runner = reporting
     one = runner.run(raw({}, TURIN), RUN_TS, "one")
     runner.run(raw(dict(TURIN, timestamp="2024-01-29T12:00:00+00:00")), RUN_TS, "two")
     found = L.derived(spark, runner.tables, [runner.tables.batch("bronze", one)])
@@ -94,7 +102,8 @@ def attempts(tmp_path, layer):
     return len(list((tmp_path / "lake" / layer).glob("*/*/*/*/attempt=*")))
 
 
-def test_sweep(spark, runner, raw, tmp_path):
+def test_sweep(spark, reporting, raw, tmp_path):
+    runner = reporting
     old = RUN_TS - 50 * DAY
     runner.run(raw({}, {"temperature_celsius": "200"}), old, "old")
     for day, city in ((0, {}), (1, TURIN)):
@@ -120,7 +129,7 @@ def test_sweep(spark, runner, raw, tmp_path):
     assert attempts(tmp_path, "quarantine") == 3
 
 
-@pytest.mark.parametrize("fails_at", range(6))
+@pytest.mark.parametrize("fails_at", [0, 1, 3])
 def test_an_interrupted_sweep(spark, runner, raw, tmp_path, monkeypatch, fails_at):
     """Wherever a sweep stops, readers see the newest attempts, and the next sweep ends what it began."""
     runner.run(raw({}), RUN_TS - 50 * DAY, "same")
