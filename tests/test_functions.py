@@ -126,3 +126,15 @@ def test_display_texts(spark):
     assert apply(spark, "string", ["Braga, Turin ,Rome"], lambda c, _: X.name_list(c)) == [["Braga", "Turin", "Rome"]]
     assert apply(spark, "double", [95.0, 94.9], lambda c, _: X.completeness_label(c)) == ["Good", "Needs Attention"]
     assert apply(spark, "boolean", [True, False, None], lambda c, _: X.gate_label(c)) == ["PASSED", "FAILED", "FAILED"]
+
+
+def test_moments_in_every_spelling_of_a_day_with_a_time(spark):
+    """Against the standard library: separators, parts of the clock and zones in all combinations."""
+    days, clocks = ("2024-01-30", "20240130"), ("10", "10:30", "1030", "10:30:05", "103005", "10:30:05.25", "103005.250001")
+    zones = ("", "Z", "+05", "+0530", "+05:30", "-0800", "-08:00")
+    texts = [f"{day}{mark}{clock}{zone}" for day in days for mark in "T " for clock in clocks for zone in zones]
+    found = apply(spark, "string", texts, lambda v, kind: F.unix_micros(C.to_moment(v, kind)))
+    for text, micros in zip(texts, found):
+        moment = dt.datetime.fromisoformat(text)
+        moment = moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+        assert micros == (moment - dt.datetime(1970, 1, 1, tzinfo=UTC)) // dt.timedelta(microseconds=1), text

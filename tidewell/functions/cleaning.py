@@ -26,9 +26,9 @@ RARE_NUMBER_PATTERN = (
 )
 MOMENT_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:\d{2})?)?\z"
+    r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})?)?)?\z"
 )
-# the other forms of ISO 8601 for a day with a time: hour only, zone without colon, no separators
+# the other forms of ISO 8601 for a day with a time: hour only, minutes with a zone, zone without colon, no separators
 OTHER_MOMENT_PATTERN = (
     r"^(\d{4})-?(\d{2})-?(\d{2})[T ](\d{2}):?(\d{2})?:?(\d{2})?(\.\d+)?(Z|[+-]\d{2}(?::?\d{2})?)?\z"
 )
@@ -83,12 +83,10 @@ def from_epoch(seconds: Column) -> Column:
 
 def _usual_moment(value: Column) -> Column:
     """The usual form of a moment that matches OTHER_MOMENT_PATTERN."""
-    part = [F.regexp_extract(value, OTHER_MOMENT_PATTERN, i) for i in range(9)]
-    clock = [F.when(p == "", "00").otherwise(p) for p in (part[4], part[5], part[6])]
-    zone = F.when(part[8].rlike(r"^[+-]\d{2}\z"), F.concat(part[8], F.lit(":00"))).otherwise(
-        F.regexp_replace(part[8], r"^([+-]\d{2})(\d{2})$", "$1:$2")
-    )
-    return F.concat(F.concat_ws("-", part[1], part[2], part[3]), F.lit("T"), F.concat_ws(":", *clock), part[7], zone)
+    spaced = F.regexp_replace(value, OTHER_MOMENT_PATTERN, "$1-$2-$3T$4:$5:$6$7$8")
+    clock = F.regexp_replace(spaced, r":(?=[:.Z+-]|\z)", ":00")  # parts of the clock that are left out
+    zone = F.regexp_replace(clock, r"([+-]\d{2})\z", "$1:00")
+    return F.regexp_replace(zone, r"([+-]\d{2})(\d{2})\z", "$1:$2")
 
 
 def to_moment(value: Column, source: T.DataType) -> Column:
@@ -105,4 +103,7 @@ def to_moment(value: Column, source: T.DataType) -> Column:
     compact = F.when(
         value.rlike(COMPACT_DATE_PATTERN), F.try_to_timestamp(value, F.lit("yyyyMMdd"))
     )
-    return F.coalesce(iso, compact, from_epoch(to_number(value, source)))
+    # The number is bound to a name, so that it is parsed once. That also keeps these patterns out of the fused stage,
+    # whose one method would grow beyond what the JVM compiles; a projection of its own is cut into small ones.
+    epoch = F.get(F.transform(F.array(to_number(value, source)), from_epoch), F.lit(0))
+    return F.coalesce(iso, compact, epoch)
