@@ -118,7 +118,7 @@ def _left_out(shown: Column, counts: Column) -> Column:
     )
     text = F.format_string("%d more issues are not shown", more)
     told = R.issue(F.get(shown, F.lit(0))["rule_name"], worst, text, records, {LEFT_OUT: more})
-    return F.filter(F.array(F.when(more > 0, told)), lambda i: i.isNotNull())
+    return F.array_compact(F.array(F.when(more > 0, told)))
 
 
 def aggregates_of(df: DataFrame, rules: Sequence[R.Rule], where: Column | None = None) -> dict[str, Column]:
@@ -164,27 +164,34 @@ def measured(df: DataFrame, rules: Sequence[R.Rule], seen: DataFrame | None = No
             *[of(p, c).alias(f"{c}{p}") for p in frames for c in ("_issues", "_counts")],
         ).select("_totals.*", *[f"{c}{p}" for p in frames for c in ("_issues", "_counts")])
 
-    columns, parts, told = [F.col(R.TOTAL)], [], {}
+    # issues of AggRules between two FrameRules are one array: few expressions, whatever the number of rules
+    columns, listed, plain, told, pending = [F.col(R.TOTAL)], [], [], {}, []
+
+    def gather() -> None:
+        if pending:
+            name = f"_found{len(plain)}"
+            columns.append(F.array_compact(F.array(*pending)).alias(name))
+            plain.append(F.col(name))
+            listed.append(F.col(name))
+            pending.clear()
+
     for position, rule in enumerate(rules):
-        name = f"_issues{position}"
         if position in frames:
-            columns += [F.col(name), F.col(f"_counts{position}")]
-            told[position] = _left_out(F.col(name), F.col(f"_counts{position}"))
+            gather()
+            shown, counts = F.col(f"_issues{position}"), F.col(f"_counts{position}")
+            columns += [shown, counts]
+            told[position] = _left_out(shown, counts)
+            listed += [shown, told[position]]
         else:
             prefix = f"m{position}_"
             found = {m.removeprefix(prefix): F.col(m) for m in wanted if m.startswith(prefix)}
-            judged = list(rule.judge(F.col(R.TOTAL), found, df))
-            if not judged:
-                continue
-            columns.append(F.filter(F.array(*judged), lambda i: i.isNotNull()).alias(name))
-        parts.append(position)
+            pending += rule.judge(F.col(R.TOTAL), found, df)
+    gather()
     empty = F.from_json(F.lit("[]"), f"array<struct<{_as_struct(R.ISSUE_DDL)}>>")
-    listed = [x for p in parts for x in (F.col(f"_issues{p}"), told.get(p)) if x is not None]
-    issues = F.concat(*listed) if parts else empty
-    plain = [F.col(f"_issues{p}") for p in parts if p not in told]
+    issues = F.concat(*listed) if listed else empty
 
     def number(of_array, of_counts: str) -> Column:
-        return sum([of_array(p) for p in plain] + [F.col(f"_counts{p}")[of_counts] for p in told], F.lit(0)).cast("int")
+        return sum([of_array(c) for c in plain] + [F.col(f"_counts{p}")[of_counts] for p in told], F.lit(0)).cast("int")
 
     return totals.select(*columns).select(
         R.TOTAL, issues.alias("issues"),

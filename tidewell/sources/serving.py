@@ -80,8 +80,9 @@ def load(
 
     The table is partitioned by the UTC date of the observation time. That time is part of
     the key, so a row can only meet its older version in its own day: only the days of the
-    batch are read, merged and rewritten. The merged days are staged first, which means a
-    failed job never leaves the table without its old rows.
+    batch are read, merged and rewritten, once. Spark writes them beside the table and lets them take
+    the place of the old days when all tasks are done, so a job that fails leaves the old rows; the
+    staged batch stays for another attempt.
     """
     gate = load_gate(spec, run_id, unique)
     # The batch is evaluated once: staged with its surrogate ids while its constraints are observed.
@@ -104,11 +105,9 @@ def load(
     base = read_served(spark, path, spec)
     touched = within_days_of(base, dated).select(*names)
     merged = upsert(touched, delta, key, _updates(spec, names, key))
-    staged = merged.withColumn(DAY, F.to_date(SERVED_TIME))
-    staged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(f"{staging}/days")
     (
-        spark.read.schema(f"{serving_ddl(spec)}, {DAY} date")
-        .parquet(f"{staging}/days")
+        merged.withColumn(DAY, F.to_date(SERVED_TIME))
+        .hint("rebalance", DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
@@ -118,8 +117,9 @@ def load(
 
 
 def touched_days(spark: SparkSession, staging: str) -> DataFrame:
-    """The days that a load has rewritten, from the folders it staged."""
-    return spark.read.schema(f"{DAY} date").parquet(f"{staging}/days").select(F.col(DAY).alias("day")).distinct()
+    """The days that a load has rewritten: those of the batch it staged."""
+    batch = spark.read.schema(f"{SERVED_TIME} timestamp").parquet(f"{staging}/batch")
+    return batch.select(F.to_date(SERVED_TIME).alias("day")).distinct()
 
 
 def within_days_of(base: DataFrame, dated: DataFrame) -> DataFrame:
