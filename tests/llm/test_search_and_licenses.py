@@ -1,5 +1,6 @@
 import random
 import textwrap
+import time
 
 import numpy as np
 import pytest
@@ -50,6 +51,28 @@ def test_queries_in_groups(spark, monkeypatch):
     assert topk.search(df.limit(0), F.col("vec_id") % 100 == 0, 3).collect() == []
 
 
+def test_lists_are_read_for_many_queries_together():
+    """Bounds of 512 queries cost less than 40 sortings of the block, and no row of a query's best is left out."""
+    draw = np.random.default_rng(5)
+    rows = np.floor(1024 * draw.normal(size=(2_048, 64)) / 8)
+    ids, asked = np.arange(2_048), np.arange(0, 2_048, 4)
+    scores = rows[asked] @ rows.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    tenth = np.sort(scores, 1)[:, -10]
+    sorting, bounds = [], []
+    for _ in range(3):
+        start = time.thread_time()
+        block = topk.Block(ids, rows)
+        sorting.append(time.thread_time() - start)
+        start = time.thread_time()
+        found = list(block.best(asked, rows[asked], 10, np.full(len(asked), -np.inf)))
+        bounds.append(time.thread_time() - start)
+    assert sorted(at for at, _, _ in found) == list(range(len(asked)))
+    for at, got, of in found:
+        assert (scores[at, of] == got).all() and set(np.flatnonzero(scores[at] >= tenth[at])) <= set(of.tolist())
+    assert min(bounds) < 40 * min(sorting)
+
+
 MIT = """Copyright (c) X
 Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software. The above copyright notice and this permission notice shall be included in

@@ -1,9 +1,10 @@
 """Exact top-k inner products by aggregation of sorted lists without random access.
 
-Each task takes its rows in blocks. A block keeps one list per component, sorted once. For a query
-the lists are read in step from their better end; what was read gives every row a lower and an
-upper bound of its score. Reading stops when few rows can still reach the k-th lower bound, or the
-k-th score of the blocks before, and the scores of these rows are resolved. Queries travel in groups of a
+Each task takes its rows in blocks. A block keeps one list per component, sorted once. The lists are read
+from both ends in step, to one depth for all queries: a query goes by the upper ends of the components where it is
+above zero and by the lower ends of the others. What was read gives every row a lower and an upper bound of its score,
+for many queries in one product each. Reading stops for a query when few rows can still reach the
+k-th score of the blocks before, or the k-th lower bound, and the scores of these rows are resolved. Queries travel in groups of a
 checked size, one pass over the rows per group; the result of a pass is written before the next group is fetched.
 
 Sums of whole numbers are exact in 64-bit floats up to 2 ** 53. Where the sizes of a query and of a block leave any
@@ -20,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import staged
 
-#: Rows in a block; bytes of queries sent with a pass.
-BLOCK_ROWS, QUERY_BYTES = 2_048, 32 << 20
+#: Rows in a block; bytes of queries sent with a pass; queries whose bounds are held at once.
+BLOCK_ROWS, QUERY_BYTES, AT_ONCE = 2_048, 32 << 20, 256
 #: Vectors with a component from this size on have blocks of their own; bound of the sums that floats add up exactly,
 #: with room for the bounds of a score; largest score.
 LARGE, EXACT, MOST = 1 << 21, 1 << 51, (1 << 63) - 1
@@ -64,42 +65,55 @@ class Block:
         self.most = np.abs(rows).max(0)
         if rows.dtype == object:
             return
-        self.order = np.argsort(rows, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(rows.T, self.order, 1)
-
-    def best(self, query_id: int, q: np.ndarray, k: int, reached: float) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, ids) of every row that may be among the best ``k`` given the k-th score ``reached`` so far."""
-        if self.rows.dtype == object or q.dtype == object or float(np.abs(q) @ self.most) >= EXACT:
-            possible = np.flatnonzero(self.ids != query_id)
-            return exact_scores(self.rows[possible], q), self.ids[possible]
+        self.order = np.argsort(rows, axis=0, kind="stable")
+        self.values = np.take_along_axis(rows, self.order, 0)
+
+    def read(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """What a row adds to a score at least and at most, per unit of each component that is above zero and then of
+        each that is below, as far as the first ``depth`` entries of a list tell. A row not yet met there
+        adds as much as the last of the list at least, and as the last that was read at most."""
+        n, lists = self.rows.shape
+        least, most = np.empty((n, 2 * lists)), np.empty((n, 2 * lists))
+        for at, part, last, end in ((0, slice(n - depth, n), n - depth, 0), (lists, slice(0, depth), depth - 1, n - 1)):
+            least[:, at : at + lists], most[:, at : at + lists] = self.values[end], self.values[last]
+            for side in (least, most):
+                side[self.order[part], np.arange(at, at + lists)] = self.values[part]
+        return least, most
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int, reached: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(position, scores, ids) for each query: every row that may be among its best ``k`` given its k-th score ``reached`` so far."""
         n = len(self.ids)
-        up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        weights = np.abs(q[np.concatenate([up, down])])[:, None]
-        own = self.ids == query_id
-        # lists in reading order: descending contribution to the score
-        rows = np.concatenate([self.order[up, ::-1], self.order[down]])
-        gains = np.concatenate([self.values[up, ::-1], -self.values[down]])
-        gains = gains * weights
-        if not len(gains):
-            possible = np.flatnonzero(~own)
-            return np.zeros(len(possible), np.int64), self.ids[possible]
-        least = gains[:, -1:]
-        above, read = np.full(n, float(least.sum())), 0
+        if self.rows.dtype == object or queries.dtype == object:
+            doubtful = np.full(len(queries), True)
+        else:
+            doubtful = np.abs(queries) @ self.most >= EXACT
+        for i in np.flatnonzero(doubtful):
+            possible = np.flatnonzero(self.ids != query_ids[i])
+            yield i, exact_scores(self.rows[possible], queries[i]), self.ids[possible]
+        left = np.flatnonzero(~doubtful)
         for eighths in READ_EIGHTHS:
-            depth = max(n * eighths // 8, 1)
-            part = rows[:, read:depth]
-            above += np.bincount(part.ravel(), (gains[:, read:depth] - least).ravel(), n)
-            read = depth
-            # a row not yet met in a list can add the list's last read gain at most, and its least gain at least
-            slack = gains[:, depth - 1 : depth] - least
-            met = np.bincount(rows[:, :depth].ravel(), np.broadcast_to(slack, (len(slack), depth)).ravel(), n)
-            upper = above + float(slack.sum()) - met
-            lower = np.where(own, -np.inf, above)
-            bound = max(reached, np.partition(lower, n - k)[n - k]) if n > k else reached
-            possible = np.flatnonzero((upper >= bound) & ~own)
-            if len(possible) <= max(4 * k, n // LEFT):
-                break
-        return (self.rows[possible] @ q).astype(np.int64), self.ids[possible]
+            if not len(left):
+                return
+            least, most = self.read(max(n * eighths // 8, 1))
+            more = []
+            for start in range(0, len(left), AT_ONCE):
+                part = left[start : start + AT_ONCE]
+                weights = np.hstack([np.maximum(queries[part], 0), np.minimum(queries[part], 0)])
+                own = self.ids == query_ids[part, None]
+                upper = weights @ most.T
+                can = (upper >= reached[part, None]) & ~own
+                wide = can.sum(1) > max(4 * k, n // LEFT)
+                if n > k and wide.any():
+                    lower = np.where(own[wide], -np.inf, weights[wide] @ least.T)
+                    can[wide] &= upper[wide] >= np.partition(lower, n - k, 1)[:, n - k, None]
+                    wide = can.sum(1) > max(4 * k, n // LEFT)
+                if eighths == READ_EIGHTHS[-1]:
+                    wide[:] = False
+                for i in np.flatnonzero(~wide):
+                    possible = np.flatnonzero(can[i])
+                    yield part[i], (self.rows[possible] @ queries[part[i]]).astype(np.int64), self.ids[possible]
+                more.append(part[wide])
+            left = np.concatenate(more)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -130,7 +144,11 @@ def search(vectors: DataFrame, is_query: Column, k: int, scale: int = 1024, id_c
 
 def _pass(rows: DataFrame, queries: list, k: int, scale: int, id_col: str) -> DataFrame:
     at, numbers = whole_numbers([r["vector"] for r in queries], scale)
-    asked = [(queries[i]["id"], q) for i, q in zip(at, numbers)]
+    asked = np.array([queries[i]["id"] for i in at], np.int64)
+    kinds: dict[tuple[int, bool], list[int]] = {}
+    for number, q in enumerate(numbers):
+        kinds.setdefault((len(q), q.dtype == object), []).append(number)
+    alike = [(np.array(held), np.array([numbers[number] for number in held])) for held in kinds.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -139,14 +157,15 @@ def _pass(rows: DataFrame, queries: list, k: int, scale: int, id_col: str) -> Da
         def work(held: list) -> None:
             kind = object if any(v.dtype == object for _, v in held) else np.float64
             block = Block(np.array([i for i, _ in held]), np.array([v for _, v in held], kind))
-            for number, (query, q) in enumerate(asked):
-                if len(q) != block.rows.shape[1]:
+            for numbers_of, vectors in alike:
+                if vectors.shape[1] != block.rows.shape[1]:
                     continue
-                scores, ids = best.get(number, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                more = block.best(query, q, k, float(scores[k - 1]) if len(scores) >= k else -np.inf)
-                scores, ids = np.concatenate([scores, more[0]]), np.concatenate([ids, more[1]])
-                first = np.lexsort((ids, ~scores))[:k]  # ~ turns the order round and fits 64 bits
-                best[number] = scores[first], ids[first]
+                reached = np.array([float(best[i][0][k - 1]) if i in best and len(best[i][0]) >= k else -np.inf for i in numbers_of])
+                for at, more, of in block.best(asked[numbers_of], vectors, k, reached):
+                    scores, ids = best.get(numbers_of[at], (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                    scores, ids = np.concatenate([scores, more]), np.concatenate([ids, of])
+                    first = np.lexsort((ids, ~scores))[:k]  # ~ turns the order round and fits 64 bits
+                    best[numbers_of[at]] = scores[first], ids[first]
             held.clear()
 
         for batch in batches:
@@ -161,7 +180,7 @@ def _pass(rows: DataFrame, queries: list, k: int, scale: int, id_col: str) -> Da
                 work(held)
         for number, (scores, ids) in best.items():
             yield pa.RecordBatch.from_pydict({
-                "query_id": np.full(len(ids), asked[number][0], np.int64), "id": ids, "score": scores,
+                "query_id": np.full(len(ids), asked[number], np.int64), "id": ids, "score": scores,
             })
 
     partial = rows.mapInArrow(run, "query_id bigint, id bigint, score bigint")
